@@ -13,6 +13,7 @@ rows); scoring reads every whole text.
 from __future__ import annotations
 
 import re
+from operator import eq
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ WORD_BITS = 18
 _WORDS = 1 << WORD_BITS
 _SOURCES, _LANGS = 64, 16
 _META = _SOURCES + _LANGS + 4
-_STATS = 6
+_STATS, _BINS = 8, 12
 _EDGE = re.compile(r"^\W+|\W+$")
 _UPPER = str.maketrans("", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _MARKS = str.maketrans("", "", "!?#*$%&|<>\"'()[]{}=_~^")
@@ -45,7 +46,7 @@ _BUCKETS = Buckets()
 
 
 def text_view(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the distinct words of a whole text, and six statistics."""
+    """Buckets of the distinct words of a whole text, and eight statistics."""
     from .common import words_of
 
     words = words_of(text)
@@ -53,7 +54,9 @@ def text_view(text: str) -> tuple[np.ndarray, np.ndarray]:
     found = np.unique(np.fromiter((_BUCKETS[w] for w in distinct), "i4", len(distinct)))
     n, size = max(1, len(words)), max(1, len(text))
     lines = text.split("\n")
-    stats = np.array([np.log1p(len(words)) / 8, len(distinct) / n, (size - len(text.translate(_UPPER))) / size, (size - len(text.translate(_MARKS))) / size, 1 - len(set(lines)) / len(lines), min(size / n, 40) / 20])
+    twice = sum(map(eq, words, words[1:])) / n
+    ends = sum(w[-1] in ".!?" for w in distinct) / n
+    stats = np.array([np.log1p(len(words)) / 8, len(distinct) / n, twice, ends, (size - len(text.translate(_UPPER))) / size, (size - len(text.translate(_MARKS))) / size, 1 - len(set(lines)) / len(lines), min(size / n, 40) / 20])
     return found, stats
 
 
@@ -85,7 +88,7 @@ class Logistic:
         at, x = np.concatenate(rows), np.concatenate(values)
         used, at = np.unique(at, return_inverse=True)
         w, moment, square = np.zeros(len(used)), np.zeros(len(used)), np.zeros(len(used))
-        weight = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) / len(y)
+        weight = 1 / len(y)
         for t in range(1, steps + 1):
             off = (_sigmoid(np.bincount(row, w[at] * x, len(rows))) - y) * weight
             grad = np.bincount(at, off[row] * x, len(used)) + self.penalty * w
@@ -114,23 +117,31 @@ def platt(margins: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 class TextModel:
-    """Words scaled by their log odds, and statistics; sparse logistic model."""
+    """Words by their log odds, statistics by their bins; sparse logistic model.
 
-    def __init__(self):
-        self.model = Logistic(_WORDS + _STATS + 1, 2e-5)
-        self.odds = np.zeros(_WORDS)
+    A word counts only where its log odds are ``certain`` standard errors off
+    zero; the others would add up to noise in long texts.
+    """
+
+    def __init__(self, certain: float = 3.0):
+        self.certain, self.odds, self.cuts = certain, np.zeros(_WORDS), np.zeros((_STATS, _BINS - 1))
+        self.model = Logistic(_WORDS + _STATS * _BINS + 1, 1e-5)
 
     def _row(self, view):
         words, stats = view
-        return np.concatenate([words, _WORDS + np.arange(_STATS + 1)]), np.concatenate([self.odds[words], stats, [1.0]])
+        words = words[self.odds[words] != 0]
+        bins = (stats[:, None] > self.cuts).sum(1) + np.arange(_STATS) * _BINS
+        return np.concatenate([words, _WORDS + bins, [_WORDS + _STATS * _BINS]]), np.concatenate([self.odds[words], np.ones(_STATS + 1)])
 
     def fit(self, views, y):
-        # document frequencies among bad and good; rare words say nothing
-        bad = np.bincount(np.concatenate([v[0] for v, t in zip(views, y, strict=True) if t] or [np.zeros(0, "i4")]), minlength=_WORDS)
-        good = np.bincount(np.concatenate([v[0] for v, t in zip(views, y, strict=True) if not t] or [np.zeros(0, "i4")]), minlength=_WORDS)
+        none = [np.zeros(0, "i4")]
+        bad = np.bincount(np.concatenate([v[0] for v, t in zip(views, y, strict=True) if t] or none), minlength=_WORDS)
+        good = np.bincount(np.concatenate([v[0] for v, t in zip(views, y, strict=True) if not t] or none), minlength=_WORDS)
         n, m = max(1, y.sum()), max(1, len(y) - y.sum())
-        odds = np.log((bad + 1) / (n + 2)) - np.log((good + 1) / (m + 2))
-        self.odds = np.where(bad + good >= 4, odds, 0.0)
+        odds = np.log((bad + 0.5) / (n + 1)) - np.log((good + 0.5) / (m + 1))
+        error = np.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
+        self.odds = np.where((np.abs(odds) > self.certain * error) | (bad >= 3) & (good == 0) & (odds > 2 * error), odds, 0.0)
+        self.cuts = np.quantile(np.array([v[1] for v in views]), np.arange(1, _BINS) / _BINS, axis=0).T
         rows = [self._row(v) for v in views]
         self.model.fit([r[0] for r in rows], [r[1] for r in rows], y)
         return self
@@ -195,7 +206,7 @@ def _sampled(ids: DataFrame, most: int) -> DataFrame:
     return ids.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(rate * 1_000_000)) if rate < 1 else ids
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_fitted: int = 6000):
+def fit(docs: DataFrame, labels: DataFrame, most_fitted: int = 10_000):
     """Models from the documents that ``labels`` covers (quality 0 or toxic 1:
     bad) and a pool of others; None if there are no documents of both kinds."""
     known = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
@@ -252,7 +263,7 @@ def score(docs: DataFrame, model, keep: list[str] | None = None, threshold: floa
     return view.mapInPandas(run, schema)
 
 
-def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, most_fitted: int = 6000) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, most_fitted: int = 10_000) -> DataFrame:
     """One row a document: the ``keep`` columns (doc_id by default), text_score,
     meta_score, score (probability of being bad) and kept.
 
