@@ -103,14 +103,15 @@ class Logistic:
 
 
 def platt(margins: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Coefficients of a logistic fit of y on the columns of margins and 1."""
+    """Coefficients of a logistic fit of y on the columns of margins and 1, held
+    near taking the first column as it is (which decides if there are few rows)."""
     x = np.column_stack([margins, np.ones(len(y))])
-    w = np.zeros(x.shape[1])
+    w = start = np.eye(1, x.shape[1])[0]
     for _ in range(50):
         p = _sigmoid(x @ w)
-        hess = x.T @ (x * (p * (1 - p))[:, None]) + 1e-2 * np.eye(len(w))
-        step = np.linalg.solve(hess, x.T @ (p - y) + 1e-2 * w)
-        w -= step
+        hess = x.T @ (x * (p * (1 - p))[:, None]) + np.eye(len(w))
+        step = np.linalg.solve(hess, x.T @ (p - y) + w - start)
+        w = w - step
         if np.abs(step).max() < 1e-8:
             break
     return w
@@ -240,27 +241,30 @@ def fit(docs: DataFrame, labels: DataFrame, most_fitted: int = 10_000):
 
 def score(docs: DataFrame, model, keep: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
     """Probabilities of being bad by view and together, for every whole text."""
-    names = keep or ["doc_id"]
+    made = ["text_score", "meta_score", "score", "kept"]
+    names = [c for c in keep or ["doc_id"] if c not in made]
     fields = docs.select(*names).schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", text_score double, meta_score double, score double, kept boolean"
     view = docs.select(*names, F.coalesce("text", F.lit("")).alias("_text"), *[(F.col(c).cast(t) if c in docs.columns else F.lit(None).cast(t)).alias(f"_{c}") for c, t in (("source", "string"), ("lang", "string"), ("n_chars", "double"))])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        import pyarrow as pa
+
         models, scale, mix = shared.value if shared.value else (None, None, None)
-        for pdf in batches:
-            out = pdf[names].copy()
+        for batch in batches:
+            text, *rest = [batch.column(c).to_pylist() for c in ("_text", "_source", "_lang", "_n_chars")]
             if models is None:
-                out["text_score"] = out["meta_score"] = out["score"] = 0.0
+                scores = [np.zeros(len(text))] * 3
             else:
-                t = np.array([models["text"].margin(text_view(x)) for x in pdf["_text"]]) * scale["text"][0] + scale["text"][1]
-                m = np.array([models["meta"].margin(meta_view(*r)) for r in zip(pdf["_source"], pdf["_lang"], pdf["_n_chars"], pdf["_text"], strict=True)]) * scale["meta"][0] + scale["meta"][1]
+                t = np.array([models["text"].margin(text_view(x)) for x in text]) * scale["text"][0] + scale["text"][1]
+                m = np.array([models["meta"].margin(meta_view(*r)) for r in zip(*rest, text, strict=True)]) * scale["meta"][0] + scale["meta"][1]
                 both = np.clip(np.column_stack([t, m]).reshape(-1, 2), -12, 12)
-                out["text_score"], out["meta_score"], out["score"] = _sigmoid(t), _sigmoid(m), _sigmoid(both @ mix[:2] + mix[2])
-            out["kept"] = out["score"] < threshold
-            yield out
+                scores = [_sigmoid(t), _sigmoid(m), _sigmoid(both @ mix[:2] + mix[2])]
+            arrays = [batch.column(c) for c in names] + [pa.array(x, pa.float64()) for x in scores] + [pa.array(scores[2] < threshold, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, [*names, "text_score", "meta_score", "score", "kept"])
 
-    return view.mapInPandas(run, schema)
+    return view.mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, most_fitted: int = 10_000) -> DataFrame:

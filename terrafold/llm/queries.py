@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import cotraining, decontamination, kdtree, packing, rules, simhash, token_counts, token_files
+from . import cotraining, decontamination, kdtree, packing, rules, simhash, suffix, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs).select(F.col("doc_id").cast("long"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -46,7 +52,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_decontamination, op4_best_fit_packing, op6_kd_sharding, op7_token_counts, op8_simhash, op9_cotraining, op10_token_files)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_decontamination, op3_suffix_dedup, op4_best_fit_packing, op6_kd_sharding, op7_token_counts, op8_simhash, op9_cotraining, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
