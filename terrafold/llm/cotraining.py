@@ -111,7 +111,7 @@ def platt(margins: np.ndarray, y: np.ndarray) -> np.ndarray:
         p = _sigmoid(x @ w)
         hess = x.T @ (x * (p * (1 - p))[:, None]) + np.eye(len(w))
         step = np.linalg.solve(hess, x.T @ (p - y) + w - start)
-        w = w - step
+        w = w - step * min(1.0, 1.0 / max(1e-12, np.abs(step).max()))
         if np.abs(step).max() < 1e-8:
             break
     return w

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotraining, decontamination, kdtree, packing, rules, simhash, suffix, token_counts, token_files
+from . import attention_lm, cotraining, decontamination, kdtree, packing, rules, simhash, suffix, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.kd_shards(_table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_decontamination, op3_suffix_dedup, op4_best_fit_packing, op6_kd_sharding, op7_token_counts, op8_simhash, op9_cotraining, op10_token_files)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_decontamination, op3_suffix_dedup, op4_best_fit_packing, op5_attention_lm, op6_kd_sharding, op7_token_counts, op8_simhash, op9_cotraining, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
