@@ -17,9 +17,11 @@ shorter string, and on it runs the difference-cover algorithm:
    strings must share are candidates.
 
 What is left is a byte's work: the positions with one base form a gap. A gap is
-repeated as a whole if all its bytes to the end of its last string occur twice;
-otherwise its strings are compared one by one. Strings are told apart by two
-independent 64-bit polynomial hashes.
+repeated as a whole if all its bytes to the end of its last string occur twice.
+Other gaps are cut into blocks of 16 positions at fixed distances from the base:
+a block whose common core (in each of its strings) occurs once holds nothing, one
+whose whole bytes occur twice is repeated, and only for the rest the strings are
+compared one by one, by two independent 64-bit polynomial hashes.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ LENGTH = 400
 _GRAM, _REACH = 16, 96
 _SEGMENT = 1 << 21
 _SHOWN, _NEVER = 6, 99
-_BASES = "rid long, i int, letter long, need int, whole long, lo int, hi int"
+_BLOCK = 16
+_BASES = "rid long, i int, letter long, need int, whole long, base int, lo int, hi int"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -100,7 +103,22 @@ def gaps(data: np.ndarray, length: int = LENGTH):
         yield a + bases[: count + more], np.r_[a + lo, none], np.r_[a + last, none - 1], letter.view("i8"), np.r_[need, none + _NEVER], np.r_[whole, none]
 
 
-def strings(data: np.ndarray, lo: int, hi: int, base: int, length: int = LENGTH):
+def blocks(data: np.ndarray, base: int, lo: int, hi: int, length: int = LENGTH):
+    """Blocks of a gap: first and last position, hash of the core, and of the
+    whole bytes if the gap has the whole block (else 0)."""
+    k = np.arange((base - hi) // _BLOCK, (base - lo) // _BLOCK + 1)
+    last, first = base - k * _BLOCK, base - k * _BLOCK - _BLOCK + 1
+    start = max(0, int(first.min()))
+    part = data[start : int(last.max()) + length]
+    one = _Hash(part, 1)
+    core = one.of(last - start, first + length - start).view("i8")
+    full = (first >= lo) & (last <= hi)
+    whole = np.zeros(len(k), "i8")
+    whole[full] = one.of(first[full] - start, last[full] + length - start).view("i8")
+    return np.maximum(first, lo), np.minimum(last, hi), core, whole
+
+
+def strings(data: np.ndarray, lo: int, hi: int, length: int = LENGTH):
     """Two hashes of each string that starts in [lo, hi]."""
     part, at = data[lo : hi + length], np.arange(hi - lo + 1)
     return [_Hash(part, k).of(at, at + length).view("i8") for k in (1, 2)]
@@ -181,12 +199,10 @@ def _neighbours(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("rid", "i", "need", *shown).mapInPandas(compare, "rid long, i int")
 
 
-def suffix_candidates(bases: DataFrame, stage, drop) -> DataFrame:
+def suffix_candidates(left: DataFrame, stage, drop) -> DataFrame:
     """(rid, i) of the bases whose suffix of phrases shares at least ``need``
     phrases with another one, by the difference-cover algorithm."""
     order = Window.partitionBy("rid").orderBy("i")
-    repeated = bases.groupBy("letter").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("letter")
-    left = bases.select("rid", "i", "letter", "need").join(repeated, "letter", "left_semi")
     # 31 bits of each letter are enough to compare neighbours: too long a prefix only adds candidates
     shown = [(_ahead("letter", k, order) if k else F.col("letter")).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias(f"s{k}") for k in range(_SHOWN)]
     text = stage(left.select("rid", "i", "need", F.col("letter").alias("k0"), _ahead("letter", 1, order).alias("k1"), _ahead("letter", 2, order).alias("k2"), *shown), "text")
@@ -231,8 +247,8 @@ def repeated_spans(texts: DataFrame, length: int, stage, drop) -> DataFrame:
         for pdf in batches:
             for rid, text in zip(pdf["rid"], pdf["text"], strict=True):
                 data, at = np.frombuffer(text.encode(), "u1"), 0
-                for _, lo, hi, letter, need, whole in gaps(data, length):
-                    yield pd.DataFrame({"rid": rid, "i": np.arange(at, at + len(lo)), "letter": letter, "need": need, "whole": whole, "lo": lo, "hi": hi})
+                for base, lo, hi, letter, need, whole in gaps(data, length):
+                    yield pd.DataFrame({"rid": rid, "i": np.arange(at, at + len(lo)), "letter": letter, "need": need, "whole": whole, "base": base, "lo": lo, "hi": hi})
                     at += len(lo)
 
     def batched(batches):
@@ -249,39 +265,72 @@ def repeated_spans(texts: DataFrame, length: int, stage, drop) -> DataFrame:
             yield pd.concat(held)
 
     bases = stage(texts.select("rid", "text").mapInPandas(batched, _BASES), "bases")
-    found = suffix_candidates(bases, stage, drop)
-    cands = bases.select("rid", "i", "letter", "whole", "lo", "hi").where("lo <= hi").join(found, ["rid", "i"])
+    repeated = bases.groupBy("letter").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("letter")
+    left = stage(bases.join(repeated, "letter", "left_semi"), "left")
+    drop("bases")
+    found = suffix_candidates(left, stage, drop)
+    cands = left.where("lo <= hi").join(found, ["rid", "i"]).select("rid", "i", "letter", "whole", "base", "lo", "hi")
     counts = cands.groupBy("letter", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "i")).alias("one"))
     cands = stage(cands.join(counts, ["letter", "whole"]), "cands")
-    drop("bases", "found")
+    drop("left", "found")
     open_ = cands.where("n = 1")
     # the strings of a gap repeated as a whole may meet those of an open gap: one gap for each content stands for them
     stands = cands.where((F.col("n") > 1) & (F.col("one.rid") == F.col("rid")) & (F.col("one.i") == F.col("i"))).join(open_.select("letter").distinct(), "letter", "left_semi")
-    picked = open_.select("rid", "lo", "hi", F.lit(1).alias("times")).unionByName(stands.select("rid", "lo", "hi", F.lit(2).alias("times")))
-    by_text = picked.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi", "times")).alias("ranges"))
+    picked = open_.select("rid", "base", "lo", "hi", F.lit(1).alias("times")).unionByName(stands.select("rid", "base", "lo", "hi", F.lit(2).alias("times")))
+    cut = stage(_expanded(texts, picked, _cut_blocks, length, "rid long, base int, lo int, hi int, times int, core long, whole long"), "blocks")
+    cores = cut.groupBy("core").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("core")
+    wholes = cut.where("whole <> 0").groupBy("whole").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("whole", F.lit(True).alias("again"))
+    alive = stage(cut.join(cores, "core", "left_semi").join(wholes, "whole", "left").select("rid", "base", "lo", "hi", "times", "core", F.coalesce("again", F.lit(False)).alias("again")), "alive")
+    # a block repeated as a whole is settled, yet its strings may meet those of an open block with the same core
+    still = alive.where("times = 1 and not again").select("core").distinct()
+    single = alive.join(still, "core", "left_semi").select("rid", "base", "lo", "hi", F.when(F.col("again"), 2).otherwise(F.col("times")).alias("times"))
+    single = stage(_expanded(texts, single, _cut_strings, length, "rid long, p int, times int, h1 long, h2 long"), "strings")
+    drop("blocks")
+    again = single.groupBy("h1", "h2").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("h1", "h2")
+    points = single.where("times = 1").join(again, ["h1", "h2"], "left_semi").select("rid", F.col("p").alias("lo"), F.col("p").alias("hi"))
+    settled = alive.where("times = 1 and again").select("rid", "lo", "hi")
+    spans = stage(cands.where("n > 1").select("rid", "lo", "hi").unionByName(settled).unionByName(points), "spans")
+    drop("cands", "strings", "alive")
+    return spans
 
-    def expand(batches):
-        import pandas as pd
 
+def _expanded(texts: DataFrame, ranges: DataFrame, cut, length: int, schema: str) -> DataFrame:
+    """``cut`` applied to the ranges of each text; texts without one stay behind."""
+    by_text = ranges.groupBy("rid").agg(F.collect_list(F.struct("base", "lo", "hi", "times")).alias("ranges"))
+
+    def run(batches):
         for pdf in batches:
-            rows = []
-            for rid, text, ranges in zip(pdf["rid"], pdf["text"], pdf["ranges"], strict=True):
+            made, n = [], 0
+            for rid, text, own in zip(pdf["rid"], pdf["text"], pdf["ranges"], strict=True):
                 data = np.frombuffer(text.encode(), "u1")
-                for r in ranges:
-                    one, two = strings(data, r["lo"], r["hi"], 0, length)
-                    rows.append((np.full(len(one), rid), np.arange(r["lo"], r["hi"] + 1), np.full(len(one), r["times"]), one, two))
-                    if len(rows) > 2000:
-                        yield pd.DataFrame(dict(zip(["rid", "p", "times", "h1", "h2"], map(np.concatenate, zip(*rows, strict=True)), strict=True)))
-                        rows = []
-            if rows:
-                yield pd.DataFrame(dict(zip(["rid", "p", "times", "h1", "h2"], map(np.concatenate, zip(*rows, strict=True)), strict=True)))
-
-    single = stage(texts.select("rid", "text").join(by_text, "rid").mapInPandas(expand, "rid long, p int, times int, h1 long, h2 long"), "strings")
-    again = single.groupBy("h1", "h2").agg(F.sum("times").alias("n")).where("n > 1").select("h1", "h2")
-    points = single.where("times = 1").join(again, ["h1", "h2"], "left_semi").select("rid", F.col("p").alias("lo"), F.col("p").alias("hi"))
-    spans = stage(cands.where("n > 1").select("rid", "lo", "hi").unionByName(points), "spans")
-    drop("cands", "strings")
-    return spans
+                for r in own:
+                    made.append(cut(data, rid, r, length))
+                    n += len(made[-1][0])
+                    if n > 50_000:
+                        yield _frame(made, schema)
+                        made, n = [], 0
+            if made:
+                yield _frame(made, schema)
+
+    def _frame(made, schema):
+        import pandas as pd
+
+        names = [f.split()[0] for f in schema.split(", ")]
+        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(names, zip(*made, strict=True), strict=True)})
+
+    return texts.select("rid", "text").join(by_text, "rid").mapInPandas(run, schema)
+
+
+def _cut_blocks(data, rid, r, length):
+    lo, hi, core, whole = blocks(data, r["base"], r["lo"], r["hi"], length)
+    n = len(lo)
+    return np.full(n, rid), np.full(n, r["base"]), lo, hi, np.full(n, r["times"]), core, whole
+
+
+def _cut_strings(data, rid, r, length):
+    one, two = strings(data, r["lo"], r["hi"], length)
+    n = len(one)
+    return np.full(n, rid), np.arange(r["lo"], r["hi"] + 1), np.full(n, r["times"]), one, two
 
 
 def _union(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
