@@ -7,12 +7,11 @@ import re
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..contract import SCHEMA, schema_gate
 
-COVERAGE = T.StructType.fromDDL("runId string, exportedAt string, denominator struct<basis string, source string, assessedParcelCount bigint>, tables map<string, struct<rows bigint, source string>>, signals map<string, bigint>, limitations array<string>")
-CATALOG = T.StructType.fromDDL("county string, permits struct<jurisdictions array<struct<name string, supported boolean, certified boolean, records_request struct<method string, contact string>>>>")
+COVERAGE = "runId string, exportedAt string, denominator struct<basis string, source string, assessedParcelCount bigint>, tables map<string, struct<rows bigint, source string>>, signals map<string, bigint>, limitations array<string>"
+CATALOG = "county string, permits struct<jurisdictions array<struct<name string, supported boolean, certified boolean, records_request struct<method string, contact string>>>>"
 
 
 def register(spark: SparkSession, path: str, view: str = "properties") -> DataFrame:
@@ -43,7 +42,7 @@ def first_readable(spark: SparkSession, paths: list[str], preferred: str | None
     raise OSError("; ".join(f"{p}: {e}" for p, e in failed.items()))
 
 
-def run_record(spark: SparkSession, path: str, schema: T.StructType = COVERAGE) -> DataFrame | None:
+def run_record(spark: SparkSession, path: str, schema: str = COVERAGE) -> DataFrame | None:
     """A nested JSON record; a missing file is None."""
     try:
         return spark.read.schema(schema).option("multiLine", True).json(path)
