@@ -32,12 +32,12 @@ add(
     ),
     "SELECT c_custkey, substr(c_name, 0, 3) AS sub0, concat(c_name, NULL, c_mktsegment) AS joined, strpos(c_name, '#') AS pos, sha256(c_name) AS sha, format('{}/{}', c_mktsegment, c_custkey) AS formatted, regexp_replace(c_name, '0', 'x') AS once, regexp_matches(c_name, '0+7') AS hit, len(string_split(c_name, '#')) AS parts, round(jaccard(lower(c_mktsegment), 'building'), 9) AS jac, levenshtein(c_mktsegment, 'BUILDING') AS lev, split_part(c_name, '#', 2) AS part2, strip_accents('é') AS bare, nfc_normalize('e' || chr(769)) AS nfc FROM customer",
 )
-_T = F.col("o_orderdate")
+_t = lambda: F.col("o_orderdate")  # noqa: E731 - columns need a session, which imports do not have
 add(
     "s_dates",
     lambda s, p: plan.table(s, p, "orders").select(
-        "o_orderkey", d.date_diff("day", _T, F.lit("2001-09-01").cast("date")).alias("dd"), d.date_diff("month", _T, F.lit("2001-09-01").cast("date")).alias("dm"), d.date_sub("month", _T, F.lit("2001-09-01").cast("timestamp")).alias("ds"), d.dayname(_T).alias("dn"), d.monthname(_T).alias("mn"), d.dayofweek(_T).alias("dow"), d.isodow(_T).alias("isodow"),
-        d.isoyear(_T).alias("isoyear"), d.week(_T).alias("week"), d.yearweek(_T).alias("yw"), d.century(_T).alias("century"), d.epoch(_T).alias("epoch"), d.epoch_ms(_T).alias("ms"), d.strftime(_T, "%Y/%m-%d %H").alias("text"), F.date_format(d.strptime(d.strftime(_T, "%d.%m.%Y"), "%d.%m.%Y"), "yyyy-MM-dd").alias("again"),
+        "o_orderkey", d.date_diff("day", _t(), F.lit("2001-09-01").cast("date")).alias("dd"), d.date_diff("month", _t(), F.lit("2001-09-01").cast("date")).alias("dm"), d.date_sub("month", _t(), F.lit("2001-09-01").cast("timestamp")).alias("ds"), d.dayname(_t()).alias("dn"), d.monthname(_t()).alias("mn"), d.dayofweek(_t()).alias("dow"), d.isodow(_t()).alias("isodow"),
+        d.isoyear(_t()).alias("isoyear"), d.week(_t()).alias("week"), d.yearweek(_t()).alias("yw"), d.century(_t()).alias("century"), d.epoch(_t()).alias("epoch"), d.epoch_ms(_t()).alias("ms"), d.strftime(_t(), "%Y/%m-%d %H").alias("text"), F.date_format(d.strptime(d.strftime(_t(), "%d.%m.%Y"), "%d.%m.%Y"), "yyyy-MM-dd").alias("again"),
     ),
     "SELECT o_orderkey, date_diff('day', o_orderdate, TIMESTAMP '2001-09-01') AS dd, date_diff('month', o_orderdate, TIMESTAMP '2001-09-01') AS dm, datesub('month', o_orderdate, TIMESTAMP '2001-09-01') AS ds, dayname(o_orderdate) AS dn, monthname(o_orderdate) AS mn, dayofweek(o_orderdate) AS dow, isodow(o_orderdate) AS isodow, isoyear(o_orderdate) AS isoyear, week(o_orderdate) AS week, yearweek(o_orderdate) AS yw, century(o_orderdate) AS century, epoch(o_orderdate) AS epoch, epoch_ms(o_orderdate) AS ms, strftime(o_orderdate, '%Y/%m-%d %H') AS text, strftime(strptime(strftime(o_orderdate, '%d.%m.%Y'), '%d.%m.%Y'), '%Y-%m-%d') AS again FROM orders",
 )

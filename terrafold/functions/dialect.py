@@ -10,6 +10,7 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # numbers
@@ -82,14 +83,14 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc_normalize(s):
     import unicodedata
 
     return s.map(lambda t: t if t is None else unicodedata.normalize("NFC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def strip_accents(s):
     import unicodedata
 
