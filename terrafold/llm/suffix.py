@@ -1,15 +1,15 @@
 """Exact removal of long repeated byte strings by distributed suffix sorting.
 
 A document is parsed at content-defined bases: the base of a position p is the
-least-hashed 16-gram that starts in [p, p + 96). It depends on the bytes after p
+least-hashed 16-gram that starts in [p, p + 128). It depends on the bytes after p
 only, so equal 400-byte strings have equal bases at equal distances, and the
 phrases between those bases are equal. Phrases are the letters of a much
 shorter string, and on it runs the difference-cover algorithm:
 
 1. letters that occur once end every common prefix, so they drop out;
 2. suffixes at positions 1 and 2 modulo 3 are sorted by triples of letters and
-   named by rank; the recursion sorts triples of names (nine letters), which is
-   as deep as the length asked for can need to tell candidates;
+   named by rank; as long as names are shorter than the letters to compare, the
+   recursion sorts triples of names, three times as long each time;
 3. the remaining suffixes (0 modulo 3) are merged: every pair of residues has a
    distance at which both are named, so for each pair the union is sorted by
    (letters up to there, name there);
@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 from .common import drop_path, new_path
 
 LENGTH = 400
-_GRAM, _REACH = 16, 96
+_GRAM, _REACH = 16, 128
 _SEGMENT = 1 << 21
-_SHOWN, _NEVER = 6, 99
+_SHOWN, _NEVER = 3, 99
 _BLOCK = 16
 _BASES = "rid long, i int, letter long, need int, whole long, base int, lo int, hi int"
 
@@ -207,14 +207,18 @@ def suffix_candidates(left: DataFrame, stage, drop) -> DataFrame:
     shown = [(_ahead("letter", k, order) if k else F.col("letter")).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias(f"s{k}") for k in range(_SHOWN)]
     text = stage(left.select("rid", "i", "need", F.col("letter").alias("k0"), _ahead("letter", 1, order).alias("k1"), _ahead("letter", 2, order).alias("k2"), *shown), "text")
     # the sample: residues 1 and 2, named by triples of letters, then by triples of names
-    sample = text.where("i % 3 <> 0").select("rid", "i", "k0", "k1", "k2")
-    one = stage(sample.join(_named(sample, stage, "one"), ["k0", "k1", "k2"]).select("rid", "i", "rank"), "one")
-    # among sampled bases the one three further on is two rows ahead
-    triple = stage(one.select("rid", "i", F.col("rank").alias("k0"), _ahead("rank", 3, order, 2).alias("k1"), _ahead("rank", 6, order, 4).alias("k2")), "triple")
-    two = triple.join(_named(triple, stage, "two"), ["k0", "k1", "k2"]).select("rid", "i", "rank")
-    drop("one-keys", "one-ranks", "one")
-    whole = stage(text.withColumnRenamed("k0", "l0").withColumnRenamed("k1", "l1").drop("k2").join(two, ["rid", "i"], "left"), "whole")
-    drop("text", "triple", "two-keys", "two-ranks")
+    ranks = text.where("i % 3 <> 0").select("rid", "i", "k0", "k1", "k2")
+    covered, used = 1, []
+    while covered < _SHOWN:
+        name = f"names-{covered}"
+        if covered > 1:  # among sampled bases the one three further on is two rows ahead
+            step = covered // 3
+            ranks = ranks.select("rid", "i", F.col("rank").alias("k0"), _ahead("rank", 3 * step, order, 2 * step).alias("k1"), _ahead("rank", 6 * step, order, 4 * step).alias("k2"))
+        ranks = stage(ranks.join(_named(ranks, stage, name), ["k0", "k1", "k2"]).select("rid", "i", "rank"), name)
+        used += [name, f"{name}-keys", f"{name}-ranks"]
+        covered *= 3
+    whole = stage(text.withColumnRenamed("k0", "l0").withColumnRenamed("k1", "l1").drop("k2").join(ranks, ["rid", "i"], "left"), "whole")
+    drop("text", *used)
     # merge: for each two residues the union, by the letters up to where both are named, then that name
     rest, none = F.col("i") % 3, F.lit(0).cast("long")
     known = whole.withColumn("r1", _ahead("rank", 1, order)).withColumn("r2", _ahead("rank", 2, order))
