@@ -21,7 +21,7 @@ _PLAIN = re.compile(rf"([{_LETTERS}]+)([.,;:!?]*)\Z")
 _UNSAFE_SPACE = re.compile(r"\s\s|\A\s|\s\Z|[\x1c-\x1f\x85]")
 _ODD_BLANK = re.compile("[\x1c-\x1f]")
 _ODD_SPECIAL = re.compile(r"<\|")
-_MOST = 1_500_000  # cached units of one worker: bounds its memory
+_MOST = 1_500_000  # cached units of one worker, unless told otherwise: bounds its memory
 
 
 def default_path(name: str) -> str:
@@ -40,11 +40,11 @@ def byte_letters() -> list[str]:
 class Encoder(dict):
     """unit -> its ids as little-endian unsigned 16-bit integers in bytes."""
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, most: int = _MOST):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.kind, self.tokenizer = kind, Tokenizer.from_file(path)
+        self.kind, self.most, self.tokenizer = kind, most, Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.letters = "".join(byte_letters())
@@ -58,7 +58,7 @@ class Encoder(dict):
         if got is None:
             mapped = piece.encode().decode("latin-1").translate(self.letters)
             got = np.array([t.id for t in self.model.tokenize(mapped)], "<u2").tobytes()
-            if len(self.pieces) < _MOST:
+            if len(self.pieces) < self.most:
                 self.pieces[piece] = got
         return got
 
@@ -78,7 +78,7 @@ class Encoder(dict):
                 ids = self._piece(" " + word if space else word)
             if marks:
                 ids += self._piece(marks)
-        if len(self) < _MOST:
+        if len(self) < self.most:
             self[unit] = ids
         return ids
 
@@ -107,11 +107,11 @@ def _composed(text: str) -> bool:
     return text.isascii() or unicodedata.is_normalized("NFC", text)
 
 
-_LOADED: dict[tuple[str, str], Encoder] = {}
+_LOADED: dict[tuple[str, str, int], Encoder] = {}
 
 
-def encoder(path: str, kind: str) -> Encoder:
+def encoder(path: str, kind: str, most: int = _MOST) -> Encoder:
     """One per worker: workers serve many tasks, and so does the cache."""
-    if (path, kind) not in _LOADED:
-        _LOADED[path, kind] = Encoder(path, kind)
-    return _LOADED[path, kind]
+    if (path, kind, most) not in _LOADED:
+        _LOADED[path, kind, most] = Encoder(path, kind, most)
+    return _LOADED[path, kind, most]
