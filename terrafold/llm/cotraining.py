@@ -207,7 +207,7 @@ def _sampled(ids: DataFrame, most: int) -> DataFrame:
     return ids.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(rate * 1_000_000)) if rate < 1 else ids
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_fitted: int = 10_000):
+def fit(docs: DataFrame, labels: DataFrame, most_fitted: int = 8_000):
     """Models from the documents that ``labels`` covers (quality 0 or toxic 1:
     bad) and a pool of others; None if there are no documents of both kinds."""
     known = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
@@ -221,14 +221,14 @@ def fit(docs: DataFrame, labels: DataFrame, most_fitted: int = 10_000):
         for pdf in batches:
             made = [text_view(t) for t in pdf["text"]]
             meta = [meta_view(*r) for r in zip(pdf["source"], pdf["lang"], pdf["n_chars"], pdf["text"], strict=True)]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "bad": pdf["bad"].astype("Int32"), "words": [w for w, _ in made], "stats": [s for _, s in made], "meta": meta})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "bad": pdf["bad"].astype("Int32"), "words": [w.tobytes() for w, _ in made], "stats": [s.tobytes() for _, s in made], "meta": [m.tobytes() for m in meta]})
 
     # `picked` has about 2 * most_fitted rows, whatever the input: a proven bound
-    rows = _views(docs).join(F.broadcast(picked), "doc_id").mapInPandas(run, "doc_id long, bad int, words array<int>, stats array<double>, meta array<double>")
+    rows = _views(docs).join(F.broadcast(picked), "doc_id").mapInPandas(run, "doc_id long, bad int, words binary, stats binary, meta binary")
     got = rows.toPandas().sort_values("doc_id", kind="stable")
     labelled = got["bad"].notna().to_numpy()
-    text = [(np.asarray(w, "i4"), np.asarray(s, float)) for w, s in zip(got["words"], got["stats"], strict=True)]
-    meta = [np.asarray(m, float) for m in got["meta"]]
+    text = [(np.frombuffer(w, "i4"), np.frombuffer(s)) for w, s in zip(got["words"], got["stats"], strict=True)]
+    meta = [np.frombuffer(m) for m in got["meta"]]
     y = got["bad"][labelled].to_numpy("i8")
     if len(y) < 10 or y.min() == y.max():
         return None
@@ -267,7 +267,7 @@ def score(docs: DataFrame, model, keep: list[str] | None = None, threshold: floa
     return view.mapInArrow(run, schema)
 
 
-def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, most_fitted: int = 10_000) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, most_fitted: int = 8_000) -> DataFrame:
     """One row a document: the ``keep`` columns (doc_id by default), text_score,
     meta_score, score (probability of being bad) and kept.
 
