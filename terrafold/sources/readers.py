@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import tempfile
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -79,3 +80,12 @@ def bounded(spark: SparkSession, statement: str, limit: int) -> tuple[DataFrame,
     """At most ``limit`` rows of an ad-hoc statement, and whether there were more."""
     wide = spark.sql(statement).limit(limit + 1)
     return wide.limit(limit), wide.count() > limit
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """A checkpoint in the folder that the cluster names; one of our own only
+    where that is unset. Long chains of expressions end here for the optimizer."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return df.checkpoint()
