@@ -53,6 +53,7 @@ class _Hash:
 
     _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     _odd = {1: 0xA0761D6478BD642F, 2: 0xE7037ED1A0B428DB}
+    _letters = {k: _mixed(np.arange(1, 257, dtype="u8") * np.uint64(x)) for k, x in _odd.items()}
 
     def __init__(self, data: np.ndarray, kind: int):
         n, odd = len(data), self._odd[kind]
@@ -63,8 +64,8 @@ class _Hash:
                 up = np.cumprod(np.r_[np.uint64(1), np.full(size - 1, odd, "u8")])
                 down = np.cumprod(np.r_[np.uint64(1), np.full(size - 1, pow(odd, -1, 1 << 64), "u8")])
             self._powers[kind] = up, down
-        letters = _mixed(np.arange(1, 257, dtype="u8") * np.uint64(odd))
-        self.sums = np.concatenate([np.zeros(1, "u8"), np.cumsum(letters[data] * up[:n])])
+        self.sums = np.zeros(n + 1, "u8")
+        np.cumsum(self._letters[kind][data] * up[:n], out=self.sums[1:])
         self.down = down
 
     def of(self, start, end) -> np.ndarray:

@@ -76,3 +76,12 @@ def test_segments_give_the_same_strings(monkeypatch):
     base = {p: b for b, lo, hi in zip(*whole[:3], strict=True) for p in range(lo, hi + 1)}
     letter = dict(zip(whole[0], whole[3], strict=True))
     assert all(base[p] == b and letter[b] == x for b, lo, hi, x in zip(*parts[:4], strict=True) for p in range(lo, hi + 1))
+
+
+def test_recursion_gives_the_same_rows(spark, monkeypatch):
+    """With more letters to compare, names of names are sorted as well."""
+    texts = corpus(3)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(suffix, "_SHOWN", 6)
+    got = suffix.remove_repeats(df).collect()
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted((k, *w) for k, w in enumerate(brute(texts, 400)))
