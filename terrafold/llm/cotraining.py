@@ -37,7 +37,7 @@ class Buckets(dict):
 
         core = word if word.isalnum() else _EDGE.sub("", word) or word
         k = xxh64_intdigest(core.lower().encode()) & (_WORDS - 1)
-        if len(self) < 1_000_000:
+        if len(self) < 300_000:
             self[word] = k
         return k
 

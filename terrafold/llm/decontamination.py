@@ -42,7 +42,7 @@ _HIT = "doc_id long, pos int, window long, slots array<string>"
 class Vocabulary(dict):
     """word -> row of its hash and kind; emptied when it has grown too large."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 300_000):
         super().__init__()
         self.most = most
         self.hash, self.kind, self.core = np.zeros(1 << 12, "u8"), np.zeros(1 << 12, "u1"), []
@@ -191,8 +191,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, width: i
     def run(batches):
         words = Vocabulary()
         for pdf in batches:
-            words = words.fresh()
-            yield _rows(pdf, words, widths, wanted)
+            for a in range(0, len(pdf), 200):  # few texts at once: a batch's words would not fit
+                words = words.fresh()
+                yield _rows(pdf.iloc[a : a + 200], words, widths, wanted)
 
     hits = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, _HIT)
     item = items.select(F.col("doc_id").alias("item_id"), F.col("pos").alias("item_pos"), "window", F.col("slots").alias("item_slots"))
