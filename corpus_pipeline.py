@@ -34,8 +34,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that occur more than once are cut out of the texts."""
-    cleaned = suffix.remove_repeats(docs)
+    """Passages of over 50 words, and strings of 400 bytes, that occur more than
+    once are cut out of the texts."""
+    cleaned = suffix.remove_repeats(docs, words=51)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return cleaned.select(*docs.columns)

@@ -1,7 +1,7 @@
 """Exact removal of long repeated byte strings by distributed suffix sorting.
 
 A document is parsed at content-defined bases: the base of a position p is the
-least-hashed 16-gram that starts in [p, p + 128). It depends on the bytes after p
+least-hashed 16-gram that starts in [p, p + 128) (128 follows from 400 bytes). It depends on the bytes after p
 only, so equal 400-byte strings have equal bases at equal distances, and the
 phrases between those bases are equal. Phrases are the letters of a much
 shorter string, and on it runs the difference-cover algorithm:
@@ -22,6 +22,9 @@ Other gaps are cut into blocks of 16 positions at fixed distances from the base:
 a block whose common core (in each of its strings) occurs once holds nothing, one
 whose whole bytes occur twice is repeated, and only for the rest the strings are
 compared one by one, by two independent 64-bit polynomial hashes.
+
+The same runs over words: a text is then an array of 64-bit word hashes, and all
+lengths and positions count words.
 """
 
 from __future__ import annotations
@@ -35,13 +38,22 @@ from pyspark.sql import functions as F
 from .common import drop_path, new_path
 
 LENGTH = 400
-_GRAM, _REACH = 16, 128
+_GRAM, _WORD_GRAM = 16, 4
 _SEGMENT = 1 << 21
 _SHOWN, _NEVER = 3, 99
 _BLOCK = 16
 _BASES = "rid long, i int, letter long, need int, whole long, base int, lo int, hi int"
 
 
+def _reach(length: int, gram: int) -> int:
+    """Positions a base is the least of: the most at which equal strings of
+    ``length`` share a whole phrase at least, so that their letters show them."""
+    reach = (length - gram + 1) // 3
+    if reach < 1 or length < _BLOCK:
+        raise ValueError(f"strings of {length} are too short: {max(_BLOCK, gram + 2)} at least")
+    return reach
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = x ^ x >> np.uint64(31)
     x = x * np.uint64(0x9FB21C651E98DF25)
@@ -65,29 +77,57 @@ class _Hash:
                 down = np.cumprod(np.r_[np.uint64(1), np.full(size - 1, pow(odd, -1, 1 << 64), "u8")])
             self._powers[kind] = up, down
         self.sums = np.zeros(n + 1, "u8")
-        np.cumsum(self._letters[kind][data] * up[:n], out=self.sums[1:])
+        letters = self._letters[kind][data] if data.dtype == np.uint8 else _mixed(data * np.uint64(odd))
+        np.cumsum(letters * up[:n], out=self.sums[1:])
         self.down = down
 
     def of(self, start, end) -> np.ndarray:
         return _mixed((self.sums[end] - self.sums[start]) * self.down[start] + np.asarray(end - start).astype("u8"))
 
 
-def gaps(data: np.ndarray, length: int = LENGTH):
+def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word of a text, and the byte after its last."""
+    blank = (data == 32) | ((data >= 9) & (data <= 13))  # BLANKS, as words_of splits
+    padded = np.r_[True, blank, True]
+    edges = np.flatnonzero(padded[1:] != padded[:-1])
+    return edges[::2], edges[1::2]
+
+
+def word_codes(data: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word; worked off in segments."""
+    starts, ends = word_bounds(data)
+    out, a = np.empty(len(starts), "u8"), 0
+    while a < len(starts):
+        at = starts[a]
+        b = max(a + 1, int(np.searchsorted(ends, at + _SEGMENT, "right")))
+        out[a:b] = _Hash(data[at : ends[b - 1]], 1).of(starts[a:b] - at, ends[a:b] - at)
+        a = b
+    return out
+
+
+def _symbols(text: str, words: bool) -> np.ndarray:
+    data = np.frombuffer(text.encode(), "u1")
+    return word_codes(data) if words else data
+
+
+def gaps(data: np.ndarray, length: int = LENGTH, gram: int = _GRAM):
     """For each gap of a text: base, first and last position, phrase hash, how
     many phrases equal strings share at least, hash of the gap's whole bytes.
 
     Long texts are worked off in segments, so memory is bounded; a gap that
     ends with a segment is two gaps with one base.
     """
-    n = len(data)
+    n, reach = len(data), _reach(length, gram)
     for a in range(0, max(0, n - length + 1), _SEGMENT):
         part = data[a : a + _SEGMENT + 2 * length]
         one, two = _Hash(part, 1), _Hash(part, 2)
-        grams = np.arange(len(part) - _GRAM + 1)
-        low = (one.of(grams, grams + _GRAM) >> np.uint64(32) << np.uint64(32)) | grams.astype("u8")
-        for size in (1, 2, 4, 8, 16, 32):
-            low = np.minimum(low[:-size], low[size:])
-        low = np.minimum(low[: -(_REACH - 64)], low[_REACH - 64 :])
+        grams = np.arange(len(part) - gram + 1)
+        low = (one.of(grams, grams + gram) >> np.uint64(32) << np.uint64(32)) | grams.astype("u8")
+        size = 1
+        while size < reach:
+            step = min(size, reach - size)
+            low = np.minimum(low[:-step], low[step:])
+            size += step
         base = (low & np.uint64(0xFFFFFFFF)).astype("i8")
         first = np.flatnonzero(np.r_[True, base[1:] != base[:-1]])
         bases = base[first]
@@ -95,7 +135,7 @@ def gaps(data: np.ndarray, length: int = LENGTH):
         count = int(np.searchsorted(first, end))
         last = np.minimum(np.append(first[1:], len(base))[:count] - 1, end - 1)
         lo = first[:count]
-        need = np.minimum(np.searchsorted(bases, lo + length - _GRAM - _REACH, "right") - 1 - np.arange(count), _SHOWN)
+        need = np.minimum(np.searchsorted(bases, lo + length - gram - reach, "right") - 1 - np.arange(count), _SHOWN)
         whole = one.of(lo, last + length).view("i8")
         # the last strings reach over bases that are nobody's; they are letters without a gap
         more = len(bases) - 1 - count if a + _SEGMENT >= n - length + 1 else 0
@@ -242,17 +282,19 @@ def suffix_candidates(left: DataFrame, stage, drop) -> DataFrame:
     return found
 
 
-def repeated_spans(texts: DataFrame, length: int, stage, drop) -> DataFrame:
-    """rid, lo, hi: first positions of strings of ``length`` bytes that start
-    anywhere else too, as ranges. ``texts``: rid (unique) and text."""
+def repeated_spans(texts: DataFrame, length: int, stage, drop, words: bool = False) -> DataFrame:
+    """rid, lo, hi: first positions of strings of ``length`` bytes (or words)
+    that start anywhere else too, as ranges. ``texts``: rid (unique) and text."""
+    gram = _WORD_GRAM if words else _GRAM
+    _reach(length, gram)
 
     def parse(batches):
         import pandas as pd
 
         for pdf in batches:
             for rid, text in zip(pdf["rid"], pdf["text"], strict=True):
-                data, at = np.frombuffer(text.encode(), "u1"), 0
-                for base, lo, hi, letter, need, whole in gaps(data, length):
+                data, at = _symbols(text, words), 0
+                for base, lo, hi, letter, need, whole in gaps(data, length, gram):
                     yield pd.DataFrame({"rid": rid, "i": np.arange(at, at + len(lo)), "letter": letter, "need": need, "whole": whole, "base": base, "lo": lo, "hi": hi})
                     at += len(lo)
 
@@ -282,14 +324,14 @@ def repeated_spans(texts: DataFrame, length: int, stage, drop) -> DataFrame:
     # the strings of a gap repeated as a whole may meet those of an open gap: one gap for each content stands for them
     stands = cands.where((F.col("n") > 1) & (F.col("one.rid") == F.col("rid")) & (F.col("one.i") == F.col("i"))).join(open_.select("letter").distinct(), "letter", "left_semi")
     picked = open_.select("rid", "base", "lo", "hi", F.lit(1).alias("times")).unionByName(stands.select("rid", "base", "lo", "hi", F.lit(2).alias("times")))
-    cut = stage(_expanded(texts, picked, _cut_blocks, length, "rid long, base int, lo int, hi int, times int, core long, whole long"), "blocks")
+    cut = stage(_expanded(texts, picked, _cut_blocks, length, words, "rid long, base int, lo int, hi int, times int, core long, whole long"), "blocks")
     cores = cut.groupBy("core").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("core")
     wholes = cut.where("whole <> 0").groupBy("whole").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("whole", F.lit(True).alias("again"))
     alive = stage(cut.join(cores, "core", "left_semi").join(wholes, "whole", "left").select("rid", "base", "lo", "hi", "times", "core", F.coalesce("again", F.lit(False)).alias("again")), "alive")
     # a block repeated as a whole is settled, yet its strings may meet those of an open block with the same core
     still = alive.where("times = 1 and not again").select("core").distinct()
     single = alive.join(still, "core", "left_semi").select("rid", "base", "lo", "hi", F.when(F.col("again"), 2).otherwise(F.col("times")).alias("times"))
-    single = stage(_expanded(texts, single, _cut_strings, length, "rid long, p int, times int, h1 long, h2 long"), "strings")
+    single = stage(_expanded(texts, single, _cut_strings, length, words, "rid long, p int, times int, h1 long, h2 long"), "strings")
     drop("blocks")
     again = single.groupBy("h1", "h2").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("h1", "h2")
     points = single.where("times = 1").join(again, ["h1", "h2"], "left_semi").select("rid", F.col("p").alias("lo"), F.col("p").alias("hi"))
@@ -299,7 +341,7 @@ def repeated_spans(texts: DataFrame, length: int, stage, drop) -> DataFrame:
     return spans
 
 
-def _expanded(texts: DataFrame, ranges: DataFrame, cut, length: int, schema: str) -> DataFrame:
+def _expanded(texts: DataFrame, ranges: DataFrame, cut, length: int, words: bool, schema: str) -> DataFrame:
     """``cut`` applied to the ranges of each text; texts without one stay behind."""
     by_text = ranges.groupBy("rid").agg(F.collect_list(F.struct("base", "lo", "hi", "times")).alias("ranges"))
 
@@ -307,7 +349,7 @@ def _expanded(texts: DataFrame, ranges: DataFrame, cut, length: int, schema: str
         for pdf in batches:
             made, n = [], 0
             for rid, text, own in zip(pdf["rid"], pdf["text"], pdf["ranges"], strict=True):
-                data = np.frombuffer(text.encode(), "u1")
+                data = _symbols(text, words)
                 for r in own:
                     made.append(cut(data, rid, r, length))
                     n += len(made[-1][0])
@@ -346,8 +388,9 @@ def _union(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[fresh], hi[np.r_[np.flatnonzero(fresh)[1:] - 1, len(hi) - 1]]
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` without the bytes under strings of ``length`` that occur twice.
+def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """``docs`` without the bytes under strings of ``length`` that occur twice,
+    and, if ``words`` is given, under runs of so many words that do.
 
     All columns of ``docs`` with ``text`` replaced by what is left (characters
     that were cut through are dropped), then n_bytes, n_removed, n_spans and
@@ -362,8 +405,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     columns = [*own.columns, *made]
     texts = stage(own.withColumn("rid", F.monotonically_increasing_id()), "texts")
     keyed = texts.select("rid", F.coalesce("text", F.lit("")).alias("text"))
-    spans = repeated_spans(keyed, length, stage, drop)
-    ranges = spans.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    spans = repeated_spans(keyed, length, stage, drop).select("rid", "lo", "hi", F.lit(False).alias("of_words"))
+    if words:
+        spans = spans.unionByName(repeated_spans(keyed, words, *_tables(docs.sparkSession), words=True).select("rid", "lo", "hi", F.lit(True).alias("of_words")))
+    ranges = spans.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi", "of_words")).alias("ranges"))
 
     def cut(batches):
         import pyarrow as pa
@@ -376,7 +421,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 if not own.is_valid or not len(own):
                     out.append((text, len(raw), 0, 0, hashlib.sha256(raw).hexdigest()))
                     continue
-                lo, hi = _union(own.values.field("lo").to_numpy(), own.values.field("hi").to_numpy() + length)
+                lo, hi, of_words = (own.values.field(f).to_numpy(zero_copy_only=False) for f in ("lo", "hi", "of_words"))
+                first, end = lo[~of_words], hi[~of_words] + length
+                if of_words.any():
+                    starts, ends = word_bounds(np.frombuffer(raw, "u1"))
+                    first, end = np.r_[first, starts[lo[of_words]]], np.r_[end, ends[hi[of_words] + words - 1]]
+                lo, hi = _union(first, end)
                 kept = b"".join(raw[a:b] for a, b in zip(np.r_[0, hi], np.r_[lo, len(raw)], strict=True))
                 out.append((kept.decode(errors="ignore"), len(raw), len(raw) - len(kept), len(lo), hashlib.sha256(kept).hexdigest()))
             made_now = dict(zip(["text", *made], map(list, zip(*out, strict=True)), strict=True)) if out else {n: [] for n in ["text", *made]}

@@ -38,3 +38,15 @@ def test_stages(spark, tmp_path):
     assert 3000 not in kept[3] and len(kept[3]) == len(kept[2]) - 1
     assert set(kept[4]) == set(kept[3])
     assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() == len(kept[4])
+
+
+def test_short_passages_go(spark, tmp_path):
+    """51 short words that repeat are under 400 bytes and go; 50 stay."""
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(2, 7)))
+    passage, less = (" ".join(word() for _ in range(n)) for n in (51, 50))
+    assert len(passage) < 400
+    rows = [(k, " ".join([*(word() for _ in range(60)), passage if k < 3 else less, *(word() for _ in range(60))])) for k in range(6)]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.suffix_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()}
+    assert all(got[k] == rows[k][1].replace(passage, "") for k in range(3))
+    assert all(got[k] == rows[k][1] for k in range(3, 6))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -85,3 +86,48 @@ def test_recursion_gives_the_same_rows(spark, monkeypatch):
     monkeypatch.setattr(suffix, "_SHOWN", 6)
     got = suffix.remove_repeats(df).collect()
     assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted((k, *w) for k, w in enumerate(brute(texts, 400)))
+
+
+def brute_words(texts, length, words):
+    """What is left of each text without strings of bytes and runs of words that repeat."""
+    raw = [(t or "").encode() for t in texts]
+    at = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", r)] for r in raw]
+    runs = [[tuple(r[a:b] for a, b in x[k : k + words]) for k in range(len(x) - words + 1)] for r, x in zip(raw, at, strict=True)]
+    strings = Counter(r[p : p + length] for r in raw for p in range(len(r) - length + 1))
+    counts = Counter(run for own in runs for run in own)
+    out = []
+    for r, x, own in zip(raw, at, runs, strict=True):
+        gone = bytearray(len(r))
+        for a, b in [(p, p + length) for p in range(len(r) - length + 1) if strings[r[p : p + length]] > 1] + [(x[k][0], x[k + words - 1][1]) for k, run in enumerate(own) if counts[run] > 1]:
+            gone[a:b] = b"\1" * (b - a)
+        out.append(bytes(b for b, g in zip(r, gone, strict=True) if not g).decode(errors="ignore"))
+    return out
+
+
+def test_runs_of_words_are_those_of_brute_force(spark):
+    rnd = random.Random(6)
+
+    def words(n):
+        return rnd.choice([" ", "\n", "  "]).join("".join(rnd.choices("abcdéü\u00a0", k=rnd.randint(1, 5))) for _ in range(n))
+
+    shared = [words(150).split(" ") for _ in range(4)]
+    texts = [words(rnd.randint(0, 200)) for _ in range(20)]
+    for _ in range(60):
+        a = rnd.randint(0, 60)
+        texts.append(" ".join([words(rnd.randint(0, 40)), *rnd.choice(shared)[a : a + rnd.choice([40, 49, 50, 51, 52, 60, 80])], words(rnd.randint(0, 40))]))
+    texts += ["a b " * 60, "q " * 51, "q " * 50 + "r", None, "", "z" * 900, "é" * 450, *corpus(7)]
+    got = suffix.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), words=51).collect()
+    want = brute_words(texts, 400, 51)
+    assert [r["text"] or "" for r in sorted(got, key=lambda r: r["doc_id"])] == want
+
+
+@pytest.mark.parametrize("length", [18, 60])
+def test_shorter_strings_are_those_of_brute_force(spark, length):
+    texts = corpus(4)
+    got = suffix.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), length).collect()
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted((k, *w) for k, w in enumerate(brute(texts, length)))
+
+
+def test_too_short_a_length_is_refused(spark):
+    with pytest.raises(ValueError):
+        suffix.remove_repeats(spark.createDataFrame([(1, "text")], "doc_id long, text string"), 17)
