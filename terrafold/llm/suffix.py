@@ -110,16 +110,18 @@ def _symbols(text: str, words: bool) -> np.ndarray:
     return word_codes(data) if words else data
 
 
-def gaps(data: np.ndarray, length: int = LENGTH, gram: int = _GRAM):
+def gaps(data: np.ndarray, length: int = LENGTH, gram: int = _GRAM, segment: int | None = None):
     """For each gap of a text: base, first and last position, phrase hash, how
     many phrases equal strings share at least, hash of the gap's whole bytes.
 
-    Long texts are worked off in segments, so memory is bounded; a gap that
-    ends with a segment is two gaps with one base.
+    Long texts are worked off in segments, so memory is bounded; a segment ends
+    with a gap, so each base has one gap and one letter.
     """
-    n, reach = len(data), _reach(length, gram)
-    for a in range(0, max(0, n - length + 1), _SEGMENT):
-        part = data[a : a + _SEGMENT + 2 * length]
+    n, reach, a = len(data), _reach(length, gram), 0
+    segment = max(segment or _SEGMENT, 2 * reach)  # a gap has ``reach`` positions at most
+    while a < n - length + 1:
+        part = data[a : a + segment + 2 * length]
+        final = a + segment >= n - length + 1
         one, two = _Hash(part, 1), _Hash(part, 2)
         grams = np.arange(len(part) - gram + 1)
         low = (one.of(grams, grams + gram) >> np.uint64(32) << np.uint64(32)) | grams.astype("u8")
@@ -131,17 +133,18 @@ def gaps(data: np.ndarray, length: int = LENGTH, gram: int = _GRAM):
         base = (low & np.uint64(0xFFFFFFFF)).astype("i8")
         first = np.flatnonzero(np.r_[True, base[1:] != base[:-1]])
         bases = base[first]
-        end = min(_SEGMENT, n - length + 1 - a)
-        count = int(np.searchsorted(first, end))
+        end = min(segment, n - length + 1 - a)
+        count = int(np.searchsorted(first, end)) - (not final)  # the last gap may go on: it begins the next segment
         last = np.minimum(np.append(first[1:], len(base))[:count] - 1, end - 1)
         lo = first[:count]
         need = np.minimum(np.searchsorted(bases, lo + length - gram - reach, "right") - 1 - np.arange(count), _SHOWN)
         whole = one.of(lo, last + length).view("i8")
         # the last strings reach over bases that are nobody's; they are letters without a gap
-        more = len(bases) - 1 - count if a + _SEGMENT >= n - length + 1 else 0
+        more = len(bases) - 1 - count if final else 0
         letter = two.of(bases[: count + more], bases[1 : count + more + 1])
         none = np.zeros(more, "i8")
         yield a + bases[: count + more], np.r_[a + lo, none], np.r_[a + last, none - 1], letter.view("i8"), np.r_[need, none + _NEVER], np.r_[whole, none]
+        a = n if final else a + int(first[count])
 
 
 def blocks(data: np.ndarray, base: int, lo: int, hi: int, length: int = LENGTH):
@@ -285,7 +288,7 @@ def suffix_candidates(left: DataFrame, stage, drop) -> DataFrame:
 def repeated_spans(texts: DataFrame, length: int, stage, drop, words: bool = False) -> DataFrame:
     """rid, lo, hi: first positions of strings of ``length`` bytes (or words)
     that start anywhere else too, as ranges. ``texts``: rid (unique) and text."""
-    gram = _WORD_GRAM if words else _GRAM
+    gram, segment = _WORD_GRAM if words else _GRAM, _SEGMENT
     _reach(length, gram)
 
     def parse(batches):
@@ -294,7 +297,7 @@ def repeated_spans(texts: DataFrame, length: int, stage, drop, words: bool = Fal
         for pdf in batches:
             for rid, text in zip(pdf["rid"], pdf["text"], strict=True):
                 data, at = _symbols(text, words), 0
-                for base, lo, hi, letter, need, whole in gaps(data, length, gram):
+                for base, lo, hi, letter, need, whole in gaps(data, length, gram, segment):
                     yield pd.DataFrame({"rid": rid, "i": np.arange(at, at + len(lo)), "letter": letter, "need": need, "whole": whole, "base": base, "lo": lo, "hi": hi})
                     at += len(lo)
 

@@ -131,3 +131,25 @@ def test_shorter_strings_are_those_of_brute_force(spark, length):
 def test_too_short_a_length_is_refused(spark):
     with pytest.raises(ValueError):
         suffix.remove_repeats(spark.createDataFrame([(1, "text")], "doc_id long, text string"), 17)
+
+
+def test_segments_give_the_same_letters():
+    """Each base once and in order, so that neighbours in the string of letters are neighbours in the text."""
+    rnd = np.random.default_rng(6)
+    data = rnd.integers(97, 123, 5000).astype("u1")
+    whole = [np.concatenate(x) for x in zip(*suffix.gaps(data), strict=True)]
+    for segment in (1, 256, 300, 700, 4601):
+        parts = [np.concatenate(x) for x in zip(*suffix.gaps(data, segment=segment), strict=True)]
+        assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+
+
+def test_removed_bytes_with_small_segments(spark, monkeypatch):
+    rnd = random.Random(9)
+    letters = lambda n: "".join(rnd.choices("abcdefgh ", k=n))
+    texts = []
+    for k in range(60):  # passages that start around the ends of segments in one copy only
+        passage = letters(rnd.randint(400, 480))
+        texts += [letters(rnd.randint(120, 420)) + passage + letters(400), letters(rnd.randint(0, 40)) + passage + letters(rnd.randint(0, 30))]
+    monkeypatch.setattr(suffix, "_SEGMENT", 300)
+    got = suffix.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted((k, *w) for k, w in enumerate(brute(texts, 400)))
