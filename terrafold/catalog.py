@@ -174,5 +174,5 @@ add("k4_content_hash", lambda s, d: plan.table(s, d, "documents").select("doc_id
 add("k2_chunks", lambda s, d: corpus.chunks(plan.table(s, d, "documents")).select("chunk_id", "doc_id", "chunk_count", "n_chars", "source_hash"))
 add("k1_heading_sections", lambda s, d: corpus.heading_sections(plan.table(s, d, "pages")))
 add("k9_headline", lambda s, d: plan.table(s, d, "documents").select("doc_id", corpus.headline(F.col("text")).alias("headline")))
-add("l2_terms", lambda s, d: retrieval.postings(plan.table(s, d, "documents").where("lang = 'en'"), "doc_id", "text").groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")))
+add("l2_terms", lambda s, d: retrieval.postings(plan.table(s, d, "documents"), "doc_id", "text").groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")))
 add("l5_bm25", lambda s, d: retrieval.top(retrieval.bm25(plan.table(s, d, "documents").select("doc_id", "text"), plan.table(s, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question")), "doc_id", "text"), "doc_id", "doc_id", 5, 0.0))

@@ -2,6 +2,7 @@
 
 import glob
 import os
+from collections import Counter
 
 import duckdb
 import pytest
@@ -50,3 +51,20 @@ def test_entry_has_rows(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_answers_to_all_kinds(spark, engine):
+    got = catalog.QUERIES["m2_answers"](spark, SF).collect()
+    assert plain(got) == plain(engine.sql(f"SELECT query_id, n FROM ({catalog.SQL['m2_answers']})").fetchall())
+    assert {r["query_id"] % 6 for r in got} - {0, 1}
+
+
+def test_terms_and_phrases_of_all_languages(spark):
+    from terrafold.operators import retrieval
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    terms = docs.select(retrieval.tokenise(docs["text"]).alias("t")).collect()
+    tf, df = Counter(t for r in terms for t in r["t"] or []), Counter(t for r in terms for t in set(r["t"] or []))
+    assert docs.where("lang <> 'en'").count() > 0
+    assert {r["term"]: (r["tf"], r["df"]) for r in catalog.QUERIES["l2_terms"](spark, SF).collect()} == {t: (n, df[t]) for t, n in tf.items()}
+    assert sorted(r["doc_id"] for r in catalog.QUERIES["l13_phrases"](spark, SF).collect()) == sorted(r["doc_id"] for r in docs.collect())
