@@ -141,7 +141,8 @@ def gaps(data: np.ndarray, length: int = LENGTH, gram: int = _GRAM, segment: int
         whole = one.of(lo, last + length).view("i8")
         # the last strings reach over bases that are nobody's; they are letters without a gap
         more = len(bases) - 1 - count if final else 0
-        letter = two.of(bases[: count + more], bases[1 : count + more + 1])
+        # a phrase with the gram it ends at, which lies in the equal strings too: fewer letters repeat by chance
+        letter = two.of(bases[: count + more], bases[1 : count + more + 1] + gram)
         none = np.zeros(more, "i8")
         yield a + bases[: count + more], np.r_[a + lo, none], np.r_[a + last, none - 1], letter.view("i8"), np.r_[need, none + _NEVER], np.r_[whole, none]
         a = n if final else a + int(first[count])
