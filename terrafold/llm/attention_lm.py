@@ -2,12 +2,12 @@
 
 A text is its words, lower-cased A to Z, as subword ids of a public tokenizer,
 then one end. The model factors an id's probability: one attention layer over
-the 32 ids before predicts the id's class, and corpus counts give the id within
+the 64 ids before predicts the id's class, and corpus counts give the id within
 its class after the id just before (backed off to the class). Counts come from
 every training document; the attention layer is trained in numpy by each task on
-its own windows, every ``thin``-th of all, and the tasks' weights are averaged.
+all its own windows, and the tasks' weights are averaged.
 Windows overlap by half: of each only the second half is scored, with masked
-attention for many windows at once, so each id is scored once with 16 to 32 ids
+attention for many windows at once, so each id is scored once with 32 to 64 ids
 of context. The base score is an add-one unigram model over words.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import new_path
 from .encoder import default_path, encoder
 
-_HALF, _DIM, _TOP, _CLASSES, _END = 16, 16, 2048, 48, 50256
+_HALF, _DIM, _TOP, _CLASSES, _END = 32, 16, 2048, 48, 50256
 _NAMES = ("q", "k", "v", "r", "o", "b")
 
 
@@ -212,8 +212,8 @@ def _shaped(flat: np.ndarray, like: dict) -> dict:
     return out
 
 
-def _trained(made: DataFrame, shared, start: dict, turn: int, thin: int) -> dict:
-    """Weights after one pass of every task over its share of windows, averaged
+def _trained(made: DataFrame, shared, start: dict) -> dict:
+    """Weights after one pass of every task over all its windows, averaged
     with the number of windows as weight."""
     chunk, given_start = 4096, made.sparkSession.sparkContext.broadcast(start)
 
@@ -228,9 +228,8 @@ def _trained(made: DataFrame, shared, start: dict, turn: int, thin: int) -> dict
                 continue
             x = _windows(given, first)
             target = np.where(ids < 0, -1, tables["class"][tables["slot"][np.maximum(ids, 0)]]).reshape(-1, _HALF)
-            mine = np.arange(len(x)) % thin == turn % thin
-            kept.append((x[mine], target[mine]))
-            while kept and (sum(len(a) for a, _ in kept) >= 128):
+            kept.append((x, target))
+            if sum(len(a) for a, _ in kept) >= 128:
                 xs, ts = np.concatenate([a for a, _ in kept]), np.concatenate([b for _, b in kept])
                 whole = len(xs) // 128 * 128
                 for a in range(0, whole, 128):
@@ -278,7 +277,7 @@ def text_scores(column, tables: dict, weights: dict) -> np.ndarray:
     return np.bincount(owner, logp, len(column)) / math.log(10)
 
 
-def score_texts(docs: DataFrame, tokenizer_path: str | None = None, turns: int = 1, thin: int = 16) -> DataFrame:
+def score_texts(docs: DataFrame, tokenizer_path: str | None = None, turns: int = 1) -> DataFrame:
     """One row a document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score (log10 probabilities).
 
@@ -336,8 +335,8 @@ def score_texts(docs: DataFrame, tokenizer_path: str | None = None, turns: int =
     pairs[found["pair"].to_numpy("i8")] = found["n"].to_numpy("i8")
     tables, weights = counts_model(unigram[:50257], pairs.reshape(width, width), top)
     shared = spark.sparkContext.broadcast(tables)
-    for turn in range(turns):
-        weights = _trained(made, shared, weights, turn * (thin // max(1, turns)), thin)
+    for _ in range(turns):
+        weights = _trained(made, shared, weights)
     final = spark.sparkContext.broadcast(weights)
 
     def run(batches):

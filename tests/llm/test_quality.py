@@ -175,3 +175,23 @@ def test_score_does_not_depend_on_the_batch():
     tables, w = attention_lm.counts_model(unigram, np.ones((202, 202)), top)
     together = attention_lm.text_scores(texts, tables, w)
     assert np.allclose(together, [attention_lm.text_scores([t], tables, w)[0] for t in texts], atol=1e-3)
+
+
+def test_every_window_is_learned_from(spark):
+    """What stands in one window in the middle of a long text changes the weights, wherever it stands."""
+    rng, half, end = np.random.default_rng(4), attention_lm._HALF, attention_lm._END
+    top = np.sort(np.append(np.arange(60), end))
+    pairs = np.ones((len(top) + 1, len(top) + 1))
+    tables, start = attention_lm.counts_model(np.ones(50257, "i8"), pairs, top)
+    text = np.append(rng.integers(0, 50, 40 * half - 1), end).astype("<u2")
+    shared = spark.sparkContext.broadcast(tables)
+
+    def trained(ids):
+        made = spark.createDataFrame([(False, bytearray(ids.tobytes()))], "held_out boolean, ids binary")
+        return attention_lm._trained(made, shared, start)
+
+    before = trained(text)
+    for window in (0, 1, 7, 17, 30, 38):
+        other = text.copy()
+        other[window * half + 5] = 55  # an id that stands nowhere else
+        assert not np.allclose(trained(other)["r"][55], before["r"][55]), window
