@@ -43,9 +43,13 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    found = decontamination.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold a benchmark item go; rows without a doc_id are judged one by one."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.leaks(docs.where("doc_id is not null"), benchmark).select("doc_id").distinct()
+    unnamed = stage(docs.where("doc_id is null").withColumn("row_key", F.monotonically_increasing_id()), "unnamed")
+    leaking = decontamination.leaks(unnamed.drop("doc_id").withColumnRenamed("row_key", "doc_id"), benchmark).select(F.col("doc_id").alias("row_key")).distinct()
+    named = docs.where("doc_id is not null").join(found, "doc_id", "left_anti").select(*docs.columns)
+    return named.unionByName(unnamed.join(leaking, "row_key", "left_anti").select(*docs.columns))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,12 @@ def test_short_passages_go(spark, tmp_path):
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.suffix_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()}
     assert all(got[k] == rows[k][1].replace(passage, "") for k in range(3))
     assert all(got[k] == rows[k][1] for k in range(3, 6))
+
+
+def test_leaking_rows_without_an_id_go(spark, tmp_path):
+    rnd = random.Random(5)
+    item, other = (" ".join("".join(rnd.choices("abcdefghijklmnop", k=5)) for _ in range(40)) for _ in range(2))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(None, item), (None, other), (None, None), (7, item), (8, other)], "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(None, other), (None, None), (8, other)], key=str)
