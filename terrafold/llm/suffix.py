@@ -1,27 +1,33 @@
 """Exact removal of long repeated byte strings by distributed suffix sorting.
 
-A document is parsed at content-defined bases: the base of a position p is the
-least-hashed 16-gram that starts in [p, p + 128) (128 follows from 400 bytes). It depends on the bytes after p
-only, so equal 400-byte strings have equal bases at equal distances, and the
-phrases between those bases are equal. Phrases are the letters of a much
-shorter string, and on it runs the difference-cover algorithm:
-
-1. letters that occur once end every common prefix, so they drop out;
+The suffixes that are sorted begin at content-defined bases: the base of a
+position p is the least-hashed 16-gram that starts in [p, p + 128) (128 follows
+from 400 bytes). It depends on the bytes after p only, so equal 400-byte strings
+have equal bases at equal distances. What lies between two bases is a letter, and
+on the string of letters runs the difference-cover algorithm:
+
+1. a base whose next 273 bytes (all strings with this base have them) occur once
+   holds nothing and drops out;
 2. suffixes at positions 1 and 2 modulo 3 are sorted by triples of letters and
-   named by rank; as long as names are shorter than the letters to compare, the
-   recursion sorts triples of names, three times as long each time;
+   named by rank; names are sorted by triples again until each is unique or
+   covers as many bytes as can matter;
 3. the remaining suffixes (0 modulo 3) are merged: every pair of residues has a
    distance at which both are named, so for each pair the union is sorted by
    (letters up to there, name there);
-4. adjacent suffixes are compared; those that share the phrases which equal
-   strings must share are candidates.
+4. adjacent suffixes are compared name by name. The bytes that two neighbours
+   share are repeated; so is every string within them. The ends of the sorted
+   partitions are compared in a pass of their own.
+
+Left over are the edges of matches, where a string begins before its first base
+or ends after its last: at most a few positions' worth of gaps a match. They are
+cut into blocks of 16 positions at fixed distances from the base: a block whose
+common core (in each of its strings) occurs once holds nothing, one whose whole
+bytes occur twice is repeated, and only for the rest the strings are compared one
+by one. Of strings that step 4 settled, the first of each run of equal suffixes
+stands for all in these comparisons.
 
-What is left is a byte's work: the positions with one base form a gap. A gap is
-repeated as a whole if all its bytes to the end of its last string occur twice.
-Other gaps are cut into blocks of 16 positions at fixed distances from the base:
-a block whose common core (in each of its strings) occurs once holds nothing, one
-whose whole bytes occur twice is repeated, and only for the rest the strings are
-compared one by one, by two independent 64-bit polynomial hashes.
+Bytes are held equal by 128-bit hashes (XXH3) of the whole string or block, and
+by four independent 64-bit hashes of a triple's letters and bytes.
 
 The same runs over words: a text is then an array of 64-bit word hashes, and all
 lengths and positions count words.
@@ -34,20 +40,23 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import drop_path, new_path
 
 LENGTH = 400
 _GRAM, _WORD_GRAM = 16, 4
 _SEGMENT = 1 << 21
-_SHOWN, _NEVER = 3, 99
 _BLOCK = 16
-_BASES = "rid long, i int, letter long, need int, whole long, base int, lo int, hi int"
+_BUCKET = 1_000_000
+_PACKED = "rid long, i int, n int, base binary, lo binary, hi binary, letters binary, checks binary, spans binary, fixed binary"
+_LEFT = "rid long, i int, base int, lo int, hi int, l0 long, l1 long, l2 long, check long, span int"
+_FOUND = "rid long, base int, shared int, before int, part int, side int, pair int, k0 long, k1 long, names array<long>, ends array<int>"
+_JUDGED = "rid long, base int, lo int, hi int, times int, core long, w1 long, w2 long"
 
 
 def _reach(length: int, gram: int) -> int:
-    """Positions a base is the least of: the most at which equal strings of
-    ``length`` share a whole phrase at least, so that their letters show them."""
+    """Positions a base is the least of: a third of what leaves a gram in each string."""
     reach = (length - gram + 1) // 3
     if reach < 1 or length < _BLOCK:
         raise ValueError(f"strings of {length} are too short: {max(_BLOCK, gram + 2)} at least")
@@ -63,23 +72,22 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class _Hash:
     """Polynomial hashes of any substring of a segment, modulo 2^64."""
 
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    _odd = {1: 0xA0761D6478BD642F, 2: 0xE7037ED1A0B428DB}
-    _letters = {k: _mixed(np.arange(1, 257, dtype="u8") * np.uint64(x)) for k, x in _odd.items()}
+    _powers: tuple[np.ndarray, np.ndarray] = (np.zeros(0, "u8"), np.zeros(0, "u8"))
+    _odd = 0xA0761D6478BD642F
+    _letters = _mixed(np.arange(1, 257, dtype="u8") * np.uint64(_odd))
 
-    def __init__(self, data: np.ndarray, kind: int):
-        n, odd = len(data), self._odd[kind]
-        up, down = self._powers.get(kind, (np.zeros(0, "u8"),) * 2)
-        if len(up) < n + 1:
+    def __init__(self, data: np.ndarray):
+        n, odd = len(data), self._odd
+        if len(_Hash._powers[0]) < n + 1:
             size = max(n + 1, 1 << 16)
             with np.errstate(over="ignore"):
                 up = np.cumprod(np.r_[np.uint64(1), np.full(size - 1, odd, "u8")])
                 down = np.cumprod(np.r_[np.uint64(1), np.full(size - 1, pow(odd, -1, 1 << 64), "u8")])
-            self._powers[kind] = up, down
+            _Hash._powers = up, down
+        up, self.down = _Hash._powers
         self.sums = np.zeros(n + 1, "u8")
-        letters = self._letters[kind][data] if data.dtype == np.uint8 else _mixed(data * np.uint64(odd))
+        letters = self._letters[data] if data.dtype == np.uint8 else _mixed(data * np.uint64(odd))
         np.cumsum(letters * up[:n], out=self.sums[1:])
-        self.down = down
 
     def of(self, start, end) -> np.ndarray:
         return _mixed((self.sums[end] - self.sums[start]) * self.down[start] + np.asarray(end - start).astype("u8"))
@@ -94,15 +102,12 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_codes(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word; worked off in segments."""
+    """XXH64 of each word."""
+    from xxhash import xxh64_intdigest
+
     starts, ends = word_bounds(data)
-    out, a = np.empty(len(starts), "u8"), 0
-    while a < len(starts):
-        at = starts[a]
-        b = max(a + 1, int(np.searchsorted(ends, at + _SEGMENT, "right")))
-        out[a:b] = _Hash(data[at : ends[b - 1]], 1).of(starts[a:b] - at, ends[a:b] - at)
-        a = b
-    return out
+    raw = data.tobytes()
+    return np.fromiter((xxh64_intdigest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), "u8", len(starts))
 
 
 def _symbols(text: str, words: bool) -> np.ndarray:
@@ -111,18 +116,19 @@ def _symbols(text: str, words: bool) -> np.ndarray:
 
 
 def gaps(data: np.ndarray, length: int = LENGTH, gram: int = _GRAM, segment: int | None = None):
-    """For each gap of a text: base, first and last position, phrase hash, how
-    many phrases equal strings share at least, hash of the gap's whole bytes.
+    """Runs of positions with one base, by segments: bases, first and last position
+    of each, the bases that follow the segment (three at most), the place of the
+    segment, the hashes of its bytes, and whether it is the last.
 
     Long texts are worked off in segments, so memory is bounded; a segment ends
-    with a gap, so each base has one gap and one letter.
+    with a gap, so each base has one gap.
     """
     n, reach, a = len(data), _reach(length, gram), 0
     segment = max(segment or _SEGMENT, 2 * reach)  # a gap has ``reach`` positions at most
     while a < n - length + 1:
         part = data[a : a + segment + 2 * length]
         final = a + segment >= n - length + 1
-        one, two = _Hash(part, 1), _Hash(part, 2)
+        one = _Hash(part)
         grams = np.arange(len(part) - gram + 1)
         low = (one.of(grams, grams + gram) >> np.uint64(32) << np.uint64(32)) | grams.astype("u8")
         size = 1
@@ -137,36 +143,79 @@ def gaps(data: np.ndarray, length: int = LENGTH, gram: int = _GRAM, segment: int
         count = int(np.searchsorted(first, end)) - (not final)  # the last gap may go on: it begins the next segment
         last = np.minimum(np.append(first[1:], len(base))[:count] - 1, end - 1)
         lo = first[:count]
-        need = np.minimum(np.searchsorted(bases, lo + length - gram - reach, "right") - 1 - np.arange(count), _SHOWN)
-        whole = one.of(lo, last + length).view("i8")
-        # the last strings reach over bases that are nobody's; they are letters without a gap
-        more = len(bases) - 1 - count if final else 0
-        # a phrase with the gram it ends at, which lies in the equal strings too: fewer letters repeat by chance
-        letter = two.of(bases[: count + more], bases[1 : count + more + 1] + gram)
-        none = np.zeros(more, "i8")
-        yield a + bases[: count + more], np.r_[a + lo, none], np.r_[a + last, none - 1], letter.view("i8"), np.r_[need, none + _NEVER], np.r_[whole, none]
+        more = len(bases) if final else min(len(bases), count + 3)
+        yield a + bases[:count], a + lo, a + last, a + bases[count:more], a, one, final
         a = n if final else a + int(first[count])
 
 
-def blocks(data: np.ndarray, base: int, lo: int, hi: int, length: int = LENGTH):
-    """Blocks of a gap: first and last position, hash of the core, and of the
-    whole bytes if the gap has the whole block (else 0)."""
-    k = np.arange((base - hi) // _BLOCK, (base - lo) // _BLOCK + 1)
-    last, first = base - k * _BLOCK, base - k * _BLOCK - _BLOCK + 1
-    start = max(0, int(first.min()))
-    part = data[start : int(last.max()) + length]
-    one = _Hash(part, 1)
-    core = one.of(last - start, first + length - start).view("i8")
-    full = (first >= lo) & (last <= hi)
-    whole = np.zeros(len(k), "i8")
-    whole[full] = one.of(first[full] - start, last[full] + length - start).view("i8")
-    return np.maximum(first, lo), np.minimum(last, hi), core, whole
+def letters(data: np.ndarray, length: int = LENGTH, gram: int = _GRAM, segment: int | None = None):
+    """For each segment: number of its first base, bases, first and last position
+    of their gaps (none: last before first), hashes of the letters from each base
+    (and from the two after the last), of the three letters from it, their bytes,
+    and hashes of the bytes that all strings of the base have.
+
+    The start and the end of a text are bases without a gap, so that texts that
+    agree from the first or to the last byte agree in letters, too.
+    """
+    from xxhash import xxh64_intdigest
+
+    n, fixed, at = len(data), length - _reach(length, gram) + 1, 0
+    for base, lo, hi, after, a, one, final in gaps(data, length, gram, segment):
+        if final:  # what follows the last gap are bases as well, and so is the end
+            more = after if len(after) and after[-1] == n - gram else np.append(after, n - gram)
+            if not len(after) and len(base) and base[-1] == n - gram:
+                more = after
+            base, after = np.append(base, more), more[:0]
+            lo, hi = np.append(lo, np.zeros(len(more), "i8")), np.append(hi, np.full(len(more), -1))
+        if at == 0 and len(base) and base[0] > 0:
+            base, lo, hi = np.r_[0, base], np.r_[0, lo], np.r_[-1, hi]
+        every = np.append(base, after)
+        k = np.arange(len(base))
+        third = every[np.minimum(k + 3, len(every) - 1)] + gram
+        raw, size = memoryview(data[a : int(every[-1]) + gram].tobytes()), data.itemsize
+        cuts = ((every - a) * size).tolist()
+        extra = gram * size
+        found = [xxh64_intdigest(raw[x : y + extra]) for x, y in zip(cuts, cuts[1:], strict=False)][: len(base) + 2]
+        found = np.array(found + [0] * (len(base) + 2 - len(found)), "u8").view("i8")
+        stop = np.minimum(base + fixed, n)
+        yield at, base, lo, hi, found, one.of(base - a, third - a).view("i8"), third - base, one.of(base - a, stop - a).view("i8")
+        at += len(base)
+
+
+def blocks(data: np.ndarray, base: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int = LENGTH):
+    """Blocks of gaps [lo, hi]: gap, first and last position, hash of the core, and
+    two words of a hash of the whole bytes if the gap has the whole block (else 0)."""
+    from xxhash import xxh3_128_digest
+
+    low = (base - hi) // _BLOCK
+    n = (base - lo) // _BLOCK - low + 1
+    gap = np.repeat(np.arange(len(base)), n)
+    k = np.arange(len(gap)) - np.repeat(np.cumsum(n) - n, n) + low[gap]
+    last, first = base[gap] - k * _BLOCK, base[gap] - k * _BLOCK - _BLOCK + 1
+    core, whole, size = np.zeros(len(gap), "i8"), np.zeros((len(gap), 2), "<i8"), data.itemsize
+    full = (first >= lo[gap]) & (last <= hi[gap])
+    order, a = np.argsort(last, kind="stable"), 0
+    while a < len(order):  # bytes of a segment at a time
+        start = max(0, int(first[order[a]]))
+        b = int(np.searchsorted(last[order], last[order[a]] + _SEGMENT, "right"))
+        own = order[a:b]
+        part = data[start : int(last[own[-1]]) + length]
+        core[own] = _Hash(part).of(last[own] - start, first[own] + length - start).view("i8")
+        raw = memoryview(part.tobytes())
+        own = own[full[own]]
+        ends = zip(((first[own] - start) * size).tolist(), ((last[own] + length - start) * size).tolist(), strict=True)
+        whole[own] = np.frombuffer(b"".join([xxh3_128_digest(raw[x:y]) for x, y in ends]), "<i8").reshape(-1, 2)
+        a = b
+    return gap, np.maximum(first, lo[gap]), np.minimum(last, hi[gap]), core, whole[:, 0], whole[:, 1]
+
 
+def strings(data: np.ndarray, lo: int, hi: int, length: int = LENGTH) -> np.ndarray:
+    """A hash of two words for each string that starts in [lo, hi]."""
+    from xxhash import xxh3_128_digest
 
-def strings(data: np.ndarray, lo: int, hi: int, length: int = LENGTH):
-    """Two hashes of each string that starts in [lo, hi]."""
-    part, at = data[lo : hi + length], np.arange(hi - lo + 1)
-    return [_Hash(part, k).of(at, at + length).view("i8") for k in (1, 2)]
+    size = data.itemsize
+    raw = memoryview(data[lo : hi + length].tobytes())
+    return np.frombuffer(b"".join([xxh3_128_digest(raw[x * size : (x + length) * size]) for x in range(hi - lo + 1)]), "<i8").reshape(-1, 2)
 
 
 def _tables(spark):
@@ -185,128 +234,110 @@ def _tables(spark):
     return stage, drop
 
 
-def _named(rows: DataFrame, stage, name: str) -> DataFrame:
-    """Ranks of the distinct triples k0, k1, k2 in their sorted order, by prefix
-    sums over the sorted partitions."""
-    keys = ["k0", "k1", "k2"]
-    distinct = stage(rows.select(*keys).distinct(), f"{name}-keys")
+def _parsed(texts: DataFrame, length: int, words: bool) -> DataFrame:
+    """The letters of each text, packed: one row a segment."""
+    gram, segment = _WORD_GRAM if words else _GRAM, _SEGMENT
+    _reach(length, gram)
 
-    def number(batches):
-        from pyspark import TaskContext
+    def parse(batches):
+        import pandas as pd
 
-        part, at = TaskContext.get().partitionId(), 0
+        names = [f.split()[0] for f in _PACKED.split(", ")]
+        kinds = ("<i4", "<i4", "<i4", "<i8", "<i8", "<i4", "<i8")
         for pdf in batches:
-            pdf["part"], pdf["local"] = part, np.arange(at, at + len(pdf))
-            at += len(pdf)
-            yield pdf
+            out, held = [], 0
+            for rid, text in zip(pdf["rid"], pdf["text"], strict=True):
+                for at, *arrays in letters(_symbols(text, words), length, gram, segment):
+                    out.append((rid, at, len(arrays[0]), *(x.astype(t).tobytes() for x, t in zip(arrays, kinds, strict=True))))
+                    held += len(arrays[0])
+                    if held > 100_000:
+                        yield pd.DataFrame(out, columns=names)
+                        out, held = [], 0
+            if out:
+                yield pd.DataFrame(out, columns=names)
+
+    return texts.select("rid", "text").mapInPandas(parse, _PACKED)
 
-    order = distinct.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    numbered = stage(order.mapInPandas(number, "k0 long, k1 long, k2 long, part int, local long"), f"{name}-ranks")
-    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return numbered.join(F.broadcast(bases), "part").select(*keys, (F.col("base") + F.col("local") + 1).alias("rank"))
 
+def _grouped(rid: np.ndarray, i: np.ndarray):
+    """rid and the packed numbers i of each."""
+    import pandas as pd
 
-def _ahead(column: str, by: int, order, rows: int | None = None):
-    """The value ``by`` bases further on; 0 if that base has dropped out."""
-    rows = rows or by
-    return F.when(F.lead("i", rows).over(order) == F.col("i") + by, F.lead(column, rows).over(order)).otherwise(F.lit(0))
+    order = np.argsort(rid, kind="stable")
+    rid, i = rid[order], i[order].astype("<i4")
+    cuts = np.flatnonzero(np.r_[True, rid[1:] != rid[:-1]]) if len(rid) else np.zeros(0, "i8")
+    return pd.DataFrame({"rid": rid[cuts], "i": [x.tobytes() for x in np.split(i, cuts[1:])] if len(rid) else []})
 
 
-def _neighbours(rows: DataFrame) -> DataFrame:
-    """(rid, i) of suffixes that share what they need with a sorted neighbour.
+def repeated_bases(packed: DataFrame, stage) -> DataFrame:
+    """rid and packed numbers of the bases whose fixed bytes occur more than once.
 
-    The first and last suffix of a partition pass unseen: their neighbours are
-    elsewhere, and the byte's work decides on them.
+    Hashes are dealt into buckets, packed. A batch sends one entry for each of its
+    distinct hashes, so a frequent one adds an entry a batch and not a row each;
+    what occurs twice within a batch is known there.
     """
-    shown = [f"s{k}" for k in range(_SHOWN)]
+    spark = packed.sparkSession
+    total = packed.agg(F.sum("n")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // _BUCKET))
 
-    def compare(batches):
+    def deal(batches):
         import pandas as pd
 
-        held, before = None, True
         for pdf in batches:
             if not len(pdf):
                 continue
-            now = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            table, need = now[shown].to_numpy(), now["need"].to_numpy()
-            same = (table[1:] == table[:-1]) & (table[1:] != 0)
-            common = np.cumprod(same, axis=1).sum(1)
-            left = np.r_[before, common >= need[1:]]
-            good = left[:-1] | (common >= need[:-1])
-            yield now.loc[:, ["rid", "i"]].iloc[:-1][good]
-            held, before = now.iloc[-1:], bool(left[-1])
-        if held is not None:
-            yield held[["rid", "i"]]
-
-    keys = ["pair", "k0", "k1", "k2", "rid", "i"]
-    return rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("rid", "i", "need", *shown).mapInPandas(compare, "rid long, i int")
-
+            sizes = pdf["n"].to_numpy("i8")
+            rid = np.repeat(pdf["rid"].to_numpy("i8"), sizes)
+            i = np.arange(len(rid)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(pdf["i"].to_numpy("i8"), sizes)
+            fixed = np.frombuffer(b"".join(pdf["fixed"]), "<u8")
+            distinct, first, of, times = np.unique(fixed, return_index=True, return_inverse=True, return_counts=True)
+            here = times[of] > 1
+            bucket = (distinct % np.uint64(buckets)).astype("i8")
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            sent = np.where(times > 1, -1, rid[first])[order], i[first][order].astype("<i4"), distinct[order]
+            out = [(b, *(x[cuts[b] : cuts[b + 1]].tobytes() for x in sent)) for b in range(buckets) if cuts[b + 1] > cuts[b]]
+            out.append((-1, rid[here].tobytes(), i[here].astype("<i4").tobytes(), b""))
+            yield pd.DataFrame(out, columns=["bucket", "rid", "i", "fixed"])
+
+    def meet(pdf):
+        rid, i, fixed = (np.frombuffer(b"".join(pdf[c]), t) for c, t in (("rid", "<i8"), ("i", "<i4"), ("fixed", "<u8")))
+        _, of, times = np.unique(fixed, return_inverse=True, return_counts=True)
+        found = (times[of] > 1) & (rid >= 0)
+        return _grouped(rid[found], i[found])
+
+    def known(batches):
+        for pdf in batches:
+            for rid, i in zip(pdf["rid"], pdf["i"], strict=True):
+                yield _grouped(np.frombuffer(rid, "<i8"), np.frombuffer(i, "<i4"))
 
-def suffix_candidates(left: DataFrame, stage, drop) -> DataFrame:
-    """(rid, i) of the bases whose suffix of phrases shares at least ``need``
-    phrases with another one, by the difference-cover algorithm."""
-    order = Window.partitionBy("rid").orderBy("i")
-    # 31 bits of each letter are enough to compare neighbours: too long a prefix only adds candidates
-    shown = [(_ahead("letter", k, order) if k else F.col("letter")).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias(f"s{k}") for k in range(_SHOWN)]
-    text = stage(left.select("rid", "i", "need", F.col("letter").alias("k0"), _ahead("letter", 1, order).alias("k1"), _ahead("letter", 2, order).alias("k2"), *shown), "text")
-    # the sample: residues 1 and 2, named by triples of letters, then by triples of names
-    ranks = text.where("i % 3 <> 0").select("rid", "i", "k0", "k1", "k2")
-    covered, used = 1, []
-    while covered < _SHOWN:
-        name = f"names-{covered}"
-        if covered > 1:  # among sampled bases the one three further on is two rows ahead
-            step = covered // 3
-            ranks = ranks.select("rid", "i", F.col("rank").alias("k0"), _ahead("rank", 3 * step, order, 2 * step).alias("k1"), _ahead("rank", 6 * step, order, 4 * step).alias("k2"))
-        ranks = stage(ranks.join(_named(ranks, stage, name), ["k0", "k1", "k2"]).select("rid", "i", "rank"), name)
-        used += [name, f"{name}-keys", f"{name}-ranks"]
-        covered *= 3
-    whole = stage(text.withColumnRenamed("k0", "l0").withColumnRenamed("k1", "l1").drop("k2").join(ranks, ["rid", "i"], "left"), "whole")
-    drop("text", *used)
-    # merge: for each two residues the union, by the letters up to where both are named, then that name
-    rest, none = F.col("i") % 3, F.lit(0).cast("long")
-    known = whole.withColumn("r1", _ahead("rank", 1, order)).withColumn("r2", _ahead("rank", 2, order))
-    names = ["rid", "i", "need", *[f"s{k}" for k in range(_SHOWN)]]
-    keyed = known.select(
-        *names,
-        F.explode(
-            F.filter(
-                F.array(
-                    F.when(rest != 2, F.struct(F.lit(0).alias("pair"), F.col("l0").alias("k0"), F.col("r1").alias("k1"), none.alias("k2"))),
-                    F.when(rest != 1, F.struct(F.lit(1).alias("pair"), F.col("l0").alias("k0"), F.col("l1").alias("k1"), F.col("r2").alias("k2"))),
-                    F.when(rest != 0, F.struct(F.lit(2).alias("pair"), F.col("rank").alias("k0"), none.alias("k1"), none.alias("k2"))),
-                ),
-                lambda x: x.isNotNull(),
-            )
-        ).alias("key"),
-    ).select(*names, "key.*")
-    found = stage(_neighbours(keyed).distinct(), "found")
-    drop("whole")
-    return found
+    dealt = stage(packed.select("rid", "i", "n", "fixed").mapInPandas(deal, "bucket int, rid binary, i binary, fixed binary"), "dealt")
+    found = dealt.where("bucket >= 0").groupBy("bucket").applyInPandas(meet, "rid long, i binary")
+    return found.unionByName(dealt.where("bucket < 0").mapInPandas(known, "rid long, i binary"))
 
 
-def repeated_spans(texts: DataFrame, length: int, stage, drop, words: bool = False) -> DataFrame:
-    """rid, lo, hi: first positions of strings of ``length`` bytes (or words)
-    that start anywhere else too, as ranges. ``texts``: rid (unique) and text."""
-    gram, segment = _WORD_GRAM if words else _GRAM, _SEGMENT
-    _reach(length, gram)
+def _unpacked(packed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """A row for each repeated base, with its letters."""
+    by_rid = repeated.groupBy("rid").agg(F.collect_list("i").alias("own"))
 
-    def parse(batches):
+    def unpack(batches):
         import pandas as pd
 
         for pdf in batches:
-            for rid, text in zip(pdf["rid"], pdf["text"], strict=True):
-                data, at = _symbols(text, words), 0
-                for base, lo, hi, letter, need, whole in gaps(data, length, gram, segment):
-                    yield pd.DataFrame({"rid": rid, "i": np.arange(at, at + len(lo)), "letter": letter, "need": need, "whole": whole, "base": base, "lo": lo, "hi": hi})
-                    at += len(lo)
+            for r in pdf.itertuples(index=False):
+                i = np.sort(np.frombuffer(b"".join(r.own), "<i4"))
+                k = i[np.searchsorted(i, r.i) : np.searchsorted(i, r.i + r.n)] - r.i
+                if not len(k):
+                    continue
+                base, lo, hi, spans = (np.frombuffer(x, "<i4")[k] for x in (r.base, r.lo, r.hi, r.spans))
+                letter = np.frombuffer(r.letters, "<i8")
+                yield pd.DataFrame({"rid": r.rid, "i": k + r.i, "base": base, "lo": lo, "hi": hi, "l0": letter[k], "l1": letter[k + 1], "l2": letter[k + 2], "check": np.frombuffer(r.checks, "<i8")[k], "span": spans})
 
     def batched(batches):
         import pandas as pd
 
         held, n = [], 0
-        for made in parse(batches):
+        for made in unpack(batches):
             held.append(made)
             n += len(made)
             if n > 20_000:
@@ -315,111 +346,331 @@ def repeated_spans(texts: DataFrame, length: int, stage, drop, words: bool = Fal
         if held:
             yield pd.concat(held)
 
-    bases = stage(texts.select("rid", "text").mapInPandas(batched, _BASES), "bases")
-    repeated = bases.groupBy("letter").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("letter")
-    left = stage(bases.join(repeated, "letter", "left_semi"), "left")
-    drop("bases")
-    found = suffix_candidates(left, stage, drop)
-    cands = left.where("lo <= hi").join(found, ["rid", "i"]).select("rid", "i", "letter", "whole", "base", "lo", "hi")
-    counts = cands.groupBy("letter", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "i")).alias("one"))
-    cands = stage(cands.join(counts, ["letter", "whole"]), "cands")
-    drop("left", "found")
-    open_ = cands.where("n = 1")
-    # the strings of a gap repeated as a whole may meet those of an open gap: one gap for each content stands for them
-    stands = cands.where((F.col("n") > 1) & (F.col("one.rid") == F.col("rid")) & (F.col("one.i") == F.col("i"))).join(open_.select("letter").distinct(), "letter", "left_semi")
-    picked = open_.select("rid", "base", "lo", "hi", F.lit(1).alias("times")).unionByName(stands.select("rid", "base", "lo", "hi", F.lit(2).alias("times")))
-    cut = stage(_expanded(texts, picked, _cut_blocks, length, words, "rid long, base int, lo int, hi int, times int, core long, whole long"), "blocks")
-    cores = cut.groupBy("core").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("core")
-    wholes = cut.where("whole <> 0").groupBy("whole").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("whole", F.lit(True).alias("again"))
-    alive = stage(cut.join(cores, "core", "left_semi").join(wholes, "whole", "left").select("rid", "base", "lo", "hi", "times", "core", F.coalesce("again", F.lit(False)).alias("again")), "alive")
-    # a block repeated as a whole is settled, yet its strings may meet those of an open block with the same core
-    still = alive.where("times = 1 and not again").select("core").distinct()
-    single = alive.join(still, "core", "left_semi").select("rid", "base", "lo", "hi", F.when(F.col("again"), 2).otherwise(F.col("times")).alias("times"))
-    single = stage(_expanded(texts, single, _cut_strings, length, words, "rid long, p int, times int, h1 long, h2 long"), "strings")
-    drop("blocks")
-    again = single.groupBy("h1", "h2").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("h1", "h2")
-    points = single.where("times = 1").join(again, ["h1", "h2"], "left_semi").select("rid", F.col("p").alias("lo"), F.col("p").alias("hi"))
-    settled = alive.where("times = 1 and again").select("rid", "lo", "hi")
-    spans = stage(cands.where("n > 1").select("rid", "lo", "hi").unionByName(settled).unionByName(points), "spans")
-    drop("cands", "strings", "alive")
-    return spans
+    return packed.drop("fixed").join(by_rid, "rid").mapInPandas(batched, _LEFT)
 
 
-def _expanded(texts: DataFrame, ranges: DataFrame, cut, length: int, words: bool, schema: str) -> DataFrame:
-    """``cut`` applied to the ranges of each text; texts without one stay behind."""
-    by_text = ranges.groupBy("rid").agg(F.collect_list(F.struct("base", "lo", "hi", "times")).alias("ranges"))
+def _named(rows: DataFrame, keys: list[str], stage, name: str) -> DataFrame:
+    """Ranks of the distinct keys in their sorted order, by prefix sums over the
+    sorted partitions."""
+    distinct = stage(rows.select(*keys).distinct(), f"{name}-keys")
+    kinds = ", ".join(f"{k} long" for k in keys)
 
-    def run(batches):
+    def number(batches):
+        from pyspark import TaskContext
+
+        part, at = TaskContext.get().partitionId(), 0
         for pdf in batches:
-            made, n = [], 0
-            for rid, text, own in zip(pdf["rid"], pdf["text"], pdf["ranges"], strict=True):
-                data = _symbols(text, words)
-                for r in own:
-                    made.append(cut(data, rid, r, length))
-                    n += len(made[-1][0])
-                    if n > 50_000:
-                        yield _frame(made, schema)
-                        made, n = [], 0
-            if made:
-                yield _frame(made, schema)
-
-    def _frame(made, schema):
-        import pandas as pd
+            pdf["part"], pdf["local"] = part, np.arange(at, at + len(pdf))
+            at += len(pdf)
+            yield pdf
+
+    order = distinct.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    numbered = stage(order.mapInPandas(number, f"{kinds}, part int, local long"), f"{name}-ranks")
+    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return numbered.join(F.broadcast(bases), "part").select(*keys, (F.col("first") + F.col("local") + 1).alias("rank"))
+
+
+def named_sample(left: DataFrame, enough: int, stage, drop) -> DataFrame:
+    """The sampled suffixes (1 and 2 modulo 3) with ``name`` (of the triple of
+    letters) and ``rank`` (of names of names, until unique or ``enough`` long)."""
+    triple = ["l0", "l1", "l2", "check"]
+    sample = left.where("i % 3 <> 0").drop("lo", "hi")
+    now = sample.join(_named(sample, triple, stage, "names-3"), triple).drop("l2", "check").withColumnRenamed("rank", "name")
+    now = stage(now.withColumn("rank", F.col("name")).withColumn("covers", F.col("span")), "sample-3")
+    drop("names-3-keys", "names-3-ranks")
+    covered = 3
+    while True:
+        order = Window.partitionBy("rid", F.col("i") % 3).orderBy("i")
+        later = {k: F.lead(F.struct("i", "rank", (F.col("base") + F.col("covers")).alias("end")), k * covered // 3).over(order) for k in (1, 2)}
+        keyed = now
+        for k in (1, 2):
+            keyed = keyed.withColumn(f"next{k}", F.when(later[k]["i"] == F.col("i") + k * covered, later[k]))
+        keyed = keyed.withColumn("next2", F.when(F.col("next1").isNotNull(), F.col("next2")))
+        keyed = keyed.select(*now.columns, F.col("rank").alias("k0"), F.coalesce("next1.rank", F.lit(0)).alias("k1"), F.coalesce("next2.rank", F.lit(0)).alias("k2"), (F.coalesce("next2.end", "next1.end", F.col("base") + F.col("covers")) - F.col("base")).alias("reached"))
+        keyed = stage(keyed, f"keyed-{covered}")
+        drop(f"sample-{covered}")
+        open_ = keyed.groupBy("k0").agg(F.count(F.lit(1)).alias("n"), F.min("covers").alias("covers"), F.max("k1").alias("k1")).where((F.col("n") > 1) & (F.col("covers") < enough) & (F.col("k1") > 0))
+        if open_.isEmpty():
+            return keyed.select("rid", "i", "base", "l0", "l1", "span", "name", "rank")
+        keys = ["k0", "k1", "k2"]
+        ranks = _named(keyed, keys, stage, f"names-{3 * covered}")
+        now = stage(keyed.drop("rank", "covers").withColumnRenamed("reached", "covers").join(ranks, keys).drop(*keys).select(*now.columns), f"sample-{3 * covered}")
+        drop(f"keyed-{covered}", f"names-{3 * covered}-keys", f"names-{3 * covered}-ranks")
+        covered *= 3
 
-        names = [f.split()[0] for f in schema.split(", ")]
-        return pd.DataFrame({c: np.concatenate(x) for c, x in zip(names, zip(*made, strict=True), strict=True)})
 
-    return texts.select("rid", "text").join(by_text, "rid").mapInPandas(run, schema)
+def _merged(left: DataFrame, sample: DataFrame, enough: int) -> DataFrame:
+    """Every suffix twice, once for each pair of residues that has its own: the
+    pair, the keys to sort by, and the names from where both are named."""
+    rest = left.where("i % 3 = 0").select("rid", "i", "base", "l0", "l1", *[F.lit(None).cast(t).alias(c) for c, t in (("span", "int"), ("name", "long"), ("rank", "long"))])
+    rows = sample.unionByName(rest).repartition("rid")
+    ahead = Window.partitionBy("rid", F.col("i") % 3).orderBy("base").rangeBetween(0, enough)
+    order = Window.partitionBy("rid").orderBy("i")
+    run = F.collect_list(F.struct("i", "name", (F.col("base") + F.col("span")).alias("end"))).over(ahead)
+    rows = rows.withColumn("run", F.when(F.col("rank").isNotNull(), run))
+    here = F.struct("i", "rank", "run")
+    known = rows.select("rid", "i", "base", "l0", "l1", here.alias("r0"), F.lead(here, 1).over(order).alias("r1"), F.lead(here, 2).over(order).alias("r2"))
+    rest, none = F.col("i") % 3, F.lit(0).cast("long")
 
+    def pair(number: int, has, ahead: int, *keys):
+        at = F.col(f"r{ahead}")
+        met = has & (at["i"] == F.col("i") + ahead)
+        k0, k1, k2 = [*keys, at["rank"], none, none][:3]
+        return F.when(met, F.struct(F.lit(number).alias("pair"), k0.alias("k0"), k1.alias("k1"), k2.alias("k2"), at["run"].alias("run")))
+
+    pairs = [pair(0, rest != 2, 1, F.col("l0")), pair(1, rest != 1, 2, F.col("l0"), F.col("l1")), pair(2, rest != 0, 0)]
+    return known.select("rid", "i", "base", F.explode(F.filter(F.array(*pairs), lambda x: x.isNotNull())).alias("key")).select("rid", "i", "base", "key.*")
+
+
+def _common(names: np.ndarray, starts: np.ndarray, sizes: np.ndarray, alive: np.ndarray) -> np.ndarray:
+    """How many names each row shares with the row before, from the first on."""
+    out, t = np.zeros(len(starts), "i8"), 0
+    at = np.flatnonzero(alive)
+    while len(at):
+        at = at[(sizes[at] > t) & (sizes[at - 1] > t)]
+        at = at[names[starts[at] + t] == names[starts[at - 1] + t]]
+        t += 1
+        out[at] = t
+    return out
 
-def _cut_blocks(data, rid, r, length):
-    lo, hi, core, whole = blocks(data, r["base"], r["lo"], r["hi"], length)
-    n = len(lo)
-    return np.full(n, rid), np.full(n, r["base"]), lo, hi, np.full(n, r["times"]), core, whole
 
+def adjacent(rows: DataFrame, length: int) -> DataFrame:
+    """Sorts the merged suffixes and compares neighbours: rid, base, shared (bytes
+    from the base that the nearer neighbour has too), before (those that the
+    neighbour before has). Rows with ``side`` are the ends of partitions."""
 
-def _cut_strings(data, rid, r, length):
-    one, two = strings(data, r["lo"], r["hi"], length)
-    n = len(one)
-    return np.full(n, rid), np.arange(r["lo"], r["hi"] + 1), np.full(n, r["times"]), one, two
+    def compare(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        part, held, first = TaskContext.get().partitionId(), None, True
+        schema = pa.schema([("rid", pa.int64()), ("base", pa.int32()), ("shared", pa.int32()), ("before", pa.int32()), ("part", pa.int32()), ("side", pa.int32()), ("pair", pa.int32()), ("k0", pa.int64()), ("k1", pa.int64()), ("names", pa.list_(pa.int64())), ("ends", pa.list_(pa.int32()))])
+
+        def edge(side, row, before):
+            rid, base, pair, k0, k1, names, ends = row
+            return pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip((rid, base, 0, before, part, side, pair, k0, k1, names.tolist(), (ends - base).tolist()), schema, strict=True)], schema=schema)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rid, base, pair, k0, k1 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rid", "base", "pair", "k0", "k1"))
+            run = batch.column("run")
+            sizes = run.value_lengths().to_numpy(zero_copy_only=False).astype("i8")
+            flat = run.flatten()
+            i, names, ends = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("i", "name", "end"))
+            if held is not None:
+                rid, base, pair, k0, k1 = (np.r_[x, y] for x, y in zip(held[:5], (rid, base, pair, k0, k1), strict=True))
+                sizes, names, ends, i = np.r_[len(held[5]), sizes], np.r_[held[5], names], np.r_[held[6], ends], np.r_[3 * np.arange(len(held[5])), i]
+            starts = np.cumsum(sizes) - sizes
+            # a run goes on only where no base has dropped out
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            broken = i - i[starts[row]] != 3 * (np.arange(len(i)) - starts[row])
+            if broken.any():
+                whole = np.full(len(sizes), np.iinfo("i8").max)
+                np.minimum.at(whole, row[broken], (np.arange(len(i)) - starts[row])[broken])
+                sizes = np.minimum(sizes, whole)
+            same = np.r_[False, (pair[1:] == pair[:-1]) & ((pair[1:] == 2) | (k0[1:] == k0[:-1])) & ((pair[1:] != 1) | (k1[1:] == k1[:-1]))]
+            t = _common(names, starts, sizes, same)
+            before = np.where(t > 0, ends[np.maximum(starts + t - 1, 0)] - base, 0)
+            if held is not None:
+                before[0] = held[7]
+            else:
+                yield edge(0, (rid[0], base[0], pair[0], k0[0], k1[0], names[: sizes[0]], ends[: sizes[0]]), 0)
+            shared = np.maximum(before[:-1], before[1:])
+            good = np.flatnonzero(shared >= length)
+            if len(good):
+                m = len(good)
+                none = [pa.nulls(m, f.type) for f in list(schema)[4:]]
+                yield pa.RecordBatch.from_arrays([pa.array(rid[good]), pa.array(base[good].astype("i4")), pa.array(shared[good].astype("i4")), pa.array(before[good].astype("i4")), *none], schema=schema)
+            s = slice(starts[-1], starts[-1] + sizes[-1])
+            held = rid[-1:], base[-1:], pair[-1:], k0[-1:], k1[-1:], names[s], ends[s], int(before[-1])
+        if held is not None:
+            if held[7] >= length:
+                yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1].astype("i4")), *[pa.array([held[7]], pa.int32())] * 2, *[pa.nulls(1, f.type) for f in list(schema)[4:]]], schema=schema)
+            yield edge(1, (*(x[0] for x in held[:5]), held[5], held[6]), held[7])
+
+    keys = ["pair", "k0", "k1", "k2", "rid", "i"]
+    spread = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return spread.select("rid", "base", "pair", "k0", "k1", "run").mapInArrow(compare, _FOUND)
+
+
+def _across(found: DataFrame) -> DataFrame:
+    """What the last suffix of a partition and the first of the next share."""
+    order = Window.orderBy("part", "side")  # two rows a partition
+    kept = ["rid", "base", "before", "part", "pair", "k0", "k1", "names", "ends"]
+    ends = found.where("side is not null").select("side", *kept).withColumn("prev", F.lag(F.struct(*kept)).over(order)).where("side = 0 and prev is not null")
+    same = (F.col("pair") == F.col("prev.pair")) & ((F.col("pair") == 2) | (F.col("k0") == F.col("prev.k0"))) & ((F.col("pair") != 1) | (F.col("k1") == F.col("prev.k1")))
+    zipped = F.arrays_zip(F.col("names").alias("a"), F.col("prev.names").alias("b"), F.col("ends").alias("e"))
+    start = F.struct(F.lit(True).alias("on"), F.lit(0).alias("e"))
+    def step(s, x):
+        return F.when(s["on"] & x["a"].eqNullSafe(x["b"]), F.struct(F.lit(True).alias("on"), x["e"].alias("e"))).otherwise(F.struct(F.lit(False).alias("on"), s["e"].alias("e")))
+
+    shared = F.aggregate(zipped, start, step, lambda s: s["e"])
+    met = ends.where(same).withColumn("shared", shared)
+    last = met.select(F.col("prev.rid").alias("rid"), F.col("prev.base").alias("base"), "shared", F.col("prev.before").alias("before"))
+    return last.unionByName(met.select("rid", "base", "shared", F.col("shared").alias("before")))
+
+
+def _lists(batch, column: str, fields: tuple[str, ...]):
+    """Fields of a column of lists of structs, with the cuts between its rows."""
+    lists = batch.column(column)
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype("i8")
+    flat = lists.flatten()
+    return np.r_[0, np.cumsum(sizes)], [flat.field(f).to_numpy(zero_copy_only=False).astype("i8") for f in fields]
 
 
 def _union(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs of bytes under [lo, hi), sorted."""
+    """Maximal runs under [lo, hi), sorted."""
+    if not len(lo):
+        return lo, hi
     order = np.argsort(lo, kind="stable")
     lo, hi = lo[order], np.maximum.accumulate(hi[order])
     fresh = np.r_[True, lo[1:] > hi[:-1]]
     return lo[fresh], hi[np.r_[np.flatnonzero(fresh)[1:] - 1, len(hi) - 1]]
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
-    """``docs`` without the bytes under strings of ``length`` that occur twice,
-    and, if ``words`` is given, under runs of so many words that do.
+def _within(lo: np.ndarray, hi: np.ndarray, first: np.ndarray, end: np.ndarray):
+    """The parts of sorted gaps [lo, hi] under sorted runs [first, end): gap, first and last position."""
+    a, b = np.searchsorted(hi, first), np.searchsorted(lo, end)
+    n = np.maximum(b - a, 0)
+    run = np.repeat(np.arange(len(first)), n)
+    gap = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n) + a[run]
+    return gap, np.maximum(lo[gap], first[run]), np.minimum(hi[gap], end[run] - 1)
 
-    All columns of ``docs`` with ``text`` replaced by what is left (characters
-    that were cut through are dropped), then n_bytes, n_removed, n_spans and
-    kept_sha256 of the remaining bytes. Matches lie within one document; a null
-    text is empty and stays null; repeated rows repeat each other's bytes, so
-    long ones lose them all. Empty in, empty out. New columns replace any of
-    the same name.
-    """
+
+def _judge(length: int, words: bool):
+    """For each text: what neighbours settled (times 0), blocks of the gaps that are
+    open (1), and of the strings that stand for settled ones (2)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        names = [f.split()[0] for f in _JUDGED.split(", ")]
+        kinds = [pa.int64() if f.endswith("long") else pa.int32() for f in _JUDGED.split(", ")]
+
+        def made(rows):
+            joined = [np.concatenate([r[c] for r in rows]) for c in range(len(names))]
+            return pa.RecordBatch.from_arrays([pa.array(x).cast(t) for x, t in zip(joined, kinds, strict=True)], names)
+
+        for batch in batches:
+            cuts, gap = _lists(batch, "gaps", ("base", "lo", "hi"))
+            marks, near = _lists(batch, "near", ("base", "shared", "before"))
+            rids, out, held = batch.column("rid").to_numpy(), [], 0
+            for k in range(batch.num_rows):
+                base, lo, hi = (x[cuts[k] : cuts[k + 1]] for x in gap)
+                order = np.argsort(lo, kind="stable")
+                base, lo, hi = base[order], lo[order], hi[order]
+                at, shared, before = (x[marks[k] : marks[k + 1]] for x in near)
+                end = at + shared - length + 1
+                first, last = _union(at, end)
+                none = np.zeros(len(first), "i8")
+                rows = [(np.full(len(first), rids[k]), none, first, last - 1, none, none, none, none)]
+                begin = np.maximum(at, at + before - length + 1)
+                stand = begin < end
+                size = int(hi[-1]) + 1 if len(hi) else 0
+                opened = np.r_[0, last], np.r_[first, max(size, int(last[-1]) if len(last) else 0)]
+                data = None
+                for times, (x, y) in ((1, opened), (2, _union(begin[stand], end[stand]))):
+                    own, p, q = _within(lo, hi, x, y)
+                    good = p <= q
+                    if good.any():
+                        data = _symbols(batch.column("text")[k].as_py(), words) if data is None else data
+                        of, a, b, core, w1, w2 = blocks(data, base[own[good]], p[good], q[good], length)
+                        rows.append((np.full(len(a), rids[k]), base[own[good]][of], a, b, np.full(len(a), times), core, w1, w2))
+                out += rows
+                held += sum(len(r[0]) for r in rows)
+                if held > 50_000:
+                    yield made(out)
+                    out, held = [], 0
+            if out:
+                yield made(out)
+
+    return run
+
+
+def _compared(length: int, words: bool):
+    """Two words of the hash of every string of the blocks that are still open."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        names = ["rid", "p", "times", "h1", "h2"]
+
+        def made(rows):
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([r[c] for r in rows])).cast(t) for c, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))], names)
+
+        for batch in batches:
+            cuts, (lo, hi, times) = _lists(batch, "ranges", ("lo", "hi", "times"))
+            rids, out, held = batch.column("rid").to_numpy(), [], 0
+            for k in range(batch.num_rows):
+                data = _symbols(batch.column("text")[k].as_py(), words)
+                for j in range(cuts[k], cuts[k + 1]):
+                    found = strings(data, int(lo[j]), int(hi[j]), length)
+                    out.append((np.full(len(found), rids[k]), np.arange(lo[j], hi[j] + 1), np.full(len(found), times[j]), found[:, 0], found[:, 1]))
+                    held += len(found)
+                if held > 50_000:
+                    yield made(out)
+                    out, held = [], 0
+            if out:
+                yield made(out)
+
+    return run
+
+
+def repeated_spans(texts: DataFrame, length: int, stage, drop, words: bool = False) -> DataFrame:
+    """rid, lo, hi: first positions of strings of ``length`` bytes (or words)
+    that start anywhere else too, as ranges. ``texts``: rid (unique) and text."""
+    enough = length + _reach(length, _WORD_GRAM if words else _GRAM)
+    packed = stage(_parsed(texts, length, words), "packed")
+    left = stage(_unpacked(packed, repeated_bases(packed, stage)), "left")
+    drop("packed", "dealt")
+    merged = stage(_merged(left, named_sample(left, enough, stage, drop), enough), "merged")
+    found = stage(adjacent(merged, length), "adjacent")
+    drop("merged")
+    near = found.where("side is null").select("rid", "base", "shared", "before").unionByName(_across(found).where(F.col("shared") >= length))
+    near = near.groupBy("rid").agg(F.collect_list(F.struct("base", "shared", "before")).alias("near"))
+    gaps_of = left.where("lo <= hi").groupBy("rid").agg(F.collect_list(F.struct("base", "lo", "hi")).alias("gaps"))
+    given = texts.select("rid", "text").join(gaps_of.join(near, "rid", "left"), "rid")
+    judged = stage(given.mapInArrow(_judge(length, words), _JUDGED), "judged")
+    drop("left", "adjacent")
+    cut = judged.where("times > 0")
+    # of what repeats, only what concerns an open block goes on
+    cores = cut.groupBy("core").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("core")
+    wholes = cut.where("w1 <> 0 or w2 <> 0").groupBy("w1", "w2").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("w1", "w2", F.lit(True).alias("again"))
+    alive = cut.join(cores, "core", "left_semi").join(wholes, ["w1", "w2"], "left").select("rid", "lo", "hi", "times", "core", F.coalesce("again", F.lit(False)).alias("again"))
+    alive = stage(alive, "alive")
+    # a block repeated as a whole is settled, yet its strings may meet those of an open block with the same core
+    still = alive.where("times = 1 and not again").select("core").distinct()
+    single = alive.join(still, "core", "left_semi").groupBy("rid").agg(F.collect_list(F.struct("lo", "hi", F.when(F.col("again"), 2).otherwise(F.col("times")).alias("times"))).alias("ranges"))
+    single = stage(texts.select("rid", "text").join(single, "rid").mapInArrow(_compared(length, words), "rid long, p int, times int, h1 long, h2 long"), "strings")
+    again = single.groupBy("h1", "h2").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("h1", "h2")
+    points = single.where("times = 1").join(again, ["h1", "h2"], "left_semi").select("rid", F.col("p").alias("lo"), F.col("p").alias("hi"))
+    settled = alive.where("times = 1 and again").select("rid", "lo", "hi")
+    spans = stage(judged.where("times = 0").select("rid", "lo", "hi").unionByName(settled).unionByName(points), "spans")
+    drop("judged", "strings", "alive")
+    return spans
+
+
+def _cut(docs: DataFrame, length: int, words: int | None) -> DataFrame:
+    """``row`` (all columns of ``docs``), what is left of its text, and figures."""
     stage, drop = _tables(docs.sparkSession)
-    made = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    own = docs.drop(*made, "rid", "ranges")
-    columns = [*own.columns, *made]
-    texts = stage(own.withColumn("rid", F.monotonically_increasing_id()), "texts")
-    keyed = texts.select("rid", F.coalesce("text", F.lit("")).alias("text"))
+    texts = stage(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "texts")
+    keyed = texts.select("rid", F.coalesce("row.text", F.lit("")).alias("text"))
     spans = repeated_spans(keyed, length, stage, drop).select("rid", "lo", "hi", F.lit(False).alias("of_words"))
     if words:
         spans = spans.unionByName(repeated_spans(keyed, words, *_tables(docs.sparkSession), words=True).select("rid", "lo", "hi", F.lit(True).alias("of_words")))
     ranges = spans.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi", "of_words")).alias("ranges"))
+    made = ["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def cut(batches):
         import pyarrow as pa
 
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         for batch in batches:
             out, spans = [], batch.column("ranges")
-            for k, text in enumerate(batch.column("text").to_pylist()):
+            for k, text in enumerate(batch.column("row").field("text").to_pylist()):
                 raw = (text or "").encode()
                 own = spans[k]
                 if not own.is_valid or not len(own):
@@ -433,9 +684,39 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = No
                 lo, hi = _union(first, end)
                 kept = b"".join(raw[a:b] for a, b in zip(np.r_[0, hi], np.r_[lo, len(raw)], strict=True))
                 out.append((kept.decode(errors="ignore"), len(raw), len(raw) - len(kept), len(lo), hashlib.sha256(kept).hexdigest()))
-            made_now = dict(zip(["text", *made], map(list, zip(*out, strict=True)), strict=True)) if out else {n: [] for n in ["text", *made]}
-            kinds = {"text": pa.string(), "kept_sha256": pa.string()}
-            yield pa.RecordBatch.from_arrays([pa.array(made_now[c], kinds.get(c, pa.int64())) if c in made_now else batch.column(c) for c in columns], columns)
+            new = zip(*out, strict=True) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *[pa.array(list(x), t) for x, t in zip(new, kinds, strict=True)]], ["row", *made])
+
+    schema = T.StructType([texts.schema["row"], *[T.StructField(c, T.StringType() if c in ("kept", "kept_sha256") else T.LongType()) for c in made]])
+    return texts.join(ranges, "rid", "left").select("row", "ranges").mapInArrow(cut, schema)
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """``docs`` without the bytes under strings of ``length`` that occur twice,
+    and, if ``words`` is given, under runs of so many words that do.
+
+    All columns of ``docs`` with ``text`` replaced by what is left (characters
+    that were cut through are dropped), then n_bytes, n_removed, n_spans and
+    kept_sha256 of the remaining bytes. Matches lie within one document; a null
+    text is empty and stays null; repeated rows repeat each other's bytes, so
+    long ones lose them all. Empty in, empty out. New columns replace any of
+    the same name; ``without_repeats`` has none.
+    """
+    made = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    own = [F.col("kept").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in made]
+    return _cut(docs, length, words).select(*own, *made)
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """Exactly the columns of ``docs``, with ``text`` cut as ``remove_repeats``
+    does, and ``n_chars``, if there is one, counted anew where text was cut."""
+    kinds = {f.name: f.dataType for f in docs.schema}
+
+    def column(c: str):
+        if c == "text":
+            return F.col("kept").alias(c)
+        if c == "n_chars":
+            return F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("row.n_chars")).cast(kinds[c]).alias(c)
+        return F.col(f"row.`{c}`").alias(c)
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
-    return texts.join(ranges, "rid", "left").mapInArrow(cut, f"{fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _cut(docs, length, words).select(*[column(c) for c in docs.columns])

@@ -66,26 +66,35 @@ def test_empty_and_unmatched(spark):
     assert sorted((r["doc_id"], r["text"], r["n_removed"]) for r in got) == [(1, None, 0), (2, "short", 0)]
 
 
-def test_segments_give_the_same_strings(monkeypatch):
+def test_segments_give_the_same_strings():
     rnd = np.random.default_rng(5)
     data = rnd.integers(97, 123, 5000).astype("u1")
-    whole = [np.concatenate(x) for x in zip(*suffix.gaps(data), strict=True)]
-    monkeypatch.setattr(suffix, "_SEGMENT", 700)
-    parts = [np.concatenate(x) for x in zip(*suffix.gaps(data), strict=True)]
+    whole = [np.concatenate(x) for x in zip(*[g[:3] for g in suffix.gaps(data)], strict=True)]
+    parts = [np.concatenate(x) for x in zip(*[g[:3] for g in suffix.gaps(data, segment=700)], strict=True)]
     covered = np.concatenate([np.arange(a, b + 1) for a, b in zip(parts[1], parts[2], strict=True)])
     assert (covered == np.arange(len(data) - 399)).all()
-    base = {p: b for b, lo, hi in zip(*whole[:3], strict=True) for p in range(lo, hi + 1)}
-    letter = dict(zip(whole[0], whole[3], strict=True))
-    assert all(base[p] == b and letter[b] == x for b, lo, hi, x in zip(*parts[:4], strict=True) for p in range(lo, hi + 1))
+    base = {p: b for b, lo, hi in zip(*whole, strict=True) for p in range(lo, hi + 1)}
+    assert all(base[p] == b for b, lo, hi in zip(*parts, strict=True) for p in range(lo, hi + 1))
 
 
-def test_recursion_gives_the_same_rows(spark, monkeypatch):
-    """With more letters to compare, names of names are sorted as well."""
-    texts = corpus(3)
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    monkeypatch.setattr(suffix, "_SHOWN", 6)
-    got = suffix.remove_repeats(df).collect()
+def test_names_of_names_are_sorted_until_they_cover_a_string(spark, monkeypatch):
+    """Letters of one or two bytes: the recursion goes on, and the rows stay right."""
+    levels, named = [], suffix._named
+    monkeypatch.setattr(suffix, "_named", lambda rows, keys, stage, name: levels.append(name) or named(rows, keys, stage, name))
+    texts = [*corpus(3), "x" * 700, "x" * 650, "abc" * 300]
+    got = suffix.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted((k, *w) for k, w in enumerate(brute(texts, 400)))
+    assert levels[:2] == ["names-3", "names-9"] and len(levels) >= 4
+
+
+def test_neighbours_settle_strings_across_partitions(spark, monkeypatch):
+    """Copies alone: all that is removed comes from adjacent suffixes, no string is compared."""
+    rnd = random.Random(8)
+    long = "".join(rnd.choices("abcdefgh ", k=6000))
+    texts = [long] * 40 + ["".join(rnd.choices("ijkl", k=900)) for _ in range(5)]
+    monkeypatch.setattr(suffix, "strings", lambda *a: (_ for _ in ()).throw(AssertionError("a string was compared")))
+    got = suffix.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in got) == [(k, 6000 if k < 40 else 0) for k in range(45)]
 
 
 def brute_words(texts, length, words):
@@ -134,13 +143,30 @@ def test_too_short_a_length_is_refused(spark):
 
 
 def test_segments_give_the_same_letters():
-    """Each base once and in order, so that neighbours in the string of letters are neighbours in the text."""
+    """Each base once and in order, with the letters that follow it over the ends of segments."""
     rnd = np.random.default_rng(6)
     data = rnd.integers(97, 123, 5000).astype("u1")
-    whole = [np.concatenate(x) for x in zip(*suffix.gaps(data), strict=True)]
+
+    def rows(segment):
+        out = []
+        for at, base, lo, hi, found, checks, spans, fixed in suffix.letters(data, segment=segment):
+            out += [(at + k, base[k], lo[k], hi[k], *found[k : k + 3], checks[k], spans[k], fixed[k]) for k in range(len(base))]
+        return out
+
+    whole = rows(None)
+    assert [r[0] for r in whole] == list(range(len(whole))) and whole[0][1] == 0 and whole[-1][1] == len(data) - 16
     for segment in (1, 256, 300, 700, 4601):
-        parts = [np.concatenate(x) for x in zip(*suffix.gaps(data, segment=segment), strict=True)]
-        assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+        assert rows(segment) == whole
+
+
+def test_columns_with_clashing_names_are_kept(spark):
+    text = "some words that repeat " * 30
+    rows = [(1, text, "a", 5, "r", 7), (2, text + "x", "b", 6, "s", 8), (3, "short", None, 7, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, rid string, n_bytes int, ranges string, n_chars int")
+    got = {r["doc_id"]: r for r in suffix.without_repeats(df, words=51).collect()}
+    assert suffix.without_repeats(df).columns == df.columns
+    assert [(got[k]["rid"], got[k]["n_bytes"], got[k]["ranges"]) for k in (1, 2, 3)] == [("a", 5, "r"), ("b", 6, "s"), (None, 7, None)]
+    assert got[3]["text"] == "short" and got[3]["n_chars"] is None and got[1]["n_chars"] == len(got[1]["text"]) < 30
 
 
 def test_removed_bytes_with_small_segments(spark, monkeypatch):
