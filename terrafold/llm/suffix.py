@@ -24,7 +24,7 @@ cut into blocks of 16 positions at fixed distances from the base: a block whose
 common core (in each of its strings) occurs once holds nothing, one whose whole
 bytes occur twice is repeated, and only for the rest the strings are compared one
 by one. Of strings that step 4 settled, the first of each run of equal suffixes
-stands for all in these comparisons.
+stands for all in these comparisons. Of equal texts one takes part, for all.
 
 Bytes are held equal by 128-bit hashes (XXH3) of the whole string or block, and
 by four independent 64-bit hashes of a triple's letters and bytes.
@@ -51,7 +51,8 @@ _BLOCK = 16
 _BUCKET = 1_000_000
 _PACKED = "rid long, i int, n int, base binary, lo binary, hi binary, letters binary, checks binary, spans binary, fixed binary"
 _LEFT = "rid long, i int, base int, lo int, hi int, l0 long, l1 long, l2 long, check long, span int"
-_FOUND = "rid long, base int, shared int, before int, part int, side int, pair int, k0 long, k1 long, names array<long>, ends array<int>"
+_MERGED = "rid long, i int, base int, pair int, k0 long, k1 long, k2 long, own int, names array<long>, ends array<int>"
+_FOUND = "rid long, base int, shared int, before int, part int, side int, pair int, k0 long, k1 long, names array<long>, ends array<int>, own int"
 _JUDGED = "rid long, base int, lo int, hi int, times int, core long, w1 long, w2 long"
 
 
@@ -351,8 +352,9 @@ def _unpacked(packed: DataFrame, repeated: DataFrame) -> DataFrame:
 
 def _named(rows: DataFrame, keys: list[str], stage, name: str) -> DataFrame:
     """Ranks of the distinct keys in their sorted order, by prefix sums over the
-    sorted partitions."""
-    distinct = stage(rows.select(*keys).distinct(), f"{name}-keys")
+    sorted partitions, with how many rows have them and the first of these."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "i")).alias("first"))
+    distinct = stage(counts.select(*keys, "n", F.col("first.rid").alias("rid0"), F.col("first.i").alias("i0")), f"{name}-keys")
     kinds = ", ".join(f"{k} long" for k in keys)
 
     def number(batches):
@@ -365,20 +367,22 @@ def _named(rows: DataFrame, keys: list[str], stage, name: str) -> DataFrame:
             yield pdf
 
     order = distinct.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    numbered = stage(order.mapInPandas(number, f"{kinds}, part int, local long"), f"{name}-ranks")
-    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    numbered = stage(order.mapInPandas(number, f"{kinds}, n long, rid0 long, i0 int, part int, local long"), f"{name}-ranks")
+    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("m"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    return numbered.join(F.broadcast(bases), "part").select(*keys, (F.col("first") + F.col("local") + 1).alias("rank"))
+    bases = sizes.select("part", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("at"))
+    return numbered.join(F.broadcast(bases), "part").select(*keys, "n", "rid0", "i0", (F.col("at") + F.col("local") + 1).alias("rank"))
 
 
 def named_sample(left: DataFrame, enough: int, stage, drop) -> DataFrame:
     """The sampled suffixes (1 and 2 modulo 3) with ``name`` (of the triple of
-    letters) and ``rank`` (of names of names, until unique or ``enough`` long)."""
-    triple = ["l0", "l1", "l2", "check"]
+    letters) and ``rank`` (of names of names, until unique or ``enough`` long), how
+    many bytes that covers, how many suffixes have it and whether this is the first."""
+    triple, kept = ["l0", "l1", "l2", "check"], ["rid", "i", "base", "l0", "l1", "span", "name", "rank", "covers", "n", "first"]
+    first = ((F.col("rid") == F.col("rid0")) & (F.col("i") == F.col("i0"))).alias("first")
     sample = left.where("i % 3 <> 0").drop("lo", "hi")
-    now = sample.join(_named(sample, triple, stage, "names-3"), triple).drop("l2", "check").withColumnRenamed("rank", "name")
-    now = stage(now.withColumn("rank", F.col("name")).withColumn("covers", F.col("span")), "sample-3")
+    now = sample.join(_named(sample, triple, stage, "names-3"), triple).select(*kept[:6], F.col("rank").alias("name"), "rank", F.col("span").alias("covers"), "n", first)
+    now = stage(now, "sample-3")
     drop("names-3-keys", "names-3-ranks")
     covered = 3
     while True:
@@ -388,40 +392,106 @@ def named_sample(left: DataFrame, enough: int, stage, drop) -> DataFrame:
         for k in (1, 2):
             keyed = keyed.withColumn(f"next{k}", F.when(later[k]["i"] == F.col("i") + k * covered, later[k]))
         keyed = keyed.withColumn("next2", F.when(F.col("next1").isNotNull(), F.col("next2")))
-        keyed = keyed.select(*now.columns, F.col("rank").alias("k0"), F.coalesce("next1.rank", F.lit(0)).alias("k1"), F.coalesce("next2.rank", F.lit(0)).alias("k2"), (F.coalesce("next2.end", "next1.end", F.col("base") + F.col("covers")) - F.col("base")).alias("reached"))
+        reached = F.coalesce("next2.end", "next1.end", F.col("base") + F.col("covers")) - F.col("base")
+        keyed = keyed.select(*kept, F.col("rank").alias("k0"), F.coalesce("next1.rank", F.lit(0)).alias("k1"), F.coalesce("next2.rank", F.lit(0)).alias("k2"), reached.alias("reached"))
         keyed = stage(keyed, f"keyed-{covered}")
         drop(f"sample-{covered}")
-        open_ = keyed.groupBy("k0").agg(F.count(F.lit(1)).alias("n"), F.min("covers").alias("covers"), F.max("k1").alias("k1")).where((F.col("n") > 1) & (F.col("covers") < enough) & (F.col("k1") > 0))
-        if open_.isEmpty():
-            return keyed.select("rid", "i", "base", "l0", "l1", "span", "name", "rank")
+        if keyed.where((F.col("n") > 1) & (F.col("covers") < enough) & (F.col("k1") > 0)).isEmpty():
+            return keyed.select(*kept)
         keys = ["k0", "k1", "k2"]
         ranks = _named(keyed, keys, stage, f"names-{3 * covered}")
-        now = stage(keyed.drop("rank", "covers").withColumnRenamed("reached", "covers").join(ranks, keys).drop(*keys).select(*now.columns), f"sample-{3 * covered}")
+        joined = keyed.drop("rank", "covers", "n", "first").join(ranks, keys)
+        now = stage(joined.select(*kept[:7], "rank", F.col("reached").alias("covers"), "n", first), f"sample-{3 * covered}")
         drop(f"keyed-{covered}", f"names-{3 * covered}-keys", f"names-{3 * covered}-ranks")
         covered *= 3
 
 
-def _merged(left: DataFrame, sample: DataFrame, enough: int) -> DataFrame:
-    """Every suffix twice, once for each pair of residues that has its own: the
-    pair, the keys to sort by, and the names from where both are named."""
-    rest = left.where("i % 3 = 0").select("rid", "i", "base", "l0", "l1", *[F.lit(None).cast(t).alias(c) for c, t in (("span", "int"), ("name", "long"), ("rank", "long"))])
-    rows = sample.unionByName(rest).repartition("rid")
-    ahead = Window.partitionBy("rid", F.col("i") % 3).orderBy("base").rangeBetween(0, enough)
-    order = Window.partitionBy("rid").orderBy("i")
-    run = F.collect_list(F.struct("i", "name", (F.col("base") + F.col("span")).alias("end"))).over(ahead)
-    rows = rows.withColumn("run", F.when(F.col("rank").isNotNull(), run))
-    here = F.struct("i", "rank", "run")
-    known = rows.select("rid", "i", "base", "l0", "l1", here.alias("r0"), F.lead(here, 1).over(order).alias("r1"), F.lead(here, 2).over(order).alias("r2"))
-    rest, none = F.col("i") % 3, F.lit(0).cast("long")
+def _pairs(d: dict, length: int, enough: int):
+    """Rows of whole texts, sorted by text and number, to the rows that are merged:
+    each suffix with the names from where it and the other residue are named."""
+    rid, i, base = d["rid"], d["i"].astype("i8"), d["base"].astype("i8")
+    n = len(rid)
+    key = np.cumsum(np.r_[0, rid[1:] != rid[:-1]]).astype("i8") << 32 | i
+
+    def ahead(by: int) -> np.ndarray:
+        at = np.minimum(np.searchsorted(key, key + by), n - 1)
+        return np.where(key[at] == key + by, at, -1)
+
+    named, third = d["rank"] > 0, ahead(3)
+    settled = named & (d["n"] > 1) & (d["covers"] >= enough)
+    again = settled & ~d["first"]
+    after, back = ahead(1), ahead(-1)
+    # a suffix 0 modulo 3 within a long match adds nothing to the one before it
+    inner = ~named & (after >= 0) & (back >= 0)
+    inner &= settled[back] & (base[back] + d["covers"][back] >= base[after] + length)
+    asked = ~again & ~inner
+    rest, two = i % 3, ahead(2)
+    sources, targets, numbers = [], [], []
+    for number, at, own in ((0, after, rest != 2), (1, two, rest != 1), (2, np.arange(n), rest != 0)):
+        own = np.flatnonzero(own & asked & (at >= 0))
+        own = own[named[at[own]]]
+        sources.append(own)
+        targets.append(at[own])
+        numbers.append(np.full(len(own), number))
+    source, target, number = np.concatenate(sources), np.concatenate(targets), np.concatenate(numbers)
+    rows, now, t, found = np.arange(len(source)), target, 0, []
+    while len(rows):
+        end = base[now] + d["span"][now] - base[source[rows]]
+        found.append((rows, d["name"][now], end))
+        on = (base[now] - base[target[rows]] < enough) & (third[now] >= 0)
+        rows, now = rows[on], third[now[on]]
+        t += 1
+    sizes = np.bincount(np.concatenate([r for r, _, _ in found]), minlength=len(source)) if found else np.zeros(0, "i8")
+    cuts = np.r_[0, np.cumsum(sizes)]
+    names, ends = np.zeros(cuts[-1], "i8"), np.zeros(cuts[-1], "i4")
+    for t, (r, x, e) in enumerate(found):
+        names[cuts[r] + t], ends[cuts[r] + t] = x, e
+    rank, zero = d["rank"][target], np.zeros(len(source), "i8")
+    keys = [np.select([number == 2], [rank], d["l0"][source]), np.select([number == 0, number == 1], [rank, d["l1"][source]], zero), np.where(number == 1, rank, 0)]
+    own = np.where(settled[source] & (number == 2), d["covers"][source], 0)
+    merged = rid[source], i[source], base[source], number, *keys, own
+    same = np.flatnonzero(again)
+    none = np.zeros(len(same), "i8")
+    direct = rid[same], i[same], base[same], none - 1, none, none, none, d["covers"][same]
+    return [np.r_[x, y] for x, y in zip(merged, direct, strict=True)], np.r_[cuts, np.full(len(same), cuts[-1])], names, ends
+
+
+def _merged(left: DataFrame, sample: DataFrame, length: int, enough: int) -> DataFrame:
+    """Suffixes to be sorted, for each pair of residues: the pair, the keys and the
+    names from where both are named. Of suffixes that are equal as far as can
+    matter the first goes on; the others are settled (pair -1, ``own`` bytes)."""
+    rest = left.where("i % 3 = 0").select("rid", "i", "base", "l0", "l1", *[F.lit(0).cast(t).alias(c) for c, t in (("span", "int"), ("name", "long"), ("rank", "long"), ("covers", "int"), ("n", "long"))], F.lit(False).alias("first"))
+    rows = sample.unionByName(rest).repartition("rid").sortWithinPartitions("rid", "i")
+
+    def merge(batches):
+        import pyarrow as pa
+
+        names = [f.split()[0] for f in _MERGED.split(", ")]
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
 
-    def pair(number: int, has, ahead: int, *keys):
-        at = F.col(f"r{ahead}")
-        met = has & (at["i"] == F.col("i") + ahead)
-        k0, k1, k2 = [*keys, at["rank"], none, none][:3]
-        return F.when(met, F.struct(F.lit(number).alias("pair"), k0.alias("k0"), k1.alias("k1"), k2.alias("k2"), at["run"].alias("run")))
+        def made(d):
+            columns, cuts, run, ends = _pairs(d, length, enough)
+            cuts = pa.array(cuts.astype("i4"))
+            lists = pa.ListArray.from_arrays(cuts, pa.array(run, pa.int64())), pa.ListArray.from_arrays(cuts, pa.array(ends, pa.int32()))
+            return pa.RecordBatch.from_arrays([*[pa.array(x).cast(t) for x, t in zip(columns, kinds, strict=True)], *lists], names)
+
+        held: list[dict] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append({c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names})
+            # the last text may go on
+            start = int(np.searchsorted(held[-1]["rid"], held[-1]["rid"][-1]))
+            if start or len(held) > 1 and held[-2]["rid"][-1] != held[-1]["rid"][0]:
+                rows = held[:-1] + [{c: x[:start] for c, x in held[-1].items()}]
+                d = {c: np.concatenate([h[c] for h in rows]) for c in rows[0]}
+                if len(d["rid"]):
+                    yield made(d)
+                held = [{c: x[start:] for c, x in held[-1].items()}]
+        if held:
+            yield made({c: np.concatenate([h[c] for h in held]) for c in held[0]})
 
-    pairs = [pair(0, rest != 2, 1, F.col("l0")), pair(1, rest != 1, 2, F.col("l0"), F.col("l1")), pair(2, rest != 0, 0)]
-    return known.select("rid", "i", "base", F.explode(F.filter(F.array(*pairs), lambda x: x.isNotNull())).alias("key")).select("rid", "i", "base", "key.*")
+    return rows.mapInArrow(merge, _MERGED)
 
 
 def _common(names: np.ndarray, starts: np.ndarray, sizes: np.ndarray, alive: np.ndarray) -> np.ndarray:
@@ -438,62 +508,59 @@ def _common(names: np.ndarray, starts: np.ndarray, sizes: np.ndarray, alive: np.
 
 def adjacent(rows: DataFrame, length: int) -> DataFrame:
     """Sorts the merged suffixes and compares neighbours: rid, base, shared (bytes
-    from the base that the nearer neighbour has too), before (those that the
-    neighbour before has). Rows with ``side`` are the ends of partitions."""
+    from the base that the nearer neighbour, or an equal suffix, has too), before
+    (those that the neighbour before has). Rows with ``side`` are the ends of
+    partitions."""
 
     def compare(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, held, first = TaskContext.get().partitionId(), None, True
-        schema = pa.schema([("rid", pa.int64()), ("base", pa.int32()), ("shared", pa.int32()), ("before", pa.int32()), ("part", pa.int32()), ("side", pa.int32()), ("pair", pa.int32()), ("k0", pa.int64()), ("k1", pa.int64()), ("names", pa.list_(pa.int64())), ("ends", pa.list_(pa.int32()))])
+        part, held = TaskContext.get().partitionId(), None
+        long, short = pa.int64(), pa.int32()
+        kinds = dict(zip([f.split()[0] for f in _FOUND.split(", ")], (long, short, short, short, short, short, short, long, long, pa.list_(long), pa.list_(short), short), strict=True))
+
+        def rows_of(n, **columns):
+            arrays = [pa.array(columns[c]).cast(t) if c in columns else pa.nulls(n, t) for c, t in kinds.items()]
+            return pa.RecordBatch.from_arrays(arrays, list(kinds))
 
         def edge(side, row, before):
-            rid, base, pair, k0, k1, names, ends = row
-            return pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip((rid, base, 0, before, part, side, pair, k0, k1, names.tolist(), (ends - base).tolist()), schema, strict=True)], schema=schema)
+            rid, base, pair, k0, k1, own, names, ends = row
+            return rows_of(1, rid=[rid], base=[base], shared=[0], before=[before], part=[part], side=[side], pair=[pair], k0=[k0], k1=[k1], names=[names.tolist()], ends=[ends.tolist()], own=[own])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rid, base, pair, k0, k1 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rid", "base", "pair", "k0", "k1"))
-            run = batch.column("run")
-            sizes = run.value_lengths().to_numpy(zero_copy_only=False).astype("i8")
-            flat = run.flatten()
-            i, names, ends = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("i", "name", "end"))
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("rid", "base", "pair", "k0", "k1", "own")]
+            sizes = batch.column("names").value_lengths().to_numpy(zero_copy_only=False).astype("i8")
+            names, ends = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("names", "ends"))
             if held is not None:
-                rid, base, pair, k0, k1 = (np.r_[x, y] for x, y in zip(held[:5], (rid, base, pair, k0, k1), strict=True))
-                sizes, names, ends, i = np.r_[len(held[5]), sizes], np.r_[held[5], names], np.r_[held[6], ends], np.r_[3 * np.arange(len(held[5])), i]
+                columns = [np.r_[x, y] for x, y in zip(held[:6], columns, strict=True)]
+                sizes, names, ends = np.r_[len(held[6]), sizes], np.r_[held[6], names], np.r_[held[7], ends]
+            rid, base, pair, k0, k1, own = columns
             starts = np.cumsum(sizes) - sizes
-            # a run goes on only where no base has dropped out
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            broken = i - i[starts[row]] != 3 * (np.arange(len(i)) - starts[row])
-            if broken.any():
-                whole = np.full(len(sizes), np.iinfo("i8").max)
-                np.minimum.at(whole, row[broken], (np.arange(len(i)) - starts[row])[broken])
-                sizes = np.minimum(sizes, whole)
             same = np.r_[False, (pair[1:] == pair[:-1]) & ((pair[1:] == 2) | (k0[1:] == k0[:-1])) & ((pair[1:] != 1) | (k1[1:] == k1[:-1]))]
             t = _common(names, starts, sizes, same)
-            before = np.where(t > 0, ends[np.maximum(starts + t - 1, 0)] - base, 0)
+            before = np.where(t > 0, ends[np.maximum(starts + t - 1, 0)], 0)
             if held is not None:
-                before[0] = held[7]
+                before[0] = held[8]
             else:
-                yield edge(0, (rid[0], base[0], pair[0], k0[0], k1[0], names[: sizes[0]], ends[: sizes[0]]), 0)
-            shared = np.maximum(before[:-1], before[1:])
-            good = np.flatnonzero(shared >= length)
-            if len(good):
-                m = len(good)
-                none = [pa.nulls(m, f.type) for f in list(schema)[4:]]
-                yield pa.RecordBatch.from_arrays([pa.array(rid[good]), pa.array(base[good].astype("i4")), pa.array(shared[good].astype("i4")), pa.array(before[good].astype("i4")), *none], schema=schema)
-            s = slice(starts[-1], starts[-1] + sizes[-1])
-            held = rid[-1:], base[-1:], pair[-1:], k0[-1:], k1[-1:], names[s], ends[s], int(before[-1])
+                yield edge(0, (*(x[0] for x in columns), names[: sizes[0]], ends[: sizes[0]]), 0)
+            shared = np.maximum(np.maximum(before[:-1], before[1:]), own[:-1])
+            good = shared >= length
+            if good.any():
+                yield rows_of(int(good.sum()), rid=rid[:-1][good], base=base[:-1][good], shared=shared[good], before=before[:-1][good])
+            last = slice(starts[-1], starts[-1] + sizes[-1])
+            held = *(x[-1:] for x in columns), names[last], ends[last], int(before[-1])
         if held is not None:
-            if held[7] >= length:
-                yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1].astype("i4")), *[pa.array([held[7]], pa.int32())] * 2, *[pa.nulls(1, f.type) for f in list(schema)[4:]]], schema=schema)
-            yield edge(1, (*(x[0] for x in held[:5]), held[5], held[6]), held[7])
+            shared = max(held[8], int(held[5][0]))
+            if shared >= length:
+                yield rows_of(1, rid=held[0], base=held[1], shared=[shared], before=[held[8]])
+            yield edge(1, (*(x[0] for x in held[:6]), held[6], held[7]), held[8])
 
     keys = ["pair", "k0", "k1", "k2", "rid", "i"]
     spread = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return spread.select("rid", "base", "pair", "k0", "k1", "run").mapInArrow(compare, _FOUND)
+    return spread.select("rid", "base", "pair", "k0", "k1", "own", "names", "ends").mapInArrow(compare, _FOUND)
 
 
 def _across(found: DataFrame) -> DataFrame:
@@ -509,6 +576,7 @@ def _across(found: DataFrame) -> DataFrame:
 
     shared = F.aggregate(zipped, start, step, lambda s: s["e"])
     met = ends.where(same).withColumn("shared", shared)
+    # the last one stands for what it shares with the next as well
     last = met.select(F.col("prev.rid").alias("rid"), F.col("prev.base").alias("base"), "shared", F.col("prev.before").alias("before"))
     return last.unionByName(met.select("rid", "base", "shared", F.col("shared").alias("before")))
 
@@ -557,7 +625,7 @@ def _judge(length: int, words: bool):
         for batch in batches:
             cuts, gap = _lists(batch, "gaps", ("base", "lo", "hi"))
             marks, near = _lists(batch, "near", ("base", "shared", "before"))
-            rids, out, held = batch.column("rid").to_numpy(), [], 0
+            rids, copied, out, held = batch.column("rid").to_numpy(), batch.column("copied").to_pylist(), [], 0
             for k in range(batch.num_rows):
                 base, lo, hi = (x[cuts[k] : cuts[k + 1]] for x in gap)
                 order = np.argsort(lo, kind="stable")
@@ -571,8 +639,11 @@ def _judge(length: int, words: bool):
                 stand = begin < end
                 size = int(hi[-1]) + 1 if len(hi) else 0
                 opened = np.r_[0, last], np.r_[first, max(size, int(last[-1]) if len(last) else 0)]
+                stands = _union(begin[stand], end[stand])
+                if copied[k]:  # removed anyway: all its strings stand for those of other texts
+                    opened, stands = (last[:0], last[:0]), (np.array([0]), np.array([size]))
                 data = None
-                for times, (x, y) in ((1, opened), (2, _union(begin[stand], end[stand]))):
+                for times, (x, y) in ((1, opened), (2, stands)):
                     own, p, q = _within(lo, hi, x, y)
                     good = p <= q
                     if good.any():
@@ -621,20 +692,22 @@ def _compared(length: int, words: bool):
 
 def repeated_spans(texts: DataFrame, length: int, stage, drop, words: bool = False) -> DataFrame:
     """rid, lo, hi: first positions of strings of ``length`` bytes (or words)
-    that start anywhere else too, as ranges. ``texts``: rid (unique) and text."""
-    enough = length + _reach(length, _WORD_GRAM if words else _GRAM)
+    that start anywhere else too, as ranges. ``texts``: rid (unique), text, and
+    whether it is ``copied`` (one of equal texts, and removed anyway)."""
+    reach = _reach(length, _WORD_GRAM if words else _GRAM)
+    enough = length + 3 * reach
     packed = stage(_parsed(texts, length, words), "packed")
     left = stage(_unpacked(packed, repeated_bases(packed, stage)), "left")
     drop("packed", "dealt")
-    merged = stage(_merged(left, named_sample(left, enough, stage, drop), enough), "merged")
-    found = stage(adjacent(merged, length), "adjacent")
-    drop("merged")
+    merged = stage(_merged(left, named_sample(left, enough, stage, drop), length, enough), "merged")
+    found = stage(adjacent(merged.where("pair >= 0"), length), "adjacent")
     near = found.where("side is null").select("rid", "base", "shared", "before").unionByName(_across(found).where(F.col("shared") >= length))
+    near = near.unionByName(merged.where("pair < 0").select("rid", "base", F.col("own").alias("shared"), F.col("own").alias("before")))
     near = near.groupBy("rid").agg(F.collect_list(F.struct("base", "shared", "before")).alias("near"))
     gaps_of = left.where("lo <= hi").groupBy("rid").agg(F.collect_list(F.struct("base", "lo", "hi")).alias("gaps"))
-    given = texts.select("rid", "text").join(gaps_of.join(near, "rid", "left"), "rid")
+    given = texts.join(gaps_of.join(near, "rid", "left"), "rid")
     judged = stage(given.mapInArrow(_judge(length, words), _JUDGED), "judged")
-    drop("left", "adjacent")
+    drop("left", "adjacent", "merged")
     cut = judged.where("times > 0")
     # of what repeats, only what concerns an open block goes on
     cores = cut.groupBy("core").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("core")
@@ -656,8 +729,12 @@ def repeated_spans(texts: DataFrame, length: int, stage, drop, words: bool = Fal
 def _cut(docs: DataFrame, length: int, words: int | None) -> DataFrame:
     """``row`` (all columns of ``docs``), what is left of its text, and figures."""
     stage, drop = _tables(docs.sparkSession)
-    texts = stage(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "texts")
-    keyed = texts.select("rid", F.coalesce("row.text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    texts = stage(docs.select(F.monotonically_increasing_id().alias("rid"), F.unhex(F.sha2(text, 256)).alias("digest"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "texts")
+    # of equal texts one goes on
+    copies = texts.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("one")).where("n > 1")
+    copies = stage(texts.select("rid", "digest").join(copies, "digest").select("rid", (F.col("rid") == F.col("one")).alias("one")), "copies")
+    keyed = texts.join(copies, "rid", "left").where("one is null or one").select("rid", F.coalesce("row.text", F.lit("")).alias("text"), F.col("one").isNotNull().alias("copied"))
     spans = repeated_spans(keyed, length, stage, drop).select("rid", "lo", "hi", F.lit(False).alias("of_words"))
     if words:
         spans = spans.unionByName(repeated_spans(keyed, words, *_tables(docs.sparkSession), words=True).select("rid", "lo", "hi", F.lit(True).alias("of_words")))
@@ -670,17 +747,24 @@ def _cut(docs: DataFrame, length: int, words: int | None) -> DataFrame:
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         for batch in batches:
             out, spans = [], batch.column("ranges")
-            for k, text in enumerate(batch.column("row").field("text").to_pylist()):
+            for k, (text, copied) in enumerate(zip(batch.column("row").field("text").to_pylist(), batch.column("copied").to_pylist(), strict=True)):
                 raw = (text or "").encode()
-                own = spans[k]
-                if not own.is_valid or not len(own):
+                own, first = spans[k], np.zeros(0, "i8")
+                if copied:  # long enough, all of it occurs twice
+                    starts, ends = word_bounds(np.frombuffer(raw, "u1"))
+                    if len(raw) >= length:
+                        first, end = np.array([0]), np.array([len(raw)])
+                    elif words and len(starts) >= words:
+                        first, end = starts[:1], ends[-1:]
+                elif own.is_valid and len(own):
+                    lo, hi, of_words = (own.values.field(f).to_numpy(zero_copy_only=False) for f in ("lo", "hi", "of_words"))
+                    first, end = lo[~of_words], hi[~of_words] + length
+                    if of_words.any():
+                        starts, ends = word_bounds(np.frombuffer(raw, "u1"))
+                        first, end = np.r_[first, starts[lo[of_words]]], np.r_[end, ends[hi[of_words] + words - 1]]
+                if not len(first):
                     out.append((text, len(raw), 0, 0, hashlib.sha256(raw).hexdigest()))
                     continue
-                lo, hi, of_words = (own.values.field(f).to_numpy(zero_copy_only=False) for f in ("lo", "hi", "of_words"))
-                first, end = lo[~of_words], hi[~of_words] + length
-                if of_words.any():
-                    starts, ends = word_bounds(np.frombuffer(raw, "u1"))
-                    first, end = np.r_[first, starts[lo[of_words]]], np.r_[end, ends[hi[of_words] + words - 1]]
                 lo, hi = _union(first, end)
                 kept = b"".join(raw[a:b] for a, b in zip(np.r_[0, hi], np.r_[lo, len(raw)], strict=True))
                 out.append((kept.decode(errors="ignore"), len(raw), len(raw) - len(kept), len(lo), hashlib.sha256(kept).hexdigest()))
@@ -688,7 +772,8 @@ def _cut(docs: DataFrame, length: int, words: int | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), *[pa.array(list(x), t) for x, t in zip(new, kinds, strict=True)]], ["row", *made])
 
     schema = T.StructType([texts.schema["row"], *[T.StructField(c, T.StringType() if c in ("kept", "kept_sha256") else T.LongType()) for c in made]])
-    return texts.join(ranges, "rid", "left").select("row", "ranges").mapInArrow(cut, schema)
+    marks = ranges.join(copies.select("rid", F.lit(True).alias("copied")), "rid", "full")
+    return texts.join(marks, "rid", "left").select("row", "ranges", F.coalesce("copied", F.lit(False)).alias("copied")).mapInArrow(cut, schema)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
