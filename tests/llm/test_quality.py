@@ -131,20 +131,28 @@ def test_cotraining_on_held_out_labels(spark):
     assert cotraining.classify(frame(spark, []), spark.createDataFrame(labels, LABELS)).count() == 0
 
 
+def weights_of(rng, n, kind="f8"):
+    half, dim, classes = attention_lm._HALF, attention_lm._DIM, attention_lm._CLASSES
+    shapes = {"kv1": (n, 2 * dim), "kv2": (n, 2 * dim), "qr": (n, dim + classes), "o": (dim, classes), "b": (2 * half,)}
+    return {k: rng.normal(0, 1, s).astype(kind) for k, s in shapes.items()}
+
+
 def test_gradient_is_that_of_differences():
     rng = np.random.default_rng(1)
     n, half = 12, attention_lm._HALF
-    w = {"r": rng.normal(0, 1, (n, attention_lm._CLASSES)), "b": rng.normal(0, 1, 2 * half), "o": rng.normal(0, 1, (attention_lm._DIM, attention_lm._CLASSES))}
-    w |= {k: rng.normal(0, 1, (n, attention_lm._DIM)) for k in "qkv"}
-    x = rng.integers(0, n, (3, 2 * half))
-    x[0, :half] = -1
+    w = weights_of(rng, n)
+    g1, g2, lead = rng.integers(0, n, (4, half)), rng.integers(0, n, (4, half)), np.array([0.0, 1.0, 1.0])
     target = rng.integers(-1, attention_lm._CLASSES, (3, half))
-    g, loss = attention_lm.gradient(w, x, target)
+    g, loss = attention_lm.gradient(w, g1, g2, lead, target)
     for name in w:
-        at = tuple(rng.integers(0, s) for s in w[name].shape)
-        moved = {k: v.copy() for k, v in w.items()}
-        moved[name][at] += 1e-5
-        assert abs((attention_lm.gradient(moved, x, target)[1] - loss) / 1e-5 - g[name][at]) < 1e-4, name
+        whole = np.zeros_like(w[name])
+        rows, values = g[name]
+        whole[rows] = values
+        for _ in range(5):
+            at = tuple(rng.integers(0, s) for s in w[name].shape)
+            moved = {k: v.copy() for k, v in w.items()}
+            moved[name][at] += 1e-5
+            assert abs((attention_lm.gradient(moved, g1, g2, lead, target)[1] - loss) / 1e-5 - whole[at]) < 1e-4, name
 
 
 def test_scores(spark):
@@ -167,31 +175,90 @@ def test_scores(spark):
     assert attention_lm.score_texts(frame(spark, [])).count() == 0
 
 
-def test_score_does_not_depend_on_the_batch():
-    """Each id is scored once, whatever stands in the batch beside its text."""
+class Given:
+    """A pack made by hand."""
+
+    def __init__(self, texts, held=None):
+        ids = [list(w) for t in texts for w in [*t, [attention_lm._END]]]
+        self.size = np.array([len(t) + 1 for t in texts], "<i4").tobytes()
+        self.held = np.array(held or [False] * len(texts), "u1").tobytes()
+        self.ids, self.lens = np.concatenate(ids).astype("<u2").tobytes(), np.array([len(w) for w in ids], "<u4").tobytes()
+
+
+def small_model(rng):
+    first, inner, top = np.ones(attention_lm._IDS, "i8"), np.ones(attention_lm._IDS, "i8"), np.sort(np.append(np.arange(40), attention_lm._END))
+    slot = np.full(attention_lm._IDS, len(top), "i4")
+    slot[top] = np.arange(len(top))
+    return attention_lm.counts_model(first, inner, rng.integers(0, 9, (len(top) + 1, len(top) + 1)).astype(float), top, slot, slot)
+
+
+def test_each_word_is_scored_once_by_masked_attention():
+    """Against loops over words and over the words before them."""
     rng = np.random.default_rng(2)
-    texts = [np.append(rng.integers(0, 300, k), attention_lm._END).astype("<u2").tobytes() for k in (0, 5, 31, 32, 33, 200)]
-    unigram, top = np.ones(50257, "i8"), np.sort(np.append(np.arange(200), attention_lm._END))
-    tables, w = attention_lm.counts_model(unigram, np.ones((202, 202)), top)
-    together = attention_lm.text_scores(texts, tables, w)
-    assert np.allclose(together, [attention_lm.text_scores([t], tables, w)[0] for t in texts], atol=1e-3)
-
-
-def test_every_window_is_learned_from(spark):
-    """What stands in one window in the middle of a long text changes the weights, wherever it stands."""
-    rng, half, end = np.random.default_rng(4), attention_lm._HALF, attention_lm._END
-    top = np.sort(np.append(np.arange(60), end))
-    pairs = np.ones((len(top) + 1, len(top) + 1))
-    tables, start = attention_lm.counts_model(np.ones(50257, "i8"), pairs, top)
-    text = np.append(rng.integers(0, 50, 40 * half - 1), end).astype("<u2")
-    shared = spark.sparkContext.broadcast(tables)
+    half, dim = attention_lm._HALF, attention_lm._DIM
+    texts = [[list(rng.integers(0, 60, rng.integers(1, 4))) for _ in range(k)] for k in (0, 5, 31, 32, 33, 200)]
+    tables, _ = small_model(rng)
+    w = weights_of(rng, tables["n"] + 1, "f4")
+    pack = attention_lm.Pack(Given(texts))
+    counts = rng.integers(0, 5, len(pack.first)).astype(float)
+    numbers = {"tokens": 1000, "distinct": 90, "docs": 6}
+    known, base, score = attention_lm.pack_scores(pack, counts, tables, w, numbers, 0.5)
+    at, end = 0, attention_lm._END
+    for k, text in enumerate(texts):
+        words, total, plain = [*text, [end]], 0.0, 0.0
+        given = [(tables["slot"][end], tables["n"])] + [(tables["slot"][x[0]], tables["slot2"][x[-1]]) for x in words[:-1]]
+        for t, word in enumerate(words):
+            seen = range(max(0, (t // half - 1) * half), t + 1)
+            kv = np.array([w["kv1"][given[j][0]] + w["kv2"][given[j][1]] for j in seen])
+            row = w["qr"][given[t][0]]
+            p = np.exp(np.minimum(kv[:, :dim] @ row[:dim] / math.sqrt(dim) + np.array([w["b"][t - j] for j in seen]), 30))
+            logits = row[dim:] + (p / p.sum()) @ kv[:, dim:] @ w["o"]
+            logits -= np.log(np.exp(logits).sum())
+            slot, c = tables["slot"][word[0]], counts[at]
+            inside = tables["within"][given[t][0], slot] if slot < tables["n"] else tables["rest"][word[0]]
+            lp = logits[tables["class"][slot]] + inside
+            if word[0] != end:
+                spelled = math.exp(sum(float(tables["goes_on"][x]) for x in word[1:]) + tables["stop"])
+                lp += math.log((c + 2 * spelled) / (tables["first"][word[0]] + 2))
+            unigram = (c + 1) / (numbers["tokens"] + numbers["distinct"] + 1)
+            total, plain, at = total + math.log10(0.5 * unigram + 0.5 * math.exp(lp)), plain + math.log10(unigram), at + 1
+        assert abs(score[k] - total) < 1e-2 and abs(base[k] - plain) < 1e-9
+
+
+def test_every_window_is_learned_from():
+    """A word in the middle of a long text changes the weights, wherever it stands."""
+    rng, half = np.random.default_rng(4), attention_lm._HALF
+    tables, start = small_model(rng)
+    text = rng.integers(0, 30, 40 * half).astype("<u2")
 
     def trained(ids):
-        made = spark.createDataFrame([(False, bytearray(ids.tobytes()))], "held_out boolean, ids binary")
-        return attention_lm._trained(made, shared, start)
+        w = {k: v.copy() for k, v in start.items()}
+        assert attention_lm._worked(w, {k: np.full_like(v, 1e-6) for k, v in w.items()}, [ids], [ids], tables, 8) == 40
+        return w
 
     before = trained(text)
     for window in (0, 1, 7, 17, 30, 38):
         other = text.copy()
-        other[window * half + 5] = 55  # an id that stands nowhere else
-        assert not np.allclose(trained(other)["r"][55], before["r"][55]), window
+        other[window * half + 5] = 35  # an id that stands nowhere else
+        assert not np.allclose(trained(other)["qr"][35], before["qr"][35]), window
+
+
+def test_scores_do_not_depend_on_tasks_or_packs(spark, monkeypatch):
+    rnd = random.Random(12)
+    words = ["the", "red", "house", "on", "hill", "unbelievable", "thing", "zyxwv"]
+    rows = [(k, " ".join(rnd.choices(words, k=rnd.randint(0, 150)))) for k in range(80)]
+    scores = []
+    for parts, size in ((1, 1_000_000), (5, 1_000_000), (3, 500)):
+        monkeypatch.setattr(attention_lm, "_PACK", size)
+        monkeypatch.setattr(attention_lm, "_BLOCK", 2_000)
+        out = attention_lm.score_texts(frame(spark, rows).repartition(parts)).collect()
+        scores.append({r["doc_id"]: (r["n_known"], r["base_score"], r["score"]) for r in out})
+    for other in scores[1:]:
+        assert all(np.allclose(scores[0][k], other[k], rtol=1e-3) for k in scores[0])
+
+
+@pytest.mark.parametrize("folder", ["sf0.01"])
+def test_held_out_texts_score_above_the_base(spark, folder):
+    docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
+    got = attention_lm.score_texts(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).first()
+    assert (got["s"] - got["b"]) / got["n"] > 0.1
