@@ -43,18 +43,41 @@ _NAMES = ("kv1", "kv2", "qr", "o", "b")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ x >> np.uint64(32)) * np.uint64(0x94D049BB133111EB)
+
+
+_MIXED = _mixed(np.arange(1, _IDS + 1, dtype="u8") * _ODD)
+
+
 class Words(dict):
     """word in bytes -> its ids as unsigned 16-bit integers; bounded."""
 
     def __init__(self, path: str, most: int = 400_000):
         super().__init__()
         self.encoder, self.most = encoder(path, "bytes", 0), most
+        tokenizer, space = self.encoder.tokenizer, self.encoder.letters[32]
+        self.begins = np.array([(tokenizer.id_to_token(k) or "").startswith(space) for k in range(self.encoder.size)])
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.encoder[" " + word.decode()]
-        if len(self) < self.most:
-            self[word] = ids
-        return ids
+        return self.encoder[" " + word.decode()]
+
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of words: those of plain letters are encoded together, since each of
+        them, and nothing else, begins with a space."""
+        plain = [w for w in words if w.isalnum()]  # ASCII letters and digits
+        found = {w: self[w] for w in words if not w.isalnum()}
+        for a in range(0, len(plain), 20_000):
+            some = plain[a : a + 20_000]
+            ids = np.array(self.encoder.tokenizer.encode(" " + b" ".join(some).decode(), add_special_tokens=False).ids, "<u2")
+            starts = np.flatnonzero(self.begins[ids])
+            cuts = np.append(starts, len(ids)) * 2
+            raw = ids.tobytes()
+            found |= zip(some, (raw[x:y] for x, y in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)), strict=True)
+        for w in found.keys() if len(self) < self.most else ():
+            self[w] = found[w]
+        return found
 
 
 _LOADED: dict[str, Words] = {}
@@ -80,9 +103,21 @@ def packs(docs: DataFrame, path: str) -> DataFrame:
             whole = [np.array(x, t).tobytes() for x, t in ((rid, "<i8"), (doc, "<i8"), (missing, "u1"), (held, "u1"), (size, "<i4"))]
             return pd.DataFrame([(first + count, *whole, b"".join(ids), b"".join(lens))], columns=names)
 
-        for pdf in batches:
+        def texts(pdf):
+            rows, n = [], 0
             for rid, doc, missing, text in zip(pdf["rid"], pdf["doc_id"], pdf["missing"], pdf["text"], strict=True):
-                units = [*map(words.__getitem__, text.encode().lower().split()), end]
+                rows.append((rid, doc, missing, text.encode().lower().split()))
+                n += len(rows[-1][3])
+                if n > 100_000:
+                    yield rows
+                    rows, n = [], 0
+            yield rows
+
+        for rows in (rows for pdf in batches for rows in texts(pdf)):
+            new = words.learn(set().union(*[r[3] for r in rows]) - words.keys())
+            for rid, doc, missing, split in rows:
+                units = [words.get(w) or new[w] for w in split] if new else [*map(words.__getitem__, split)]
+                units.append(end)
                 for a in range(0, len(units), _PIECE):
                     own = units[a : a + _PIECE]
                     sizes = np.fromiter(map(len, own), "<u4", len(own)) // 2
@@ -113,11 +148,9 @@ class Pack:
 
     def words(self) -> np.ndarray:
         """A 64-bit hash of the ids of each word."""
-        place = np.arange(len(self.ids)) - np.repeat(self.starts, self.lens)
-        x = (self.ids.astype("u8") + np.uint64(1)) * _ODD + place.astype("u8") * np.uint64(0xC2B2AE3D27D4EB4F)
-        x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
-        x = np.add.reduceat(x ^ x >> np.uint64(32), self.starts)
-        return (x ^ x >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
+        place = np.arange(len(self.ids), dtype="i4") - np.repeat(self.starts.astype("i4"), self.lens)
+        factors = _mixed(np.arange(1, int(place.max(initial=0)) + 2, dtype="u8") * _ODD) | np.uint64(1)
+        return _mixed(np.add.reduceat(_MIXED[self.ids] * factors[place], self.starts))
 
 
 def _rows(batches):
@@ -192,13 +225,12 @@ def forward(w: dict, g1: np.ndarray, g2: np.ndarray, lead: np.ndarray):
     kv = w["kv1"][g1] + w["kv2"][g2]
     k, v = kv[..., :_DIM], kv[..., _DIM:]
     qr = w["qr"][g1[1:]]
-    q = qr[..., :_DIM]
+    q = qr[..., :_DIM] * _SCALE
     back = w["b"][_STEP + _HALF]
     here = np.where(_STEP >= 0, w["b"][np.maximum(_STEP, 0)], np.float32(-1e9))
     p1 = q @ k[:-1].transpose(0, 2, 1)
     p2 = q @ k[1:].transpose(0, 2, 1)
     for p, bias in ((p1, back), (p2, here)):
-        p *= _SCALE
         p += bias
         np.minimum(p, 30, out=p)
         np.exp(p, out=p)
@@ -241,10 +273,10 @@ def gradient(w: dict, g1: np.ndarray, g2: np.ndarray, lead: np.ndarray, target:
         p /= total
         ds = (dmixed @ v[side].transpose(0, 2, 1) - inner) * p
         np.add.at(bias, step.ravel(), ds.sum(0).ravel())
-        ds *= _SCALE
         dq += ds @ k[side]
         dkv[side][..., :_DIM] += ds.transpose(0, 2, 1) @ q
         dkv[side][..., _DIM:] += p.transpose(0, 2, 1) @ dmixed
+    dq *= _SCALE
     whole = lambda x: (np.arange(len(x)), x)
     return {"kv1": _sums(g1, dkv), "kv2": _sums(g2, dkv), "qr": _sums(g1[1:], np.concatenate([dq, d], -1)), "o": whole(o), "b": whole(bias)}, loss
 
@@ -398,8 +430,8 @@ def pack_scores(pack: Pack, counts: np.ndarray, tables: dict, weights: dict, num
     cls = np.zeros(windows.g1.size, "i4")
     cls[windows.at] = tables["class"][slot]
     cls, found = cls.reshape(-1, _HALF), np.zeros(windows.g1.shape, "f4")
-    for a in range(0, len(cls), 256):
-        b = min(len(cls), a + 256)
+    for a in range(0, len(cls), 128):
+        b = min(len(cls), a + 128)
         out, _ = forward(weights, *windows.batch(a, b))
         found[a:b] = np.take_along_axis(out, cls[a:b, :, None], 2)[..., 0]
     logp += found.ravel()[windows.at]
