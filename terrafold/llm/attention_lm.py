@@ -64,10 +64,11 @@ class Words(dict):
         return self.encoder[" " + word.decode()]
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words: those of plain letters are encoded together, since each of
-        them, and nothing else, begins with a space."""
-        plain = [w for w in words if w.isalnum()]  # ASCII letters and digits
-        found = {w: self[w] for w in words if not w.isalnum()}
+        """Ids of words: those without a blank of any script are encoded together,
+        since each of them, and nothing else, begins with a space."""
+        text = {w: w.decode() for w in words}
+        plain = [w for w, t in text.items() if t.split() == [t]]
+        found = {w: self[w] for w, t in text.items() if t.split() != [t]}
         for a in range(0, len(plain), 20_000):
             some = plain[a : a + 20_000]
             ids = np.array(self.encoder.tokenizer.encode(" " + b" ".join(some).decode(), add_special_tokens=False).ids, "<u2")
