@@ -47,7 +47,9 @@ def upgrade(pairs: DataFrame) -> DataFrame:
 
 
 def merge_window(known: DataFrame, changed: DataFrame, key: str, by: str) -> DataFrame:
-    """Known rows and a window of changed ones, the latest of each key."""
-    order = Window.partitionBy(key).orderBy(F.col(by).desc_nulls_last())
+    """Known rows and a window of changed ones, the latest of each key; of equally
+    late ones the largest in the other columns."""
     both = known.unionByName(changed)
-    return both.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    rest = [c for c in both.columns if c not in (key, by)]
+    best = both.groupBy(key).agg(F.max(F.struct(by, *rest)).alias("best"))
+    return best.select(*[F.col(key) if c == key else F.col(f"best.{c}").alias(c) for c in both.columns])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..contract import OPEN_STATUSES, ROOFING_TYPES, SCHEMA
+from ..sources.shared import kept
 
 AS_OF = "2001-09-01"
 
@@ -75,9 +76,11 @@ def permits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest(df: DataFrame, key: str, by: str) -> DataFrame:
-    """One row for each key, the one modified last."""
-    order = Window.partitionBy(key).orderBy(F.col(by).desc_nulls_last())
-    return df.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    """One row for each key, the one modified last; of several, the largest in its
+    other columns. Aggregated on both sides of the shuffle, so no key is sorted."""
+    rest = [c for c in df.columns if c not in (key, by)]
+    best = df.groupBy(key).agg(F.max(F.struct(by, *rest)).alias("best"))
+    return best.select(*[F.col(key) if c == key else F.col(f"best.{c}").alias(c) for c in df.columns])
 
 
 def permit_rollup(deduped: DataFrame, as_of: str = AS_OF) -> DataFrame:
@@ -164,6 +167,18 @@ def consolidate(base: DataFrame, points: DataFrame, permit: DataFrame, sale: Dat
     return p.select(*[value(f).cast(f.dataType).alias(f.name) for f in SCHEMA])
 
 
-def properties(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
+def consolidated(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     deduped = latest(permits(spark, sf_dir), "number", "modified")
     return consolidate(roll(spark, sf_dir), centroids(spark, sf_dir), permit_rollup(deduped, as_of), sales(spark, sf_dir), accounts(spark, sf_dir), as_of)
+
+
+def laid_out(df: DataFrame, cells: int = 10) -> DataFrame:
+    """Rows near each other on the map together, so that a box filter skips row
+    groups by their statistics; a crowded cell is dealt over several files."""
+    cell = [F.floor(F.col(c) * cells) for c in ("latitude", "longitude")]
+    return df.repartition(*cell, F.pmod(F.hash("property_id"), F.lit(16))).sortWithinPartitions(*cell, "property_id")
+
+
+def properties(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
+    """The consolidated table: built once an application, then read."""
+    return kept(spark, "properties", (sf_dir, as_of), lambda: laid_out(consolidated(spark, sf_dir, as_of)))

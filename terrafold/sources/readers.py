@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
-import tempfile
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import SCHEMA, schema_gate
+from .shared import shared_folder
 
 COVERAGE = "runId string, exportedAt string, denominator struct<basis string, source string, assessedParcelCount bigint>, tables map<string, struct<rows bigint, source string>>, signals map<string, bigint>, limitations array<string>"
 CATALOG = "county string, permits struct<jurisdictions array<struct<name string, supported boolean, certified boolean, records_request struct<method string, contact string>>>>"
@@ -70,10 +70,35 @@ def write_shards(df: DataFrame, path: str, key: str, size: int = 10_000) -> None
     df.repartitionByRange(n, key).withColumn("shard", F.spark_partition_id()).write.partitionBy("shard").json(path)
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Name, size and digest of every file below a path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+def manifest(spark: SparkSession, path: str, chunk: int = 1 << 22) -> DataFrame:
+    """Name, size and SHA-256 of every file below a path.
+
+    Files are listed without their content; each is then read and hashed in
+    chunks in a task, so a large file is never one row.
+    """
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.col("length").alias("size"))
+
+    def digest(batches):
+        import hashlib
+
+        import pandas as pd
+        from pyarrow import fs
+
+        for pdf in batches:
+            out = []
+            for name, size in zip(pdf["path"], pdf["size"], strict=True):
+                store, own = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", name))
+                found = hashlib.sha256()
+                with store.open_input_stream(own) as f:
+                    while block := f.read(chunk):
+                        found.update(block)
+                out.append((name.rpartition("/")[2], size, found.hexdigest()))
+            yield pd.DataFrame(out, columns=["name", "size", "sha256"])
+
+    schema = StructType([StructField("name", StringType()), StructField("size", LongType()), StructField("sha256", StringType())])
+    return files.mapInPandas(digest, schema)
 
 
 def bounded(spark: SparkSession, statement: str, limit: int) -> tuple[DataFrame, bool]:
@@ -87,5 +112,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     where that is unset. Long chains of expressions end here for the optimizer."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
