@@ -1,7 +1,7 @@
 """K-d tree shards: splits at distributed weighted medians.
 
-The units are groups of rows with equal texts, or single rows of a group too
-heavy to stay whole. A node is split along its widest metadata dimension; the
+The units are groups of rows with equal texts, or single rows of a group that no
+shard has room for. A node is split along its widest metadata dimension; the
 median is found by narrowing: each pass sums the weights in 4,096 slices of the
 interval left, for all nodes of a level at once, so the driver sees slices and
 never units.
@@ -25,13 +25,14 @@ def _pick(node: Column, by_node: dict[int, object], kind: str) -> Column:
     return out
 
 
-def kd_cuts(units: DataFrame, dims: list[str], weight: str, tie: str, shards: int) -> Column:
+def kd_cuts(units: DataFrame, dims: list[str], weight: str, tie: str, targets: list[int]) -> Column:
     """The shard (from 0) of each unit as an expression over its columns.
 
     ``dims``: integers of 31 bits; ``tie``: integer of 32 bits that orders units
-    alike in a dimension. Nodes halve their number of shards (and their weight
-    accordingly) until each has one, i.e. the target of total / shards.
+    alike in a dimension. Nodes halve their number of shards, and their weight as
+    the ``targets`` of these say, until each has one.
     """
+    shards = len(targets)
     total = units.agg(*[F.min(d).alias(f"lo_{d}") for d in dims], *[F.max(d).alias(f"hi_{d}") for d in dims]).first()
     if total[0] is None:
         return F.lit(0)
@@ -52,7 +53,11 @@ def kd_cuts(units: DataFrame, dims: list[str], weight: str, tie: str, shards: in
         at = units.withColumn("node", place(0, {k: k for k in parts})).where(F.col("node").isin(open_))
         spread = at.groupBy("node").agg(F.sum(weight).alias("w"), *[(F.max(d) - F.min(d)).alias(d) for d in dims]).collect()
         widest = {r["node"]: max(dims, key=lambda d: (r[d] / whole[d], d)) for r in spread}  # noqa: B023
-        goal = {r["node"]: int(r["w"]) * (parts[r["node"]][1] // 2) / parts[r["node"]][1] for r in spread}
+        goal = {}
+        for r in spread:
+            first, n = parts[r["node"]]
+            left, whole_node = sum(targets[first : first + n // 2]), sum(targets[first : first + n])
+            goal[r["node"]] = int(r["w"]) * left / whole_node if whole_node else 0
         keyed = at.select("node", weight, _pick(F.col("node"), {k: key_of(d) for k, d in widest.items()}, "long").alias("key"))
         low, below, bits = dict.fromkeys(widest, 0), dict.fromkeys(widest, 0), _BITS
         while bits > 0:
@@ -81,38 +86,58 @@ def kd_cuts(units: DataFrame, dims: list[str], weight: str, tie: str, shards: in
     return place(0, {k: first for k, (first, _) in parts.items()})
 
 
+def place_heavy(heavy: list, target: float, shards: int) -> tuple[list[tuple], list[tuple], list[float]]:
+    """Whole groups, heaviest first, to the shard with the least of them so far, as
+    long as it stays within the target; the groups that fit nowhere; and the loads."""
+    loads, placed, split = [0.0] * shards, [], []
+    for r in sorted(heavy, key=lambda r: (-r["w"], r["text_crc32"], r["size"])):
+        k = min(range(shards), key=lambda k: (loads[k], k))
+        if loads[k] + r["w"] > target:
+            split.append((r["text_crc32"], r["size"]))
+            continue
+        loads[k] += r["w"]
+        placed.append((r["text_crc32"], r["size"], k))
+    return placed, split, loads
+
+
 def kd_shards(docs: DataFrame, shards: int = 8, metadata: tuple[str, ...] = ("source", "lang"), heavy: float = 0.01) -> DataFrame:
     """Rows of ``docs`` (doc_id, text, metadata columns) in shards near equal in bytes.
 
     doc_id, size (UTF-8 bytes of the text plus 1; null: 1), text_crc32, law
     ('bytes'), shard, slot (gapless from 0), grown_shard (null). Rows with equal
-    texts go to one shard, unless they weigh more than ``heavy`` of a shard's
-    target: then each of their rows is a unit. Metadata of a group is its least
-    value; nulls count as ''. An empty table gives no rows.
+    texts go to one shard. Groups of over ``heavy`` of a shard's target are placed
+    before the tree is built, and its leaves get what is left of the target; only
+    a group that no shard has room for is split, row by row. Metadata of a group is
+    its least value; nulls and columns that are not there count as ''. An empty
+    table gives no rows.
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        *[F.shiftright(F.crc32(F.coalesce(F.col(c).cast("string"), F.lit("")).cast("binary")), 1).alias(f"m_{i}") for i, c in enumerate(metadata)],
+        *[F.shiftright(F.crc32(F.coalesce(F.col(f"`{c}`").cast("string") if c in docs.columns else F.lit(""), F.lit("")).cast("binary")), 1).alias(f"m_{i}") for i, c in enumerate(metadata)],
     )
     rows = stage(rows, "shard-rows")
-    dims = [f"m_{i}" for i in range(len(metadata))]
+    dims, spark = [f"m_{i}" for i in range(len(metadata))], docs.sparkSession
     groups = rows.groupBy("text_crc32", "size").agg(F.sum("size").alias("w"), *[F.min(d).alias(d) for d in dims])
     groups = stage(groups, "shard-groups")
-    most = (groups.agg(F.sum("w")).first()[0] or 0) / shards * heavy
-    # at most shards / heavy groups can weigh so much: a proven bound for the broadcast
-    large = groups.where(F.col("w") > most).select("text_crc32", "size", F.lit(True).alias("large"))
-    sub = F.when(F.col("large"), F.shiftright(F.xxhash64("doc_id"), 32).bitwiseAND(F.lit(0xFFFFFFFF)))
-    marked = rows.join(F.broadcast(large), ["text_crc32", "size"], "left").withColumn("sub", sub)
-    light = groups.where(F.col("w") <= most).select("text_crc32", "size", F.lit(None).cast("long").alias("sub"), "w", *dims)
-    single = marked.where("large").groupBy("text_crc32", "size", "sub").agg(F.sum("size").alias("w"), *[F.min(d).alias(d) for d in dims])
-    units = light.unionByName(single).withColumn("tie", F.coalesce("sub", "text_crc32")).withColumn("extent", (F.log2("size") * (1 << 26)).cast("long"))
+    target = (groups.agg(F.sum("w")).first()[0] or 0) / shards
+    # at most shards / heavy groups can weigh so much: a proven bound for the driver and the broadcasts
+    large = groups.where(F.col("w") > target * heavy)
+    placed, split, loads = place_heavy(large.select("text_crc32", "size", "w").collect(), target, shards)
+    placed = spark.createDataFrame(placed, "text_crc32 long, size long, shard int")
+    split = spark.createDataFrame(split, "text_crc32 long, size long")
+    key = ["text_crc32", "size"]
+    sub = F.shiftright(F.xxhash64("doc_id"), 32).bitwiseAND(F.lit(0xFFFFFFFF))
+    marked = rows.join(F.broadcast(split.withColumn("alone", F.lit(True))), key, "left").withColumn("sub", F.when(F.col("alone"), sub).otherwise(F.lit(-1)))
+    light = groups.where(F.col("w") <= target * heavy).select(*key, F.lit(-1).cast("long").alias("sub"), "w", *dims)
+    single = marked.where("alone").groupBy(*key, "sub").agg(F.sum("size").alias("w"), *[F.min(d).alias(d) for d in dims])
+    units = light.unionByName(single).withColumn("tie", F.when(F.col("sub") >= 0, F.col("sub")).otherwise(F.col("text_crc32"))).withColumn("extent", (F.log2("size") * (1 << 26)).cast("long"))
     units = stage(units, "shard-units")
-    shard = kd_cuts(units, [*dims, "extent"], "w", "tie", shards)
-    placed = units.select("text_crc32", "size", F.coalesce("sub", F.lit(-1)).alias("sub"), shard.cast("int").alias("shard"))
-    joined = marked.withColumn("sub", F.coalesce("sub", F.lit(-1))).join(placed, ["text_crc32", "size", "sub"]).select("doc_id", "size", "text_crc32", "shard")
+    shard = kd_cuts(units, [*dims, "extent"], "w", "tie", [max(0, round(target - x)) for x in loads])
+    whole = units.select(*key, "sub", shard.cast("int").alias("shard")).unionByName(placed.select(*key, F.lit(-1).cast("long").alias("sub"), "shard"))
+    joined = marked.join(whole, [*key, "sub"]).select("doc_id", "size", "text_crc32", "shard")
     numbered = stage(add_local_numbers(joined, "shard"), "shard-numbered")
     release(groups)
     bases = partition_bases(numbered, ["shard"])
