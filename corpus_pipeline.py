@@ -19,37 +19,37 @@ from terrafold.llm.common import stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return cotraining.classify(docs, labels, docs.columns).where("kept").select(*docs.columns)
+    return cotraining.accepted(docs, labels)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the smallest doc_id stays, once.
+    """Of each group of near-duplicate rows one stays: that of the smallest doc_id.
 
-    Rows without a doc_id cannot be named and stay.
+    Rows are named by a number of their own, so a doc_id that stands on unlike
+    texts loses none of them, and rows without a doc_id are judged like others.
     """
-    groups = simhash.simhash_groups(docs)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    own = next(f"row_{k}" for k in range(len(docs.columns) + 1) if f"row_{k}" not in docs.columns)
+    numbered = stage(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
+    # the order of doc_id is kept where groups choose their smallest: the number only parts ties
+    groups = simhash.simhash_groups(numbered.select(F.col(own).alias("doc_id"), "text"))
+    named = groups.select(F.col("doc_id").alias(own), F.col("component_id").alias("group")).join(numbered.select(own, F.col("doc_id").alias("id")), own)
+    first = named.groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", own)).alias("first")).select(F.col(f"first.{own}").alias(own))
+    return numbered.join(first, own, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of over 50 words, and strings of 400 bytes, that occur more than
     once are cut out of the texts."""
-    cleaned = suffix.remove_repeats(docs, words=51)
-    if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return cleaned.select(*docs.columns)
+    return suffix.without_repeats(docs, words=51)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go; rows without a doc_id are judged one by one."""
+    """Documents that hold a benchmark item go; each row is judged by itself."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontamination.leaks(docs.where("doc_id is not null"), benchmark).select("doc_id").distinct()
-    unnamed = stage(docs.where("doc_id is null").withColumn("row_key", F.monotonically_increasing_id()), "unnamed")
-    leaking = decontamination.leaks(unnamed.drop("doc_id").withColumnRenamed("row_key", "doc_id"), benchmark).select(F.col("doc_id").alias("row_key")).distinct()
-    named = docs.where("doc_id is not null").join(found, "doc_id", "left_anti").select(*docs.columns)
-    return named.unionByName(unnamed.join(leaking, "row_key", "left_anti").select(*docs.columns))
+    own = next(f"row_{k}" for k in range(len(docs.columns) + 1) if f"row_{k}" not in docs.columns)
+    numbered = stage(docs.withColumn(own, F.monotonically_increasing_id()), "numbered")
+    found = decontamination.leaks(numbered.select(F.col(own).alias("doc_id"), "text"), benchmark)
+    return numbered.join(found.select(F.col("doc_id").alias(own)).distinct(), own, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

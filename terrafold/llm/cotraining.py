@@ -1,13 +1,14 @@
 """Quality classifier by co-training of a text view and a page-metadata view.
 
-Each view has a logistic model. In every round each model labels the documents
-of an unlabelled pool that it is sure of, and the other model learns from them.
-Both are then calibrated on labelled documents that neither has learned from,
-and a logistic combination of the calibrated views scores every document.
-
-Fitting uses a sample of labelled documents and of the pool, each bounded by
-``most_fitted`` (documented limit of the fit, drawn by a hash of the id over all
-rows); scoring reads every whole text.
+Each view has a logistic model. In every round each model scores all documents
+that have no label, in a Spark job, and gives the other model those that it is
+surest of. Both are then calibrated on labelled documents that neither has learned
+from, and a logistic combination of the calibrated views scores every document.
+
+The two views are made once of every whole text and kept as a table, which the
+rounds and the final scores read. What is fitted on is bounded by ``most_fitted``
+labelled documents (documented limit of the fit: those of the least hashes of
+their ids) and, a round and label, by a tenth as many of the surest others.
 """
 
 from __future__ import annotations
@@ -18,11 +19,14 @@ from operator import eq
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import release, stage
 
 WORD_BITS = 18
 _WORDS = 1 << WORD_BITS
 _SOURCES, _LANGS = 64, 16
-_META = _SOURCES + _LANGS + 4
+_META = _SOURCES + _LANGS + 2
 _STATS, _BINS = 8, 12
 _EDGE = re.compile(r"^\W+|\W+$")
 _UPPER = str.maketrans("", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
@@ -60,16 +64,15 @@ def text_view(text: str) -> tuple[np.ndarray, np.ndarray]:
     return found, stats
 
 
-def meta_view(source, lang, n_chars, text: str) -> np.ndarray:
-    """One-hot source and language (hashed), length and line layout."""
+def meta_view(source, lang, n_chars) -> np.ndarray:
+    """One-hot source and language (hashed), and the stated length: nothing of the text."""
     from xxhash import xxh64_intdigest
 
     out = np.zeros(_META)
     out[xxh64_intdigest(str(source or "")) % _SOURCES] = 1
     out[_SOURCES + xxh64_intdigest(str(lang or "")) % _LANGS] = 1
     known = n_chars is not None and n_chars == n_chars
-    lines = text.count("\n") + 1
-    out[-4:] = np.log1p(max(0, n_chars) if known else 0) / 8, float(known), np.log1p(lines) / 4, np.log1p(len(text) / lines) / 6
+    out[-2:] = np.log1p(max(0, n_chars) if known else 0) / 8, float(known)
     return out
 
 
@@ -164,107 +167,143 @@ class MetaModel:
         return self.model.margin(np.arange(_META + 1), np.append(view, 1.0))
 
 
-def co_train(text, meta, y, pool_text, pool_meta, rounds: int = 3, sure: float = 0.97, share: float = 0.1):
-    """The two models and the coefficients of their calibrated combination.
+_VIEWS = ("words", "stats", "meta")
+_KINDS = {"text": TextModel, "meta": MetaModel}
+_OTHER = {"text": "meta", "meta": "text"}
 
-    ``y``: 1 bad, 0 good. A fifth of the labelled rows is for calibration only.
-    """
-    order = np.random.default_rng(7).permutation(len(y))
-    held, own = order[: len(y) // 5], order[len(y) // 5 :]
-    views, pools = {"text": text, "meta": meta}, {"text": pool_text, "meta": pool_meta}
-    kinds, other = {"text": TextModel, "meta": MetaModel}, {"text": "meta", "meta": "text"}
-    given: dict[str, dict[int, int]] = {"text": {}, "meta": {}}
-    for turn in range(rounds + 1):
-        models, scale = {}, {}
-        for k in kinds:
-            extra = sorted(given[k])
-            rows = [views[k][i] for i in own] + [pools[k][i] for i in extra]
-            models[k] = kinds[k]().fit(rows, np.concatenate([y[own], [given[k][i] for i in extra]]).astype(float))
-            scale[k] = platt(np.array([models[k].margin(views[k][i]) for i in held]), y[held])
-        if turn == rounds or not len(pool_text):
-            break
-        for k in kinds:
-            p = _sigmoid(np.array([models[k].margin(v) for v in pools[k]]) * scale[k][0] + scale[k][1])
-            most = max(1, int(share * len(p)))
-            for label, sureness in ((1, p), (0, 1 - p)):
-                for i in np.argsort(-sureness, kind="stable")[:most]:
-                    if sureness[i] >= sure:
-                        given[other[k]].setdefault(int(i), label)
-    logits = np.array([[models[k].margin(views[k][i]) * scale[k][0] + scale[k][1] for k in ("text", "meta")] for i in held])
-    return models, scale, platt(np.clip(logits, -12, 12), y[held])
 
+def _read(words: bytes, stats: bytes, meta: bytes):
+    return {"text": (np.frombuffer(words, "i4"), np.frombuffer(stats)), "meta": np.frombuffer(meta)}
 
-def _views(docs: DataFrame) -> DataFrame:
-    columns = dict(docs.dtypes)
-    text = F.coalesce("text", F.lit("")).alias("text")
-    rest = [F.col(c).cast(t).alias(c) if c in columns else F.lit(None).cast(t).alias(c) for c, t in (("source", "string"), ("lang", "string"), ("n_chars", "double"))]
-    return docs.select(F.col("doc_id").cast("long"), text, *rest)
 
+def viewed(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """For each row: ``row`` (the columns to keep), a number, its id and its views."""
+    kinds = dict(docs.dtypes)
+    rest = [(F.col(c).cast(t) if c in kinds else F.lit(None).cast(t)).alias(c) for c, t in (("source", "string"), ("lang", "string"), ("n_chars", "double"))]
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
+        F.monotonically_increasing_id().alias("rid"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        *rest,
+    )
+    schema = T.StructType([*rows.schema.fields[:3], *[T.StructField(c, T.BinaryType()) for c in _VIEWS]])
 
-def _sampled(ids: DataFrame, most: int) -> DataFrame:
-    n = ids.count()
-    rate = min(1.0, most / max(1, n))
-    return ids.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(rate * 1_000_000)) if rate < 1 else ids
+    def run(batches):
+        import pyarrow as pa
 
+        for batch in batches:
+            text, *meta = [batch.column(c).to_pylist() for c in ("text", "source", "lang", "n_chars")]
+            made = [text_view(t) for t in text]
+            views = [[w.tobytes() for w, _ in made], [s.tobytes() for _, s in made], [meta_view(*m).tobytes() for m in zip(*meta, strict=True)]]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("row", "rid", "id")], *[pa.array(v, pa.binary()) for v in views]], ["row", "rid", "id", *_VIEWS])
 
-def fit(docs: DataFrame, labels: DataFrame, most_fitted: int = 8_000):
-    """Models from the documents that ``labels`` covers (quality 0 or toxic 1:
-    bad) and a pool of others; None if there are no documents of both kinds."""
-    known = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
-    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)).alias("bad"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
-    picked = _sampled(known, most_fitted).unionByName(_sampled(ids.join(known, "doc_id", "left_anti"), most_fitted).withColumn("bad", F.lit(None).cast("int")))
+    return rows.mapInArrow(run, schema)
+
+
+def _fitted(rows: list[dict], y: np.ndarray, held: np.ndarray, given: dict[str, list[tuple[dict, int]]]):
+    """Models and calibrations of both views, from labelled rows that are not held
+    and from what the other view gave."""
+    models, scale, own = {}, {}, np.flatnonzero(~held)
+    for k, kind in _KINDS.items():
+        views = [rows[i][k] for i in own] + [v[k] for v, _ in given[k]]
+        models[k] = kind().fit(views, np.concatenate([y[own], [label for _, label in given[k]]]).astype(float))
+        scale[k] = platt(np.array([models[k].margin(rows[i][k]) for i in np.flatnonzero(held)]), y[held])
+    return models, scale
+
+
+def _surest(unlabelled: DataFrame, models, scale, sure: float, most: int, taken: dict) -> list[tuple[str, int, int]]:
+    """(view, label, rid) of the ``most`` documents that each view is surest of, of
+    all without a label; ties go by rid."""
+    shared = unlabelled.sparkSession.sparkContext.broadcast((models, scale))
 
     def run(batches):
         import pandas as pd
 
+        models, scale = shared.value
+        best: dict[tuple[str, int], list] = {(k, label): [] for k in _KINDS for label in (0, 1)}
         for pdf in batches:
-            made = [text_view(t) for t in pdf["text"]]
-            meta = [meta_view(*r) for r in zip(pdf["source"], pdf["lang"], pdf["n_chars"], pdf["text"], strict=True)]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "bad": pdf["bad"].astype("Int32"), "words": [w.tobytes() for w, _ in made], "stats": [s.tobytes() for _, s in made], "meta": [m.tobytes() for m in meta]})
-
-    # `picked` has about 2 * most_fitted rows, whatever the input: a proven bound
-    rows = _views(docs).join(F.broadcast(picked), "doc_id").mapInPandas(run, "doc_id long, bad int, words binary, stats binary, meta binary")
-    got = rows.toPandas().sort_values("doc_id", kind="stable")
-    labelled = got["bad"].notna().to_numpy()
-    text = [(np.frombuffer(w, "i4"), np.frombuffer(s)) for w, s in zip(got["words"], got["stats"], strict=True)]
-    meta = [np.frombuffer(m) for m in got["meta"]]
-    y = got["bad"][labelled].to_numpy("i8")
+            views = [_read(*r) for r in zip(*(pdf[c] for c in _VIEWS), strict=True)]
+            rid = pdf["rid"].to_numpy("i8")
+            for k in _KINDS:
+                p = _sigmoid(np.array([models[k].margin(v[k]) for v in views]) * scale[k][0] + scale[k][1])
+                for label, by in ((1, p), (0, 1 - p)):
+                    at = np.flatnonzero(by >= sure)
+                    found = best[k, label] + list(zip((-by[at]).tolist(), rid[at].tolist(), strict=True))
+                    best[k, label] = sorted(found)[:most]
+        rows = [(k, label, r, -q) for (k, label), found in best.items() for q, r in found]
+        yield pd.DataFrame(rows, columns=["view", "label", "rid", "p"])
+
+    found = stage(unlabelled.select("rid", *_VIEWS).mapInPandas(run, "view string, label int, rid long, p double"), "surest")
+    got = []
+    for k in _KINDS:
+        for label in (1, 0):
+            top = found.where((F.col("view") == k) & (F.col("label") == label)).orderBy(F.desc("p"), "rid").limit(most).select("rid").collect()
+            got += [(k, label, r["rid"]) for r in top if r["rid"] not in taken[_OTHER[k]]]
+    release(found)
+    return got
+
+
+def fit(seen: DataFrame, labels: DataFrame, most_fitted: int = 8_000, rounds: int = 3, sure: float = 0.97, share: float = 0.1):
+    """Models, calibrations and their combination, from ``viewed`` rows that
+    ``labels`` covers (quality 0 or toxic 1: bad) and from all others; None if
+    there are no documents of both kinds."""
+    known = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
+    known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)).alias("bad"))
+    # the least hashes: exact at any size, each id once, and at most this many rows reach the driver
+    ids = known.join(seen.select("id").distinct(), "id", "left_semi").orderBy(F.xxhash64("id", F.lit(11)), "id").limit(most_fitted)
+    got = seen.select("id", *_VIEWS).join(F.broadcast(ids), "id").dropDuplicates(["id"]).toPandas().sort_values("id", kind="stable")
+    y = got["bad"].to_numpy("i8")
     if len(y) < 10 or y.min() == y.max():
         return None
-
-    def of(rows, mask):
-        return [r for r, k in zip(rows, mask, strict=True) if k]
-
-    return co_train(of(text, labelled), of(meta, labelled), y, of(text, ~labelled), of(meta, ~labelled))
+    rows = [_read(*r) for r in zip(*(got[c] for c in _VIEWS), strict=True)]
+    held = np.zeros(len(y), bool)
+    held[np.random.default_rng(7).permutation(len(y))[: len(y) // 5]] = True
+    others = seen.where("id is not null").join(known.select("id"), "id", "left_anti")
+    given: dict[str, list] = {"text": [], "meta": []}
+    taken: dict[str, set] = {"text": set(), "meta": set()}
+    for _ in range(rounds):
+        models, scale = _fitted(rows, y, held, given)
+        picked = _surest(others, models, scale, sure, max(1, int(share * most_fitted)), taken)
+        if not picked:
+            break
+        wanted = seen.sparkSession.createDataFrame([(r,) for r in sorted({r for _, _, r in picked})], "rid long")
+        views = {r["rid"]: _read(*(r[c] for c in _VIEWS)) for r in seen.select("rid", *_VIEWS).join(F.broadcast(wanted), "rid").collect()}
+        for k, label, rid in picked:
+            if rid not in taken[_OTHER[k]]:
+                taken[_OTHER[k]].add(rid)
+                given[_OTHER[k]].append((views[rid], label))
+    models, scale = _fitted(rows, y, held, given)
+    logits = np.array([[models[k].margin(rows[i][k]) * scale[k][0] + scale[k][1] for k in _KINDS] for i in np.flatnonzero(held)])
+    return models, scale, platt(np.clip(logits, -12, 12), y[held])
 
 
-def score(docs: DataFrame, model, keep: list[str] | None = None, threshold: float = 0.5) -> DataFrame:
-    """Probabilities of being bad by view and together, for every whole text."""
-    made = ["text_score", "meta_score", "score", "kept"]
-    names = [c for c in keep or ["doc_id"] if c not in made]
-    fields = docs.select(*names).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", text_score double, meta_score double, score double, kept boolean"
-    view = docs.select(*names, F.coalesce("text", F.lit("")).alias("_text"), *[(F.col(c).cast(t) if c in docs.columns else F.lit(None).cast(t)).alias(f"_{c}") for c, t in (("source", "string"), ("lang", "string"), ("n_chars", "double"))])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def score(seen: DataFrame, model, threshold: float = 0.5) -> DataFrame:
+    """``row`` and the probabilities of being bad by view and together."""
+    schema = T.StructType([seen.schema["row"], *[T.StructField(c, T.DoubleType()) for c in ("text_score", "meta_score", "score")], T.StructField("kept", T.BooleanType())])
+    shared = seen.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         import pyarrow as pa
 
         models, scale, mix = shared.value if shared.value else (None, None, None)
         for batch in batches:
-            text, *rest = [batch.column(c).to_pylist() for c in ("_text", "_source", "_lang", "_n_chars")]
             if models is None:
-                scores = [np.zeros(len(text))] * 3
+                scores = [np.zeros(batch.num_rows)] * 3
             else:
-                t = np.array([models["text"].margin(text_view(x)) for x in text]) * scale["text"][0] + scale["text"][1]
-                m = np.array([models["meta"].margin(meta_view(*r)) for r in zip(*rest, text, strict=True)]) * scale["meta"][0] + scale["meta"][1]
+                views = [_read(*r) for r in zip(*(batch.column(c).to_pylist() for c in _VIEWS), strict=True)]
+                t, m = (np.array([models[k].margin(v[k]) for v in views]) * scale[k][0] + scale[k][1] for k in _KINDS)
                 both = np.clip(np.column_stack([t, m]).reshape(-1, 2), -12, 12)
                 scores = [_sigmoid(t), _sigmoid(m), _sigmoid(both @ mix[:2] + mix[2])]
-            arrays = [batch.column(c) for c in names] + [pa.array(x, pa.float64()) for x in scores] + [pa.array(scores[2] < threshold, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(arrays, [*names, "text_score", "meta_score", "score", "kept"])
+            arrays = [batch.column("row"), *[pa.array(x, pa.float64()) for x in scores], pa.array(scores[2] < threshold, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "text_score", "meta_score", "score", "kept"])
 
-    return view.mapInArrow(run, schema)
+    return seen.select("row", *_VIEWS).mapInArrow(run, schema)
+
+
+def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], most_fitted: int) -> DataFrame:
+    seen = stage(viewed(docs, keep), "views")
+    return score(seen, fit(seen, labels, most_fitted))
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, most_fitted: int = 8_000) -> DataFrame:
@@ -274,6 +313,14 @@ def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
     Null texts are empty, null metadata has a value of its own, repeated rows
     score alike, rows without doc_id are scored but never fitted on, a document
     with contradicting labels is bad. Without labels of both kinds every
-    document is kept with score 0. Empty in, empty out.
+    document is kept with score 0. Empty in, empty out. New columns replace any
+    of the same name; ``accepted`` has none.
     """
-    return score(docs, fit(docs, labels, most_fitted), keep)
+    made = ["text_score", "meta_score", "score", "kept"]
+    names = [c for c in keep or ["doc_id"] if c not in made]
+    return _scored(docs, labels, names, most_fitted).select(*[F.col(f"row.`{c}`").alias(c) for c in names], *made)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, most_fitted: int = 8_000) -> DataFrame:
+    """The rows of ``docs`` that the classifier keeps, with exactly their columns."""
+    return _scored(docs, labels, docs.columns, most_fitted).where("kept").select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
