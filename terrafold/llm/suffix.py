@@ -53,7 +53,9 @@ _PACKED = "rid long, i int, n int, base binary, lo binary, hi binary, letters bi
 _LEFT = "rid long, i int, base int, lo int, hi int, l0 long, l1 long, l2 long, check long, span int"
 _MERGED = "rid long, i int, base int, pair int, k0 long, k1 long, k2 long, own int, names array<long>, ends array<int>"
 _FOUND = "rid long, base int, shared int, before int, part int, side int, pair int, k0 long, k1 long, names array<long>, ends array<int>, own int"
-_JUDGED = "rid long, base int, lo int, hi int, times int, core long, w1 long, w2 long"
+_JUDGED = "rid long, key long, base int, lo int, hi int, times int"
+_STRINGS = "rid long, p int, times int, h1 long, h2 long"
+_BLOCKS = "rid long, lo int, hi int, times int, core long, w1 long, w2 long"
 
 
 def _reach(length: int, gram: int) -> int:
@@ -351,8 +353,9 @@ def _unpacked(packed: DataFrame, repeated: DataFrame) -> DataFrame:
 
 
 def _named(rows: DataFrame, keys: list[str], stage, name: str) -> DataFrame:
-    """Ranks of the distinct keys in their sorted order, by prefix sums over the
-    sorted partitions, with how many rows have them and the first of these."""
+    """The distinct keys in their sorted order, with how many rows have them, the
+    first of these, and how many rows have smaller keys (``at``), by prefix sums
+    over the sorted partitions."""
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "i")).alias("first"))
     distinct = stage(counts.select(*keys, "n", F.col("first.rid").alias("rid0"), F.col("first.i").alias("i0")), f"{name}-keys")
     kinds = ", ".join(f"{k} long" for k in keys)
@@ -362,47 +365,66 @@ def _named(rows: DataFrame, keys: list[str], stage, name: str) -> DataFrame:
 
         part, at = TaskContext.get().partitionId(), 0
         for pdf in batches:
-            pdf["part"], pdf["local"] = part, np.arange(at, at + len(pdf))
-            at += len(pdf)
+            n = pdf["n"].to_numpy("i8")
+            pdf["part"], pdf["local"] = part, at + np.cumsum(n) - n
+            at += int(n.sum())
             yield pdf
 
     order = distinct.repartitionByRange(*keys).sortWithinPartitions(*keys)
     numbered = stage(order.mapInPandas(number, f"{kinds}, n long, rid0 long, i0 int, part int, local long"), f"{name}-ranks")
-    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("m"))
+    sizes = numbered.groupBy("part").agg(F.sum("n").alias("m"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    bases = sizes.select("part", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("at"))
-    return numbered.join(F.broadcast(bases), "part").select(*keys, "n", "rid0", "i0", (F.col("at") + F.col("local") + 1).alias("rank"))
+    bases = sizes.select("part", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start"))
+    return numbered.join(F.broadcast(bases), "part").select(*keys, "n", "rid0", "i0", (F.col("start") + F.col("local")).alias("at"))
 
 
 def named_sample(left: DataFrame, enough: int, stage, drop) -> DataFrame:
     """The sampled suffixes (1 and 2 modulo 3) with ``name`` (of the triple of
     letters) and ``rank`` (of names of names, until unique or ``enough`` long), how
-    many bytes that covers, how many suffixes have it and whether this is the first."""
+    many bytes that covers, how many suffixes have it and whether this is the first.
+
+    A rank is one more than the number of suffixes with smaller ones. So a group of
+    equal suffixes is refined within its own ranks, and groups that are unique or
+    long enough are left alone.
+    """
     triple, kept = ["l0", "l1", "l2", "check"], ["rid", "i", "base", "l0", "l1", "span", "name", "rank", "covers", "n", "first"]
     first = ((F.col("rid") == F.col("rid0")) & (F.col("i") == F.col("i0"))).alias("first")
     sample = left.where("i % 3 <> 0").drop("lo", "hi")
-    now = sample.join(_named(sample, triple, stage, "names-3"), triple).select(*kept[:6], F.col("rank").alias("name"), "rank", F.col("span").alias("covers"), "n", first)
+    rank = (F.col("at") + 1).alias("rank")
+    now = sample.join(_named(sample, triple, stage, "names-3"), triple).select(*kept[:6], rank.alias("name"), rank, F.col("span").alias("covers"), "n", first)
     now = stage(now, "sample-3")
     drop("names-3-keys", "names-3-ranks")
-    covered = 3
+    covered, few = 3, False
     while True:
-        order = Window.partitionBy("rid", F.col("i") % 3).orderBy("i")
-        later = {k: F.lead(F.struct("i", "rank", (F.col("base") + F.col("covers")).alias("end")), k * covered // 3).over(order) for k in (1, 2)}
-        keyed = now
-        for k in (1, 2):
-            keyed = keyed.withColumn(f"next{k}", F.when(later[k]["i"] == F.col("i") + k * covered, later[k]))
-        keyed = keyed.withColumn("next2", F.when(F.col("next1").isNotNull(), F.col("next2")))
+        again = (F.col("n") > 1) & (F.col("covers") < enough)
+        if few:  # what few suffixes need is looked up by place
+            open_ = now.where(again)
+            for k in (1, 2):
+                later = now.select("rid", (F.col("i") - k * covered).alias("i"), F.struct("rank", "base", (F.col("base") + F.col("covers")).alias("end")).alias(f"next{k}"))
+                open_ = open_.join(later, ["rid", "i"], "left")
+        else:
+            order = Window.partitionBy("rid", F.col("i") % 3).orderBy("i")
+            open_ = now
+            for k in (1, 2):
+                later = F.lead(F.struct("i", "rank", "base", (F.col("base") + F.col("covers")).alias("end")), k * covered // 3).over(order)
+                open_ = open_.withColumn(f"next{k}", F.when(later["i"] == F.col("i") + k * covered, later))
+            open_ = open_.where(again)
+        # what was left alone earlier, or ends where a base has dropped out, covers less and may not reach so far
+        open_ = open_.withColumn("next1", F.when(F.col("base") + F.col("covers") >= F.col("next1.base"), F.col("next1")))
+        open_ = open_.withColumn("next2", F.when(F.col("next1.end") >= F.col("next2.base"), F.col("next2")))
         reached = F.coalesce("next2.end", "next1.end", F.col("base") + F.col("covers")) - F.col("base")
-        keyed = keyed.select(*kept, F.col("rank").alias("k0"), F.coalesce("next1.rank", F.lit(0)).alias("k1"), F.coalesce("next2.rank", F.lit(0)).alias("k2"), reached.alias("reached"))
+        keyed = open_.select(*kept, F.col("rank").alias("k0"), F.coalesce("next1.rank", F.lit(0)).alias("k1"), F.coalesce("next2.rank", F.lit(0)).alias("k2"), reached.alias("reached"))
         keyed = stage(keyed, f"keyed-{covered}")
-        drop(f"sample-{covered}")
-        if keyed.where((F.col("n") > 1) & (F.col("covers") < enough) & (F.col("k1") > 0)).isEmpty():
-            return keyed.select(*kept)
+        if keyed.where("k1 > 0").isEmpty():
+            return now
         keys = ["k0", "k1", "k2"]
         ranks = _named(keyed, keys, stage, f"names-{3 * covered}")
-        joined = keyed.drop("rank", "covers", "n", "first").join(ranks, keys)
-        now = stage(joined.select(*kept[:7], "rank", F.col("reached").alias("covers"), "n", first), f"sample-{3 * covered}")
-        drop(f"keyed-{covered}", f"names-{3 * covered}-keys", f"names-{3 * covered}-ranks")
+        starts = ranks.groupBy("k0").agg(F.min("at").alias("from"))
+        ranks = ranks.join(starts, "k0").withColumn("rank", F.col("k0") + F.col("at") - F.col("from"))
+        finer = keyed.drop("rank", "covers", "n", "first").join(ranks, keys).select(*kept[:7], "rank", F.col("reached").alias("covers"), "n", first)
+        few = 3 * covered >= 27
+        now = stage(finer.unionByName(now.where(~again)), f"sample-{3 * covered}")
+        drop(f"sample-{covered}", f"keyed-{covered}", f"names-{3 * covered}-keys", f"names-{3 * covered}-ranks")
         covered *= 3
 
 
@@ -608,33 +630,38 @@ def _within(lo: np.ndarray, hi: np.ndarray, first: np.ndarray, end: np.ndarray):
     return gap, np.maximum(lo[gap], first[run]), np.minimum(hi[gap], end[run] - 1)
 
 
-def _judge(length: int, words: bool):
-    """For each text: what neighbours settled (times 0), blocks of the gaps that are
-    open (1), and of the strings that stand for settled ones (2)."""
+def _batches(schema: str):
+    """Puts arrays together to a batch of the schema."""
+    names = [f.split()[0] for f in schema.split(", ")]
 
-    def run(batches):
+    def made(rows):
         import pyarrow as pa
 
-        names = [f.split()[0] for f in _JUDGED.split(", ")]
-        kinds = [pa.int64() if f.endswith("long") else pa.int32() for f in _JUDGED.split(", ")]
+        kinds = [pa.int64() if f.endswith("long") else pa.int32() for f in schema.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([r[c] for r in rows])).cast(t) for c, t in enumerate(kinds)], names)
 
-        def made(rows):
-            joined = [np.concatenate([r[c] for r in rows]) for c in range(len(names))]
-            return pa.RecordBatch.from_arrays([pa.array(x).cast(t) for x, t in zip(joined, kinds, strict=True)], names)
+    return made
 
+
+def _judge(length: int):
+    """For each text: what neighbours settled (times 0), the parts of gaps that are
+    open (1), and those with the strings that stand for settled ones (2)."""
+    made = _batches(_JUDGED)
+
+    def run(batches):
         for batch in batches:
-            cuts, gap = _lists(batch, "gaps", ("base", "lo", "hi"))
+            cuts, gap = _lists(batch, "gaps", ("base", "lo", "hi", "key"))
             marks, near = _lists(batch, "near", ("base", "shared", "before"))
             rids, copied, out, held = batch.column("rid").to_numpy(), batch.column("copied").to_pylist(), [], 0
             for k in range(batch.num_rows):
-                base, lo, hi = (x[cuts[k] : cuts[k + 1]] for x in gap)
+                base, lo, hi, key = (x[cuts[k] : cuts[k + 1]] for x in gap)
                 order = np.argsort(lo, kind="stable")
-                base, lo, hi = base[order], lo[order], hi[order]
+                base, lo, hi, key = base[order], lo[order], hi[order], key[order]
                 at, shared, before = (x[marks[k] : marks[k + 1]] for x in near)
                 end = at + shared - length + 1
                 first, last = _union(at, end)
                 none = np.zeros(len(first), "i8")
-                rows = [(np.full(len(first), rids[k]), none, first, last - 1, none, none, none, none)]
+                rows = [(np.full(len(first), rids[k]), none, none, first, last - 1, none)]
                 begin = np.maximum(at, at + before - length + 1)
                 stand = begin < end
                 size = int(hi[-1]) + 1 if len(hi) else 0
@@ -642,14 +669,11 @@ def _judge(length: int, words: bool):
                 stands = _union(begin[stand], end[stand])
                 if copied[k]:  # removed anyway: all its strings stand for those of other texts
                     opened, stands = (last[:0], last[:0]), (np.array([0]), np.array([size]))
-                data = None
                 for times, (x, y) in ((1, opened), (2, stands)):
                     own, p, q = _within(lo, hi, x, y)
                     good = p <= q
-                    if good.any():
-                        data = _symbols(batch.column("text")[k].as_py(), words) if data is None else data
-                        of, a, b, core, w1, w2 = blocks(data, base[own[good]], p[good], q[good], length)
-                        rows.append((np.full(len(a), rids[k]), base[own[good]][of], a, b, np.full(len(a), times), core, w1, w2))
+                    own = own[good]
+                    rows.append((np.full(len(own), rids[k]), key[own], base[own], p[good], q[good], np.full(len(own), times)))
                 out += rows
                 held += sum(len(r[0]) for r in rows)
                 if held > 50_000:
@@ -661,17 +685,34 @@ def _judge(length: int, words: bool):
     return run
 
 
-def _compared(length: int, words: bool):
-    """Two words of the hash of every string of the blocks that are still open."""
+def _cut_up(length: int, words: bool):
+    """The blocks of the gaps of each text."""
+    made = _batches(_BLOCKS)
 
     def run(batches):
-        import pyarrow as pa
+        for batch in batches:
+            cuts, (base, lo, hi, times) = _lists(batch, "ranges", ("base", "lo", "hi", "times"))
+            rids, out, held = batch.column("rid").to_numpy(), [], 0
+            for k in range(batch.num_rows):
+                own = slice(cuts[k], cuts[k + 1])
+                of, a, b, core, w1, w2 = blocks(_symbols(batch.column("text")[k].as_py(), words), base[own], lo[own], hi[own], length)
+                out.append((np.full(len(of), rids[k]), a, b, times[own][of], core, w1, w2))
+                held += len(of)
+                if held > 50_000:
+                    yield made(out)
+                    out, held = [], 0
+            if out:
+                yield made(out)
 
-        names = ["rid", "p", "times", "h1", "h2"]
+    return run
 
-        def made(rows):
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([r[c] for r in rows])).cast(t) for c, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))], names)
 
+def _compared(length: int, words: bool):
+    """Two words of the hash of every string of the blocks that are still open."""
+
+    made = _batches(_STRINGS)
+
+    def run(batches):
         for batch in batches:
             cuts, (lo, hi, times) = _lists(batch, "ranges", ("lo", "hi", "times"))
             rids, out, held = batch.column("rid").to_numpy(), [], 0
@@ -704,25 +745,33 @@ def repeated_spans(texts: DataFrame, length: int, stage, drop, words: bool = Fal
     near = found.where("side is null").select("rid", "base", "shared", "before").unionByName(_across(found).where(F.col("shared") >= length))
     near = near.unionByName(merged.where("pair < 0").select("rid", "base", F.col("own").alias("shared"), F.col("own").alias("before")))
     near = near.groupBy("rid").agg(F.collect_list(F.struct("base", "shared", "before")).alias("near"))
-    gaps_of = left.where("lo <= hi").groupBy("rid").agg(F.collect_list(F.struct("base", "lo", "hi")).alias("gaps"))
-    given = texts.join(gaps_of.join(near, "rid", "left"), "rid")
-    judged = stage(given.mapInArrow(_judge(length, words), _JUDGED), "judged")
+    # two letters from the base lie in every string that has it
+    key = F.xxhash64("l0", "l1")
+    gaps_of = left.where("lo <= hi").groupBy("rid").agg(F.collect_list(F.struct("base", "lo", "hi", key.alias("key"))).alias("gaps"))
+    given = gaps_of.join(near, "rid", "left").join(texts.select("rid", "copied"), "rid")
+    judged = stage(given.mapInArrow(_judge(length), _JUDGED), "judged")
     drop("left", "adjacent", "merged")
-    cut = judged.where("times > 0")
-    # of what repeats, only what concerns an open block goes on
+    # of what repeats, only what concerns an open gap goes on
+    open_ = judged.where("times = 1")
+    concerned = open_.unionByName(judged.where("times = 2").join(open_.select("key").distinct(), "key", "left_semi").select(*open_.columns))
+    ranges = concerned.groupBy("rid").agg(F.collect_list(F.struct("base", "lo", "hi", "times")).alias("ranges"))
+    cut = stage(texts.select("rid", "text").join(ranges, "rid").mapInArrow(_cut_up(length, words), _BLOCKS), "blocks")
     cores = cut.groupBy("core").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("core")
-    wholes = cut.where("w1 <> 0 or w2 <> 0").groupBy("w1", "w2").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("w1", "w2", F.lit(True).alias("again"))
-    alive = cut.join(cores, "core", "left_semi").join(wholes, ["w1", "w2"], "left").select("rid", "lo", "hi", "times", "core", F.coalesce("again", F.lit(False)).alias("again"))
-    alive = stage(alive, "alive")
+    # blocks that are not whole have no hash, and no part in the join by it
+    whole = cut.where("w1 <> 0 or w2 <> 0")
+    wholes = whole.groupBy("w1", "w2").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("w1", "w2", F.lit(True).alias("again"))
+    kept = ["rid", "lo", "hi", "times", "core"]
+    alive = whole.join(wholes, ["w1", "w2"], "left").select(*kept, F.coalesce("again", F.lit(False)).alias("again")).unionByName(cut.where("w1 = 0 and w2 = 0").select(*kept, F.lit(False).alias("again")))
+    alive = stage(alive.join(cores, "core", "left_semi").select(*kept, "again"), "alive")
     # a block repeated as a whole is settled, yet its strings may meet those of an open block with the same core
     still = alive.where("times = 1 and not again").select("core").distinct()
     single = alive.join(still, "core", "left_semi").groupBy("rid").agg(F.collect_list(F.struct("lo", "hi", F.when(F.col("again"), 2).otherwise(F.col("times")).alias("times"))).alias("ranges"))
-    single = stage(texts.select("rid", "text").join(single, "rid").mapInArrow(_compared(length, words), "rid long, p int, times int, h1 long, h2 long"), "strings")
+    single = stage(texts.select("rid", "text").join(single, "rid").mapInArrow(_compared(length, words), _STRINGS), "strings")
     again = single.groupBy("h1", "h2").agg(F.sum("times").alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1").select("h1", "h2")
     points = single.where("times = 1").join(again, ["h1", "h2"], "left_semi").select("rid", F.col("p").alias("lo"), F.col("p").alias("hi"))
     settled = alive.where("times = 1 and again").select("rid", "lo", "hi")
     spans = stage(judged.where("times = 0").select("rid", "lo", "hi").unionByName(settled).unionByName(points), "spans")
-    drop("judged", "strings", "alive")
+    drop("judged", "blocks", "strings", "alive")
     return spans
 
 
