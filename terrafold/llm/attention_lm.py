@@ -12,7 +12,7 @@ Word counts cover the whole vocabulary of all training documents and grow with
 them: each pack of documents asks for the counts of its distinct words, so a
 frequent word is one entry a pack. The size of the attention layer is fixed. It is
 trained in numpy on every window of the training documents: these are dealt by
-their content into blocks of about 2 million words, each block is worked off in a
+their content and id into blocks of about 2 million words, each block is worked off in a
 fixed order from the same start, and the weights are averaged. The model depends
 on the documents alone, not on the number of tasks.
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import new_path
-from .encoder import default_path, encoder
+from .encoder import default_path
 
 _HALF, _DIM, _TOP, _CLASSES, _END = 32, 16, 2048, 48, 50256
 _IDS = 1 << 16
@@ -54,14 +54,23 @@ _MIXED = _mixed(np.arange(1, _IDS + 1, dtype="u8") * _ODD)
 class Words(dict):
     """word in bytes -> its ids as unsigned 16-bit integers; bounded."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 300_000):
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+
         super().__init__()
-        self.encoder, self.most = encoder(path, "bytes", 0), most
-        tokenizer, space = self.encoder.tokenizer, self.encoder.letters[32]
-        self.begins = np.array([(tokenizer.id_to_token(k) or "").startswith(space) for k in range(self.encoder.size)])
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        if max(ranks.values()) >= _END:
+            raise ValueError("the id of the end is taken")
+        self.encoding, self.most = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), most
+        self.begins = np.zeros(_IDS, bool)
+        self.begins[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
 
     def __missing__(self, word: bytes) -> bytes:
-        return self.encoder[" " + word.decode()]
+        return self.encoding.encode_to_numpy(" " + word.decode()).astype("<u2").tobytes()
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of words: those without a blank of any script are encoded together,
@@ -71,7 +80,7 @@ class Words(dict):
         found = {w: self[w] for w, t in text.items() if t.split() != [t]}
         for a in range(0, len(plain), 20_000):
             some = plain[a : a + 20_000]
-            ids = np.array(self.encoder.tokenizer.encode(" " + b" ".join(some).decode(), add_special_tokens=False).ids, "<u2")
+            ids = self.encoding.encode_to_numpy(" " + b" ".join(some).decode()).astype("<u2")
             starts = np.flatnonzero(self.begins[ids])
             cuts = np.append(starts, len(ids)) * 2
             raw = ids.tobytes()
@@ -147,6 +156,19 @@ class Pack:
         self.real = self.first != _END
         self.train = np.repeat(~self.held, self.size)
 
+    def parts(self, most: int = 200_000):
+        """The pack in parts of whole texts with about ``most`` words, and their first word."""
+        ends, a = np.cumsum(self.size), 0
+        while a < len(self.size):
+            begin = int(ends[a] - self.size[a])
+            b = max(a + 1, int(np.searchsorted(ends, begin + most, "right")))
+            own, part = slice(begin, int(ends[b - 1])), object.__new__(Pack)
+            first, last = self.starts[begin], self.starts[own.stop - 1] + self.lens[own.stop - 1]
+            part.size, part.held, part.ids, part.lens = self.size[a:b], self.held[a:b], self.ids[first:last], self.lens[own]
+            part.starts, part.first, part.last, part.real, part.train = self.starts[own] - first, self.first[own], self.last[own], self.real[own], self.train[own]
+            yield part, own
+            a = b
+
     def words(self) -> np.ndarray:
         """A 64-bit hash of the ids of each word."""
         place = np.arange(len(self.ids), dtype="i4") - np.repeat(self.starts.astype("i4"), self.lens)
@@ -458,7 +480,7 @@ def score_texts(docs: DataFrame, tokenizer_path: str | None = None, turns: int =
     Without training documents all counts are 0. Empty in, empty out. ``mix`` is
     the share of the word unigram in the score, ``turns`` the passes of training.
     """
-    spark, path = docs.sparkSession, tokenizer_path or default_path("byte_bpe_50k.json")
+    spark, path = docs.sparkSession, tokenizer_path or default_path("byte_bpe_50k.tiktoken")
     folder = new_path(spark, "lm")
 
     def stage(df: DataFrame, name: str) -> DataFrame:
@@ -528,12 +550,12 @@ def score_texts(docs: DataFrame, tokenizer_path: str | None = None, turns: int =
         import pandas as pd
 
         for row in _rows(batches):
-            pack, out = Pack(row), []
+            pack, out, docs = Pack(row), [], np.frombuffer(row.doc, "<i8")
             ends = np.cumsum(pack.size)
             for k in np.flatnonzero(~pack.held):
                 own = slice(ends[k] - pack.size[k], ends[k])
                 f, e = pack.first[own].tobytes(), pack.last[own].tobytes()
-                key = zlib.crc32(f)
+                key = zlib.crc32(f, int(docs[k]) & 0xFFFFFFFF)  # copies go to many blocks
                 out.append((key % n_blocks, key, f, e))
             yield pd.DataFrame(out, columns=["block", "key", "first", "last"])
 
@@ -556,7 +578,8 @@ def score_texts(docs: DataFrame, tokenizer_path: str | None = None, turns: int =
                 got[order] = np.frombuffer(b"".join(c["counts"] for c in sorted(row.counts, key=lambda c: c["bucket"])), "<i8")
             count = np.full(len(pack.first), train_docs, "f8")
             count[pack.real] = got[of]
-            known, base, score = pack_scores(pack, count, shared.value, final.value, numbers, mix)
+            sums = [pack_scores(part, count[own], shared.value, final.value, numbers, mix) for part, own in pack.parts()]
+            known, base, score = (np.concatenate(x) for x in zip(*sums, strict=True))
             doc = pd.Series(np.frombuffer(row.doc, "<i8"), dtype="Int64").mask(np.frombuffer(row.missing, "?"))
             yield pd.DataFrame({"rid": np.frombuffer(row.rid, "<i8"), "doc_id": doc, "held_out": pack.held, "n_tokens": pack.size, "n_known": known, "base_score": base, "score": score})
 
