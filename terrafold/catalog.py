@@ -12,6 +12,7 @@ from .operators import corpus, provenance, retrieval, runs
 from .operators.filters import haversine_miles, lookup, matching, search
 from .oracle import over_permits, over_properties
 from .plans import consolidate as plan
+from .sources.shared import kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -174,5 +175,28 @@ add("k4_content_hash", lambda s, d: plan.table(s, d, "documents").select("doc_id
 add("k2_chunks", lambda s, d: corpus.chunks(plan.table(s, d, "documents")).select("chunk_id", "doc_id", "chunk_count", "n_chars", "source_hash"))
 add("k1_heading_sections", lambda s, d: corpus.heading_sections(plan.table(s, d, "pages")))
 add("k9_headline", lambda s, d: plan.table(s, d, "documents").select("doc_id", corpus.headline(F.col("text")).alias("headline")))
-add("l2_terms", lambda s, d: retrieval.postings(plan.table(s, d, "documents"), "doc_id", "text").groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")))
-add("l5_bm25", lambda s, d: retrieval.top(retrieval.bm25(plan.table(s, d, "documents").select("doc_id", "text"), plan.table(s, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question")), "doc_id", "text"), "doc_id", "doc_id", 5, 0.0))
+_STOP = ", ".join(f"'{w}'" for w in retrieval.STOP_WORDS)
+_STEM = "CASE WHEN length(t) <= 3 OR contains(t, '_') THEN t WHEN t LIKE '%ies' AND length(t) > 4 THEN left(t, -3) || 'y' WHEN t LIKE '%sses' THEN left(t, -2) WHEN t LIKE '%ss' THEN t WHEN t LIKE '%s' AND t NOT LIKE '%us' AND t NOT LIKE '%is' THEN left(t, -1) WHEN t LIKE '%ing' AND length(t) > 5 THEN left(t, -3) WHEN t LIKE '%ed' AND length(t) > 4 THEN left(t, -2) ELSE t END"
+
+
+def normal_sql(text: str) -> str:
+    return f"trim(regexp_replace(translate(lower({text}), '‘’“”–—', '\'\'\'\'\"\"--'), '[\\s\\x0B\\x85\\p{{Z}}]+', ' ', 'g'))"
+
+
+def terms_sql(table: str, key: str, text: str) -> str:
+    raw = f"SELECT {key}, unnest(string_split(regexp_replace({normal_sql(text)}, '[^a-z0-9_]+', ' ', 'g'), ' ')) AS r FROM {table}"
+    parts = f"SELECT {key}, unnest(CASE WHEN contains(r, '_') THEN list_concat([r], string_split(r, '_')) ELSE [r] END) AS t FROM ({raw}) WHERE r <> ''"
+    return f"SELECT {key}, {_STEM} AS term FROM ({parts}) WHERE t <> '' AND (length(t) > 1 OR t BETWEEN '0' AND '9') AND t NOT IN ({_STOP})"
+
+
+def document_postings(s: SparkSession, d: str) -> DataFrame:
+    """Postings of all documents, kept as a table."""
+    return kept(s, "postings", (d,), lambda: retrieval.postings(plan.table(s, d, "documents"), "doc_id", "text"))
+
+
+def benchmark_questions(s: SparkSession, d: str) -> DataFrame:
+    return plan.table(s, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
+
+
+add("l2_terms", lambda s, d: document_postings(s, d).groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")), f"SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM ({terms_sql('documents', 'doc_id', 'text')}) GROUP BY 1")
+add("l5_bm25", lambda s, d: retrieval.top(retrieval.bm25(plan.table(s, d, "documents").select("doc_id", "text"), benchmark_questions(s, d), "doc_id", "text", document_postings(s, d)).select("query_id", "doc_id", "score", "overlap"), "doc_id", "doc_id", 5, 0.0))

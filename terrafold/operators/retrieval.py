@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
 #: Words that carry no meaning.
 STOP_WORDS = ("a an and are as at be been being but by for from had has have if in into is it its of on or over that the their them then there these they this those "
               "to was were with i we you me my our your do does did can could would should will shall may might must am so than too very just about any all each more "
@@ -44,21 +46,31 @@ def tokenise(text: Column) -> Column:
     return F.transform(kept, stem)
 
 
+def terms(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """``tokenise`` as rows (key, term), so that filters and stems are plain columns."""
+    t = F.col("t")
+    raw = rows.select(key, F.explode(F.split(F.regexp_replace(normalise(F.col(text)), "[^a-z0-9_]+", " "), " ")).alias("t")).where(t != "")
+    parts = raw.select(key, F.explode(F.when(t.contains("_"), F.concat(F.array(t), F.split(t, "_"))).otherwise(F.array(t))).alias("t"))
+    kept = parts.where((t != "") & ((F.length(t) > 1) | t.between("0", "9")) & ~t.isin(*STOP_WORDS))
+    return kept.select(key, stem(t).alias("term"))
+
+
 def postings(chunks: DataFrame, key: str, text: str) -> DataFrame:
-    return chunks.select(key, F.explode(tokenise(F.col(text))).alias("term")).groupBy("term", key).agg(F.count(F.lit(1)).alias("tf"))
+    return terms(chunks, key, text).groupBy("term", key).agg(F.count(F.lit(1)).alias("tf"))
 
 
-def bm25(chunks: DataFrame, queries: DataFrame, key: str, text: str) -> DataFrame:
+def bm25(chunks: DataFrame, queries: DataFrame, key: str, text: str, post: DataFrame | None = None) -> DataFrame:
     """(query_id, key, score, overlap): score in [0, 1), rounded to four places.
 
-    Statistics are over the whole corpus; each typed term counts once.
+    Statistics are over the whole corpus; each typed term counts once. ``post``:
+    the postings, if they are kept as a table already.
     """
-    post = postings(chunks, key, text)
+    post = written(postings(chunks, key, text), "postings") if post is None else post
     lengths = post.groupBy(key).agg(F.sum("tf").alias("len"))
     stats = chunks.agg(F.count(F.lit(1)).alias("n_docs")).crossJoin(post.agg(F.sum("tf").alias("n_terms")))
-    typed = queries.select("query_id", F.explode(F.array_distinct(tokenise(F.col("question")))).alias("term"))
+    typed = terms(queries, "query_id", "question").distinct()
     wanted = typed.select("term").distinct()
-    own = post.join(wanted, "term")  # the index is touched only where a question asks
+    own = post.join(wanted, "term", "left_semi")  # the index is touched only where a question asks
     df = own.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = F.col("n_docs").cast("double")
     idf = F.log1p((n - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -66,7 +78,99 @@ def bm25(chunks: DataFrame, queries: DataFrame, key: str, text: str) -> DataFram
     scored = own.join(df, "term").join(lengths, key).crossJoin(F.broadcast(stats)).select("term", key, weight.alias("w"))
     size = typed.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_typed"))
     by = typed.join(scored, "term").groupBy("query_id", key).agg(F.sum("w").alias("s"), F.count(F.lit(1)).alias("hits"))
-    return by.join(size, "query_id").select("query_id", key, round4(F.col("s") / (F.col("s") + SCALE)).alias("score"), (F.col("hits") / F.col("n_typed")).alias("overlap"))
+    return by.join(size, "query_id").select("query_id", key, round4(F.col("s") / (F.col("s") + SCALE)).alias("score"), (F.col("hits") / F.col("n_typed")).alias("overlap"), "hits", "n_typed")
+
+
+EXPANDED = 0.45
+
+
+def expanded(queries: DataFrame, expansions: DataFrame) -> DataFrame:
+    """(query_id, term, weight): typed terms weigh 1, those that an expansion adds
+    0.45; the larger counts. ``expansions``: trigger and term; a trigger of one word
+    is met by a typed term of the same stem, one of several by standing in the text."""
+    typed = terms(queries, "query_id", "question").distinct()
+    stems = expansions.where(~F.col("trigger").contains(" ")).select(stem(F.lower("trigger")).alias("met"), stem(F.lower("term")).alias("term"))
+    by_word = typed.join(stems, typed["term"] == F.col("met")).select("query_id", stems["term"])
+    phrases = expansions.where(F.col("trigger").contains(" ")).select(normalise(F.col("trigger")).alias("phrase"), stem(F.lower("term")).alias("term"))
+    own = queries.select("query_id", F.concat(F.lit(" "), normalise(F.col("question")), F.lit(" ")).alias("q"))
+    first = own.withColumn("word", F.explode(F.array_distinct(F.split(F.trim("q"), " "))))
+    by_phrase = first.join(phrases.withColumn("word", F.substring_index("phrase", " ", 1)), "word").where(F.col("q").contains(F.col("phrase"))).select("query_id", "term")
+    added = by_word.unionByName(by_phrase).select("query_id", "term", F.lit(EXPANDED).alias("weight"))
+    return typed.withColumn("weight", F.lit(1.0)).unionByName(added).groupBy("query_id", "term").agg(F.max("weight").alias("weight"))
+
+
+def tfidf(post: DataFrame, key: str, n_docs: DataFrame) -> DataFrame:
+    """(term, key, w): (1 + ln tf) (ln((N + 1) / (df + 1)) + 1), of length 1 by key.
+    ``n_docs``: one row with N."""
+    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    raw = post.join(df, "term").crossJoin(F.broadcast(n_docs)).select("term", key, ((1 + F.log("tf")) * (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1)).alias("w"))
+    norm = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return raw.join(norm, key).select("term", key, (F.col("w") / F.col("norm")).alias("w"))
+
+
+def cosine(a: Column, b: Column) -> Column:
+    """Dot product of two arrays, at least 0."""
+    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    return F.greatest(dot, F.lit(0.0))
+
+
+def alias_scores(queries: DataFrame, aliases: DataFrame, key: str) -> DataFrame:
+    """(query_id, key, alias): the best of min(1, .6 + length / 40) over aliases of
+    three letters or more that stand in the question as whole phrases. Joined by
+    hash on the first word, then compared in full."""
+    own = queries.select("query_id", F.trim(F.regexp_replace(normalise(F.col("question")), "[^a-z0-9_]+", " ")).alias("q"))
+    known = aliases.select(key, F.trim(F.regexp_replace(normalise(F.col("alias")), "[^a-z0-9_]+", " ")).alias("a")).where(F.length("a") >= 3).withColumn("word", F.substring_index("a", " ", 1))
+    met = own.withColumn("word", F.explode(F.array_distinct(F.split("q", " ")))).join(known, "word")
+    hit = F.concat(F.lit(" "), F.col("q"), F.lit(" ")).contains(F.concat(F.lit(" "), F.col("a"), F.lit(" ")))
+    return met.where(hit).groupBy("query_id", key).agg(F.max(F.least(F.lit(1.0), 0.6 + F.length("a") / 40)).alias("alias"))
+
+
+def title_scores(queries: DataFrame, titles: DataFrame, key: str, vocabulary: DataFrame) -> DataFrame:
+    """(query_id, key, title): known query terms in the title / known query terms."""
+    known = terms(queries, "query_id", "question").distinct().join(vocabulary.select("term").distinct(), "term", "left_semi")
+    size = known.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    found = known.join(terms(titles, key, "title").distinct(), "term").groupBy("query_id", key).agg(F.count(F.lit(1)).alias("m"))
+    return found.join(size, "query_id").select("query_id", key, (F.col("m") / F.col("n")).alias("title"))
+
+
+def hybrid(chunks: DataFrame, queries: DataFrame, aliases: DataFrame, post: DataFrame, key: str, text: str = "text", semantic: DataFrame | None = None, types: tuple[str, list[str]] | None = None) -> DataFrame:
+    """(query_id, key, score, ...): the five signals of each chunk that any of them
+    finds, fused and damped. ``semantic``: (query_id, key, sem), if there is a latent
+    space. ``types``: column and values that candidates must have; statistics are
+    over all chunks."""
+    lexical = bm25(chunks, queries, key, text, post).withColumnRenamed("score", "lex")
+    vocabulary = post.select("term").distinct()
+    typed = terms(queries, "query_id", "question").distinct()
+    ground = typed.join(vocabulary.withColumn("known", F.lit(1)), "term", "left").groupBy("query_id").agg(F.count(F.lit(1)).alias("typed"), F.count("known").alias("known"))
+    parts = [lexical.select("query_id", key, "lex", "overlap"), alias_scores(queries, aliases, key), title_scores(queries, chunks.select(key, "title"), key, vocabulary)]
+    if semantic is not None:
+        parts.append(semantic)
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.join(p, ["query_id", key], "full")
+    found = found.join(chunks.select(key, text, *([types[0]] if types else [])), key)
+    if types:
+        found = found.where(F.col(types[0]).isin(*types[1]))
+    found = found.join(queries.select("query_id", "question"), "query_id").join(ground, "query_id")
+    zero = {c: F.coalesce(F.col(c), F.lit(0.0)) if c in found.columns else F.lit(0.0) for c in ("lex", "sem", "alias", "title", "overlap")}
+    phrase = F.when(phrase_hit(F.col("question"), F.col(text)), 1.0).otherwise(0.0)
+    score = fuse(zero["lex"], zero["sem"], zero["alias"], zero["title"], phrase, zero["overlap"], F.col("known"), F.col("typed"))
+    return found.select("query_id", key, score.alias("score"), *[c.alias(n) for n, c in zero.items()], phrase.alias("phrase"), "known", "typed")
+
+
+def answers(queries: DataFrame, ranked: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Every question once: band of its best score, or that it abstains, and a note
+    with up to six of its terms that the corpus does not know."""
+    unknown = terms(queries, "query_id", "question").distinct().join(vocabulary.select("term").distinct(), "term", "left_anti")
+    notes = unknown.groupBy("query_id").agg(F.array_join(F.slice(F.array_sort(F.collect_set("term")), 1, 6), ", ").alias("unknown"))
+    best = ranked.groupBy("query_id").agg(F.max("score").alias("best"), F.count(F.lit(1)).alias("n"))
+    out = queries.select("query_id").join(best, "query_id", "left").join(notes, "query_id", "left")
+    return out.select("query_id", F.coalesce("n", F.lit(0)).alias("n"), band(F.coalesce("best", F.lit(0.0))).alias("band"), F.col("n").isNull().alias("abstained"), F.coalesce("unknown", F.lit("")).alias("unknown"))
+
+
+def citations(ranked: DataFrame, chunks: DataFrame, key: str) -> DataFrame:
+    """Flat provenance of what was found: rank, chunk, title, source and score."""
+    return ranked.join(chunks.select(key, "title", "source"), key).select("query_id", "rank", key, "title", "source", "score", band(F.col("score")).alias("band"))
 
 
 def round4(x: Column) -> Column:

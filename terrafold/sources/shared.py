@@ -26,6 +26,13 @@ def _there(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table as Parquet in the shared folder: cuts lineage, and is read as often as needed."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def kept(spark: SparkSession, name: str, of: tuple, build: Callable[[], DataFrame]) -> DataFrame:
     """The table ``name`` derived from ``of``: written as Parquet when it is first
     asked for in an application, read from there afterwards. A table whose files
