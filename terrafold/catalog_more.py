@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .catalog import _STATS, SQL, add, over
+from .catalog import _STATS, SQL, add, normal_sql, over
 from .functions import dialect as d
 from .operators import aggregates as agg
 from .operators import interpret, provenance, retrieval
@@ -97,6 +97,6 @@ over("v1_search", lambda t: search(t, "roof_age_years", min_roof_age=20, has_per
 over("v3_metrics", lambda t: provenance.metric_record(agg.dataset_stats(t)), "SELECT metric, CAST(value AS DOUBLE) AS value FROM (UNPIVOT (" + _STATS + ") ON COLUMNS(*) INTO NAME metric VALUE value)")
 over("v5_tenant", lambda t: agg.out_of_state_ranking(t).crossJoin(F.broadcast(agg.owner_posture(t))), SQL["e11_out_of_state"].rpartition("\n")[2].replace("SELECT owner_mailing_state", "SELECT * FROM (SELECT owner_mailing_state") + ") CROSS JOIN (" + SQL["e8_owner_posture"].rpartition("\n")[2] + ")")
 over("v13_near_city", lambda t: t.crossJoin(F.broadcast(agg.city_centroid(t, "China"))).where("latitude is not null").where(F.abs(F.col("latitude") - F.col("lat")) < 0.1).select("property_id", F.round(F.col("latitude") - F.col("lat"), 6).alias("off")), "SELECT property_id, round(latitude - lat, 6) AS off FROM properties, (SELECT round(avg(latitude), 9) AS lat FROM properties WHERE upper(address_city) = 'CHINA') WHERE abs(latitude - lat) < 0.1")
-add("l13_phrases", lambda s, p: plan.table(s, p, "documents").select("doc_id", retrieval.phrase_hit(F.lit("the heed and thatnd this was"), F.col("text")).alias("hit")))
+add("l13_phrases", lambda s, p: plan.table(s, p, "documents").select("doc_id", retrieval.phrase_hit(F.lit("the heed and thatnd this was"), F.col("text")).alias("hit")), "SELECT doc_id, contains(t, 'the heed') OR contains(t, 'heed and') OR contains(t, 'and thatnd') OR contains(t, 'thatnd this') OR contains(t, 'this was') AS hit FROM (SELECT doc_id, " + normal_sql("text") + " AS t FROM documents)")
 add("l1_normalised", lambda s, p: plan.table(s, p, "benchmark").select("item_id", retrieval.normalise(F.col("text")).alias("t")), "SELECT item_id, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS t FROM benchmark")
 add("l18_bands", lambda s, p: plan.table(s, p, "embeddings").select("vec_id", retrieval.band(F.abs(F.col("embedding")[0]).cast("double")).alias("band")), "SELECT vec_id, CASE WHEN x >= 0.42 THEN 'high' WHEN x >= 0.29 THEN 'moderate' WHEN x >= 0.23 THEN 'low' ELSE 'none' END AS band FROM (SELECT vec_id, CAST(abs(embedding[1]) AS DOUBLE) AS x FROM embeddings)")

@@ -30,6 +30,23 @@ def windows(parts: Column, size: int = 1500, overlap: int = 200, hard: int = 300
     return F.aggregate(pieces, start, add, lambda s: F.concat(s["done"], F.array(s["open"])))
 
 
+def paragraph_windows(body: Column, size: int = 1500, overlap: int = 200, hard: int = 3000, step: int = 1300) -> Column:
+    """Paragraphs (between blank lines) folded into windows: one is closed when the
+    next paragraph would exceed ``size``, and the next begins with its last
+    ``overlap`` characters; a window over ``hard`` characters is cut by ``step``."""
+    parts = F.filter(F.split(body, "\n\\s*\n"), lambda x: F.trim(x) != "")
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+
+    def add(state, part):
+        joined = F.when(state["open"] == "", part).otherwise(F.concat(state["open"], F.lit("\n\n"), part))
+        tail = F.concat(F.substring(state["open"], -overlap, overlap), F.lit("\n\n"), part)
+        return F.when((state["open"] != "") & (F.length(joined) > size), F.struct(F.concat(state["done"], F.array(state["open"])).alias("done"), tail.alias("open"))).otherwise(F.struct(state["done"].alias("done"), joined.alias("open")))
+
+    folded = F.aggregate(parts, start, add, lambda s: F.filter(F.concat(s["done"], F.array(s["open"])), lambda x: x != ""))
+    cut = lambda w: F.transform(F.sequence(F.lit(0), F.floor((F.length(w) - 1) / step).cast("int")), lambda k: F.substr(w, k * step + 1, F.lit(size)))
+    return F.flatten(F.transform(folded, lambda w: F.when(F.length(w) > hard, cut(w)).otherwise(F.array(w))))
+
+
 def chunks(docs: DataFrame, least: int = 40) -> DataFrame:
     """Windows of each document with id ``doc#n``, count and content hash."""
     split = F.filter(F.split(tidy(F.coalesce("text", F.lit(""))), "\n+"), lambda x: F.trim(x) != "")
@@ -66,3 +83,32 @@ def headline(text: Column, most: int = 130) -> Column:
     first = F.regexp_extract(text, r"(?s)^(.*?[.!?])(?:\s|$)", 1)
     own = F.when(first == "", text).otherwise(first)
     return F.when(F.length(own) > most, F.concat(F.substring(own, 1, most - 3), F.lit("..."))).otherwise(own)
+
+
+def markdown_sections(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Sections of Markdown texts between headings of levels 1 to 4, with the trail
+    of headings above; lines in fences are no headings; empty sections drop out."""
+    lines = docs.select(key, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)).alias("line", "t"))
+    upto = Window.partitionBy(key).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    fence = F.ltrim("t").startswith("```")
+    lines = lines.withColumn("fenced", F.sum(fence.cast("int")).over(upto) % 2 == 1)
+    level = F.when(~F.col("fenced") & F.col("t").rlike(r"^#{1,4}\s"), F.length(F.regexp_extract("t", "^(#+)", 1)))
+    lines = lines.withColumn("level", level).withColumn("title", F.when(F.col("level").isNotNull(), tidy(F.regexp_extract("t", r"^#+\s+(.*)$", 1))))
+    lines = lines.withColumn("section", F.count("level").over(upto))
+    heads = {k: F.last(F.when(F.col("level") == k, F.struct("line", "title")), ignorenulls=True).over(upto) for k in range(1, 5)}
+    above = {k: F.max(F.when(F.col("level") < k, F.col("line"))).over(upto) for k in range(1, 5)}
+    deepest = F.last("level", ignorenulls=True).over(upto)
+    trail = [F.when((deepest >= k) & (heads[k]["line"] > F.coalesce(above[k], F.lit(-1))) & (heads[k]["title"] != ""), heads[k]["title"]) for k in range(1, 5)]
+    rows = lines.withColumn("trail", F.concat_ws(" > ", *trail)).where("level is null")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "t"))), lambda x: x["t"]), "\n")
+    return rows.groupBy(key, "section", "trail").agg(tidy(body).alias("body")).where("body <> ''")
+
+
+def link_edges(*parts: tuple[DataFrame, str, str, str]) -> DataFrame:
+    """Edges (source, target, kind) of several tables; each part is a table, the
+    columns of both ends and the kind. Repeated edges are one."""
+    out = None
+    for df, source, target, kind in parts:
+        own = df.where(F.col(source).isNotNull() & F.col(target).isNotNull()).select(F.col(source).cast("string").alias("source"), F.col(target).cast("string").alias("target"), F.lit(kind).alias("kind"))
+        out = own if out is None else out.unionByName(own)
+    return out.distinct()

@@ -148,12 +148,12 @@ def hybrid(chunks: DataFrame, queries: DataFrame, aliases: DataFrame, post: Data
     found = parts[0]
     for p in parts[1:]:
         found = found.join(p, ["query_id", key], "full")
-    found = found.join(chunks.select(key, text, *([types[0]] if types else [])), key)
+    found = found.join(chunks.select(key, normalise(F.col(text)).alias("plain"), *([types[0]] if types else [])), key)
     if types:
         found = found.where(F.col(types[0]).isin(*types[1]))
-    found = found.join(queries.select("query_id", "question"), "query_id").join(ground, "query_id")
+    found = found.join(queries.select("query_id", phrase_runs(F.col("question")).alias("runs")), "query_id").join(ground, "query_id")
     zero = {c: F.coalesce(F.col(c), F.lit(0.0)) if c in found.columns else F.lit(0.0) for c in ("lex", "sem", "alias", "title", "overlap")}
-    phrase = F.when(phrase_hit(F.col("question"), F.col(text)), 1.0).otherwise(0.0)
+    phrase = F.when(F.exists("runs", lambda r: F.col("plain").contains(r)), 1.0).otherwise(0.0)
     score = fuse(zero["lex"], zero["sem"], zero["alias"], zero["title"], phrase, zero["overlap"], F.col("known"), F.col("typed"))
     return found.select("query_id", key, score.alias("score"), *[c.alias(n) for n, c in zero.items()], phrase.alias("phrase"), "known", "typed")
 
@@ -170,7 +170,7 @@ def answers(queries: DataFrame, ranked: DataFrame, vocabulary: DataFrame) -> Dat
 
 def citations(ranked: DataFrame, chunks: DataFrame, key: str) -> DataFrame:
     """Flat provenance of what was found: rank, chunk, title, source and score."""
-    return ranked.join(chunks.select(key, "title", "source"), key).select("query_id", "rank", key, "title", "source", "score", band(F.col("score")).alias("band"))
+    return ranked.select("query_id", "rank", key, "score").join(chunks.select(key, "title", "source"), key).select("query_id", "rank", key, "title", "source", "score", band(F.col("score")).alias("band"))
 
 
 def round4(x: Column) -> Column:
@@ -196,12 +196,18 @@ def top(scored: DataFrame, key: str, doc: str, k: int = 5, floor: float = FLOOR,
     return kept.where(F.col("rank") <= k).drop("_d")
 
 
+def phrase_runs(question: Column) -> Column:
+    """Runs of two words over two letters. A longer run stands in a text only if its
+    first two words do, so these decide for runs of up to four words as well."""
+    words = F.filter(F.split(normalise(question), " "), lambda w: F.length(w) > 2)
+    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
+    return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
+
+
 def phrase_hit(question: Column, text: Column) -> Column:
     """Whether any run of 2 to 4 words over two letters stands in the text."""
-    words = F.filter(F.split(normalise(question), " "), lambda w: F.length(w) > 2)
-    runs = F.flatten(F.transform(F.sequence(F.lit(2), F.lit(4)), lambda n: F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))))
     plain = normalise(text)
-    return F.exists(runs, lambda r: plain.contains(r))
+    return F.exists(phrase_runs(question), lambda r: plain.contains(r))
 
 
 def evaluate(ranked: DataFrame, expected: DataFrame, doc: str) -> DataFrame:

@@ -53,3 +53,13 @@ def merge_window(known: DataFrame, changed: DataFrame, key: str, by: str) -> Dat
     rest = [c for c in both.columns if c not in (key, by)]
     best = both.groupBy(key).agg(F.max(F.struct(by, *rest)).alias("best"))
     return best.select(*[F.col(key) if c == key else F.col(f"best.{c}").alias(c) for c in both.columns])
+
+
+def trusted(pointers: DataFrame) -> DataFrame:
+    """Pointers whose read-back id is their root id, under the name that was asked."""
+    return pointers.where((F.col("read_back") == F.col("root")) & (F.col("name") == F.col("asked")))
+
+
+def served(run: DataFrame, bundled: DataFrame) -> DataFrame:
+    """A served run with the bundled fields; those of another run are null."""
+    return run.join(bundled, "run_id", "left")

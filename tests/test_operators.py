@@ -150,6 +150,91 @@ def test_questions(spark):
     assert (r[5]["owner_out_of_county"], r[5]["max_built_year"], r[5]["no_recorded_sale"], r[5]["q"]) == (True, 1979, True, None)
 
 
+FIXED = [  # question, filters that it sets, what is left as q
+    ("Which homes in Mount Dora have roofs older than 20 years?", {"city": "Mount Dora", "min_roof_age": 20}, None),
+    ("roofs 15 years or older in Dora", {"city": "Dora", "min_roof_age": 15}, None),
+    ("18 year old roofs", {"min_roof_age": 18}, None),
+    ("aging roofs with a permit", {"min_roof_age": 15, "has_permits": True}, None),
+    ("roofing permits", {"has_permits": True}, None),
+    ("outstanding roofing permits", {"has_open_roofing_permit": True}, None),
+    ("permits open for more than three years", {"min_open_permit_days": 1095}, None),
+    ("more than 2 years open, roofing permit", {"min_open_permit_days": 730, "has_open_roofing_permit": True}, None),
+    ("out-of-state owners", {"owner_out_of_state": True}, None),
+    ("owners outside the county", {"owner_out_of_county": True}, None),
+    ("absentee owners out of state", {"owner_out_of_state": True}, None),
+    ("never sold, business account", {"no_recorded_sale": True, "has_business_account": True}, None),
+    ("single family worth at least $1.5m", {"property_type": "SingleFamily", "min_market_value": 1500000.0}, None),
+    ("value under 250,000", {"max_market_value": 250000.0}, None),
+    ("worth over 900", {}, None),
+    ("built after 1999 and built before 2005", {"min_built_year": 2000, "max_built_year": 2004}, None),
+    ("homes of Smith in Mount Dora", {"city": "Mount Dora"}, "smith"),
+    ("parcels with no permits in Dora", {"city": "Dora"}, None),
+    ("buildings near me", {"property_type": "Building"}, "near"),
+    ("anything in Narnia", {}, "anything narnia"),
+]
+
+
+def test_fixed_questions(spark):
+    q = spark.createDataFrame([(k, f[0]) for k, f in enumerate(FIXED)], "query_id long, question string")
+    cities = spark.createDataFrame([("Mount Dora",), ("Dora",)], "entry string")
+    types = spark.createDataFrame([("SingleFamily",), ("Building",)], "entry string")
+    found = {r["query_id"]: r for r in interpret.interpret_questions(q, cities, types).collect()}
+    for k, (text, want, rest) in enumerate(FIXED):
+        r = found[k]
+        assert {n: r[n] for n in interpret.FILTERS if r[n] is not None} == want, text
+        assert (r["q"], r["declined"], r["about_parcels"]) == (rest, False, bool(want)), text
+
+
+@pytest.mark.parametrize("text", ["parcels not in Dora", "homes outside of Dora", "other than Dora", "everything except Dora", "away from Dora", "houses that aren't in Dora"])
+def test_exclusions_are_declined(spark, text):
+    q = spark.createDataFrame([(1, text)], "query_id long, question string")
+    r = interpret.interpret_questions(q, spark.createDataFrame([("Dora",)], "entry string"), spark.createDataFrame([], "entry string")).first()
+    assert r["declined"] and not r["about_parcels"] and r["q"] is None
+
+
+def test_answers_are_those_of_loops(spark, table):
+    asked = spark.createDataFrame([(1, "roofs older than 10 years in Mount Dora"), (2, "out of state owners"), (3, "open roofing permits in Mount Dora, out of state owners"), (4, "worth over $1k"), (5, "worth over $1k")], "query_id long, question string")
+    vocabulary = spark.createDataFrame([("Mount Dora",)], "entry string"), spark.createDataFrame([], "entry string")
+    got = {r["query_id"]: (r["n"], r["first_id"]) for r in interpret.answer(interpret.interpret_questions(asked, *vocabulary), table).collect()}
+    assert got == {1: (1, "a"), 2: (1, "a"), 3: (1, "a"), 4: (1, "a"), 5: (1, "a")}
+
+
+def test_latent_space_is_that_of_a_dense_svd(spark):
+    import numpy as np
+
+    from terrafold.operators import latent
+
+    rng = np.random.default_rng(3)
+    x = rng.random((40, 30)) * (rng.random((40, 30)) < 0.3) + np.outer(rng.random(40), rng.random(30))
+    rows = [(f"t{j}", i, float(x[i, j])) for i in range(40) for j in range(30) if x[i, j]]
+    terms, docs, sigma = latent.latent_space(spark.createDataFrame(rows, "term string, doc long, w double"), "doc", 4, 12, 3)
+    u, s, vt = np.linalg.svd(x, full_matrices=False)
+    assert np.allclose(sigma, s[:4], rtol=1e-3)
+    mine = np.array([r["v"] for r in docs.orderBy("doc").collect()])
+    want = u[:, :4] * s[:4]
+    want /= np.linalg.norm(want, axis=1, keepdims=True)
+    assert np.allclose(mine @ mine.T, want @ want.T, atol=1e-2)
+    asked = spark.createDataFrame([(1, "t3", 1.0), (1, "t7", 0.45)], "query_id long, term string, weight double")
+    q = np.array(latent.folded(asked, terms, 4).first()["v"])
+    plain = vt[:4, 3] + 0.45 * vt[:4, 7]
+    assert abs(abs(mine[5] @ q) - abs(want[5] @ plain / np.linalg.norm(plain))) < 1e-2
+
+
+def test_expansion_and_aliases(spark):
+    asked = spark.createDataFrame([(1, "old shingles on my house"), (2, "cost of a new roof deck")], "query_id long, question string")
+    expansions = spark.createDataFrame([("shingle", "roofing"), ("roof deck", "permit"), ("shingle", "house")], "trigger string, term string")
+    got = {(r["query_id"], r["term"]): r["weight"] for r in retrieval.expanded(asked, expansions).collect()}
+    assert got[1, "roof"] == 0.45 and got[2, "permit"] == 0.45 and got[1, "house"] == 1.0 and got[1, "shingle"] == 1.0
+    aliases = spark.createDataFrame([(7, "Roof Deck"), (7, "new"), (8, "decks")], "doc_id long, alias string")
+    assert [(r["query_id"], r["doc_id"], round(r["alias"], 4)) for r in retrieval.alias_scores(asked, aliases, "doc_id").collect()] == [(2, 7, 0.825)]
+
+
+def test_paragraph_windows(spark):
+    text = "\n\n".join(["a" * 900, "b" * 900, "c" * 3500])
+    got = [len(w) for w in spark.createDataFrame([(text,)], "t string").select(corpus.paragraph_windows(F.col("t")).alias("w")).first()["w"]]
+    assert got[0] == 900 and got[1] == 1102 and len(got) == 5 and got[2] == 1500
+
+
 def test_incremental_feed_equals_full_rebuild(spark, tmp_path):
     day = dt.datetime(2024, 1, 1)
     rows = [(k % 7, "ISSUED" if k < 7 else "COMPLETE", day + dt.timedelta(hours=k)) for k in range(14)] + [(1, "ISSUED", day + dt.timedelta(hours=1))]
