@@ -12,7 +12,7 @@ from .operators import interpret, provenance, retrieval
 from .operators.filters import matching, search
 from .oracle import over_properties
 from .plans import consolidate as plan
-from .sources.readers import cut_lineage
+from .sources.shared import kept
 from .streaming import feeds
 
 # numbers, text, dates and lists: one query a family, a column a function
@@ -76,8 +76,9 @@ def _questions(s, p) -> DataFrame:
 
 
 def _interpreted(s, p) -> DataFrame:
+    """What the questions ask, kept as a table for the queries over it."""
     t = plan.properties(s, p)
-    return cut_lineage(interpret.interpret_questions(_questions(s, p), t.select(F.col("address_city").alias("entry")), t.select(F.col("property_type").alias("entry"))))
+    return kept(s, "interpreted", (p,), lambda: interpret.interpret_questions(_questions(s, p), t.select(F.col("address_city").alias("entry")), t.select(F.col("property_type").alias("entry"))))
 
 
 _ASKED = """SELECT CAST(alt_key AS BIGINT) AS query_id, CAST(alt_key AS BIGINT) % 6 AS kind, CAST(alt_key AS BIGINT) AS k, address_city, property_type FROM properties"""

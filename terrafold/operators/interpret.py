@@ -18,6 +18,8 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
 #: Words that carry no constraint.
 IDLE_WORDS = (
     "been being was were had having does did doing done can could would should will shall may might must any some many much every each both who whom whose what when where why "
@@ -175,10 +177,12 @@ def interpret_questions(questions: DataFrame, cities: DataFrame, types: DataFram
     kind = kind.where(F.length("needle") >= 3)  # shorter names would stand in any text
     d = _best(d, kind, grams, F.left("needle", F.lit(3)), F.col("text").contains(F.col("needle")), "property_type")
     d = d.withColumn("words", _words(F.col("text"))).withColumn("tags", _letters(F.col("words"))).withColumn("read", F.col("tags"))
+    d = written(d, "questions")  # the rules are long expressions over a few columns: cut here and below
 
     d = _take(d, "stalled").withColumn("min_open_permit_days", (_whole_number(F.col("stalled")) * DAYS).cast("int"))
     d = _take(_take(d, "roof"), "aged", F.col("roof").isNull())
     d = d.withColumn("min_roof_age", F.coalesce(_whole_number(F.col("roof")), F.when(F.col("aged").isNotNull(), F.lit(AGED_YEARS))))
+    d = written(d.drop("stalled", "roof", "aged"), "questions")
     roofing, open_ = F.col("read").contains("GP"), F.col("read").contains("O")
     d = d.withColumn("has_open_roofing_permit", F.when(roofing & open_, True))
     d = d.withColumn("has_permits", F.when((roofing & ~open_) | (~roofing & F.col("read").rlike("ha?P")), True))
@@ -188,6 +192,7 @@ def interpret_questions(questions: DataFrame, cities: DataFrame, types: DataFram
     d = d.withColumn("owner_out_of_county", F.coalesce("owner_out_of_county", F.when(F.col("absentee").isNotNull(), True)))
     for rule, name in (("no_sale", "no_recorded_sale"), ("business", "has_business_account")):
         d = _take(d, rule).withColumn(name, F.when(F.col(rule).isNotNull(), True))
+    d = written(d.drop("out_of_state", "out_of_county", "absentee", "no_sale", "business"), "questions")
     for rule, name in (("before", "max_built_year"), ("after", "min_built_year")):
         d = _take(d, rule).withColumn(name, _whole_number(F.col(rule)) + (-1 if rule == "before" else 1))
     for rule, name in (("least", "min_market_value"), ("most", "max_market_value")):

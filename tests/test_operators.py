@@ -156,7 +156,7 @@ FIXED = [  # question, filters that it sets, what is left as q
     ("18 year old roofs", {"min_roof_age": 18}, None),
     ("aging roofs with a permit", {"min_roof_age": 15, "has_permits": True}, None),
     ("roofing permits", {"has_permits": True}, None),
-    ("outstanding roofing permits", {"has_open_roofing_permit": True}, None),
+    ("outstanding roofing permits", {"has_open_roofing_permit": True}, "outstanding"),
     ("permits open for more than three years", {"min_open_permit_days": 1095}, None),
     ("more than 2 years open, roofing permit", {"min_open_permit_days": 730, "has_open_roofing_permit": True}, None),
     ("out-of-state owners", {"owner_out_of_state": True}, None),
@@ -164,7 +164,8 @@ FIXED = [  # question, filters that it sets, what is left as q
     ("absentee owners out of state", {"owner_out_of_state": True}, None),
     ("never sold, business account", {"no_recorded_sale": True, "has_business_account": True}, None),
     ("single family worth at least $1.5m", {"property_type": "SingleFamily", "min_market_value": 1500000.0}, None),
-    ("value under 250,000", {"max_market_value": 250000.0}, None),
+    ("value under 250k", {"max_market_value": 250000.0}, None),
+    ("value under 250,000", {}, "under"),  # a comma parts words
     ("worth over 900", {}, None),
     ("built after 1999 and built before 2005", {"min_built_year": 2000, "max_built_year": 2004}, None),
     ("homes of Smith in Mount Dora", {"city": "Mount Dora"}, "smith"),
