@@ -8,20 +8,40 @@ columns of ``documents``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrafold.llm import cotraining, decontamination, packing, simhash, suffix
-from terrafold.llm.common import stage
+from terrafold.llm.common import drop_path, release, scope, stage
 
+_MADE: list[str] = []  # tables of the stage before, whose result is written by now
 
+
+def tidied(step):
+    """The stage, which first deletes the tables that the stage before it made."""
+
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _MADE:
+            drop_path(spark, _MADE.pop())
+        with scope() as made:
+            out = step(spark, docs, sf_dir)
+        _MADE.extend(made)
+        return out
+
+    return run_step
+
+
+@tidied
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return cotraining.accepted(docs, labels)
 
 
+@tidied
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicate rows one stays: that of the smallest doc_id.
 
@@ -37,12 +57,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return numbered.join(first, own, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@tidied
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of over 50 words, and strings of 400 bytes, that occur more than
     once are cut out of the texts."""
     return suffix.without_repeats(docs, words=51)
 
 
+@tidied
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go; each row is judged by itself."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -52,6 +74,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return numbered.join(found.select(F.col("doc_id").alias(own)).distinct(), own, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@tidied
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 2,048 tokens."""
     return packing.pack(docs)
@@ -72,5 +95,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        release(before)
     return docs

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,8 +38,25 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scope():
+    """Collects the paths that are made within it, for those who know when they are read no more."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES[:] = [x for x in _SCOPES if x is not made]
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _SCOPES:
+        made.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
