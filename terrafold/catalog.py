@@ -138,7 +138,7 @@ over("g2_radius_page", lambda p: search(p, lat=28.8, lon=-81.6, radius_miles=20.
 over("g7_aged_roof_leads", lambda p: search(p, "roof_age_years", min_roof_age=15, city="china", limit=25).select(*_PAGE), f"SELECT {_PAGE_SQL} FROM properties WHERE roof_age_years >= 15 AND upper(address_city) = 'CHINA' ORDER BY roof_age_years DESC NULLS LAST, property_id LIMIT 25")
 over("g8_open_roofing_leads", lambda p: search(p, "longest_open_permit_days", has_open_roofing_permit=True, limit=25).select("property_id", "longest_open_permit_days"), "SELECT property_id, longest_open_permit_days FROM properties WHERE open_roofing_permit_count > 0 ORDER BY 2 DESC NULLS LAST, 1 LIMIT 25")
 over("g9_radius_leads", lambda p: search(p, lat=28.8, lon=-81.6, radius_miles=15.0, min_roof_age=15, limit=25).select("property_id", F.round("distance_miles", 6).alias("miles")), f"SELECT property_id, round(m, 6) AS miles FROM (SELECT property_id, roof_age_years, {_MILES} AS m FROM properties) WHERE m <= 15 AND roof_age_years >= 15 ORDER BY m, property_id LIMIT 25")
-over("g10_citations", lambda p: p.groupBy("address_city").agg(F.array_join(F.slice(F.array_sort(F.collect_list("request_identifier")), 1, 25), ",").alias("ids")), "SELECT address_city, array_to_string(list_slice(list_sort(list(request_identifier)), 1, 25), ',') AS ids FROM properties GROUP BY 1")
+over("g10_citations", lambda p: p.withColumn("k", F.row_number().over(plan.Window.partitionBy("address_city").orderBy("request_identifier"))).where("k <= 25").groupBy("address_city").agg(F.array_join(F.array_sort(F.collect_list("request_identifier")), ",").alias("ids")), "SELECT address_city, array_to_string(list_slice(list_sort(list(request_identifier)), 1, 25), ',') AS ids FROM properties GROUP BY 1")
 
 # set operations
 over("h1_union", lambda p: p.select("address_city").union(p.select("owner_mailing_city")).distinct(), "SELECT address_city FROM properties UNION SELECT owner_mailing_city FROM properties")

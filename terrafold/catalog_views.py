@@ -141,6 +141,25 @@ def _shards(s: SparkSession, d: str) -> DataFrame:
 
 add("p16_shards", _shards, over_properties("SELECT count(*) AS n, count(DISTINCT property_id) AS ids, CAST(sum(permit_count) AS BIGINT) AS permits FROM properties"))
 
+
+
+def _accounts_at(s: SparkSession, d: str) -> DataFrame:
+    """Suppliers at the addresses of the parcels with their numbers, spelled otherwise."""
+    at = plan.properties(s, d).select(F.col("alt_key").cast("long").alias("s_suppkey"), F.lower(F.regexp_replace("address_street", " ", " .")).alias("street"), F.concat("address_zip", F.lit("-0001")).alias("zip"))
+    return plan.table(s, d, "supplier").join(at, "s_suppkey").select(F.col("s_name").alias("account"), "street", "zip")
+
+
+add(
+    "p6_by_address",
+    lambda s, d: plan.attributed(plan.properties(s, d), _accounts_at(s, d)).select("property_id", "accounts", "names"),
+    over_properties("SELECT property_id, count(*) AS accounts, string_agg(DISTINCT s_name, '; ' ORDER BY s_name) AS names FROM properties p JOIN (SELECT s_name, address_street AS street, address_zip AS zip FROM supplier JOIN properties ON CAST(alt_key AS BIGINT) = s_suppkey) a ON a.street = p.address_street AND a.zip = p.address_zip GROUP BY 1"),
+)
+add(
+    "p6_shared",
+    lambda s, d: plan.attributed(plan.properties(s, d), _accounts_at(s, d)).groupBy("address").agg(F.max("accounts").alias("accounts"), F.count(F.lit(1)).alias("parcels")).agg(F.sum("accounts").alias("matched"), F.count_if(F.col("parcels") > 1).alias("shared"), F.sum(F.col("accounts") * F.col("parcels")).alias("attributed")),
+    over_properties("SELECT CAST(sum(accounts) AS BIGINT) AS matched, count(*) FILTER (WHERE parcels > 1) AS shared, CAST(sum(accounts * parcels) AS BIGINT) AS attributed FROM (SELECT p.address_street, p.address_zip, count(DISTINCT s_suppkey) AS accounts, count(DISTINCT p.property_id) AS parcels FROM properties p JOIN (SELECT s_suppkey, address_street AS street, address_zip AS zip FROM supplier JOIN properties ON CAST(alt_key AS BIGINT) = s_suppkey) a ON a.street = p.address_street AND a.zip = p.address_zip GROUP BY 1, 2)"),
+)
+
 # joins of the ad-hoc surface, links, sections
 add("d1_joins", lambda s, d: [plan.table(s, d, t).createOrReplaceTempView(f"now_{t}") for t in ("customer", "orders")] and s.sql("select c_mktsegment, o_orderstatus, count(*) as n, count(o_orderkey) as o, count(c_custkey) as c from now_customer full join now_orders on c_custkey = o_custkey + 20 group by all"), "SELECT c_mktsegment, o_orderstatus, count(*) AS n, count(o_orderkey) AS o, count(c_custkey) AS c FROM customer FULL JOIN orders ON c_custkey = o_custkey + 20 GROUP BY ALL")
 add("d8_verified_before", lambda s, d: plan.table(s, d, "customer").join(plan.table(s, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi").select("c_custkey"), "SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P')")

@@ -49,8 +49,7 @@ def paragraph_windows(body: Column, size: int = 1500, overlap: int = 200, hard:
 
 def chunks(docs: DataFrame, least: int = 40) -> DataFrame:
     """Windows of each document with id ``doc#n``, count and content hash."""
-    split = F.filter(F.split(tidy(F.coalesce("text", F.lit(""))), "\n+"), lambda x: F.trim(x) != "")
-    rows = docs.select("doc_id", F.posexplode(windows(split)).alias("n", "body")).where(F.length("body") >= least)
+    rows = docs.select("doc_id", F.posexplode(paragraph_windows(tidy(F.coalesce("text", F.lit(""))))).alias("n", "body")).where(F.length("body") >= least)
     own = Window.partitionBy("doc_id")
     return rows.select(
         F.concat_ws("#", F.col("doc_id").cast("string"), (F.row_number().over(own.orderBy("n")) - 1).cast("string")).alias("chunk_id"),

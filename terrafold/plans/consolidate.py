@@ -125,6 +125,16 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def attributed(parcels: DataFrame, accounts_at: DataFrame) -> DataFrame:
+    """Parcels with the accounts at their normalised street and zip: an account is
+    credited to every parcel of its address. ``parcels``: property_id, address_street,
+    address_zip; ``accounts_at``: account, street, zip. Accounts are aggregated by
+    address before the join; parcels without a street have none."""
+    by_address = accounts_at.groupBy(normalised_address(F.col("street"), F.col("zip")).alias("address")).agg(F.count(F.lit(1)).alias("accounts"), F.concat_ws("; ", F.array_sort(F.collect_set("account"))).alias("names"))
+    keyed = parcels.where(F.trim("address_street") != "").withColumn("address", normalised_address(F.col("address_street"), F.col("address_zip")))
+    return keyed.join(by_address, "address").select("property_id", "address", "accounts", "names")
+
+
 def consolidate(base: DataFrame, points: DataFrame, permit: DataFrame, sale: DataFrame, business: DataFrame, as_of: str = AS_OF) -> DataFrame:
     """The contract's 62 columns; unmatched parcels keep their row."""
     year = F.year(F.lit(as_of).cast("date"))
