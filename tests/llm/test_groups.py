@@ -107,6 +107,22 @@ def test_shards_are_near_equal_and_keep_light_groups(spark):
     assert len(one) == 1 and one[0]["slot"] == 0
 
 
+def test_no_group_of_equal_texts_is_split_where_a_shard_has_room(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = kdtree.kd_shards(docs).toPandas()
+    assert (out.groupby(["text_crc32", "size"])["shard"].nunique() == 1).all()
+    by = out.groupby("shard")["size"].sum()
+    assert by.max() / by.mean() < 1.05 and by.min() / by.mean() > 0.95
+    bare = kdtree.kd_shards(docs.select("doc_id", "text")).toPandas()  # no metadata columns
+    assert len(bare) == len(out) and (bare.groupby(["text_crc32", "size"])["shard"].nunique() == 1).all()
+
+
+def test_heavy_groups_are_placed_within_the_target():
+    heavy = [{"text_crc32": k, "size": 1, "w": w} for k, w in enumerate([90, 60, 60, 50, 45, 130, 10])]
+    placed, split, loads = kdtree.place_heavy(heavy, 100.0, 4)
+    assert split == [(5, 1)] and max(loads) <= 100 and sum(loads) == 315 and len(placed) == 6
+
+
 @pytest.mark.parametrize("rule", ["start", "end", "most"])
 def test_token_counts_add_up(spark, rule):
     from tokenizers import Tokenizer
@@ -126,6 +142,32 @@ def test_token_counts_add_up(spark, rule):
     assert token_counts.token_counts(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("rule", ["start", "end"])
+def test_each_section_is_that_of_loops_over_tokens(spark, rule):
+    """Whole texts by another library, token by token and byte by byte."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rnd = random.Random(14)
+    texts = ["".join(rnd.choices(["a", "word ", "\n", "\n\n", "été", "日本", "😀", "  ", ".", "12"], k=rnd.randint(0, 60))) for _ in range(40)] + ["line of words\n" * 4000]
+    out = token_counts.token_counts(frame(spark, [(i, t, "s", "en", "x", "y") for i, t in enumerate(texts)]), rule=rule).collect()
+    got = {(r["doc_id"], r["section"]): r["n_tokens"] for r in out if r["n_chars"]}
+    for i, text in enumerate(texts):
+        line_of = [line for line, part in enumerate(text.splitlines(True) if "\x1c" not in text else [text]) for _ in part.encode()]
+        want, at = {}, 0
+        for token in plain.encode_ordinary(text):
+            size = len(plain.decode_single_token_bytes(token))
+            line = line_of[at if rule == "start" else at + size - 1]
+            want[i, line] = want.get((i, line), 0) + 1
+            at += size
+        assert {k: n for k, n in got.items() if k[0] == i and n} == want
+
+
 def test_allocation_rules():
     first, last, bounds = np.array([0, 2, 5]), np.array([1, 4, 6]), np.array([0, 3])
     assert token_counts.allocate(first, last, bounds, "start")[0].tolist() == [2, 1]

@@ -59,3 +59,20 @@ def test_leaking_rows_without_an_id_go(spark, tmp_path):
     docs = spark.createDataFrame([(None, item), (None, other), (None, None), (7, item), (8, other)], "doc_id long, text string")
     got = [tuple(r) for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()]
     assert sorted(got, key=str) == sorted([(None, other), (None, None), (8, other)], key=str)
+
+
+def test_clashing_names_and_repeated_ids_pass_all_stages(spark, tmp_path):
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(2, 7)))
+    texts = [" ".join(word() for _ in range(80)) for _ in range(12)]
+    names = ["score", "kept", "rid", "ranges", "n_bytes", "row", "row_0", "id", "group"]
+    rows = [(k % 10, t, *[f"{n}{k}" for n in names]) for k, t in enumerate(texts)]  # ids 0 and 1 stand on two texts each
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for k, (name, step) in enumerate(corpus_pipeline.STAGES[:4]):
+        step(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
+        now = spark.read.parquet(f"{tmp_path}/{k}")
+        assert sorted(map(tuple, now.collect())) == sorted(rows), name

@@ -131,6 +131,26 @@ def test_cotraining_on_held_out_labels(spark):
     assert cotraining.classify(frame(spark, []), spark.createDataFrame(labels, LABELS)).count() == 0
 
 
+def test_cotraining_reads_long_texts_and_every_unlabelled_row(spark, monkeypatch):
+    rnd = random.Random(15)
+    rows = [(k, " ".join(rnd.choice(["good", "fine", "plain", "text"]) for _ in range(30)) + (" vile" if k % 4 == 0 else "")) for k in range(200)]
+    rows += [(900, "fine text " * 200_000), (901, "fine text " * 200_000 + "vile"), (902, None), (902, "vile"), (None, "vile")]
+    labels = [(k, 1, int(k % 4 == 0)) for k in range(100)]
+    seen, surest = [], cotraining._surest
+    monkeypatch.setattr(cotraining, "_surest", lambda others, *a: seen.append(others.count()) or surest(others, *a))
+    out = cotraining.classify(frame(spark, rows), spark.createDataFrame(labels, LABELS)).collect()
+    assert len(out) == len(rows) and seen and set(seen) == {104}
+    kept = {r["doc_id"]: r["kept"] for r in out}
+    assert kept[900] and not kept[901] and all(kept[k] == (k % 4 != 0) for k in range(100, 200))
+
+
+def test_leaks_in_long_texts(spark):
+    filler = "unrelated words stand here without end " * 40_000
+    docs = [(1, filler + BENCH[0][1].replace("300", "512") + " " + filler), (2, filler)]
+    got = [(r["doc_id"], r["item_id"], r["exact"]) for r in decontamination.leaks(frame(spark, docs), spark.createDataFrame(BENCH, "item_id long, text string")).collect()]
+    assert got == [(1, 1, False)]
+
+
 def weights_of(rng, n, kind="f8"):
     half, dim, classes = attention_lm._HALF, attention_lm._DIM, attention_lm._CLASSES
     shapes = {"kv1": (n, 2 * dim), "kv2": (n, 2 * dim), "qr": (n, dim + classes), "o": (dim, classes), "b": (2 * half,)}
