@@ -204,7 +204,9 @@ def interpret_questions(questions: DataFrame, cities: DataFrame, types: DataFram
     free = F.filter(F.transform("words", lambda w, i: F.when(F.substr("tags", i + 1, F.lit(1)) != _TAKEN, w)), lambda w: w.isNotNull())
     rest = F.array_join(F.filter(free, lambda w: (F.length(w) > 2) & ~F.array_contains(idle, w) & ~w.rlike(r"^[\d\x01]+$")), " ")
     d = d.withColumn("q", F.when(rest != "", rest))
-    return d.select("query_id", "question", "declined", *FILTERS, "q", F.coalesce(*[F.col(n).cast("string") for n in FILTERS]).isNotNull().alias("about_parcels"))
+    # a table, so that no filter over the result is pushed through the rules
+    d = written(d.select("query_id", "question", "declined", *FILTERS, "q"), "questions")
+    return d.withColumn("about_parcels", F.coalesce(*[F.col(n).cast("string") for n in FILTERS]).isNotNull())
 
 
 def _held(p: str, f: str) -> Column:
@@ -242,7 +244,8 @@ def answer(interpreted: DataFrame, properties: DataFrame) -> DataFrame:
     """
     keys = [*FILTERS, "q"]
     asked = interpreted.where("about_parcels")
-    signed = asked.withColumn("signature", F.xxhash64(F.to_json(F.struct(*keys))))
+    # a table: four joins read it, and the optimizer need not reason through the rules that made it
+    signed = written(asked.select("query_id", *keys).withColumn("signature", F.xxhash64(F.to_json(F.struct(*keys)))), "asked")
     distinct = signed.select("signature", *keys).dropDuplicates(["signature"])
     wanted = ["request_identifier", "address_street", "owner_name", "owners_text", "roof_age_years", "longest_open_permit_days", "open_roofing_permit_count", "has_permits", "owner_out_of_state",
               "owner_out_of_county", "no_recorded_sale_in_dor_window", "business_account_count", "market_value", "built_year"]

@@ -208,7 +208,7 @@ def test_latent_space_is_that_of_a_dense_svd(spark):
     rng = np.random.default_rng(3)
     x = rng.random((40, 30)) * (rng.random((40, 30)) < 0.3) + np.outer(rng.random(40), rng.random(30))
     rows = [(f"t{j}", i, float(x[i, j])) for i in range(40) for j in range(30) if x[i, j]]
-    terms, docs, sigma = latent.latent_space(spark.createDataFrame(rows, "term string, doc long, w double"), "doc", 4, 12, 3)
+    terms, docs, sigma = latent.latent_space(spark.createDataFrame(rows, "term string, doc long, w double"), "doc", 4, 12, 12)
     u, s, vt = np.linalg.svd(x, full_matrices=False)
     assert np.allclose(sigma, s[:4], rtol=1e-3)
     mine = np.array([r["v"] for r in docs.orderBy("doc").collect()])
