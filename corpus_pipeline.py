@@ -77,7 +77,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 @tidied
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 2,048 tokens."""
-    return packing.pack(docs)
+    return packing.pack(docs, cached=300_000)  # the workers serve the other stages too
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

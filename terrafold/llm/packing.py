@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import partition_bases, stage
-from .encoder import default_path, encoder
+from .encoder import _MOST, default_path, encoder
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local long"
 
@@ -88,7 +88,7 @@ def _places(plan: list[tuple[dict[int, int], int]]) -> dict[str, np.ndarray]:
     return {"length": table[:, 0], "rank": table[:, 1], "bin": table[:, 2], "mult": table[:, 3], "offset": table[:, 4]}
 
 
-def pieces(docs: DataFrame, capacity: int = 2048, tokenizer_path: str | None = None, end_id: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = 2048, tokenizer_path: str | None = None, end_id: int = 0, cached: int = _MOST) -> DataFrame:
     """Encode whole texts, add the end id, cut only what exceeds the capacity.
 
     A null text is empty and gives one piece with the end id alone.
@@ -99,7 +99,7 @@ def pieces(docs: DataFrame, capacity: int = 2048, tokenizer_path: str | None = N
         import pandas as pd
         from pyspark import TaskContext
 
-        part, seen, enc = TaskContext.get().partitionId(), {}, encoder(path, "words")
+        part, seen, enc = TaskContext.get().partitionId(), {}, encoder(path, "words", cached)
         end = np.array([end_id], "<u4").tobytes()
         for pdf in batches:
             out = []
@@ -116,14 +116,15 @@ def pieces(docs: DataFrame, capacity: int = 2048, tokenizer_path: str | None = N
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(cut, _PIECES)
 
 
-def pack(docs: DataFrame, capacity: int = 2048, tokenizer_path: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 2048, tokenizer_path: str | None = None, cached: int = _MOST) -> DataFrame:
     """Sequences for all documents: one row a piece with its sequence and place.
 
     doc_id, piece, start, length, ids_crc32, sequence_id, offset, and the
     sequence's fill. Rows with equal ids are packed each on its own; an empty
-    table gives an empty result; other columns are ignored.
+    table gives an empty result; other columns are ignored. ``cached``: units whose
+    ids a worker holds; fewer take less memory and more time.
     """
-    made = stage(pieces(docs, capacity, tokenizer_path), "pieces")
+    made = stage(pieces(docs, capacity, tokenizer_path, cached=cached), "pieces")
     # one count for each length, at most `capacity` rows whatever the input
     counts = {int(r["length"]): int(r["n"]) for r in made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = plan_bins(counts, capacity)
