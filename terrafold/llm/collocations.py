@@ -7,9 +7,9 @@ ends. What a node's edges carry, plus those ends, is the count of the node; the
 counts of all shorter phrases follow in the same way. Paths whose nodes have one edge
 in and one out of the same weight are compacted to one row before that.
 
-A phrase that occurs ``least`` times has no word and no pair of words that occurs
-less often. So two bitmaps of bounded size, of words and of pairs by hash, end a run
-at what cannot be part of any candidate. A bit set by chance only lengthens a run:
+A phrase that occurs ``least`` times has no word and no shorter run of words that occurs
+less often. So bitmaps of bounded size, of words and of runs of two and three by hash,
+end a run at what cannot be part of any candidate. A bit set by chance only lengthens a run:
 the counts of all phrases that reach ``least`` are exact.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .common import release, stage
 
 _BITS = 27  # of a bitmap at most: 16 MB, whatever the corpus
+KNOWN = 3  # words of the longest runs that get a bitmap
 _TOKENS = 400_000  # distinct words of a language that a task holds before it sends its counts
 _BLOCK = 2_000_000  # bytes of text taken at once, or one text
 _BREAK = b"\xff"  # never a byte of UTF-8
@@ -146,9 +147,30 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def pair_hashes(texts: DataFrame, words: np.ndarray, least: int) -> DataFrame:
-    """Hashes of pairs of known words that occur ``least`` times, or share a hash with such."""
-    shared = texts.sparkSession.sparkContext.broadcast(words)
+def _linked(own: Words, found: np.ndarray, tables: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For runs of 2, 3 ... words: the places where one starts whose shorter runs are all
+    known, and its hash; with a bitmap for the order, only those that it knows."""
+    known = own.known[found]
+    at = np.flatnonzero(known[:-1] & known[1:])
+    h = _mix(own.hash[found[at]], own.hash[found[at + 1]])
+    out = []
+    for k in range(len(tables) + 1):
+        if k:
+            hit = _in(tables[k - 1], h)
+            at, h = at[hit], h[hit]
+            out.append((at, h))
+            # a run of one word more: the run that starts a word later is known, too
+            more = np.flatnonzero(at[1:] == at[:-1] + 1)
+            at, h = at[more], _mix(h[more], own.hash[found[at[more] + k + 1]])
+    out.append((at, h))
+    return out
+
+
+def run_hashes(texts: DataFrame, words: np.ndarray, tables: list[np.ndarray], least: int) -> DataFrame:
+    """Hashes of runs of one word more than the last bitmap's, of known runs only, that
+    occur ``least`` times or share a hash with such."""
+    spark = texts.sparkSession
+    shared, known = spark.sparkContext.broadcast(words), spark.sparkContext.broadcast(tables)
 
     def run(batches):
         import pandas as pd
@@ -162,10 +184,7 @@ def pair_hashes(texts: DataFrame, words: np.ndarray, least: int) -> DataFrame:
 
         for lang, block in _blocks(batches):
             own = _of_lang(held, lang, shared.value)
-            found = own.numbers(block)
-            known = own.known[found]
-            i = np.flatnonzero(known[:-1] & known[1:])
-            h, n = np.unique(_mix(own.hash[found[i]], own.hash[found[i + 1]]), return_counts=True)
+            h, n = np.unique(_linked(own, own.numbers(block), known.value)[-1][1], return_counts=True)
             parts.append((h, n))
             size += len(h)
             if size > 1_500_000:
@@ -177,11 +196,12 @@ def pair_hashes(texts: DataFrame, words: np.ndarray, least: int) -> DataFrame:
     return texts.mapInPandas(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def graph_grams(texts: DataFrame, words: np.ndarray, pairs: np.ndarray, longest: int) -> DataFrame:
+def graph_grams(texts: DataFrame, words: np.ndarray, tables: list[np.ndarray], longest: int) -> DataFrame:
     """(lang, gram, size, n): at each place of a run its longest gram of up to ``longest``
     words. Those of ``longest`` words are the edges, the others end a run."""
     spark = texts.sparkSession
-    shared, shared_pairs = spark.sparkContext.broadcast(words), spark.sparkContext.broadcast(pairs)
+    shared, known = spark.sparkContext.broadcast(words), spark.sparkContext.broadcast(tables)
+    whole = len(tables) + 1  # words of the longest runs that a bitmap knows
 
     def run(batches):
         import pandas as pd
@@ -190,21 +210,18 @@ def graph_grams(texts: DataFrame, words: np.ndarray, pairs: np.ndarray, longest:
         for lang, block in _blocks(batches):
             own = _of_lang(held, lang, shared.value)
             found = own.numbers(block)
-            if len(found) < 2:
-                continue
-            known = own.known[found]
-            linked = known[:-1] & known[1:]
-            i = np.flatnonzero(linked)
-            linked[i] = _in(shared_pairs.value, _mix(own.hash[found[i]], own.hash[found[i + 1]]))
-            start = np.flatnonzero(linked)
-            grams = np.full((len(start), longest), -1, "i4")
-            grams[:, 0], going = found[start], np.ones(len(start), bool)
-            for k in range(1, longest):
-                at = start + k - 1
-                going &= (at < len(linked)) & linked[np.minimum(at, len(linked) - 1)]
-                grams[going, k] = found[at[going] + 1]
-            if not len(grams):
+            linked = np.zeros((whole + 1, len(found) + longest), bool)
+            for k, (at, _) in enumerate(_linked(own, found, known.value)[:-1], 2):
+                linked[k, at] = True
+            start = np.flatnonzero(linked[2])
+            if not len(start):
                 continue
+            grams, going = np.full((len(start), longest), -1, "i4"), np.ones(len(start), bool)
+            grams[:, 0] = found[start]
+            for k in range(1, longest):  # the word at k is there if the run that ends with it is known
+                size = min(k + 1, whole)
+                going &= linked[size, start + k + 1 - size]
+                grams[going, k] = found[start[going] + k]
             rows, n = np.unique(grams.view(f"V{4 * longest}").ravel(), return_counts=True)
             rows = rows.view("i4").reshape(-1, longest)
             sizes = (rows >= 0).sum(1)
@@ -282,9 +299,12 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, most: int
     counted = stage(word_counts(texts), "words")
     frequent = counted.where(F.col("n") >= least).withColumn("h", F.xxhash64(F.concat_ws("\t", "lang", "word")))
     words = bitmap(frequent, "h", frequent.count())
-    pairs = stage(pair_hashes(texts, words, least), "pairs")
-    grams = stage(graph_grams(texts, words, bitmap(pairs, "h", pairs.count()), longest), "grams")
-    release(pairs)
+    tables: list[np.ndarray] = []
+    for _ in range(2, max(3, min(longest, KNOWN + 1))):
+        runs = stage(run_hashes(texts, words, tables, least), "runs")
+        tables = [*tables, bitmap(runs, "h", runs.count())]
+        release(runs)
+    grams = stage(graph_grams(texts, words, tables, longest), "grams")
     edges = grams.where(F.col("size") == longest).select("lang", F.col("gram").alias("path"), "n")
     paths = compact(edges, longest - 1)
     phrases = stage(phrase_counts(paths, grams.where(F.col("size") < longest), longest).where(F.col("n") >= least), "phrases")
