@@ -24,6 +24,7 @@ from .common import release, stage
 _BITS = 27  # of a bitmap at most: 16 MB, whatever the corpus
 KNOWN = 3  # words of the longest runs that get a bitmap
 _TOKENS = 400_000  # distinct words of a language that a task holds before it sends its counts
+_GRAMS = 1_000_000  # grams of a language that a task holds before it sends their counts
 _BLOCK = 2_000_000  # bytes of text taken at once, or one text
 _BREAK = b"\xff"  # never a byte of UTF-8
 #: What ends a piece, and what parts words.
@@ -130,7 +131,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         def out(lang):
             own, n = held.pop(lang), sums.pop(lang)
             keep = [k for k, w in enumerate(own.words) if w != _BREAK]
-            return pd.DataFrame({"lang": lang, "word": [own.words[k].decode() for k in keep], "n": n[keep]})
+            return pd.DataFrame({"lang": [lang] * len(keep), "word": [own.words[k].decode() for k in keep], "n": n[keep]})
 
         for lang, block in _blocks(batches):
             own = held.setdefault(lang, Words(lang))
@@ -141,7 +142,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
             if len(own.words) > _TOKENS:
                 yield out(lang)
         for lang in list(held):
-            yield out(lang)
+            if held[lang].words != [_BREAK]:
+                yield out(lang)
 
     parts = texts.mapInPandas(run, "lang string, word string, n long")
     return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -207,7 +209,20 @@ def graph_grams(texts: DataFrame, words: np.ndarray, tables: list[np.ndarray], l
         import pandas as pd
 
         held: dict[str, Words] = {}
+        parts: dict[str, list] = {}
+
+        def out(lang):
+            """The grams that a task has met in a language, each once."""
+            rows, at = np.unique(np.concatenate([p[0] for p in parts[lang]]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([p[1] for p in parts.pop(lang)]), len(rows)).astype("i8")
+            rows = rows.view("i4").reshape(-1, longest)
+            sizes, w = (rows >= 0).sum(1), held[lang].words
+            text = [b" ".join([w[k] for k in r[:s]]).decode() for r, s in zip(rows.tolist(), sizes.tolist(), strict=True)]
+            return pd.DataFrame({"lang": lang, "gram": text, "size": sizes.astype("i4"), "n": n})
+
         for lang, block in _blocks(batches):
+            if lang in parts and (len(held[lang].words) > _TOKENS or sum(len(p[0]) for p in parts[lang]) > _GRAMS):
+                yield out(lang)
             own = _of_lang(held, lang, shared.value)
             found = own.numbers(block)
             linked = np.zeros((whole + 1, len(found) + longest), bool)
@@ -222,12 +237,9 @@ def graph_grams(texts: DataFrame, words: np.ndarray, tables: list[np.ndarray], l
                 size = min(k + 1, whole)
                 going &= linked[size, start + k + 1 - size]
                 grams[going, k] = found[start[going] + k]
-            rows, n = np.unique(grams.view(f"V{4 * longest}").ravel(), return_counts=True)
-            rows = rows.view("i4").reshape(-1, longest)
-            sizes = (rows >= 0).sum(1)
-            w = own.words
-            text = [b" ".join([w[k] for k in r[:s]]).decode() for r, s in zip(rows.tolist(), sizes.tolist(), strict=True)]
-            yield pd.DataFrame({"lang": lang, "gram": text, "size": sizes.astype("i4"), "n": n})
+            parts.setdefault(lang, []).append(np.unique(grams.view(f"V{4 * longest}").ravel(), return_counts=True))
+        for lang in list(parts):
+            yield out(lang)
 
     parts = texts.mapInPandas(run, "lang string, gram string, size int, n long")
     return parts.groupBy("lang", "gram", "size").agg(F.sum("n").alias("n"))

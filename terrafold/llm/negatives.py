@@ -222,7 +222,7 @@ def _negatives(most: int, low: int, high: int):
 
             def take(k, at, scores):
                 for w in windows[k]:
-                    inside = (100 * scores >= low * w) & (100 * scores <= high * w)
+                    inside = (scores >= -(-low * w // 100)) & (scores <= high * w // 100)  # whole numbers: the products would pass 64 bits
                     i, s = np.r_[best[k][w][0], pid[at[inside]]], np.r_[best[k][w][1], scores[inside]]
                     first = _first(i, s, most)
                     best[k][w] = i[first], s[first]
