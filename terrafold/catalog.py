@@ -174,7 +174,9 @@ add("r8_newest_pointer", lambda s, d: runs.newest_pointer(plan.table(s, d, "even
 add("k4_content_hash", lambda s, d: plan.table(s, d, "documents").select("doc_id", corpus.content_hash(corpus.tidy(F.col("text"))).alias("h")), "SELECT doc_id, left(sha256(trim(regexp_replace(regexp_replace(text, '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), ' ')), 16) AS h FROM documents")
 add("k2_chunks", lambda s, d: corpus.chunks(plan.table(s, d, "documents")).select("chunk_id", "doc_id", "chunk_count", "n_chars", "source_hash"))
 add("k1_heading_sections", lambda s, d: corpus.heading_sections(plan.table(s, d, "pages")))
-add("k9_headline", lambda s, d: plan.table(s, d, "documents").select("doc_id", corpus.headline(F.col("text")).alias("headline")))
+_FIRST = r"regexp_extract(text, '(?s)^(.*?[.!?])(?:\s|$)', 1)"
+_HEAD = f"CASE WHEN {_FIRST} = '' THEN text ELSE {_FIRST} END"
+add("k9_headline", lambda s, d: plan.table(s, d, "documents").select("doc_id", corpus.headline(F.col("text")).alias("headline")), f"SELECT doc_id, CASE WHEN length(h) > 130 THEN left(h, 127) || '...' ELSE h END AS headline FROM (SELECT doc_id, {_HEAD} AS h FROM documents)")
 _STOP = ", ".join(f"'{w}'" for w in retrieval.STOP_WORDS)
 _STEM = "CASE WHEN length(t) <= 3 OR contains(t, '_') THEN t WHEN t LIKE '%ies' AND length(t) > 4 THEN left(t, -3) || 'y' WHEN t LIKE '%sses' THEN left(t, -2) WHEN t LIKE '%ss' THEN t WHEN t LIKE '%s' AND t NOT LIKE '%us' AND t NOT LIKE '%is' THEN left(t, -1) WHEN t LIKE '%ing' AND length(t) > 5 THEN left(t, -3) WHEN t LIKE '%ed' AND length(t) > 4 THEN left(t, -2) ELSE t END"
 

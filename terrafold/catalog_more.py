@@ -84,12 +84,9 @@ def _interpreted(s, p) -> DataFrame:
 _ASKED = """SELECT CAST(alt_key AS BIGINT) AS query_id, CAST(alt_key AS BIGINT) % 6 AS kind, CAST(alt_key AS BIGINT) AS k, address_city, property_type FROM properties"""
 add("m_interpret", _interpreted)
 add("m1_filters", lambda s, p: _interpreted(s, p).select("query_id", "declined", "city", "min_roof_age", "has_open_roofing_permit", "owner_out_of_state", "owner_out_of_county", "no_recorded_sale", "min_market_value", "max_built_year", "min_open_permit_days"), over_properties(f"SELECT query_id, kind = 3 AS declined, CASE WHEN kind IN (0, 1) THEN address_city END AS city, CASE WHEN kind = 0 THEN CAST(k % 40 AS INTEGER) END AS min_roof_age, CASE WHEN kind = 1 THEN TRUE END AS has_open_roofing_permit, CASE WHEN kind = 2 THEN TRUE END AS owner_out_of_state, CASE WHEN kind = 4 THEN TRUE END AS owner_out_of_county, CASE WHEN kind = 2 THEN TRUE END AS no_recorded_sale, CASE WHEN kind = 2 THEN (k % 9 + 1) * CAST(1000 AS DOUBLE) END AS min_market_value, CASE WHEN kind = 4 THEN CAST(1909 + k % 80 AS INTEGER) END AS max_built_year, CASE WHEN kind = 5 THEN 1825 END AS min_open_permit_days FROM ({_ASKED})"))
-add("m_answers", lambda s, p: interpret.answer(_interpreted(s, p), plan.properties(s, p)).where("query_id % 6 in (0, 1)").select("query_id", "n"), over_properties(f"SELECT query_id, count(*) AS n FROM ({_ASKED}) q JOIN properties p ON p.address_city = q.address_city AND ((kind = 0 AND p.roof_age_years >= k % 40) OR (kind = 1 AND p.open_roofing_permit_count > 0)) GROUP BY 1"))
-# m_answers is held to its SQL's two kinds; this one has the answers to all kinds (those of kind 3 are declined)
 add("m2_answers", lambda s, p: interpret.answer(_interpreted(s, p), plan.properties(s, p)).select("query_id", "n"), over_properties(f"SELECT query_id, count(*) AS n FROM ({_ASKED}) q JOIN properties p ON (kind IN (0, 1) AND p.address_city = q.address_city AND ((kind = 0 AND p.roof_age_years >= k % 40) OR (kind = 1 AND p.open_roofing_permit_count > 0))) OR (kind = 2 AND p.market_value >= (k % 9 + 1) * 1000 AND p.owner_out_of_state AND p.no_recorded_sale_in_dor_window) OR (kind = 4 AND p.owner_out_of_county AND p.built_year <= 1909 + k % 80) OR (kind = 5 AND p.property_type = q.property_type AND p.longest_open_permit_days >= 1825) GROUP BY 1"))
 
 # streams as tables
-add("t2_token_bucket", lambda s, p: feeds.token_bucket(plan.table(s, p, "events")).groupBy("user_id").agg(F.count_if("refused").alias("refused"), F.round(F.max("wait"), 3).alias("wait")))
 add("t3_hourly", lambda s, p: feeds.event_counts(plan.table(s, p, "events")).select(F.date_format("start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n", F.round("value", 6).alias("value")), "SELECT strftime(ts, '%Y-%m-%d %H') AS hour, event_type, count(*) AS n, round(sum(value), 6) AS value FROM events GROUP BY 1, 2")
 add("t3_sessions", lambda s, p: feeds.sessions(plan.table(s, p, "events")).groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.sum("n").alias("n")), "SELECT user_id, count(*) FILTER (WHERE fresh) AS sessions, count(*) AS n FROM (SELECT user_id, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 30 MINUTE, TRUE) AS fresh FROM events) GROUP BY 1")
 
@@ -97,7 +94,6 @@ add("t3_sessions", lambda s, p: feeds.sessions(plan.table(s, p, "events")).group
 over("v1_search", lambda t: search(t, "roof_age_years", min_roof_age=20, has_permits=True).select("property_id", "roof_age_years").crossJoin(F.broadcast(matching(t, min_roof_age=20, has_permits=True).agg(F.count(F.lit(1)).alias("total")))), "SELECT property_id, roof_age_years, (SELECT count(*) FROM properties WHERE roof_age_years >= 20 AND has_permits) AS total FROM properties WHERE roof_age_years >= 20 AND has_permits ORDER BY roof_age_years DESC NULLS LAST, property_id LIMIT 50")
 over("v3_metrics", lambda t: provenance.metric_record(agg.dataset_stats(t)), "SELECT metric, CAST(value AS DOUBLE) AS value FROM (UNPIVOT (" + _STATS + ") ON COLUMNS(*) INTO NAME metric VALUE value)")
 over("v5_tenant", lambda t: agg.out_of_state_ranking(t).crossJoin(F.broadcast(agg.owner_posture(t))), SQL["e11_out_of_state"].rpartition("\n")[2].replace("SELECT owner_mailing_state", "SELECT * FROM (SELECT owner_mailing_state") + ") CROSS JOIN (" + SQL["e8_owner_posture"].rpartition("\n")[2] + ")")
-over("v13_near_city", lambda t: t.crossJoin(F.broadcast(agg.city_centroid(t, "China"))).where("latitude is not null").where(F.abs(F.col("latitude") - F.col("lat")) < 0.1).select("property_id", F.round(F.col("latitude") - F.col("lat"), 6).alias("off")), "SELECT property_id, round(latitude - lat, 6) AS off FROM properties, (SELECT round(avg(latitude), 9) AS lat FROM properties WHERE upper(address_city) = 'CHINA') WHERE abs(latitude - lat) < 0.1")
 add("l13_phrases", lambda s, p: plan.table(s, p, "documents").select("doc_id", retrieval.phrase_hit(F.lit("the heed and thatnd this was"), F.col("text")).alias("hit")), "SELECT doc_id, contains(t, 'the heed') OR contains(t, 'heed and') OR contains(t, 'and thatnd') OR contains(t, 'thatnd this') OR contains(t, 'this was') AS hit FROM (SELECT doc_id, " + normal_sql("text") + " AS t FROM documents)")
 add("l1_normalised", lambda s, p: plan.table(s, p, "benchmark").select("item_id", retrieval.normalise(F.col("text")).alias("t")), "SELECT item_id, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS t FROM benchmark")
 add("l18_bands", lambda s, p: plan.table(s, p, "embeddings").select("vec_id", retrieval.band(F.abs(F.col("embedding")[0]).cast("double")).alias("band")), "SELECT vec_id, CASE WHEN x >= 0.42 THEN 'high' WHEN x >= 0.29 THEN 'moderate' WHEN x >= 0.23 THEN 'low' ELSE 'none' END AS band FROM (SELECT vec_id, CAST(abs(embedding[1]) AS DOUBLE) AS x FROM embeddings)")

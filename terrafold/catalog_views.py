@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog import _NOTICE, _STATS, SQL, add, benchmark_questions, document_postings, over, terms_sql
+from .catalog import _NOTICE, _STATS, _STEM, SQL, add, benchmark_questions, document_postings, normal_sql, over, terms_sql
+from .catalog_deep import BM25_SQL, BEST_SQL, _n_docs, impact_index, semantic_candidates
 from .catalog_more import _interpreted
 from .contract import COLUMNS, schema_gate
 from .operators import aggregates as agg
-from .operators import corpus, interpret, latent, provenance, retrieval, runs
+from .operators import corpus, impact, interpret, latent, provenance, retrieval, runs
 from .oracle import over_properties
 from .plans import consolidate as plan
 from .sources import readers
@@ -176,6 +177,16 @@ add(
     "SELECT doc_id, CAST(section AS BIGINT) AS section, trail, sha256(body) AS body FROM (SELECT doc_id, 1 AS section, source AS trail, '```' || chr(10) || '# no heading' || chr(10) || '```' AS body FROM documents UNION ALL SELECT doc_id, 2, source || CASE WHEN coalesce(lang, '') <> '' THEN ' > ' || lang ELSE '' END, 'one' FROM documents UNION ALL SELECT doc_id, 3, source || ' > two', " + _TIDY.format("coalesce(replace(text, chr(35), '-'), '')") + " FROM documents) WHERE body <> ''",
 )
 
+
+def _sectioned(s: SparkSession, d: str) -> DataFrame:
+    docs = plan.table(s, d, "documents")
+    sections = corpus.markdown_sections(docs.withColumn("md", F.expr(_MD.replace("chr(35)", "'#'"))), "doc_id", "md")
+    return corpus.section_chunks(sections.join(docs.select("doc_id", "lang"), "doc_id"), "doc_id", "lang")
+
+
+add("k3_section_chunks", lambda s, d: _sectioned(s, d).select("chunk_id", "doc_id", "chunk_count", "trail", "source_hash"))
+
+
 # the hybrid retriever
 _Q = "(SELECT item_id AS query_id, text AS question FROM benchmark)"
 
@@ -193,7 +204,14 @@ def _expansions(s: SparkSession, d: str) -> DataFrame:
     return plan.table(s, d, "documents").where("source is not null").select(F.substring_index("text", " ", 1).alias("trigger"), F.col("source").alias("term"))
 
 
-add("l4_expansion", lambda s, d: retrieval.expanded(benchmark_questions(s, d), _expansions(s, d)).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("weight") == 1).alias("typed")))
+_OWN = f"SELECT DISTINCT item_id AS query_id, term FROM ({terms_sql('benchmark', 'item_id', 'text')})"
+_STEMMED = lambda c: f"(SELECT {_STEM} FROM (SELECT lower({c}) AS t))"
+add(
+    "l4_expansion",
+    lambda s, d: retrieval.expanded(benchmark_questions(s, d), _expansions(s, d)).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("weight") == 1).alias("typed")),
+    f"WITH q AS ({_OWN}), x AS (SELECT DISTINCT {_STEMMED('w')} AS met, {_STEMMED('source')} AS term FROM (SELECT DISTINCT string_split(text, ' ')[1] AS w, source FROM documents WHERE source IS NOT NULL)), a AS (SELECT query_id, term, 1.0 AS weight FROM q UNION ALL SELECT query_id, x.term, 0.45 FROM q JOIN x ON q.term = x.met), m AS (SELECT query_id, term, max(weight) AS weight FROM a GROUP BY 1, 2) SELECT query_id, count(*) AS n, count(*) FILTER (WHERE weight = 1) AS typed FROM m GROUP BY 1",
+)
+SQL["l5_bm25"] = BEST_SQL.replace("round(CAST(hits AS DOUBLE) / typed, 9)", "CAST(hits AS DOUBLE) / typed")
 add(
     "l7_tfidf",
     lambda s, d: retrieval.tfidf(document_postings(s, d), "doc_id", plan.table(s, d, "documents").agg(F.count(F.lit(1)).alias("n_docs"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("w"), 6).alias("most"), F.round(F.sum(F.col("w") * F.col("w")), 6).alias("norm")),
@@ -208,16 +226,10 @@ add(
 )
 
 
-def _hybrid(s: SparkSession, d: str, semantic: bool = False, types=None) -> DataFrame:
-    docs, post, asked = _titled(s, d), document_postings(s, d), benchmark_questions(s, d)
-    sem = None
-    if semantic:
-        weights = retrieval.tfidf(post, "doc_id", docs.agg(F.count(F.lit(1)).alias("n_docs")))
-        terms, rows, _ = latent.latent_space(weights, "doc_id")
-        own = latent.folded(retrieval.expanded(asked, _expansions(s, d)), terms, 16)
-        lexical = retrieval.bm25(docs, asked, "doc_id", "text", post).select("query_id", "doc_id")
-        met = lexical.join(own, "query_id").join(rows.withColumnRenamed("v", "u"), "doc_id")
-        sem = met.select("query_id", "doc_id", retrieval.cosine(F.col("v"), F.col("u")).alias("sem"))
+def _hybrid(s: SparkSession, d: str, semantic: bool = False, types=None, asked: DataFrame | None = None) -> DataFrame:
+    docs, post = _titled(s, d), document_postings(s, d)
+    asked = benchmark_questions(s, d) if asked is None else asked
+    sem = semantic_candidates(s, d, asked, _expansions(s, d)) if semantic else None
     return retrieval.hybrid(docs, asked, _aliases(s, d), post, "doc_id", semantic=sem, types=types)
 
 
@@ -226,9 +238,62 @@ def _found(s: SparkSession, d: str) -> DataFrame:
     return kept(s, "hybrid", (d,), lambda: _hybrid(s, d, semantic=True))
 
 
-add("l8_latent_space", lambda s, d: latent.latent_space(retrieval.tfidf(document_postings(s, d), "doc_id", plan.table(s, d, "documents").agg(F.count(F.lit(1)).alias("n_docs"))), "doc_id")[1].select("doc_id", F.size("v").alias("k"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm")))
+add("l8_latent_space", lambda s, d: latent.latent_space(retrieval.tfidf(document_postings(s, d), "doc_id", _n_docs(s, d)), "doc_id")[1].select("doc_id", F.size("v").alias("k"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm")))
 add("l14_hybrid", lambda s, d: retrieval.top(_found(s, d), "doc_id", "doc_id").select("query_id", "doc_id", "rank", "score"))
-add("l17_of_a_type", lambda s, d: retrieval.top(_hybrid(s, d, types=("lang", ["en", "de"])), "doc_id", "doc_id", floor=0.0).select("query_id", "doc_id", "rank", "score"))
+
+
+# the signals but for the latent one, fused: these SQL can express. Half of the questions are reversed, so that the corpus knows none of their words
+def _controls(s: SparkSession, d: str) -> DataFrame:
+    own = benchmark_questions(s, d)
+    return own.unionByName(own.select((F.col("query_id") + 1_000_000).alias("query_id"), F.reverse("question").alias("question")))
+
+
+def _fused(s: SparkSession, d: str) -> DataFrame:
+    return kept(s, "fused", (d,), lambda: _hybrid(s, d, asked=_controls(s, d)))
+
+
+_CONTROLS = "(SELECT item_id, text FROM benchmark UNION ALL SELECT item_id + 1000000, reverse(text) FROM benchmark)"
+_TITLED = "(SELECT doc_id, text, lang, source, concat_ws(' ', source, array_to_string(string_split(text, ' ')[1:3], ' ')) AS title FROM documents)"
+FUSED_SQL = f"""{BM25_SQL.replace("round(CAST(hits AS DOUBLE) / typed, 9)", "CAST(hits AS DOUBLE) / typed").replace(terms_sql('benchmark', 'item_id', 'text'), terms_sql(_CONTROLS, 'item_id', 'text'))},
+alias AS (SELECT query_id, doc_id, max(least(1, 0.6::DOUBLE + CAST(length(a) AS DOUBLE) / 40)) AS alias FROM (SELECT item_id AS query_id, {_PLAIN_Q.format('text')} AS q FROM {_CONTROLS}) JOIN (SELECT doc_id, {_PLAIN_Q.format('array_to_string(string_split(text, chr(32))[1:2], chr(32))')} AS a FROM documents) ON length(a) >= 3 AND contains(' ' || q || ' ', ' ' || a || ' ') GROUP BY 1, 2),
+vocabulary AS (SELECT DISTINCT term FROM p),
+ground AS (SELECT query_id, count(*) AS typed, count(v.term) AS known FROM q LEFT JOIN vocabulary v USING (term) GROUP BY 1),
+titles AS (SELECT DISTINCT doc_id, term FROM ({terms_sql(_TITLED, 'doc_id', 'title')})),
+title AS (SELECT query_id, doc_id, CAST(count(*) AS DOUBLE) / any_value(known) AS title FROM q JOIN vocabulary USING (term) JOIN titles USING (term) JOIN ground USING (query_id) GROUP BY 1, 2),
+met AS (SELECT query_id, doc_id FROM scored UNION SELECT query_id, doc_id FROM alias UNION SELECT query_id, doc_id FROM title),
+long_words AS (SELECT item_id AS query_id, list_filter(string_split({normal_sql('text')}, ' '), lambda w: length(w) > 2) AS w FROM {_CONTROLS}),
+runs AS (SELECT query_id, CASE WHEN len(w) > 1 THEN list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]) ELSE [] END AS runs FROM long_words),
+plain AS (SELECT doc_id, lang, {normal_sql('text')} AS plain FROM documents),
+signals AS (SELECT query_id, doc_id, lang, coalesce(score, 0) AS lex, coalesce(alias, 0) AS alias, coalesce(title, 0) AS title, coalesce(overlap, 0) AS overlap, CASE WHEN len(list_filter(runs, lambda r: contains(plain, r))) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS phrase, known, typed
+  FROM met LEFT JOIN scored USING (query_id, doc_id) LEFT JOIN alias USING (query_id, doc_id) LEFT JOIN title USING (query_id, doc_id) JOIN plain USING (doc_id) JOIN runs USING (query_id) JOIN ground USING (query_id)),
+mixed AS (SELECT *, 0.42::DOUBLE * lex + 0.24::DOUBLE * 0 + 0.14::DOUBLE * alias + 0.12::DOUBLE * title + 0.08::DOUBLE * phrase AS m FROM signals),
+fused AS (SELECT query_id, doc_id, lang, phrase, floor(least(CASE WHEN overlap = 0 AND alias = 0 THEN m * 0.3::DOUBLE ELSE m END * pow(CAST(known AS DOUBLE) / typed, 1.5::DOUBLE), 1) * 10000 + 0.5) / 10000 AS score FROM mixed)"""
+_RANKED_SQL = "ranked AS (SELECT query_id, doc_id, phrase, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM fused WHERE score >= 0.23 QUALIFY rank <= 5)"
+_BAND_SQL = "CASE WHEN {0} >= 0.42 THEN 'high' WHEN {0} >= 0.29 THEN 'moderate' WHEN {0} >= 0.23 THEN 'low' ELSE 'none' END"
+_MEAN = "floor(least(avg({}), 1) * 10000 + 0.5) / 10000"
+
+
+def _best(s: SparkSession, d: str) -> DataFrame:
+    return retrieval.top(_fused(s, d), "doc_id", "doc_id")
+
+
+add("l14_fused", lambda s, d: _best(s, d).select("query_id", "doc_id", "rank", "score"), FUSED_SQL + ", " + _RANKED_SQL + " SELECT query_id, doc_id, rank, score FROM ranked")
+add(
+    "l17_of_a_type",
+    lambda s, d: retrieval.top(_hybrid(s, d, types=("lang", ["en", "de"])), "doc_id", "doc_id", floor=0.0).select("query_id", "doc_id", "rank", "score"),
+    FUSED_SQL + " SELECT query_id, doc_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, score FROM fused WHERE lang IN ('en', 'de') AND query_id < 1000000 QUALIFY rank <= 5",
+)
+add(
+    "l18_fused_answers",
+    lambda s, d: retrieval.answers(_controls(s, d), _best(s, d), document_postings(s, d)),
+    FUSED_SQL + ", " + _RANKED_SQL + ", notes AS (SELECT query_id, array_to_string(list_sort(list(DISTINCT term))[1:6], ', ') AS unknown FROM q WHERE term NOT IN (SELECT term FROM vocabulary) GROUP BY 1), best AS (SELECT query_id, max(score) AS best, count(*) AS n FROM ranked GROUP BY 1) SELECT item_id AS query_id, coalesce(n, 0) AS n, " + _BAND_SQL.format("coalesce(best, 0)") + f" AS band, n IS NULL AS abstained, coalesce(unknown, '') AS unknown FROM {_CONTROLS} c LEFT JOIN best ON best.query_id = item_id LEFT JOIN notes ON notes.query_id = item_id",
+)
+add("l20_fused_citations", lambda s, d: retrieval.citations(_best(s, d), _titled(s, d), "doc_id"), FUSED_SQL + ", " + _RANKED_SQL + " SELECT query_id, rank, doc_id, title, source, score, " + _BAND_SQL.format("score") + f" AS band FROM ranked JOIN {_TITLED} USING (doc_id)")
+add(
+    "l21_fused_evaluation",
+    lambda s, d: retrieval.evaluate(_best(s, d).select("query_id", "doc_id", "rank"), _fused(s, d).where("phrase = 1 and query_id < 1000000 and score >= 0.3").select("query_id", "doc_id"), "doc_id", _controls(s, d).where("query_id >= 1000000").select("query_id")),
+    FUSED_SQL + ", " + _RANKED_SQL + ", expected AS (SELECT query_id, doc_id FROM fused WHERE phrase = 1 AND query_id < 1000000 AND score >= 0.3), per AS (SELECT e.query_id, count(*) AS relevant, " + ", ".join(f"count(*) FILTER (WHERE rank <= {k}) AS h{k}" for k in (1, 3, 5)) + ", min(rank) AS first FROM expected e LEFT JOIN ranked USING (query_id, doc_id) GROUP BY 1), refused AS (SELECT count(*) AS controls, " + _MEAN.format("CASE WHEN r.query_id IS NULL THEN 1.0 ELSE 0.0 END") + f" AS abstention, count(r.query_id) AS false_answers FROM {_CONTROLS} LEFT JOIN (SELECT DISTINCT query_id FROM ranked) r ON r.query_id = item_id WHERE item_id >= 1000000) SELECT * FROM (SELECT count(*) AS questions, " + ", ".join([*(f"{_MEAN.format(f'CAST(h{k} AS DOUBLE) / {k}')} AS p{k}" for k in (1, 3, 5)), *(f"{_MEAN.format(f'CAST(h{k} AS DOUBLE) / least({k}, relevant)')} AS np{k}" for k in (3, 5)), *(f"{_MEAN.format(f'CASE WHEN h{k} > 0 THEN 1.0 ELSE 0.0 END')} AS hit{k}" for k in (1, 3, 5))]) + ", " + _MEAN.format("coalesce(1 / CAST(first AS DOUBLE), 0)") + " AS mrr FROM per) CROSS JOIN refused",
+)
 add("l18_answers", lambda s, d: retrieval.answers(benchmark_questions(s, d), retrieval.top(_found(s, d), "doc_id", "doc_id"), document_postings(s, d)))
 add("l20_citations", lambda s, d: retrieval.citations(retrieval.top(_found(s, d), "doc_id", "doc_id"), _titled(s, d), "doc_id"))
 add("l21_evaluation", lambda s, d: retrieval.evaluate(retrieval.top(_found(s, d), "doc_id", "doc_id").select("query_id", "doc_id", "rank"), _found(s, d).where("phrase = 1").select("query_id", "doc_id").distinct(), "doc_id"))
@@ -238,7 +303,7 @@ def _hybrid_answer(s: SparkSession, d: str) -> DataFrame:
     """For each question about parcels: the matching parcels and, if the documents know it, the best of them."""
     asked = written(_interpreted(s, d), "asked")
     parcels = interpret.answer(asked, plan.properties(s, d))
-    docs = retrieval.top(retrieval.bm25(plan.table(s, d, "documents").select("doc_id", "text"), asked.select("query_id", "question"), "doc_id", "text", document_postings(s, d)).select("query_id", "doc_id", "score"), "doc_id", "doc_id", 1)
+    docs = impact.best(*impact_index(s, d), asked.select("query_id", "question"), "doc_id", 1)
     return asked.select("query_id", "about_parcels", "declined").join(parcels, "query_id", "left").join(docs.select("query_id", "doc_id", "score"), "query_id", "left")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _KINDS = {"s": T.StringType(), "d": T.DoubleType(), "i": T.IntegerType(), "b": T.BooleanType()}
@@ -23,8 +24,15 @@ COLUMNS = [
     ("enrichment_status", "s"), ("source_systems", "s"),
 ]
 
-#: Columns that are null on every row.
-ALWAYS_NULL = ["contractor_name", "bbb_rating", "has_bbb_contractor", "has_sunbiz_tenant", "property_cid"]
+#: Columns that are null on every row, each with the reason.
+REASONS = {
+    "contractor_name": "Gated at source: county permit detail pages answer HTTP 403.",
+    "bbb_rating": "Gated at source: the rating pages answer HTTP 403.",
+    "has_bbb_contractor": "Always null: the ratings are gated at source, so absence was never established.",
+    "has_sunbiz_tenant": "Always null: corporate data was not ingested, so absence was never established.",
+    "property_cid": "Not populated: the run publishes one columnar table, not an id for each property.",
+}
+ALWAYS_NULL = list(REASONS)
 
 #: Source tokens and their labels.
 SOURCE_LABELS = {
@@ -48,7 +56,7 @@ ROOF_BASES = ("roofing_permit_completed", "roofing_permit_issued", "year_built")
 ROOFING_TYPES = ("RF", "RFC", "RFR", "ROC", "ROR")
 OPEN_STATUSES = ("APPLY", "INSPECT", "ISSUED", "READY", "RENEWED")
 
-SCHEMA = T.StructType([T.StructField(n, _KINDS[k], n != "property_id", {"always_null": n in ALWAYS_NULL}) for n, k in COLUMNS])
+SCHEMA = T.StructType([T.StructField(n, _KINDS[k], n != "property_id", {"always_null": n in REASONS} | ({"reason": REASONS[n]} if n in REASONS else {})) for n, k in COLUMNS])
 
 
 def schema_gate(df: DataFrame) -> DataFrame:
@@ -60,6 +68,20 @@ def schema_gate(df: DataFrame) -> DataFrame:
     return df
 
 
+def annotated(df: DataFrame) -> DataFrame:
+    """The columns of ``df``, those of the contract with its metadata: a reason travels with
+    its column through selections, filters, joins and written tables."""
+    known = {f.name: f.metadata for f in SCHEMA}
+    return df.select(*[F.col(f"`{c}`").alias(c, metadata=known[c]) if c in known else F.col(f"`{c}`") for c in df.columns])
+
+
+def schema_listing(df: DataFrame) -> DataFrame:
+    """One row a column of ``df``: name, kind, place, always_null and the reason that its
+    metadata carries."""
+    rows = [(f.name, f.dataType.simpleString(), n, bool(f.metadata.get("always_null")), f.metadata.get("reason")) for n, f in enumerate(df.schema)]
+    return df.sparkSession.createDataFrame(rows, "name string, kind string, place int, always_null boolean, reason string")
+
+
 def require_columns(df: DataFrame, *names: str) -> None:
     unknown = [n for n in names if n not in df.columns]
     if unknown:

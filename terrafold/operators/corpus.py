@@ -15,21 +15,6 @@ def content_hash(text: Column) -> Column:
     return F.left(F.sha2(text, 256), F.lit(16))
 
 
-def windows(parts: Column, size: int = 1500, overlap: int = 200, hard: int = 3000, step: int = 1300) -> Column:
-    """Paragraphs folded into windows: a window is closed when the next part
-    would exceed ``size``; the next begins with its last ``overlap`` characters;
-    a part over ``hard`` characters is cut by ``step``."""
-    pieces = F.flatten(F.transform(parts, lambda p: F.when(F.length(p) > hard, F.transform(F.sequence(F.lit(0), F.floor((F.length(p) - 1) / step).cast("int")), lambda k: F.substring(p, k * step + 1, F.lit(size)))).otherwise(F.array(p))))
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
-
-    def add(state, piece):
-        joined = F.when(state["open"] == "", piece).otherwise(F.concat(state["open"], F.lit("\n"), piece))
-        tail = F.concat(F.substring(state["open"], -overlap, overlap), F.lit("\n"), piece)
-        return F.when((state["open"] != "") & (F.length(joined) > size), F.struct(F.concat(state["done"], F.array(state["open"])).alias("done"), tail.alias("open"))).otherwise(F.struct(state["done"].alias("done"), joined.alias("open")))
-
-    return F.aggregate(pieces, start, add, lambda s: F.concat(s["done"], F.array(s["open"])))
-
-
 def paragraph_windows(body: Column, size: int = 1500, overlap: int = 200, hard: int = 3000, step: int = 1300) -> Column:
     """Paragraphs (between blank lines) folded into windows: one is closed when the
     next paragraph would exceed ``size``, and the next begins with its last
@@ -61,6 +46,25 @@ def chunks(docs: DataFrame, least: int = 40) -> DataFrame:
     )
 
 
+def section_chunks(sections: DataFrame, key: str, title: str, least: int = 40) -> DataFrame:
+    """Chunks of the sections of documents (see ``markdown_sections``): id ``doc#n`` in the
+    order of sections and windows, the trail of the title and the headings, and the text,
+    which is the trail, an empty line and the body. Bodies of under ``least`` characters
+    drop out; ids have no gaps. ``sections``: key, section, trail, body and ``title``."""
+    rows = sections.select(key, "section", "trail", F.col(title).alias("_t"), F.posexplode(paragraph_windows(F.col("body"))).alias("n", "body"))
+    rows = rows.withColumn("body", tidy(F.col("body"))).where(F.length("body") >= least)
+    own = Window.partitionBy(key)
+    trail = F.concat_ws(" > ", F.when(F.col("_t") != "", F.col("_t")), F.when(F.col("trail") != "", F.col("trail")))
+    return rows.select(
+        F.concat_ws("#", F.col(key).cast("string"), (F.row_number().over(own.orderBy("section", "n")) - 1).cast("string")).alias("chunk_id"),
+        key,
+        F.count(F.lit(1)).over(own).alias("chunk_count"),
+        trail.alias("trail"),
+        F.concat(trail, F.lit("\n\n"), "body").alias("text"),
+        content_hash(F.col("body")).alias("source_hash"),
+    )
+
+
 def heading_sections(pages: DataFrame) -> DataFrame:
     """Headings of pages with their trail; a level's entry ends at a shallower one."""
     found = pages.select("page_id", F.posexplode(F.expr(r"regexp_extract_all(html, '(?s)<h([1-4])[^>]*>(.*?)</h', 0)")).alias("pos", "raw"))

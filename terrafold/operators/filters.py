@@ -107,5 +107,49 @@ def search(df: DataFrame, sort: str | None = None, descending: bool = True, limi
     return out.orderBy(*order).offset(max(0, offset)).limit(min(500, max(1, limit)))
 
 
+def page_after(df: DataFrame, sort: str | None = None, descending: bool = True, limit: int = 50, token: tuple | None = None, **f) -> DataFrame:
+    """The page that follows the row a token names: its sort value and its id.
+
+    Rows are in the order of ``search``. Unlike an offset, a page costs the same however
+    deep it is: what comes before is filtered out, at the scan where the sort column
+    allows, and rows that arrive in between move no page. ``token``: (value, property_id)
+    of the last row seen (see ``page_token``), None for the first page; a null value stands
+    in the last rows, which go on by id. Without ``sort`` the order is by id."""
+    out = matching(df, **f)
+    key = F.col("property_id")
+    if sort:
+        require_columns(df, sort)
+    if token is not None:
+        value, last = token
+        if not sort:
+            out = out.where(key > F.lit(last))
+        elif value is None:
+            out = out.where(F.col(sort).isNull() & (key > F.lit(last)))
+        else:
+            own = F.col(sort)
+            beyond = own < F.lit(value) if descending else own > F.lit(value)
+            out = out.where(beyond | ((own == F.lit(value)) & (key > F.lit(last))) | own.isNull())
+    order = ([F.col(sort).desc_nulls_last() if descending else F.col(sort).asc_nulls_last()] if sort else []) + [key.asc_nulls_last()]
+    return out.orderBy(*order).limit(min(500, max(1, limit)))
+
+
+def page_token(page: DataFrame, sort: str | None = None) -> tuple | None:
+    """The token of a page of at most 500 rows; None if it is empty."""
+    last = page.select(*[F.col(sort).alias("value") if sort else F.lit(None).alias("value"), F.col("property_id").alias("id")]).tail(1)
+    return (last[0]["value"], last[0]["id"]) if last else None
+
+
+def near_city(df: DataFrame, centre: DataFrame, radius_miles: float) -> DataFrame:
+    """Rows within a radius of a city's centre, with ``distance_miles``. ``centre``: one
+    row (lat, lon, n), as ``city_centroid`` gives it; a city without coordinates has no
+    neighbours. The centre reaches the driver as two numbers, so the box is at the scan."""
+    at = centre.first()
+    if at is None or at["lat"] is None or at["lon"] is None:
+        return df.where(F.lit(False)).withColumn("distance_miles", F.lit(None).cast("double"))
+    lat, lon = float(at["lat"]), float(at["lon"])
+    return matching(df, lat=lat, lon=lon, radius_miles=radius_miles).withColumn("distance_miles", haversine_miles(lat, lon))
+
+
 def lookup(df: DataFrame, key: str) -> DataFrame:
+    """The parcel of an id, at most one row; none if it is not there."""
     return df.where((F.col("request_identifier") == key) | (F.col("property_id") == key)).limit(1)

@@ -1,13 +1,14 @@
 """Plain-language questions to filters, for a whole table of questions at once.
 
-A question becomes a line of tags, one letter a word: words that bear on a filter
-have the letter of their meaning, numbers are ``#`` and amounts ``$``, the rest is
-a dot. The rules are short shapes over that line. What a rule took is blanked, so
-no later rule reads it again, and the words themselves are looked up by place.
-
-Cities and property types are distinct values of the table, of any number: they
-are joined to the questions by hash (of the first word, or of the first letters)
-and then compared in full.
+Words have named concepts (CONCEPTS), numbers have a value and a kind. A number is read by
+what stands around it: which way it bounds, in what unit, and whose bound it can be (an
+open permit, a roof, the year of building, the value). Flags are concepts in a row. Every
+rule reads the whole question, so no rule depends on the order of the others; what the
+rules that fired have read is left out of the free text.
+
+Cities and property types are distinct values of the table, of any number: they are
+joined to the questions by hash (of the first word, or of the first letters) and then
+compared in full.
 """
 
 from __future__ import annotations
@@ -29,62 +30,43 @@ IDLE_WORDS = (
     "five absentee"
 ).split()
 
-#: Meanings of words, one letter each. Words outside this table are dots.
-LEXICON = {
-    "R": "roof roofs",
-    "G": "roofing",
-    "P": "permit permits",
-    "O": "open outstanding unclosed",
-    "M": "more over above past older longer least greater",
-    "L": "less under below most",
-    "T": "than to",
-    "A": "aged ageing aging old ancient failing",
-    "Y": "year years",
-    "N": "no never",
-    "S": "sale sold",
-    "X": "out outside",
-    "o": "of",
-    "t": "the",
-    "f": "from for",
-    "C": "county",
-    "Z": "state",
-    "H": "absentee",
-    "U": "business tpp",
-    "K": "account accounts",
-    "V": "worth value valued",
-    "B": "built",
-    "E": "before prior earlier",
-    "F": "after since later",
-    "I": "in at",
-    "D": "not isn't aren't don't doesn't isnt arent dont doesnt non",
-    "Q": "other apart away rather",
-    "J": "excluding except besides",
-    "h": "with has having",
-    "a": "a any",
-    "r": "recorded",
-    "c": "or and",
+#: Concepts and the words for them; a word may have several.
+CONCEPTS = {
+    "roof": "roof roofs",
+    "roofing": "roofing reroofing",
+    "permit": "permit permits",
+    "open": "open outstanding unclosed pending",
+    "upward": "more over above past older longer least greater exceeding",
+    "downward": "less under below most fewer",
+    "aged": "aged ageing aging old older ancient failing",
+    "years": "year years yr yrs",
+    "none": "no never",
+    "sale": "sale sales sold",
+    "outside": "outside",
+    "out": "out",
+    "county": "county",
+    "state": "state",
+    "absentee": "absentee absentees",
+    "business": "business tpp",
+    "account": "account accounts",
+    "worth": "worth value valued priced",
+    "built": "built constructed",
+    "earlier": "before prior earlier",
+    "later": "after since later",
+    "not": "not isn't aren't don't doesn't isnt arent dont doesnt non",
+    "at": "in at",
+    "other": "other rather",
+    "than": "than",
+    "apart": "apart away",
+    "from": "from",
+    "except": "excluding except besides",
+    "holding": "with has having",
+    "small": "a any of the recorded",
 }
 NUMERALS = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten")
 AGED_YEARS, LEAST_AMOUNT, DAYS = 15, 1000, 365
-_TAKEN = "_"
-
-# shapes over tags
-_FLAG = "Xo?t?[CZ]|Nr?S|NP"
-_REFUSED = "DI|QT|Qf|J|X"
-_SHAPES = {
-    "stalled": ["O[^#_]{0,5}MT?#Y", "MT?#Y[^#_]{0,5}O"],
-    "roof": ["R[^#$VBPSO_]{0,4}#Y?(?:c?[MA])?", "#Y?(?:cM)?Y?[MA]?R"],
-    "aged": ["AR"],
-    "out_of_state": ["Xo?t?Z"],
-    "out_of_county": ["Xo?t?C"],
-    "absentee": ["H"],
-    "no_sale": ["Nr?S"],
-    "business": ["UK"],
-    "most": ["V?I?LT?[$#]"],
-    "least": ["V?I?MT?[$#]"],
-    "before": ["BET?#"],
-    "after": ["BFT?#"],
-}
+#: Pairs of concepts that exclude what follows, and concepts that do so alone.
+EXCLUDING = (("not", "at"), ("other", "than"), ("apart", "from"))
 FILTERS = [
     "city", "property_type", "min_open_permit_days", "min_roof_age", "has_open_roofing_permit", "has_permits", "owner_out_of_state", "owner_out_of_county",
     "no_recorded_sale", "has_business_account", "min_market_value", "max_market_value", "max_built_year", "min_built_year",
@@ -92,57 +74,117 @@ FILTERS = [
 
 
 def plain(text: Column) -> Column:
-    """Lower case, without ? ! , ; : and with single spaces."""
-    return F.trim(F.regexp_replace(F.translate(F.lower(text), "?!,;:", "     "), "\\s+", " "))
+    """Lower case, without ? ! , ; : and with single spaces; commas within numbers go."""
+    whole = F.regexp_replace(F.translate(F.lower(text), "’", "'"), r"(?<=\d),(?=\d{3}(?!\d))", "")
+    return F.trim(F.regexp_replace(F.translate(whole, "?!,;:", "     "), "\\s+", " "))
 
 
 def _words(text: Column) -> Column:
-    """Words, with hyphens between letters and a plus after a number as breaks."""
-    return F.split(F.regexp_replace(F.regexp_replace(text, "(?<=[a-z])-(?=[a-z])", " "), "(?<=\\d)[+](?=\\s|$)", " or more"), " ")
-
-
-def _letters(words: Column) -> Column:
-    pairs = [(w, tag) for tag, line in LEXICON.items() for w in line.split()] + [(w, "#") for w in NUMERALS]
-    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs)])
+    """Words, with hyphens between letters and a plus after a number as breaks; a k or m
+    after a number belongs to it."""
+    text = F.regexp_replace(F.regexp_replace(text, "(?<=[a-z])-(?=[a-z])", " "), r"(?<=\d)[+](?=\s|$)", " or more")
+    return F.split(F.regexp_replace(text, r"(?<=\d) (?=[km](?:\s|$))", ""), " ")
 
-    def tag(w: Column) -> Column:
-        number = F.when(w.rlike(r"^\d{1,9}\.?$"), "#").when(w.rlike(r"^\$?\d[\d,.]*[km]?\.?$"), "$")
-        return F.coalesce(F.when(w == "\x01", _TAKEN), F.try_element_at(table, w), number, F.lit("."))
 
-    return F.array_join(F.transform(words, tag), "")
+def _marks(words: Column) -> Column:
+    """The concepts of each word, as text between blanks."""
+    of: dict[str, str] = {}
+    for concept, line in CONCEPTS.items():
+        for w in line.split():
+            of[w] = of.get(w, " ") + concept + " "
+    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(of.items())])
+    return F.transform(words, lambda w: F.coalesce(F.try_element_at(table, w), F.lit("")))
 
 
-def _whole_number(word: Column) -> Column:
+def _value(word: Column) -> Column:
+    """A number of digits or by name, with k for thousands and m for millions; else null."""
     named = F.array_position(F.array(*[F.lit(n) for n in NUMERALS]), word)
-    return F.when(named > 0, named.cast("int")).otherwise(F.regexp_replace(word, "[^0-9]", "").try_cast("int"))
-
-
-def _amount(word: Column) -> Column:
-    """Dollars, with k for thousands and m for millions."""
-    unit = F.when(F.rtrim(word, F.lit(".")).endswith("m"), 1e6).when(F.rtrim(word, F.lit(".")).endswith("k"), 1e3).otherwise(1.0)
-    return F.rtrim(F.regexp_replace(word, "[$,km]", ""), F.lit(".")).try_cast("double") * unit
-
-
-def _take(df: DataFrame, rule: str, only: Column | None = None) -> DataFrame:
-    """Columns ``<rule>`` (the word of the number in the rule's shape, or '' if it
-    has none; null without a match), and the tags with that match blanked."""
-    found = None
-    for shape in reversed(_SHAPES[rule]):
-        own = F.regexp_extract("tags", f"({shape})", 1)
-        found = own if found is None else F.when(own != "", own).otherwise(found)
-    df = df.withColumn("hit", found)
-    df = df.withColumn("at", F.when(F.col("hit") != "", F.call_function("instr", F.col("tags"), F.col("hit"))).otherwise(0))
-    if only is not None:
-        df = df.withColumn("at", F.when(only, F.col("at")).otherwise(0))
-    place = F.call_function("instr", F.translate("hit", "$", "#"), F.lit("#"))
-    word = F.when(place > 0, F.get(F.col("words"), F.col("at") + place - 2)).otherwise(F.lit(""))
-    df = df.withColumn(rule, F.when(F.col("at") > 0, word))
-    return df.withColumn("tags", F.when(F.col("at") > 0, F.overlay("tags", F.repeat(F.lit(_TAKEN), F.length("hit")), F.col("at"), F.length("hit"))).otherwise(F.col("tags")))
-
-
-def _give_back(df: DataFrame, rule: str, unless: Column) -> DataFrame:
-    """Undo what a rule took where its value does not count."""
-    return df.withColumn("tags", F.when(F.col(rule).isNotNull() & ~unless, F.overlay("tags", "hit", F.col("at"), F.length("hit"))).otherwise(F.col("tags")))
+    digits = F.regexp_extract(word, r"^\$?(\d[\d.]*?)([km]?)\.?$", 1).try_cast("double")
+    unit = F.regexp_extract(word, r"^\$?\d[\d.]*?([km]?)\.?$", 1)
+    return F.when(named > 0, named.cast("double")).otherwise(digits * F.when(unit == "m", 1e6).when(unit == "k", 1e3).otherwise(1.0))
+
+
+def _is(at: Column, *concepts: str) -> Column:
+    """Whether the word at a place (from 0) has one of the concepts; null outside is false."""
+    mark = F.get(F.col("marks"), at)
+    return F.coalesce(reduce(lambda a, b: a | b, [mark.contains(f" {c} ") for c in concepts]), F.lit(False))
+
+
+def _last(upto: Column, reach: int, *concepts: str) -> Column:
+    """The nearest place before ``upto``, at most ``reach`` words away, with a concept; -1 without."""
+    found = F.lit(-1)
+    for d in range(reach, 0, -1):
+        found = F.when((upto >= d) & _is(upto - d, *concepts), upto - d).otherwise(found)
+    return found
+
+
+def _next(after: Column, reach: int, *concepts: str) -> Column:
+    """The nearest place after ``after``, at most ``reach`` words away, with a concept; -1 without."""
+    found = F.lit(-1)
+    for d in range(reach, 0, -1):
+        found = F.when(_is(after + d, *concepts), after + d).otherwise(found)
+    return found
+
+
+def _row(*steps: tuple[str, ...]) -> Column:
+    """Whether words of the concepts stand in a row; small words between them do not count."""
+    places = F.sequence(F.lit(0), F.size("marks") - 1)
+
+    def follows(at: Column, left: list) -> Column:
+        if not left:
+            return F.lit(True)
+        here = [_is(at + gap, *left[0]) & reduce(lambda a, b: a & b, [_is(at + g, "small") for g in range(gap)], F.lit(True)) & follows(at + gap + 1, left[1:]) for gap in range(3)]
+        return reduce(lambda a, b: a | b, here)
+
+    return F.exists(places, lambda at: _is(at, *steps[0]) & follows(at + 1, list(steps[1:])))
+
+
+def _excludes() -> Column:
+    """Whether the question excludes a place: outside of it, except, other than, not in it.
+    Outside the county and outside the state are filters."""
+    places = F.sequence(F.lit(0), F.size("marks") - 1)
+    border = lambda at: reduce(lambda a, b: a | b, [_is(at + g, "county", "state") & reduce(lambda x, y: x & y, [_is(at + h, "small") for h in range(1, g)], F.lit(True)) for g in (1, 2, 3)])
+    alone = F.exists(places, lambda at: _is(at, "except") | (_is(at, "outside") & ~border(at)))
+    pair = F.exists(places, lambda at: reduce(lambda a, b: a | b, [_is(at, x) & _is(at + 1, y) for x, y in EXCLUDING]))
+    return alone | pair
+
+
+def _numbers() -> Column:
+    """Each number with its bound: what it is a bound of (``of``), which way and its value.
+
+    More than and the like stand up to three words before, or after it (20 or more, 20
+    years or older). A bound in years is of an open permit if one is spoken of, else of the
+    roof beside it; built before and after a year is of the building; an amount is of the value."""
+
+    def read(x: Column) -> Column:
+        at, v = x["at"], x["v"]
+        up_before, down = _last(at, 3, "upward"), _last(at, 3, "downward")
+        up_after = _next(at, 3, "upward", "aged")
+        years = _is(at + 1, "years") | (_next(at, 3, "years") >= 0) & (up_after >= 0)
+        built = _last(at, 3, "built")
+        when = _last(at, 2, "earlier", "later")
+        roof_before = _last(at, 7, "roof")
+        barred = _last(at, 7, "worth", "built", "permit", "open", "sale")
+        roof_after = _next(at, 5, "roof")
+        opened = (_last(at, 9, "open") >= 0) | (_next(at, 8, "open") >= 0)
+        small = v < LEAST_AMOUNT
+        of = (
+            F.when((built >= 0) & (when > built), F.when(_is(when, "earlier"), "built_before").otherwise("built_after"))
+            .when(small & (up_before >= 0) & _is(at + 1, "years") & opened, "open")
+            .when(small & (roof_before > barred) & ((up_before > roof_before) | (up_after >= 0)), "roof")
+            .when(small & (roof_after >= 0) & years & (up_after >= 0) & (up_after < roof_after), "roof")
+            .when(~small & (up_before >= 0) & (up_before > down), "least")
+            .when(~small & (down >= 0), "most")
+        )
+        return F.struct(of.alias("of"), v.alias("v"), at.alias("at"))
+
+    found = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("at"), _value(w).alias("v"))), lambda x: x["v"].isNotNull())
+    return F.filter(F.transform(found, read), lambda x: x["of"].isNotNull())
+
+
+def _bound(of: str) -> Column:
+    """The value of the first number that bounds ``of``."""
+    return F.get(F.filter("numbers", lambda x: x["of"] == of), 0)["v"]
 
 
 def _best(df: DataFrame, vocabulary: DataFrame, keys: Column, key: Column, holds: Column, name: str) -> DataFrame:
@@ -165,43 +207,52 @@ def interpret_questions(questions: DataFrame, cities: DataFrame, types: DataFram
 
     ``query_id`` is unique; a null question is empty. Questions that exclude a
     place are declined, with no filters."""
-    city = cities.where("entry is not null").select("entry", F.lower("entry").alias("needle")).distinct()
-    kind = types.where("entry is not null").select("entry", F.lower(F.regexp_replace("entry", "([a-z])([A-Z])", "$1 $2")).alias("needle")).distinct()
+    city = cities.where("trim(entry) <> ''").select("entry", F.lower("entry").alias("needle")).distinct()
+    kind = types.where("trim(entry) <> ''").select("entry", F.lower(F.regexp_replace("entry", "([a-z])([A-Z])", "$1 $2")).alias("needle")).distinct()
     d = questions.select("query_id", "question", plain(F.coalesce("question", F.lit(""))).alias("text"))
-    d = d.withColumn("declined", F.regexp_replace(_letters(_words(F.col("text"))), _FLAG, _TAKEN).rlike(_REFUSED))
+    d = d.withColumn("words", _words(F.col("text"))).withColumn("marks", _marks(F.col("words")))
+    d = written(d.withColumn("declined", _excludes()).drop("words", "marks"), "questions")
     d = d.withColumn("text", F.when(F.col("declined"), "").otherwise(F.col("text")))
-    first = F.split("text", " ")
     padded = F.concat(F.lit(" "), F.col("text"), F.lit(" "))
-    d = _best(d, city, first, F.substring_index("needle", " ", 1), padded.contains(F.concat(F.lit(" "), F.col("needle"), F.lit(" "))), "city")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1))), lambda i: F.substr("text", i, F.lit(3)))
-    kind = kind.where(F.length("needle") >= 3)  # shorter names would stand in any text
-    d = _best(d, kind, grams, F.left("needle", F.lit(3)), F.col("text").contains(F.col("needle")), "property_type")
-    d = d.withColumn("words", _words(F.col("text"))).withColumn("tags", _letters(F.col("words"))).withColumn("read", F.col("tags"))
-    d = written(d, "questions")  # the rules are long expressions over a few columns: cut here and below
-
-    d = _take(d, "stalled").withColumn("min_open_permit_days", (_whole_number(F.col("stalled")) * DAYS).cast("int"))
-    d = _take(_take(d, "roof"), "aged", F.col("roof").isNull())
-    d = d.withColumn("min_roof_age", F.coalesce(_whole_number(F.col("roof")), F.when(F.col("aged").isNotNull(), F.lit(AGED_YEARS))))
-    d = written(d.drop("stalled", "roof", "aged"), "questions")
-    roofing, open_ = F.col("read").contains("GP"), F.col("read").contains("O")
-    d = d.withColumn("has_open_roofing_permit", F.when(roofing & open_, True))
-    d = d.withColumn("has_permits", F.when((roofing & ~open_) | (~roofing & F.col("read").rlike("ha?P")), True))
-    for rule in ("out_of_state", "out_of_county"):
-        d = _take(d, rule).withColumn(f"owner_{rule}", F.when(F.col(rule).isNotNull(), True))
-    d = _take(d, "absentee", F.col("owner_out_of_state").isNull() & F.col("owner_out_of_county").isNull())
-    d = d.withColumn("owner_out_of_county", F.coalesce("owner_out_of_county", F.when(F.col("absentee").isNotNull(), True)))
-    for rule, name in (("no_sale", "no_recorded_sale"), ("business", "has_business_account")):
-        d = _take(d, rule).withColumn(name, F.when(F.col(rule).isNotNull(), True))
-    d = written(d.drop("out_of_state", "out_of_county", "absentee", "no_sale", "business"), "questions")
-    for rule, name in (("before", "max_built_year"), ("after", "min_built_year")):
-        d = _take(d, rule).withColumn(name, _whole_number(F.col(rule)) + (-1 if rule == "before" else 1))
-    for rule, name in (("least", "min_market_value"), ("most", "max_market_value")):
-        d = _take(d, rule)
-        counts = _amount(F.col(rule)) >= LEAST_AMOUNT
-        d = _give_back(d, rule, F.coalesce(counts, F.lit(False))).withColumn(name, F.when(counts, _amount(F.col(rule))))
-
+    d = _best(d, city, F.split("text", " "), F.substring_index("needle", " ", 1), padded.contains(F.concat(F.lit(" "), F.col("needle"), F.lit(" "))), "city")
+    # types stand anywhere in the text: joined by their first letters, as many as the shortest has
+    letters = kind.agg(F.least(F.lit(3), F.coalesce(F.min(F.length("needle")), F.lit(3)))).first()[0]
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1))), lambda i: F.substr("text", i, F.lit(letters)))
+    d = _best(d, kind, grams, F.left("needle", F.lit(letters)), F.col("text").contains(F.col("needle")), "property_type")
+    d = d.withColumn("words", _words(F.col("text"))).withColumn("marks", _marks(F.col("words")))
+    d = written(d.withColumn("numbers", _numbers()), "questions")  # the rules are long expressions over a few columns: cut here and below
+
+    flags = {
+        "roofing": _row(("roofing",), ("permit",)), "open": _row(("open",)), "held": _row(("holding",), ("permit",)), "aged": _row(("aged",), ("roof",)),
+        "state": _row(("out", "outside"), ("state",)), "county": _row(("out", "outside"), ("county",)), "absentee": _row(("absentee",)),
+        "no_sale": _row(("none",), ("sale",)), "account": _row(("business",), ("account",)),
+    }
+    d = written(d.withColumns({f"is_{n}": c for n, c in flags.items()}), "questions")
+    true = lambda c: F.when(c, True)
+    roofing, stalled = F.col("is_roofing"), _bound("open").isNotNull()
+    filters = {
+        "min_open_permit_days": (_bound("open") * DAYS).cast("int"),
+        "min_roof_age": F.coalesce(_bound("roof").cast("int"), F.when(F.col("is_aged"), AGED_YEARS)),
+        "has_open_roofing_permit": true(roofing & (F.col("is_open") | stalled)),
+        "has_permits": true((roofing & ~F.col("is_open") & ~stalled) | (~roofing & F.col("is_held"))),
+        "owner_out_of_state": true(F.col("is_state")),
+        "owner_out_of_county": true(F.col("is_county") | (F.col("is_absentee") & ~F.col("is_state"))),
+        "no_recorded_sale": true(F.col("is_no_sale")),
+        "has_business_account": true(F.col("is_account")),
+        "min_market_value": _bound("least"), "max_market_value": _bound("most"),
+        "max_built_year": (_bound("built_before") - 1).cast("int"), "min_built_year": (_bound("built_after") + 1).cast("int"),
+    }
+    d = d.withColumns(filters)
+    # what a rule that fired has read is no free text
+    read = {
+        "min_open_permit_days": "open upward years", "min_roof_age": "roof upward aged years", "owner_out_of_state": "out outside state absentee", "owner_out_of_county": "out outside county absentee",
+        "no_recorded_sale": "none sale", "has_business_account": "business account", "min_market_value": "worth upward", "max_market_value": "worth downward", "max_built_year": "built earlier", "min_built_year": "built later",
+    }
+    spent = F.flatten(F.array(*[F.when(F.col(n).isNotNull(), F.array(*[F.lit(c) for c in line.split()])).otherwise(F.array().cast("array<string>")) for n, line in read.items()]))
+    d = written(d.withColumn("spent", F.array_distinct(spent)), "questions")
     idle = F.array(*[F.lit(w) for w in sorted(set(IDLE_WORDS) | set(NUMERALS))])
-    free = F.filter(F.transform("words", lambda w, i: F.when(F.substr("tags", i + 1, F.lit(1)) != _TAKEN, w)), lambda w: w.isNotNull())
+    used = lambda i: F.exists("spent", lambda c: F.get(F.col("marks"), i).contains(F.concat(F.lit(" "), c, F.lit(" ")))) | F.exists("numbers", lambda x: x["at"] == i)
+    free = F.filter(F.transform("words", lambda w, i: F.when(~used(i), w)), lambda w: w.isNotNull())
     rest = F.array_join(F.filter(free, lambda w: (F.length(w) > 2) & ~F.array_contains(idle, w) & ~w.rlike(r"^[\d\x01]+$")), " ")
     d = d.withColumn("q", F.when(rest != "", rest))
     # a table, so that no filter over the result is pushed through the rules

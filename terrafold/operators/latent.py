@@ -14,31 +14,65 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import written
 
+#: Dimensions of the space.
+RANK = 96
+
 
 def _signs(terms: DataFrame, width: int) -> DataFrame:
     bits = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda k: F.when(F.pmod(F.xxhash64("term", k), F.lit(2)) == 0, 1.0).otherwise(-1.0))
     return terms.select("term", bits.alias("v"))
 
 
-def _times(weights: DataFrame, vectors: DataFrame, on: str, to: str, width: int) -> DataFrame:
-    """Sums of w * vector by the other side; partial sums are made in each task."""
+_POSTINGS, _HOT = 400_000, 10_000_000  # postings of a block, and of one word's part
 
-    def partial(batches):
-        import pandas as pd
 
-        for pdf in batches:
-            if len(pdf):
-                keys, of = np.unique(pdf[to].to_numpy(), return_inverse=True)
-                rows = np.stack(pdf["v"].to_numpy()) * pdf["w"].to_numpy()[:, None]
-                order = np.argsort(of, kind="stable")
-                sums = np.add.reduceat(rows[order], np.searchsorted(of[order], np.arange(len(keys))), axis=0)
-                yield pd.DataFrame({to: keys, "v": list(sums)})
+def _blocks(rows: DataFrame, on: str, n: int) -> DataFrame:
+    return rows.withColumn("block", F.pmod(F.xxhash64(on), F.lit(max(8, n // _POSTINGS))))
+
 
-    joined = weights.join(vectors, on).select(to, "w", "v")
+def _times(weights: DataFrame, vectors: DataFrame, on: str, to: str, width: int, n: int = 0) -> DataFrame:
+    """Sums of w * vector by the other side. ``n``: about how many postings. These
+    and the vectors meet by blocks of ``on``, where each vector stands once however many
+    postings it has; the postings of a common word are dealt by ``to`` as well. What a
+    block adds up goes to blocks of ``to``."""
     kind = dict(weights.dtypes)[to]
-    parts = joined.mapInPandas(partial, f"`{to}` {kind}, v array<double>")
-    total = F.array(*[F.sum(F.col("v")[k]) for k in range(width)])
-    return parts.groupBy(to).agg(total.alias("v"))
+    schema = f"`{to}` {kind}, v array<double>"
+
+    def sums(keys, rows):
+        names, of = np.unique(keys, return_inverse=True)
+        order = np.argsort(of, kind="stable")
+        starts = np.searchsorted(of[order], np.arange(len(names)))
+        return names, np.add.reduceat(rows[order], starts, axis=0)
+
+    def partial(key, own, held):
+        import pandas as pd
+
+        if not len(own) or not len(held):
+            return pd.DataFrame({to: [], "v": pd.Series([], dtype=object)})
+        v = np.stack(held["v"].to_numpy())
+        at = pd.Index(held["other"]).get_indexer(own[on])
+        out = {}
+        for a in range(0, len(own), 50_000):  # few at once: a row has ``width`` numbers
+            part, place = own.iloc[a : a + 50_000], at[a : a + 50_000]
+            good = place >= 0
+            if good.any():
+                names, rows = sums(part[to].to_numpy()[good], v[place[good]] * part["w"].to_numpy()[good][:, None])
+                for name, row in zip(names, rows, strict=True):
+                    out[name] = out[name] + row if name in out else row
+        return pd.DataFrame({to: list(out), "v": pd.Series(list(out.values()), dtype=object)})
+
+    def total(key, parts):
+        import pandas as pd
+
+        names, rows = sums(parts[to].to_numpy(), np.stack(parts["v"].to_numpy()))
+        return pd.DataFrame({to: names, "v": list(rows)})
+
+    dealt = 1 + n // _HOT
+    left = _blocks(weights, on, n).withColumn("part", F.pmod(F.xxhash64(to), F.lit(dealt)))
+    # under a name of its own: both sides may come from one table
+    right = _blocks(vectors.select(F.col(on).alias("other"), F.col("v").alias("v")), "other", n).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(dealt - 1).cast("long"))))
+    parts = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(partial, schema)
+    return _blocks(parts, to, n).groupBy("block").applyInPandas(total, schema)
 
 
 def _gram(vectors: DataFrame, width: int) -> np.ndarray:
@@ -62,29 +96,39 @@ def _gram(vectors: DataFrame, width: int) -> np.ndarray:
 
 def _turned(vectors: DataFrame, by: np.ndarray) -> DataFrame:
     """Each vector times a small matrix."""
-    rows = F.array(*[F.array(*[F.lit(float(x)) for x in column]) for column in by.T])
-    return vectors.withColumn("v", F.transform(rows, lambda c: F.aggregate(F.zip_with(c, F.col("v"), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)))
+    key = vectors.columns[0]
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            if len(pdf):
+                yield pd.DataFrame({key: pdf[key], "v": list(np.stack(pdf["v"].to_numpy()) @ by)})
+
+    return vectors.mapInPandas(run, f"`{key}` {dict(vectors.dtypes)[key]}, v array<double>")
 
 
-def latent_space(weights: DataFrame, key: str, k: int = 16, extra: int = 8, turns: int = 2) -> tuple[DataFrame, DataFrame, list[float]]:
+def latent_space(weights: DataFrame, key: str, k: int = RANK, extra: int = 16, turns: int = 2) -> tuple[DataFrame, DataFrame, list[float]]:
     """(term, v) and (key, v) of ``k`` dimensions, and the singular values, for a
-    table (term, key, w) of unit rows. Rows of the second are of length 1."""
+    table (term, key, w) of unit rows. Rows of the second are of length 1. A table of
+    lower rank has that many dimensions that are not 0."""
     width, weights = k + extra, written(weights, "weights")
-    y = _times(weights, _signs(weights.select("term").distinct(), width), "term", key, width)
+    n = weights.count()
+    y = _times(weights, _signs(weights.select("term").distinct(), width), "term", key, width, n)
     for _ in range(turns):
         y = written(y, "subspace")
         values, vectors = np.linalg.eigh(_gram(y, width))
         good = values > values.max(initial=0) * 1e-12
         whiten = np.zeros((width, width))
         whiten[:, good] = vectors[:, good] / np.sqrt(values[good])
-        y = _times(weights, _times(weights, _turned(y, whiten), key, "term", width), "term", key, width)
+        y = _times(weights, _times(weights, _turned(y, whiten), key, "term", width, n), "term", key, width, n)
     y = written(y, "subspace")
     values, vectors = np.linalg.eigh(_gram(y, width))
     good = values > values.max(initial=0) * 1e-12
     whiten = np.zeros((width, width))
     whiten[:, good] = vectors[:, good] / np.sqrt(values[good])
     q = written(_turned(y, whiten), "left")  # orthonormal columns
-    b = written(_times(weights, q, key, "term", width), "right")  # X'Q
+    b = written(_times(weights, q, key, "term", width, n), "right")  # X'Q
     values, vectors = np.linalg.eigh(_gram(b, width))
     order = np.argsort(-values)[:k]
     sigma = np.sqrt(np.maximum(values[order], 0))
@@ -98,8 +142,7 @@ def unit(v):
     return F.transform(v, lambda x: F.when(norm > 0, x / norm).otherwise(0.0))
 
 
-def folded(queries: DataFrame, terms: DataFrame, width: int) -> DataFrame:
+def folded(queries: DataFrame, terms: DataFrame, width: int = RANK) -> DataFrame:
     """(query_id, v): queries (query_id, term, weight) in the latent space, of length 1."""
-    by = queries.join(terms, "term")
-    sums = by.groupBy("query_id").agg(F.array(*[F.sum(F.col("weight") * F.col("v")[k]) for k in range(width)]).alias("v"))
+    sums = _times(queries.select("term", "query_id", F.col("weight").alias("w")), terms, "term", "query_id", width)
     return sums.select("query_id", unit(F.col("v")).alias("v"))

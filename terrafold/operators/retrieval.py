@@ -210,8 +210,13 @@ def phrase_hit(question: Column, text: Column) -> Column:
     return F.exists(phrase_runs(question), lambda r: plain.contains(r))
 
 
-def evaluate(ranked: DataFrame, expected: DataFrame, doc: str) -> DataFrame:
-    """Precision at 1, 3 and 5, hit at 3 and 5, and mean reciprocal rank."""
+def evaluate(ranked: DataFrame, expected: DataFrame, doc: str, unanswerable: DataFrame | None = None) -> DataFrame:
+    """Precision at 1, 3 and 5 (strict, and by what there is to find), hit at 1, 3 and 5,
+    mean reciprocal rank; with ``unanswerable`` (query_id) also their number, the share
+    of them that was refused and how many were answered all the same.
+
+    Documents count once, at their best rank. ``expected``: query_id and document; a
+    question of it that has no ranked row counts as missed."""
     first = ranked.groupBy("query_id", doc).agg(F.min("rank").alias("r"))
     place = first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("r", doc)))
     marked = place.join(expected.withColumn("hit", F.lit(1)), ["query_id", doc], "left")
@@ -221,9 +226,15 @@ def evaluate(ranked: DataFrame, expected: DataFrame, doc: str) -> DataFrame:
     )
     asked = expected.groupBy("query_id").agg(F.count(F.lit(1)).alias("relevant")).join(per, "query_id", "left").fillna(0, ["h1", "h3", "h5"])
     mean = lambda x: round4(F.avg(x))
-    return asked.agg(
+    out = asked.agg(
+        F.count(F.lit(1)).alias("questions"),
         *[mean(F.col(f"h{k}") / k).alias(f"p{k}") for k in (1, 3, 5)],
         *[mean(F.col(f"h{k}") / F.least(F.lit(k), F.col("relevant"))).alias(f"np{k}") for k in (3, 5)],
-        *[mean((F.col(f"h{k}") > 0).cast("double")).alias(f"hit{k}") for k in (3, 5)],
+        *[mean((F.col(f"h{k}") > 0).cast("double")).alias(f"hit{k}") for k in (1, 3, 5)],
         mean(F.coalesce(1 / F.col("first"), F.lit(0.0))).alias("mrr"),
     )
+    if unanswerable is None:
+        return out
+    answered = unanswerable.select("query_id").distinct().join(ranked.select("query_id", F.lit(1).alias("any")).distinct(), "query_id", "left")
+    refused = answered.agg(F.count(F.lit(1)).alias("controls"), round4(F.avg(F.col("any").isNull().cast("double"))).alias("abstention"), F.count("any").alias("false_answers"))
+    return out.crossJoin(refused)  # one row each

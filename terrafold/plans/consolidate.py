@@ -102,15 +102,11 @@ def sales(spark: SparkSession, sf_dir: str, since: str = "1998-01-01") -> DataFr
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("key"))
     line = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= F.lit(since).cast("timestamp"))
     rows = line.join(o, line.l_orderkey == o.o_orderkey).select("key", F.to_date("l_shipdate").cast("string").alias("d"), F.col("l_extendedprice").alias("p"), "l_orderkey", "l_linenumber")
+    # each task sends at most two sales a parcel: the limit by rank is applied before the shuffle
     order = Window.partitionBy("key").orderBy(F.col("d").desc(), F.col("p").desc(), "l_orderkey", "l_linenumber")
-    ranked = rows.withColumn("n", F.row_number().over(order))
-    return ranked.groupBy("key").agg(
-        F.count(F.lit(1)).cast("int").alias("sale_records_in_window"),
-        F.max(F.when(F.col("n") == 1, F.col("d"))).alias("last_sale_date"),
-        F.max(F.when(F.col("n") == 1, F.col("p"))).alias("last_sale_price"),
-        F.max(F.when(F.col("n") == 2, F.col("d"))).alias("prior_sale_date"),
-        F.max(F.when(F.col("n") == 2, F.col("p"))).alias("prior_sale_price"),
-    )
+    two = rows.withColumn("n", F.row_number().over(order)).where("n <= 2")
+    last = two.groupBy("key").agg(*[F.max(F.when(F.col("n") == n, F.col(c))).alias(f"{name}_{what}") for n, name in ((1, "last"), (2, "prior")) for c, what in (("d", "sale_date"), ("p", "sale_price"))])
+    return rows.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("sale_records_in_window")).join(last, "key")
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:

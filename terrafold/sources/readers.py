@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contract import SCHEMA, schema_gate
-from .shared import shared_folder
 
 COVERAGE = "runId string, exportedAt string, denominator struct<basis string, source string, assessedParcelCount bigint>, tables map<string, struct<rows bigint, source string>>, signals map<string, bigint>, limitations array<string>"
 CATALOG = "county string, permits struct<jurisdictions array<struct<name string, supported boolean, certified boolean, records_request struct<method string, contact string>>>>"
@@ -59,11 +58,6 @@ def jurisdictions(catalog: DataFrame) -> DataFrame:
     return j.withColumn("harvested", F.coalesce(F.col("supported") & F.col("certified"), F.lit(False)))
 
 
-def newest_run(df: DataFrame, column: str = "run_id") -> DataFrame:
-    """Rows of the largest run id, as a literal so that partitions are pruned."""
-    return df.where(F.col(column) == F.lit(df.agg(F.max(column)).first()[0]))
-
-
 def write_shards(df: DataFrame, path: str, key: str, size: int = 10_000) -> None:
     """JSON shards of about ``size`` rows, by ranges of the key."""
     n = max(1, -(-df.count() // size))
@@ -105,12 +99,3 @@ def bounded(spark: SparkSession, statement: str, limit: int) -> tuple[DataFrame,
     """At most ``limit`` rows of an ad-hoc statement, and whether there were more."""
     wide = spark.sql(statement).limit(limit + 1)
     return wide.limit(limit), wide.count() > limit
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that the cluster names; one of our own only
-    where that is unset. Long chains of expressions end here for the optimizer."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()

@@ -1,4 +1,4 @@
-"""Streams: incremental permits, event-time counts, token buckets."""
+"""Streams: incremental permits and event-time counts."""
 
 from __future__ import annotations
 
@@ -23,26 +23,7 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes
 
 def permit_feed(stream: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint: str, late: str = "7 days") -> StreamingQuery:
     """Permits as they arrive: repeats within the watermark drop out, each batch
-    goes to ``merge``, which keeps the latest of each number (see merge_window)."""
+    goes to ``merge`` (see ``rollups.PermitRollups.follow``, which re-rolls the parcels that
+    a batch touches, and ``runs.merge_window``)."""
     own = stream.withWatermark("modified", late).dropDuplicatesWithinWatermark(["number", "status"])
     return own.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def token_bucket(events: DataFrame, capacity: int = 5, per_minute: float = 10.0) -> DataFrame:
-    """Which events a (capacity, refill) policy refuses, with seconds to wait.
-
-    One caller's events are a sequence and stay in one task; callers are many.
-    """
-
-    def run(pdf):
-        left, at, refused, wait = float(capacity), None, [], []
-        pdf = pdf.sort_values(["ts", "event_id"])
-        for ts in pdf["ts"].astype("datetime64[us]").astype("int64") / 1e6:
-            left = min(capacity, left + (0 if at is None else (ts - at) * per_minute / 60))
-            at = ts
-            refused.append(left < 1)
-            wait.append(0.0 if left >= 1 else (1 - left) * 60 / per_minute)
-            left -= left >= 1
-        return pdf.assign(refused=refused, wait=wait)[["event_id", "user_id", "refused", "wait"]]
-
-    return events.select("event_id", "user_id", "ts").groupBy("user_id").applyInPandas(run, "event_id long, user_id long, refused boolean, wait double")

@@ -9,7 +9,7 @@ from terrafold.contract import SCHEMA, schema_gate
 from terrafold.operators import corpus, interpret, provenance, retrieval, runs
 from terrafold.operators.filters import matching, predicates, search
 from terrafold.sources import readers
-from terrafold.streaming import feeds
+from terrafold.streaming import buckets, feeds
 
 
 def properties(spark, *rows):
@@ -257,5 +257,5 @@ def test_incremental_feed_equals_full_rebuild(spark, tmp_path):
 def test_token_bucket(spark):
     day = dt.datetime(2024, 1, 1)
     events = spark.createDataFrame([(k, 1, day) for k in range(7)] + [(9, 1, day + dt.timedelta(minutes=1))], "event_id long, user_id long, ts timestamp")
-    got = {r["event_id"]: r["refused"] for r in feeds.token_bucket(events).collect()}
+    got = {r["event_id"]: r["refused"] for r in buckets.token_bucket(events).collect()}
     assert sum(got.values()) == 2 and not got[9]

@@ -7,12 +7,12 @@ from collections import Counter
 import duckdb
 import pytest
 
-from terrafold import catalog, catalog_functions, catalog_more, catalog_views  # noqa: F401
+from terrafold import catalog, catalog_deep, catalog_functions, catalog_more, catalog_views  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 CHECKED = ["a1_properties", "b5_source_systems", "b6_notices", "c9_open_days_zero", "c10_in_county", "c17_radius", "d6_unmatched_permits", "e1_dataset_stats", "e3_facets", "e7_permit_posture", "e9_roof_age_bands", "f5_latest_permit", "g1_ascending_page", "g9_radius_leads", "p6_attribution", "r1_row_delta", "r6_verified", "s_numeric", "s_dates", "m1_filters", "t3_sessions",
            "s_numeric_more", "s_conditional", "s_text_more", "s_dates_more", "s_times", "s_json_more", "s_aggregates_more", "s_histogram", "s_range", "v2_detail", "v10_dataset_info", "v11_schema", "r2_count_delta", "r3_history_breaches", "r5_manifest",
-           "r9_upgrade", "r11_served_run", "a7_run_record", "a9_jurisdictions", "g5_bounded", "k1_markdown_sections", "k7_link_edges", "l2_terms", "l7_tfidf", "l11_alias", "l13_phrases"]
+           "r9_upgrade", "r11_served_run", "a7_run_record", "a9_jurisdictions", "g5_bounded", "k1_markdown_sections", "k7_link_edges", "l2_terms", "l7_tfidf", "l11_alias", "l13_phrases", "p18_permits_by_area", "l9_nearest", "l5_early_stop", "l4_expansion", "l21_fused_evaluation", "t1_rolled_by_batches", "t2_refusals", "a10_newest_run", "a11_stored_index", "g4_keyset_pages", "p2_published", "b8_annotated_schema", "v2_lookup", "v13_near_city"]
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +45,7 @@ def test_same_rows(spark, engine, name):
 
 
 def test_every_query_has_sql_or_is_known_to_have_none():
-    assert set(catalog.QUERIES) - set(catalog.SQL) == {"k1_heading_sections", "k2_chunks", "k9_headline", "l4_expansion", "l5_bm25", "l8_latent_space", "l14_hybrid", "l17_of_a_type", "l18_answers", "l20_citations", "l21_evaluation", "m_interpret", "t2_token_bucket", "v12_hybrid_answer"}
+    assert set(catalog.QUERIES) - set(catalog.SQL) == {"k1_heading_sections", "k2_chunks", "k3_section_chunks", "l8_latent_space", "l14_hybrid", "l18_answers", "l20_citations", "l21_evaluation", "m_interpret", "v12_hybrid_answer"}
 
 
 def test_entry_has_rows(spark):
