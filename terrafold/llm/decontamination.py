@@ -2,10 +2,16 @@
 
 Numbers, names and units become typed placeholders, so that a question with
 other parameters has the same template. Windows of eight template words of the
-documents are hash-joined to those of the benchmark; a match counts if what
-fills the placeholders maps one to one between item and document along the
-passage. A document is reported with an item if matched windows cover at least
-half of the item's.
+documents are hash-joined to those of the benchmark. Along a passage the placeholders
+must be filled consistently, judged from the item to the document: of all places at
+least half hold what their item's value mostly becomes. So two values that become one,
+or equal values of which one is edited, are still found; a passage whose fills follow
+no rule is not. Whether the fills map one to one is reported. A document is reported
+with an item if matched windows cover at least half of the item's.
+
+An item without a window of four literal words has no template to speak of: its words
+themselves, numbers and names included, are compared, in windows of eight; an item of
+under four words only with whole documents.
 
 Documents send only windows whose bit is set in a bitmap of the benchmark's
 windows. The bitmap's size is fixed; a larger benchmark sets more bits and more
@@ -37,6 +43,7 @@ _END = re.compile(r"[.!?][\"')\]]*\Z")
 _NUM, _UNIT, _TITLE, _ENDS, _NONE = 1, 2, 4, 8, 16
 _PLACE = {_NUM: 0x9E3779B97F4A7C15, _UNIT: 0xC2B2AE3D27D4EB4F, _TITLE: 0x165667B19E3779F9}
 _HIT = "doc_id long, pos int, window long, slots array<string>"
+_PLAIN, _WHOLE = np.uint64(0x94D049BB133111EB), np.uint64(0x2545F4914F6CDD1D)  # set windows of plain words, and short whole texts, apart
 
 
 class Vocabulary(dict):
@@ -113,8 +120,9 @@ def windows(hashes: np.ndarray, doc: np.ndarray, slot: np.ndarray, width: int) -
     return np.flatnonzero(good), total[good]
 
 
-def _rows(pdf, words: Vocabulary, widths, wanted):
-    """Windows of a batch of texts that ``wanted`` lets through."""
+def _rows(pdf, words: Vocabulary, widths, wanted, plain=(), whole: bool = False):
+    """Windows of a batch of texts that ``wanted`` lets through: of template words by
+    ``widths``, of plain words by ``plain``, and with ``whole`` texts of one to three words."""
     import pandas as pd
 
     from .common import words_of
@@ -123,23 +131,33 @@ def _rows(pdf, words: Vocabulary, widths, wanted):
     doc = np.repeat(np.arange(len(split)), [len(s) for s in split])
     codes = np.fromiter((words[w] for s in split for w in s), "i8", len(doc))
     hashes, doc, codes, slot = template(codes, doc, words)
-    first = np.searchsorted(doc, np.arange(len(split)))
+    first = np.searchsorted(doc, np.arange(len(split) + 1))
     ids, out = pdf["doc_id"].tolist(), []
-    for width in widths:
-        start, h = windows(hashes, doc, slot, width)
+    none = np.zeros(len(slot), bool)
+    for width, own, slots, mark in [*((w, hashes, slot, np.uint64(0)) for w in widths), *((w, words.hash[codes], none, _PLAIN) for w in plain)]:
+        start, h = windows(own, doc, slots, width)
+        h = h ^ mark
         hit = wanted(h)
         for i, x in zip(start[hit].tolist(), h[hit].view("i8").tolist(), strict=True):
-            values = [words.core[c] for c in codes[i : i + width][slot[i : i + width]]]
+            values = [words.core[c] for c in codes[i : i + width][slots[i : i + width]]]
             out.append((ids[doc[i]], i - int(first[doc[i]]), x, values))
+    if whole:
+        from xxhash import xxh64_intdigest
+
+        few = np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < LEAST_LITERAL))
+        h = np.array([xxh64_intdigest(" ".join(words.core[c] for c in codes[first[k] : first[k + 1]]).encode()) for k in few.tolist()], "u8") ^ _WHOLE
+        out += [(ids[k], 0, x, []) for k, x, hit in zip(few.tolist(), h.view("i8").tolist(), wanted(h).tolist(), strict=True) if hit]
     return pd.DataFrame(out, columns=["doc_id", "pos", "window", "slots"]).astype({"doc_id": "Int64"})
 
 
 def item_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id (the item), pos, window, slots of every item; shorter items have
-    one window over all their words. Windows with under four literal words name
-    nothing and are left out."""
+    """doc_id (the item), pos, window, slots of every item and the width and kind of its
+    windows; shorter items have one window over all their words. Windows with under four
+    literal words name nothing; an item that has no other is taken as plain words."""
 
     def run(batches):
+        import pandas as pd
+
         words = Vocabulary()
         for pdf in batches:
             words = words.fresh()
@@ -150,23 +168,43 @@ def item_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
                     if len(made) or _length(own, words) > w:
                         break
                     made = _rows(own, words, (w,), lambda h: np.ones(len(h), bool))
-                made["width"] = min(width, _length(own, words))
+                n = _length(own, words)
+                kind = "template" if len(made) else "plain" if n >= LEAST_LITERAL else "whole"
+                if not len(made):
+                    made = _rows(own, words, (), lambda h: np.ones(len(h), bool), (min(width, n),) if n >= LEAST_LITERAL else (), True)
+                if not len(made):
+                    continue  # an item without words
+                made["width"], made["kind"] = min(width, n), [kind] * len(made)
+                places = _places(own, words, made["pos"].tolist(), min(width, n)) if kind == "template" else [[] for _ in range(len(made))]
+                made["places"] = pd.Series(places, index=made.index, dtype=object)
                 yield made
 
     items = benchmark.select(F.col("item_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
-    return items.mapInPandas(run, _HIT + ", width int")
+    return items.mapInPandas(run, _HIT + ", width int, kind string, places array<int>")
+
+
+def _places(pdf, words: Vocabulary, starts: list[int], width: int) -> list[list[int]]:
+    """Which words of an item are the slots of each of its windows."""
+    from .common import words_of
+
+    split = words_of(pdf["text"].iloc[0])
+    codes = np.fromiter((words[w] for w in split), "i8", len(split))
+    slot = template(codes, np.zeros(len(codes), "i8"), words)[3]
+    at = np.flatnonzero(slot)
+    return [at[(at >= s) & (at < s + width)].tolist() for s in starts]
 
 
 def _length(pdf, words: Vocabulary) -> int:
     from .common import words_of
 
-    return sum(words.kind[words[w]] & _NONE == 0 for w in words_of(pdf["text"].iloc[0]))
+    return sum(bool(words.kind[words[w]] & _NONE == 0) for w in words_of(pdf["text"].iloc[0]))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, width: int = WIDTH, small: int = 200_000) -> DataFrame:
-    """doc_id, item_id, n_windows (the item's), n_matched, coverage, exact.
+    """doc_id, item_id, n_windows (the item's), n_matched, coverage, exact, one_to_one.
 
-    ``exact``: all placeholders are filled as in the item. Null texts are empty;
+    ``exact``: all placeholders are filled as in the item; ``one_to_one``: no value of
+    the item becomes two, and no two become one. Items without words give no rows. Null texts are empty;
     rows with equal ids count as one document, those without an id as another;
     other columns are ignored; empty tables give no rows.
     """
@@ -180,8 +218,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, width: i
     table = np.zeros(1 << (_BITS - 6), "i8")
     for r in rows:
         table[r["word"]] = r["bits"]
-    sizes = items.agg(F.count(F.lit(1)), F.collect_set("width")).first()
-    widths, n_items = sorted(sizes[1]), sizes[0]
+    sizes = items.agg(F.count(F.lit(1)), *[F.collect_set(F.when(F.col("kind") == k, F.col("width"))) for k in ("template", "plain", "whole")]).first()
+    n_items, widths, plain, whole = sizes[0], sorted(sizes[1]), sorted(sizes[2]), bool(sizes[3])
     shared = docs.sparkSession.sparkContext.broadcast(table.view("u8"))
 
     def wanted(h: np.ndarray) -> np.ndarray:
@@ -193,22 +231,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, width: i
         for pdf in batches:
             for a in range(0, len(pdf), 200):  # few texts at once: a batch's words would not fit
                 words = words.fresh()
-                yield _rows(pdf.iloc[a : a + 200], words, widths, wanted)
+                yield _rows(pdf.iloc[a : a + 200], words, widths, wanted, plain, whole)
 
     hits = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, _HIT)
-    item = items.select(F.col("doc_id").alias("item_id"), F.col("pos").alias("item_pos"), "window", F.col("slots").alias("item_slots"))
+    item = items.select(F.col("doc_id").alias("item_id"), F.col("pos").alias("item_pos"), "window", F.col("slots").alias("item_slots"), "places")
     # the benchmark's windows are counted: beyond the bound both sides are shuffled
     pairs = hits.join(F.broadcast(item) if n_items <= small else item, "window")
-    fill = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
+    # a place is a slot of the item: windows that overlap see it several times
+    fill = F.transform(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"), F.col("places").alias("at")), lambda x: F.struct(x["at"].alias("at"), x["i"].alias("i"), x["d"].alias("d")))
     passage = (
         pairs.withColumn("shift", F.col("pos") - F.col("item_pos"))
         .groupBy("doc_id", "item_id", "shift")
         .agg(F.array_distinct(F.flatten(F.collect_set(fill))).alias("fills"), F.collect_set("item_pos").alias("at"))
     )
-    left, right = F.transform("fills", lambda x: x["i"]), F.transform("fills", lambda x: x["d"])
-    one_to_one = (F.size(F.array_distinct(left)) == F.size("fills")) & (F.size(F.array_distinct(right)) == F.size("fills"))
-    sound = passage.where(one_to_one).withColumn("exact", F.forall("fills", lambda x: x["i"] == x["d"]))
-    by = sound.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_matched"), F.bool_and("exact").alias("exact"))
+    count = lambda own, other: F.size(F.filter("fills", lambda y: (y["i"] == own["i"]) & (y["d"] == other["d"])))
+    most = F.aggregate(
+        F.array_distinct(F.transform("fills", lambda x: x["i"])),
+        F.lit(0),
+        lambda n, v: n + F.array_max(F.transform(F.filter("fills", lambda x: x["i"] == v), lambda x: count(x, x))),
+    )
+    pairs_of = F.array_distinct(F.transform("fills", lambda x: F.struct(x["i"], x["d"])))
+    distinct = lambda c: F.size(F.array_distinct(F.transform("fills", lambda x: x[c])))
+    sound = passage.where((F.size("fills") == 0) | (2 * most >= F.size("fills")))
+    sound = sound.withColumn("exact", F.forall("fills", lambda x: x["i"] == x["d"])).withColumn("one_to_one", (distinct("i") == F.size(pairs_of)) & (distinct("d") == F.size(pairs_of)))
+    by = sound.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_matched"), F.bool_and("exact").alias("exact"), F.bool_and("one_to_one").alias("one_to_one"))
     counts = items.groupBy(F.col("doc_id").alias("item_id")).agg(F.countDistinct("pos").alias("n_windows"))
     share = F.col("n_matched") / F.col("n_windows")
-    return by.join(counts, "item_id").where(share >= coverage).select("doc_id", "item_id", F.col("n_windows").cast("long"), F.col("n_matched").cast("long"), share.alias("coverage"), "exact")
+    return by.join(counts, "item_id").where(share >= coverage).select("doc_id", "item_id", F.col("n_windows").cast("long"), F.col("n_matched").cast("long"), share.alias("coverage"), "exact", "one_to_one")

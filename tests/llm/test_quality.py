@@ -96,16 +96,51 @@ def test_leaks(spark):
     ]
     for small in (0, 200_000):
         got = {(r["doc_id"], r["item_id"]): r["exact"] for r in decontamination.leaks(frame(spark, rows), benchmark, small=small).collect()}
-        assert got == {(10, 1): True, (11, 1): False, (12, 2): True, (17, 5): True, (None, 2): True}
+        assert got == {(10, 1): True, (11, 1): False, (12, 2): True, (16, 3): True, (17, 5): True, (None, 2): True}
     assert decontamination.leaks(frame(spark, []), benchmark).count() == 0
     assert decontamination.leaks(frame(spark, rows), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
-def test_placeholders_must_map_one_to_one(spark):
-    item = [(1, "Give 3 apples to Anna and 5 apples to Bert then count what is left over")]
-    docs = [(1, "Give 7 apples to Clara and 9 apples to Dora then count what is left over"), (2, "Give 7 apples to Clara and 7 apples to Clara then count what is left over")]
+def test_placeholders_are_judged_from_item_to_document(spark):
+    item = [(1, "Give 3 apples to Anna and 5 apples to Bert then count what is left over"), (2, "He packs 2 boxes and waits for 2 hours before the train leaves again"), (3, "1 2 3 4 5 6"), (4, "Why Anna"), (5, "...")]
+    docs = [
+        (1, "Give 7 apples to Clara and 9 apples to Dora then count what is left over"),
+        (2, "Give 7 apples to Clara and 7 apples to Clara then count what is left over"),
+        (3, "He packs 2 boxes and waits for 3 hours before the train leaves again"),
+        (4, "He packs 3 boxes and waits for 4 hours before the train leaves again"),
+        (5, "He packs 2 boxes and waits for 2 hours before the train leaves again"),
+        (6, "then come 1 2 3 4 5 6 and more"),
+        (7, "then come 1 2 3 4 5 7 and more"),
+        (8, "why, Anna?"),
+        (9, "why Anna left"),
+        (10, None),
+    ]
     got = decontamination.leaks(frame(spark, docs), spark.createDataFrame(item, "item_id long, text string")).collect()
-    assert [(r["doc_id"], r["exact"]) for r in got] == [(1, False)]
+    assert sorted((r["doc_id"], r["item_id"], r["exact"], r["one_to_one"]) for r in got) == [(1, 1, False, True), (2, 1, False, False), (3, 2, False, False), (4, 2, False, False), (5, 2, True, True), (6, 3, True, True), (8, 4, True, True)]
+
+
+def test_reparameterised_items_are_recalled(spark):
+    """Items with random parameters, copies with others: how many are found, by a plain rule."""
+    rnd = random.Random(12)
+    plain = [w for w in "the a train boat farmer river house street market basket paper garden window morning evening letter answer kitchen bridge village".split()]
+    names = ["Anna", "Bert", "Clara", "Dora", "Emil", "Finn"]
+    items, docs = [], []
+    for k in range(40):
+        words = [rnd.choice(plain) for _ in range(rnd.randint(12, 24))]
+        at = rnd.sample(range(1, len(words)), 3)
+        fill = lambda: [str(rnd.randint(2, 9)), str(rnd.randint(2, 9)), rnd.choice(names)]  # noqa: E731, B023
+
+        def text(values, words=words, at=at):
+            own = list(words)
+            for i, v in zip(at, values, strict=True):
+                own[i] = v
+            return " ".join(own)
+
+        items.append((k, text(fill())))
+        docs.append((k, "unrelated words stand before it " + text(fill()) + " and unrelated words stand behind it"))
+        docs.append((100 + k, " ".join(rnd.choice(plain) for _ in range(30))))
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(k, k) for k in range(40)}
 
 
 def test_cotraining_on_held_out_labels(spark):
