@@ -23,8 +23,8 @@ from .common import release, stage
 
 _BITS = 27  # of a bitmap at most: 16 MB, whatever the corpus
 KNOWN = 3  # words of the longest runs that get a bitmap
-_TOKENS = 400_000  # distinct words of a language that a task holds before it sends its counts
-_GRAMS = 1_000_000  # grams of a language that a task holds before it sends their counts
+_TOKENS = 250_000  # distinct words of a language that a task holds before it sends its counts
+_GRAMS = 300_000  # grams of a language that a task holds before it sends their counts
 _BLOCK = 2_000_000  # bytes of text taken at once, or one text
 _BREAK = b"\xff"  # never a byte of UTF-8
 #: What ends a piece, and what parts words.
@@ -189,7 +189,7 @@ def run_hashes(texts: DataFrame, words: np.ndarray, tables: list[np.ndarray], le
             h, n = np.unique(_linked(own, own.numbers(block), known.value)[-1][1], return_counts=True)
             parts.append((h, n))
             size += len(h)
-            if size > 1_500_000:
+            if size > 700_000:
                 yield out()
                 parts, size = [], 0
         if parts:

@@ -8,7 +8,8 @@ from, and a logistic combination of the calibrated views scores every document.
 The two views are made once of every whole text and kept as a table, which the
 rounds and the final scores read. What is fitted on is bounded by ``most_fitted``
 labelled documents (documented limit of the fit: those of the least hashes of
-their ids) and, a round and label, by a tenth as many of the surest others.
+their ids) and, a round, by a tenth as many of the surest others. How sure a view must
+be follows from labelled documents that no view has learned from.
 """
 
 from __future__ import annotations
@@ -212,25 +213,42 @@ def _fitted(rows: list[dict], y: np.ndarray, held: np.ndarray, given: dict[str,
     return models, scale
 
 
-def _surest(unlabelled: DataFrame, models, scale, sure: float, most: int, taken: dict) -> list[tuple[str, int, int]]:
-    """(view, label, rid) of the ``most`` documents that each view is surest of, of
-    all without a label; ties go by rid."""
-    shared = unlabelled.sparkSession.sparkContext.broadcast((models, scale))
+def _confidence(models, scale, rows: list[dict], y: np.ndarray) -> dict[tuple[str, int], float]:
+    """The probability from which a view may give a label: the least one from which, among
+    labelled rows that no view has learned from, it halves the error of always giving that
+    label. Each view has its own: one of weak metadata is sure of less. Over 1: never."""
+    out = {}
+    for k in _KINDS:
+        p = _sigmoid(np.array([models[k].margin(r[k]) for r in rows]) * scale[k][0] + scale[k][1])
+        for label, by, hit in ((1, p, y == 1), (0, 1 - p, y == 0)):
+            order = np.argsort(-by, kind="stable")
+            right = np.cumsum(hit[order]) / np.arange(1, len(y) + 1)
+            good = np.flatnonzero((right >= 1 - (1 - hit.mean()) / 2) & (np.arange(1, len(y) + 1) >= min(5, max(1, hit.sum()))))
+            out[k, label] = float(by[order[good[-1]]]) if len(good) else 2.0
+    return out
+
+
+def _surest(unlabelled: DataFrame, models, scale, sure: dict[tuple[str, int], float], most: dict[int, int], taken: dict) -> list[tuple[str, int, int]]:
+    """(view, label, rid) of the ``most`` documents of a label that each view is surest of,
+    of all without a label and that the other view has not been given; ties go by rid."""
+    gone = {k: np.array(sorted(taken[_OTHER[k]]), "i8") for k in _KINDS}  # at most what the rounds before gave
+    shared = unlabelled.sparkSession.sparkContext.broadcast((models, scale, gone))
 
     def run(batches):
         import pandas as pd
 
-        models, scale = shared.value
+        models, scale, gone = shared.value
         best: dict[tuple[str, int], list] = {(k, label): [] for k in _KINDS for label in (0, 1)}
         for pdf in batches:
             views = [_read(*r) for r in zip(*(pdf[c] for c in _VIEWS), strict=True)]
             rid = pdf["rid"].to_numpy("i8")
             for k in _KINDS:
                 p = _sigmoid(np.array([models[k].margin(v[k]) for v in views]) * scale[k][0] + scale[k][1])
+                free = ~np.isin(rid, gone[k])
                 for label, by in ((1, p), (0, 1 - p)):
-                    at = np.flatnonzero(by >= sure)
+                    at = np.flatnonzero(free & (by >= sure[k, label]))
                     found = best[k, label] + list(zip((-by[at]).tolist(), rid[at].tolist(), strict=True))
-                    best[k, label] = sorted(found)[:most]
+                    best[k, label] = sorted(found)[: most[label]]
         rows = [(k, label, r, -q) for (k, label), found in best.items() for q, r in found]
         yield pd.DataFrame(rows, columns=["view", "label", "rid", "p"])
 
@@ -238,16 +256,17 @@ def _surest(unlabelled: DataFrame, models, scale, sure: float, most: int, taken:
     got = []
     for k in _KINDS:
         for label in (1, 0):
-            top = found.where((F.col("view") == k) & (F.col("label") == label)).orderBy(F.desc("p"), "rid").limit(most).select("rid").collect()
-            got += [(k, label, r["rid"]) for r in top if r["rid"] not in taken[_OTHER[k]]]
+            top = found.where((F.col("view") == k) & (F.col("label") == label)).orderBy(F.desc("p"), "rid").limit(most[label]).select("rid").collect()
+            got += [(k, label, r["rid"]) for r in top]
     release(found)
     return got
 
 
-def fit(seen: DataFrame, labels: DataFrame, most_fitted: int = 8_000, rounds: int = 3, sure: float = 0.97, share: float = 0.1):
+def fit(seen: DataFrame, labels: DataFrame, most_fitted: int = 8_000, rounds: int = 3, share: float = 0.1, log: list | None = None):
     """Models, calibrations and their combination, from ``viewed`` rows that
     ``labels`` covers (quality 0 or toxic 1: bad) and from all others; None if
-    there are no documents of both kinds."""
+    there are no documents of both kinds. ``log`` gets, for each round, how many labels
+    each view has been given."""
     known = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)).alias("bad"))
     # the least hashes: exact at any size, each id once, and at most this many rows reach the driver
@@ -259,12 +278,15 @@ def fit(seen: DataFrame, labels: DataFrame, most_fitted: int = 8_000, rounds: in
     rows = [_read(*r) for r in zip(*(got[c] for c in _VIEWS), strict=True)]
     held = np.zeros(len(y), bool)
     held[np.random.default_rng(7).permutation(len(y))[: len(y) // 5]] = True
+    kept_out = [rows[i] for i in np.flatnonzero(held)]
     others = seen.where("id is not null").join(known.select("id"), "id", "left_anti")
+    # as many of each label as their shares of the labelled rows, at most a tenth of the fitted rows' bound together
+    most = {label: max(1, int(share * min(most_fitted, 4 * len(y)) * (y == label).mean())) for label in (0, 1)}
     given: dict[str, list] = {"text": [], "meta": []}
     taken: dict[str, set] = {"text": set(), "meta": set()}
     for _ in range(rounds):
         models, scale = _fitted(rows, y, held, given)
-        picked = _surest(others, models, scale, sure, max(1, int(share * most_fitted)), taken)
+        picked = _surest(others, models, scale, _confidence(models, scale, kept_out, y[held]), most, taken)
         if not picked:
             break
         wanted = seen.sparkSession.createDataFrame([(r,) for r in sorted({r for _, _, r in picked})], "rid long")
@@ -273,8 +295,10 @@ def fit(seen: DataFrame, labels: DataFrame, most_fitted: int = 8_000, rounds: in
             if rid not in taken[_OTHER[k]]:
                 taken[_OTHER[k]].add(rid)
                 given[_OTHER[k]].append((views[rid], label))
+        if log is not None:
+            log.append({k: len(given[k]) for k in _KINDS})
     models, scale = _fitted(rows, y, held, given)
-    logits = np.array([[models[k].margin(rows[i][k]) * scale[k][0] + scale[k][1] for k in _KINDS] for i in np.flatnonzero(held)])
+    logits = np.array([[models[k].margin(r[k]) * scale[k][0] + scale[k][1] for k in _KINDS] for r in kept_out])
     return models, scale, platt(np.clip(logits, -12, 12), y[held])
 
 

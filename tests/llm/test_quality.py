@@ -166,6 +166,40 @@ def test_cotraining_on_held_out_labels(spark):
     assert cotraining.classify(frame(spark, []), spark.createDataFrame(labels, LABELS)).count() == 0
 
 
+def test_views_teach_each_other_round_by_round(spark):
+    """Two views that are independent given the label, few labels: both views get labels, more
+    in every round, and what they learn from each other makes them better."""
+    rnd = random.Random(21)
+    rows, truth = [], {}
+    for k in range(900):
+        bad = truth[k] = rnd.random() < 0.3
+        words = [f"w{rnd.randint(0, 60) + (30 if bad and rnd.random() < 0.35 else 0)}" for _ in range(25)]
+        source = rnd.choice(["s1", "s2", "s3"] if bad == (rnd.random() < 0.85) else ["s4", "s5", "s6"])
+        rows.append((k, " ".join(words), rnd.choice(["en", "de"]), source, 100))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(k, 1, int(truth[k])) for k in range(0, 900, 9)], LABELS)
+    seen = cotraining.viewed(docs, ["doc_id"]).cache()
+    y = np.array([truth[k] for k in range(900) if k % 9])
+
+    def auc(scores):
+        order = np.argsort(np.argsort(scores, kind="stable"))
+        return (order[y].sum() - y.sum() * (y.sum() - 1) / 2) / (y.sum() * (~y).sum())
+
+    by_round = []
+    for rounds in range(4):
+        log = []
+        model = cotraining.fit(seen, labels, rounds=rounds, log=log)
+        got = {r["row"]["doc_id"]: r for r in cotraining.score(seen, model).collect()}
+        by_round.append({c: auc(np.array([got[k][c] for k in range(900) if k % 9])) for c in ("text_score", "meta_score", "score")})
+        assert len(log) == rounds
+        steps = list(zip([{"text": 0, "meta": 0}, *log], log, strict=False))
+        assert all(a[k] <= b[k] for a, b in steps for k in ("text", "meta")) and all(sum(a.values()) < sum(b.values()) for a, b in steps)
+        assert not log or min(log[0].values()) > 0
+    assert by_round[3]["text_score"] > by_round[0]["text_score"], by_round
+    assert by_round[3]["score"] > max(by_round[3]["text_score"], by_round[3]["meta_score"]) - 0.02, by_round
+    assert by_round[3]["score"] > by_round[0]["score"] + 0.05, by_round
+
+
 def test_cotraining_reads_long_texts_and_every_unlabelled_row(spark, monkeypatch):
     rnd = random.Random(15)
     rows = [(k, " ".join(rnd.choice(["good", "fine", "plain", "text"]) for _ in range(30)) + (" vile" if k % 4 == 0 else "")) for k in range(200)]
