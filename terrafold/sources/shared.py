@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 _KEPT: dict[tuple, tuple[str, str]] = {}
+_MADE: dict[str, list[str]] = {}  # tables of an application, for ``clean``
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,28 +22,66 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def _fs(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def _there(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    fs, target = _fs(spark, path + "/_SUCCESS")
+    return fs.exists(target)
+
+
+def _new(spark: SparkSession, name: str) -> str:
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def version(spark: SparkSession, path: str, depth: int = 2) -> tuple:
+    """Names, sizes and times of the files at a path: another tuple when the inputs change.
+    Folders are looked into ``depth`` levels deep, deeper ones by their own time."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return ()
+    out = []
+    for s in fs.listStatus(target):
+        name = s.getPath().getName()
+        if s.isDirectory() and depth > 1:
+            out.append((name, version(spark, s.getPath().toString(), depth - 1)))
+        else:
+            out.append((name, s.getLen(), s.getModificationTime()))
+    return tuple(sorted(out, key=str))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The table as Parquet in the shared folder: cuts lineage, and is read as often as needed."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = _new(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def kept(spark: SparkSession, name: str, of: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table ``name`` derived from ``of``: written as Parquet when it is first
-    asked for in an application, read from there afterwards. A table whose files
-    are gone is built again."""
-    key = (spark.sparkContext.applicationId, name, *of)
+    """The table ``name`` derived from ``of`` (a folder of inputs, then parameters): written
+    as Parquet when it is first asked for in an application, read from there afterwards. It
+    is built again when an input file has changed, or when its own files are gone."""
+    key = (spark.sparkContext.applicationId, name, *of, version(spark, of[0]))
     if key in _KEPT:
         path, schema = _KEPT[key]
         if _there(spark, path):
             return spark.read.schema(schema).parquet(path)
-    path, df = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", build()
+    df = build()
+    path = _new(spark, name)
     df.write.parquet(path)
     _KEPT[key] = path, df.schema
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete all tables that ``written`` and ``kept`` have made in this application, when
+    none of their results is read any more. Returns how many there were."""
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    for path in made:
+        fs, target = _fs(spark, path)
+        fs.delete(target, True)
+    return len(made)

@@ -295,3 +295,21 @@ def test_evaluation_counts_refusals(spark):
     controls = spark.createDataFrame([(8,), (9,)], "query_id long")
     r = retrieval.evaluate(ranked, expected, "doc_id", controls).first()
     assert (r["questions"], r["p1"], r["hit3"], r["mrr"], r["controls"], r["abstention"], r["false_answers"]) == (3, 0.3333, 0.6667, 0.5, 2, 0.5, 1)
+
+
+def test_kept_tables_follow_their_inputs_and_can_be_deleted(spark, tmp_path):
+    from terrafold.sources import shared
+
+    folder, built = f"file://{tmp_path}", []
+
+    def build():
+        built.append(1)
+        return spark.read.parquet(f"{folder}/t.parquet").agg(F.count(F.lit(1)).alias("n"))
+
+    ask = lambda: shared.kept(spark, "counted", (folder,), build).first()["n"]
+    spark.range(5).write.parquet(f"{folder}/t.parquet")
+    assert (ask(), ask(), len(built)) == (5, 5, 1)
+    spark.range(2).write.mode("append").parquet(f"{folder}/t.parquet")
+    assert (ask(), len(built)) == (7, 2)
+    assert shared.clean(spark) >= 2
+    assert (ask(), len(built)) == (7, 3)  # gone, so built again
