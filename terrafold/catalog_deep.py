@@ -171,6 +171,8 @@ def _pages(s: SparkSession, d: str) -> DataFrame:
         token = page_token(rows, "last_sale_price")
         own = rows.select(F.lit(page).alias("page"), "property_id", "last_sale_price")
         out = own if out is None else out.unionByName(own)
+        if token is None:  # the last page has been seen
+            break
     return out
 
 

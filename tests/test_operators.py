@@ -165,7 +165,7 @@ FIXED = [  # question, filters that it sets, what is left as q
     ("never sold, business account", {"no_recorded_sale": True, "has_business_account": True}, None),
     ("single family worth at least $1.5m", {"property_type": "SingleFamily", "min_market_value": 1500000.0}, None),
     ("value under 250k", {"max_market_value": 250000.0}, None),
-    ("value under 250,000", {}, "under"),  # a comma parts words
+    ("value under 250,000", {"max_market_value": 250000.0}, None),  # a comma within a number
     ("worth over 900", {}, None),
     ("built after 1999 and built before 2005", {"min_built_year": 2000, "max_built_year": 2004}, None),
     ("homes of Smith in Mount Dora", {"city": "Mount Dora"}, "smith"),
