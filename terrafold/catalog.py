@@ -173,7 +173,14 @@ add("r8_newest_pointer", lambda s, d: runs.newest_pointer(plan.table(s, d, "even
 # documents and retrieval
 add("k4_content_hash", lambda s, d: plan.table(s, d, "documents").select("doc_id", corpus.content_hash(corpus.tidy(F.col("text"))).alias("h")), "SELECT doc_id, left(sha256(trim(regexp_replace(regexp_replace(text, '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), ' ')), 16) AS h FROM documents")
 add("k2_chunks", lambda s, d: corpus.chunks(plan.table(s, d, "documents")).select("chunk_id", "doc_id", "chunk_count", "n_chars", "source_hash"))
-add("k1_heading_sections", lambda s, d: corpus.heading_sections(plan.table(s, d, "pages")))
+_AT = "OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_LEVELS = ", ".join(f"last_value(CASE WHEN level = {k} THEN pos END IGNORE NULLS) {_AT} AS p{k}, last_value(CASE WHEN level = {k} THEN title END IGNORE NULLS) {_AT} AS t{k}, max(CASE WHEN level < {k} THEN pos END) {_AT} AS a{k}" for k in range(1, 5))
+_TRAIL = ", ".join(f"CASE WHEN level >= {k} AND p{k} > coalesce(a{k}, -1) THEN t{k} END" for k in range(1, 5))
+add(
+    "k1_heading_sections",
+    lambda s, d: corpus.heading_sections(plan.table(s, d, "pages")),
+    f"SELECT page_id, pos, level, title, concat_ws(' > ', {_TRAIL}) AS trail FROM (SELECT *, {_LEVELS} FROM (SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, CAST(regexp_extract(raw, '<h([1-4])', 1) AS INTEGER) AS level, trim(regexp_replace(regexp_extract(raw, '(?s)<h[1-4][^>]*>(.*?)</h', 1), '<[^>]+>', '', 'g'), ' ') AS title FROM (SELECT page_id, unnest(x) AS raw, unnest(generate_series(1, len(x))) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?s)<h([1-4])[^>]*>(.*?)</h', 0) AS x FROM pages))))",
+)
 _FIRST = r"regexp_extract(text, '(?s)^(.*?[.!?])(?:\s|$)', 1)"
 _HEAD = f"CASE WHEN {_FIRST} = '' THEN text ELSE {_FIRST} END"
 add("k9_headline", lambda s, d: plan.table(s, d, "documents").select("doc_id", corpus.headline(F.col("text")).alias("headline")), f"SELECT doc_id, CASE WHEN length(h) > 130 THEN left(h, 127) || '...' ELSE h END AS headline FROM (SELECT doc_id, {_HEAD} AS h FROM documents)")

@@ -45,7 +45,7 @@ def test_same_rows(spark, engine, name):
 
 
 def test_every_query_has_sql_or_is_known_to_have_none():
-    assert set(catalog.QUERIES) - set(catalog.SQL) == {"k1_heading_sections", "k2_chunks", "k3_section_chunks", "l8_latent_space", "l14_hybrid", "l18_answers", "l20_citations", "l21_evaluation", "m_interpret", "v12_hybrid_answer"}
+    assert set(catalog.QUERIES) - set(catalog.SQL) == {"k2_chunks", "k3_section_chunks", "l8_latent_space", "l14_hybrid", "l18_answers", "l20_citations", "l21_evaluation", "m_interpret", "v12_hybrid_answer"}
 
 
 def test_entry_has_rows(spark):
