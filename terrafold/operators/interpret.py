@@ -19,7 +19,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import written
+from ..sources.shared import sendable, sent, written
 
 #: Words that carry no constraint.
 IDLE_WORDS = (
@@ -191,9 +191,9 @@ def _best(df: DataFrame, vocabulary: DataFrame, keys: Column, key: Column, holds
     """The longest vocabulary entry that stands in the text, as ``name``: joined by
     hash on ``key`` (one of the text's ``keys``), then held to ``holds``."""
     asked = df.select("query_id", "text", F.explode(F.array_distinct(keys)).alias("key"))
-    found = asked.join(vocabulary.withColumn("key", key), "key").where(holds)
+    found = asked.join(sent(vocabulary.withColumn("key", key), sendable(vocabulary)), "key").where(holds)
     best = found.groupBy("query_id").agg(F.min(F.struct((-F.length("needle")).alias("size"), "entry", "needle")).alias("best"))
-    df = df.join(best, "query_id", "left").withColumn(name, F.col("best.entry"))
+    df = df.join(sent(best, False), "query_id", "left").withColumn(name, F.col("best.entry"))
     # the entry's words are taken: one mark stands for them
     at = F.call_function("instr", F.col("text"), F.coalesce("best.needle", F.lit("\x02")))
     end = F.call_function("instr", F.concat(F.substr("text", at + F.length("best.needle")), F.lit(" ")), F.lit(" "))
@@ -207,8 +207,8 @@ def interpret_questions(questions: DataFrame, cities: DataFrame, types: DataFram
 
     ``query_id`` is unique; a null question is empty. Questions that exclude a
     place are declined, with no filters."""
-    city = cities.where("trim(entry) <> ''").select("entry", F.lower("entry").alias("needle")).distinct()
-    kind = types.where("trim(entry) <> ''").select("entry", F.lower(F.regexp_replace("entry", "([a-z])([A-Z])", "$1 $2")).alias("needle")).distinct()
+    city = written(cities.where("trim(entry) <> ''").select("entry", F.lower("entry").alias("needle")).distinct(), "cities")
+    kind = written(types.where("trim(entry) <> ''").select("entry", F.lower(F.regexp_replace("entry", "([a-z])([A-Z])", "$1 $2")).alias("needle")).distinct(), "types")
     d = questions.select("query_id", "question", plain(F.coalesce("question", F.lit(""))).alias("text"))
     d = d.withColumn("words", _words(F.col("text"))).withColumn("marks", _marks(F.col("words")))
     d = written(d.withColumn("declined", _excludes()).drop("words", "marks"), "questions")
@@ -297,7 +297,8 @@ def answer(interpreted: DataFrame, properties: DataFrame) -> DataFrame:
     asked = interpreted.where("about_parcels")
     # a table: four joins read it, and the optimizer need not reason through the rules that made it
     signed = written(asked.select("query_id", *keys).withColumn("signature", F.xxhash64(F.to_json(F.struct(*keys)))), "asked")
-    distinct = signed.select("signature", *keys).dropDuplicates(["signature"])
+    distinct = written(signed.select("signature", *keys).dropDuplicates(["signature"]), "signatures")
+    few = sendable(distinct)
     wanted = ["request_identifier", "address_street", "owner_name", "owners_text", "roof_age_years", "longest_open_permit_days", "open_roofing_permit_count", "has_permits", "owner_out_of_state",
               "owner_out_of_county", "no_recorded_sale_in_dor_window", "business_account_count", "market_value", "built_year"]
     p = properties.select("property_id", F.upper("address_city").alias("city_key"), F.col("property_type").alias("type_key"), *wanted).alias("p")
@@ -310,7 +311,7 @@ def answer(interpreted: DataFrame, properties: DataFrame) -> DataFrame:
                 on.append(F.col("p.city_key") == F.upper("f.city"))
             if kind:
                 on.append(F.col("p.type_key") == F.col("f.property_type"))
-            met = p.join(f, reduce(lambda a, b: a & b, on))
+            met = p.join(sent(f, few, "merge" if city or kind else "shuffle_replicate_nl"), reduce(lambda a, b: a & b, on))
             counted.append(met.groupBy(F.col("f.signature").alias("signature")).agg(F.count(F.lit(1)).alias("n"), F.min("p.property_id").alias("first_id")))
     found = reduce(DataFrame.unionByName, counted)
-    return signed.select("query_id", "signature").join(found, "signature").select("query_id", "n", "first_id")
+    return signed.select("query_id", "signature").join(sent(found, few), "signature").select("query_id", "n", "first_id")
