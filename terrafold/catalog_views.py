@@ -233,9 +233,13 @@ def _hybrid(s: SparkSession, d: str, semantic: bool = False, types=None, asked:
     return retrieval.hybrid(docs, asked, _aliases(s, d), post, "doc_id", semantic=sem, types=types)
 
 
+_ASKED_FOR = f"score >= {retrieval.FLOOR} or phrase = 1"
+
+
 def _found(s: SparkSession, d: str) -> DataFrame:
-    """What the retriever finds, kept as a table for the views over it."""
-    return kept(s, "hybrid", (d,), lambda: _hybrid(s, d, semantic=True))
+    """What the retriever finds, kept as a table for the views over it: these ask for what is
+    over the floor or holds a run of the question's words."""
+    return kept(s, "hybrid", (d,), lambda: _hybrid(s, d, semantic=True).where(_ASKED_FOR))
 
 
 add("l8_latent_space", lambda s, d: latent.latent_space(retrieval.tfidf(document_postings(s, d), "doc_id", _n_docs(s, d)), "doc_id")[1].select("doc_id", F.size("v").alias("k"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm")))
@@ -249,7 +253,7 @@ def _controls(s: SparkSession, d: str) -> DataFrame:
 
 
 def _fused(s: SparkSession, d: str) -> DataFrame:
-    return kept(s, "fused", (d,), lambda: _hybrid(s, d, asked=_controls(s, d)))
+    return kept(s, "fused", (d,), lambda: _hybrid(s, d, asked=_controls(s, d)).where(_ASKED_FOR))
 
 
 _CONTROLS = "(SELECT item_id, text FROM benchmark UNION ALL SELECT item_id + 1000000, reverse(text) FROM benchmark)"
