@@ -226,20 +226,17 @@ add(
 )
 
 
-def _hybrid(s: SparkSession, d: str, semantic: bool = False, types=None, asked: DataFrame | None = None) -> DataFrame:
+def _hybrid(s: SparkSession, d: str, semantic: bool = False, types=None, asked: DataFrame | None = None, **given) -> DataFrame:
     docs, post = _titled(s, d), document_postings(s, d)
     asked = benchmark_questions(s, d) if asked is None else asked
     sem = semantic_candidates(s, d, asked, _expansions(s, d)) if semantic else None
-    return retrieval.hybrid(docs, asked, _aliases(s, d), post, "doc_id", semantic=sem, types=types)
-
-
-_ASKED_FOR = f"score >= {retrieval.FLOOR} or phrase = 1"
+    return retrieval.hybrid(docs, asked, _aliases(s, d), post, "doc_id", semantic=sem, types=types, **given)
 
 
 def _found(s: SparkSession, d: str) -> DataFrame:
     """What the retriever finds, kept as a table for the views over it: these ask for what is
     over the floor or holds a run of the question's words."""
-    return kept(s, "hybrid", (d,), lambda: _hybrid(s, d, semantic=True).where(_ASKED_FOR))
+    return kept(s, "hybrid", (d,), lambda: _hybrid(s, d, semantic=True, least=retrieval.FLOOR))
 
 
 add("l8_latent_space", lambda s, d: latent.latent_space(retrieval.tfidf(document_postings(s, d), "doc_id", _n_docs(s, d)), "doc_id")[1].select("doc_id", F.size("v").alias("k"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm")))
@@ -253,7 +250,7 @@ def _controls(s: SparkSession, d: str) -> DataFrame:
 
 
 def _fused(s: SparkSession, d: str) -> DataFrame:
-    return kept(s, "fused", (d,), lambda: _hybrid(s, d, asked=_controls(s, d)).where(_ASKED_FOR))
+    return kept(s, "fused", (d,), lambda: _hybrid(s, d, asked=_controls(s, d), least=retrieval.FLOOR))
 
 
 _CONTROLS = "(SELECT item_id, text FROM benchmark UNION ALL SELECT item_id + 1000000, reverse(text) FROM benchmark)"
@@ -284,7 +281,7 @@ def _best(s: SparkSession, d: str) -> DataFrame:
 add("l14_fused", lambda s, d: _best(s, d).select("query_id", "doc_id", "rank", "score"), FUSED_SQL + ", " + _RANKED_SQL + " SELECT query_id, doc_id, rank, score FROM ranked")
 add(
     "l17_of_a_type",
-    lambda s, d: retrieval.top(_hybrid(s, d, types=("lang", ["en", "de"])), "doc_id", "doc_id", floor=0.0).select("query_id", "doc_id", "rank", "score"),
+    lambda s, d: retrieval.top(_hybrid(s, d, types=("lang", ["en", "de"]), best=5), "doc_id", "doc_id", floor=0.0).select("query_id", "doc_id", "rank", "score"),
     FUSED_SQL + " SELECT query_id, doc_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, score FROM fused WHERE lang IN ('en', 'de') AND query_id < 1000000 QUALIFY rank <= 5",
 )
 add(

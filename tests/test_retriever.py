@@ -41,3 +41,16 @@ def test_pairs_stay_with_their_documents(spark):
     executed.collect()
     final = executed._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
     assert "hashpartitioning(query_id" not in final
+
+
+def test_only_pairs_asked_for_are_made(spark, monkeypatch):
+    rows = lambda df: sorted(map(tuple, df.select("query_id", "doc_id", "score", "phrase", "known", "typed").collect()))
+    everything = rows(signals(spark)[3])
+    asked_for = [r for r in everything if r[2] >= 0.3 or r[3] == 1]
+    two = sorted(r for q in range(1, 6) for r in sorted((r for r in everything if r[0] == q), key=lambda r: (-r[2], r[1]))[:2])
+    assert asked_for != everything != two
+    monkeypatch.setattr(retrieval, "PART", 3)
+    found = signals(spark, least=0.3)[3]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "keys=[query_id" not in plan.partition("MapInPandas")[0]
+    assert rows(found) == asked_for and rows(signals(spark, best=2)[3]) == two
