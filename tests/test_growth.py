@@ -1,6 +1,9 @@
 """What must not grow faster than the tables: stored columns."""
 
+import numpy as np
+
 from terrafold import contract
+from terrafold.operators import latent, retrieval
 from terrafold.plans import consolidate as plan
 from terrafold.sources import publish
 
@@ -16,3 +19,20 @@ def test_names_of_a_group_are_stored_once(spark, tmp_path):
     path = f"file://{tmp_path}/t"
     assert publish.publish(rows, path, "property_id", finish=lambda r: plan.named(r, names))["rows"] == t.count()
     assert not spark.read.parquet(path).exceptAll(t).count()
+
+
+def test_vectors_of_terms_stay_where_they_are(spark):
+    """X X'y sends a row a document and block of terms, however many words there are."""
+    rows = [(f"w{d}-{k}" if k else "common", d, 1.0 + k) for d in range(30) for k in range(40)]
+    weights, y = spark.createDataFrame(rows, "term string, doc long, w double"), spark.createDataFrame([(d, [float(d), 1.0]) for d in range(30)], "doc long, v array<double>")
+    found = latent._through(weights, y, "doc", len(rows))
+    got = {r["doc"]: r["v"] for r in found.collect()}
+    own, common = sum((1.0 + k) ** 2 for k in range(1, 40)), np.array([sum(range(30)), 30.0])
+    assert all(np.allclose(got[d], common + own * np.array([d, 1.0])) for d in range(30)) and len(got) == 30
+    assert "term, " not in found._jdf.queryExecution().executedPlan().toString().partition("FlatMapCoGroupsInPandas")[0]
+
+
+def test_no_task_gets_a_term_that_most_documents_have(spark):
+    post = spark.createDataFrame([("common" if k % 2 else f"w{k % 90}", k, 1 + k % 3) for k in range(400)], "term string, doc long, tf long")
+    plan = retrieval.tfidf(post, "doc", spark.createDataFrame([(400,)], "n_docs long"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
