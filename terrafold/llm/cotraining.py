@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import release, stage
+from .common import alone, few_rows, held_by, release, stage
 
 WORD_BITS = 18
 _WORDS = 1 << WORD_BITS
@@ -47,7 +47,7 @@ class Buckets(dict):
         return k
 
 
-_BUCKETS = Buckets()
+_BUCKETS = held_by("views", Buckets())
 
 
 def text_view(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +193,8 @@ def viewed(docs: DataFrame, keep: list[str]) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        alone("views")
+        for batch in few_rows(batches):
             text, *meta = [batch.column(c).to_pylist() for c in ("text", "source", "lang", "n_chars")]
             made = [text_view(t) for t in text]
             views = [[w.tobytes() for w, _ in made], [s.tobytes() for _, s in made], [meta_view(*m).tobytes() for m in zip(*meta, strict=True)]]
@@ -244,6 +245,7 @@ def _surest(unlabelled: DataFrame, seen: DataFrame, models, scale, sure: dict[tu
     def run(batches):
         import pandas as pd
 
+        alone("scores")  # the views are made
         models, scale, gone = shared.value
         for pdf in batches:
             views = [_read(*r) for r in zip(*(pdf[c] for c in _VIEWS), strict=True)]
@@ -316,8 +318,9 @@ def score(seen: DataFrame, model, threshold: float = 0.5) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        alone("scores")  # the views are made
         models, scale, mix = shared.value if shared.value else (None, None, None)
-        for batch in batches:
+        for batch in few_rows(batches):
             if models is None:
                 scores = [np.zeros(batch.num_rows)] * 3
             else:

@@ -14,6 +14,8 @@ import re
 
 import numpy as np
 
+from .common import held_by
+
 #: Letters for which one piece is one word, in composed form, with plain case.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PLAIN = re.compile(rf"([{_LETTERS}]+)([.,;:!?]*)\Z")
@@ -107,7 +109,7 @@ def _composed(text: str) -> bool:
     return text.isascii() or unicodedata.is_normalized("NFC", text)
 
 
-_LOADED: dict[tuple[str, str, int], Encoder] = {}
+_LOADED: dict[tuple[str, str, int], Encoder] = held_by("encoder", {})
 
 
 def encoder(path: str, kind: str, most: int = _MOST) -> Encoder:

@@ -76,3 +76,18 @@ def test_clashing_names_and_repeated_ids_pass_all_stages(spark, tmp_path):
         step(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
         now = spark.read.parquet(f"{tmp_path}/{k}")
         assert sorted(map(tuple, now.collect())) == sorted(rows), name
+
+
+def test_steps_do_not_add_up_in_a_worker():
+    import pyarrow as pa
+    from terrafold.llm import common, cotraining, encoder
+
+    cotraining.text_view("some words of a text")
+    encoder.encoder(encoder.default_path("word_bpe_49k.json"), "words", 7)
+    common.alone("encoder")
+    assert not cotraining._BUCKETS and encoder._LOADED
+    common.alone("views")
+    assert not encoder._LOADED
+    batch = pa.RecordBatch.from_pydict({"k": list(range(2_500))})
+    parts = list(common.few_rows([batch.slice(0, 0), batch]))
+    assert [p.num_rows for p in parts] == [1_000, 1_000, 500] and pa.Table.from_batches(parts)["k"].to_pylist() == batch["k"].to_pylist()
