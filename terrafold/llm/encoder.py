@@ -19,8 +19,7 @@ from .common import held_by
 #: Letters for which one piece is one word, in composed form, with plain case.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PLAIN = re.compile(rf"([{_LETTERS}]+)([.,;:!?]*)\Z")
-#: Two blanks in a row, at either end, or blanks that only Python splits at.
-_UNSAFE_SPACE = re.compile(r"\s\s|\A\s|\s\Z|[\x1c-\x1f\x85]")
+_TWO_BLANKS, _ODD_BLANKS = re.compile(r"\s\s"), re.compile("[\x1c-\x1f\x85]")
 _ODD_BLANK = re.compile("[\x1c-\x1f]")
 _ODD_SPECIAL = re.compile(r"<\|")
 _MOST = 1_500_000  # cached units of one worker, unless told otherwise: bounds its memory
@@ -51,6 +50,7 @@ class Encoder(dict):
         self.model = self.tokenizer.model
         self.letters = "".join(byte_letters())
         self.pieces: dict[str, bytes] = {}
+        self.spaced = _Spaced(self)
         self.size = self.tokenizer.get_vocab_size()
         if self.size > 1 << 16:
             raise ValueError("more than 65536 ids")
@@ -67,7 +67,7 @@ class Encoder(dict):
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def __missing__(self, unit: str) -> bytes:
+    def unit(self, unit: str) -> bytes:
         space = unit[:1] == " "
         found = _PLAIN.match(unit, 1 if space else 0)
         if not found:
@@ -80,7 +80,11 @@ class Encoder(dict):
                 ids = self._piece(" " + word if space else word)
             if marks:
                 ids += self._piece(marks)
-        if len(self) < self.most:
+        return ids
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.unit(unit)
+        if len(self) + len(self.spaced) < self.most:
             self[unit] = ids
         return ids
 
@@ -92,15 +96,34 @@ class Encoder(dict):
             if _ODD_BLANK.search(text) or not _composed(text):
                 return self._whole(text)
             return b"".join([self[w] for w in text.split()])
-        if _UNSAFE_SPACE.search(text):
+        if _unsafe(text):
             return self._guarded(text)
         first, *rest = text.split(" ")
-        return self[first] + b"".join([self[" " + w] for w in rest])
+        return self[first] + b"".join(map(self.spaced.__getitem__, rest))
 
     def _guarded(self, text: str) -> bytes:
         """Cut only at single spaces between two characters that are no blanks."""
         units = re.split(r"(?<=\S) (?=\S)", text)
-        return self[units[0]] + b"".join([self[" " + u] for u in units[1:]])
+        return self[units[0]] + b"".join([self.spaced[u] for u in units[1:]])
+
+
+class _Spaced(dict):
+    """What follows a single space -> the ids of both; bounded."""
+
+    def __init__(self, enc: "Encoder"):
+        super().__init__()
+        self.enc = enc
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.enc.unit(" " + unit)
+        if len(self) + len(self.enc) < self.enc.most:
+            self[unit] = ids
+        return ids
+
+
+def _unsafe(text: str) -> bool:
+    """Two blanks in a row, at either end, or blanks that only Python splits at."""
+    return text[0].isspace() or text[-1].isspace() or bool(_TWO_BLANKS.search(text) or _ODD_BLANKS.search(text))
 
 
 def _composed(text: str) -> bool:

@@ -75,3 +75,14 @@ def test_pack_places_every_piece(spark):
         for _, p in own.iterrows():
             assert p.ids_crc32 == zlib.crc32(np.array(ids[int(p.start) : int(p.start + p.length)], "<u4").tobytes())
     assert packing.pack(frame(spark, []).where(F.lit(True))).count() == 0
+
+
+def test_blanks_are_judged_apart_and_units_once():
+    """Texts with odd blanks give the library's ids; what follows a space is kept without it, within the bound."""
+    path = default_path("byte_bpe_50k.json")
+    enc, rnd = Encoder(path, "bytes", 40), random.Random(6)
+    for _ in range(400):
+        text = "".join(rnd.choice(["ab", "Cd,", "7", " ", " ", "\n", "\t", "\x85", "\x1d", " ", "é"]) for _ in range(rnd.randint(0, 12)))
+        want = enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert list(memoryview(enc.ids(text)).cast("H")) == want, repr(text)
+    assert enc.spaced and len(enc) + len(enc.spaced) <= 40
