@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, stage
+from .common import alone, give_back, release, stage
 from .components import components
 
 
@@ -51,12 +51,16 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
     """doc_id and fp (signed 64-bit) of whole texts; null texts count as empty."""
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": [fingerprint(shingle_hashes(t, width)) for t in pdf["text"]]})
+        alone("fingerprints")
+        for batch in batches:
+            found = [fingerprint(shingle_hashes(t.as_py(), width)) for t in batch.column("text")]  # one text at a time
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            del batch
+        give_back()
 
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
 def covering_masks(radius: int) -> list[int]:

@@ -91,3 +91,13 @@ def test_steps_do_not_add_up_in_a_worker():
     batch = pa.RecordBatch.from_pydict({"k": list(range(2_500))})
     parts = list(common.few_rows([batch.slice(0, 0), batch]))
     assert [p.num_rows for p in parts] == [1_000, 1_000, 500] and pa.Table.from_batches(parts)["k"].to_pylist() == batch["k"].to_pylist()
+
+
+def test_a_worker_gives_back_what_another_step_has_freed(monkeypatch):
+    from terrafold.llm import common
+
+    back = []
+    monkeypatch.setattr(common, "give_back", lambda: back.append(common._SERVED[0]))
+    for step in ("one", "one", "other", "one"):
+        common.alone(step)
+    assert back == ["one", "other", "one"]  # without caches, too, and once a change of steps
