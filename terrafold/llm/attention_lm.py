@@ -75,20 +75,34 @@ class Words(dict):
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of words: those without a blank of any script are encoded together,
         since each of them, and nothing else, begins with a space."""
-        text = {w: w.decode() for w in words}
-        plain = [w for w, t in text.items() if t.split() == [t]]
-        found = {w: self[w] for w, t in text.items() if t.split() != [t]}
-        for a in range(0, len(plain), 20_000):
-            some = plain[a : a + 20_000]
-            ids = self.encoding.encode_to_numpy(" " + b" ".join(some).decode()).astype("<u2")
+        found, every = {}, list(words)
+        for a in range(0, len(every), 20_000):
+            plain = every[a : a + 20_000]
+            text = b" ".join(plain).decode()
+            if " ".join(text.split()) != text:  # some have blanks of other scripts
+                split = {w: w.decode() for w in plain}
+                found |= {w: self[w] for w, t in split.items() if t.split() != [t]}
+                plain = [w for w in plain if w not in found]
+                text = b" ".join(plain).decode()
+            if not plain:
+                continue
+            ids = self.encoding.encode_to_numpy(" " + text).astype("<u2")
             starts = np.flatnonzero(self.begins[ids])
-            cuts = np.append(starts, len(ids)) * 2
+            cuts = (np.append(starts, len(ids)) * 2).tolist()
             raw = ids.tobytes()
-            found |= zip(some, (raw[x:y] for x, y in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)), strict=True)
+            found |= zip(plain, (raw[x:y] for x, y in zip(cuts, cuts[1:], strict=False)), strict=True)
         for w in found.keys() if len(self) < self.most else ():
             self[w] = found[w]
         return found
 
+    def units(self, texts: list[list[bytes]]) -> list[list[bytes]]:
+        """Ids of the words of each text. Each word is looked up once; what is not known is learned together."""
+        made = [[*map(self.get, words)] for words in texts]
+        new = self.learn({w for words, units in zip(texts, made, strict=True) for w, u in zip(words, units, strict=True) if u is None})
+        if new:
+            made = [[u or new[w] for w, u in zip(words, units, strict=True)] for words, units in zip(texts, made, strict=True)]
+        return made
+
 
 _LOADED: dict[str, Words] = {}
 
@@ -124,9 +138,7 @@ def packs(docs: DataFrame, path: str) -> DataFrame:
             yield rows
 
         for rows in (rows for pdf in batches for rows in texts(pdf)):
-            new = words.learn(set().union(*[r[3] for r in rows]) - words.keys())
-            for rid, doc, missing, split in rows:
-                units = [words.get(w) or new[w] for w in split] if new else [*map(words.__getitem__, split)]
+            for (rid, doc, missing, _), units in zip(rows, words.units([r[3] for r in rows]), strict=True):
                 units.append(end)
                 for a in range(0, len(units), _PIECE):
                     own = units[a : a + _PIECE]
@@ -269,39 +281,52 @@ def forward(w: dict, g1: np.ndarray, g2: np.ndarray, lead: np.ndarray):
 def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of the values of equal rows."""
     rows, values = rows.ravel(), values.reshape(-1, values.shape[-1])
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype("u2"), kind="stable")  # slots, 2,048 at most: sorted by radix
     own = rows[order]
     starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
     return own[starts], np.add.reduceat(values[order], starts, axis=0)
 
 
-def gradient(w: dict, g1: np.ndarray, g2: np.ndarray, lead: np.ndarray, target: np.ndarray):
+def gradient(w: dict, g1: np.ndarray, g2: np.ndarray, lead: np.ndarray, target: np.ndarray, part: int = 32):
     """Gradient of the mean loss over the places with a target (others: -1), as
-    (rows, values) of each table, and that loss."""
+    (rows, values) of each table, and that loss. Worked off ``part`` half windows
+    at a time, whose arrays stay in the processor's cache."""
+    n = max(1, int((target >= 0).sum()))
+    dkv, dqr = np.zeros((*g1.shape, 2 * _DIM), "f4"), np.empty((*target.shape, _DIM + _CLASSES), "f4")
+    o, bias, loss = np.zeros_like(w["o"]), np.zeros(2 * _HALF, "f4"), 0.0
+    for a in range(0, len(lead), part):
+        own, around = slice(a, a + part), slice(a, a + part + 1)
+        loss += _back(w, g1[around], g2[around], lead[own], target[own], n, dkv[around], dqr[own], o, bias)
+    whole = lambda x: (np.arange(len(x)), x)
+    return {"kv1": _sums(g1, dkv), "kv2": _sums(g2, dkv), "qr": _sums(g1[1:], dqr), "o": whole(o), "b": whole(bias)}, loss
+
+
+def _back(w, g1, g2, lead, target, n, dkv, dqr, o, bias) -> float:
+    """Adds the gradients of some half windows to ``dkv``, ``o`` and ``bias``, puts them
+    into ``dqr``, and returns their part of the loss."""
     logp, (k, v, q, p1, p2, total, mixed) = forward(w, g1, g2, lead)
     real = target >= 0
-    n = max(1, int(real.sum()))
     i, j = np.nonzero(real)
     loss = -float(logp[i, j, target[i, j]].sum()) / n
-    d = np.exp(logp)
+    d = np.exp(logp, out=logp)
     d[i, j, target[i, j]] -= 1
     d[~real] = 0
     d /= np.float32(n)
-    o = mixed.reshape(-1, _DIM).T @ d.reshape(-1, _CLASSES)
+    o += mixed.reshape(-1, _DIM).T @ d.reshape(-1, _CLASSES)
     dmixed = d @ w["o"].T
     inner = (dmixed * mixed).sum(-1, keepdims=True)
-    dkv = np.zeros((*g1.shape, 2 * _DIM), "f4")
-    dq, bias = np.zeros_like(q), np.zeros(2 * _HALF, "f4")
+    dq = np.zeros_like(q)
     for p, side, step in ((p1, slice(0, -1), _STEP + _HALF), (p2, slice(1, None), np.maximum(_STEP, 0))):
         p /= total
-        ds = (dmixed @ v[side].transpose(0, 2, 1) - inner) * p
+        ds = dmixed @ v[side].transpose(0, 2, 1)
+        ds -= inner
+        ds *= p
         np.add.at(bias, step.ravel(), ds.sum(0).ravel())
         dq += ds @ k[side]
         dkv[side][..., :_DIM] += ds.transpose(0, 2, 1) @ q
         dkv[side][..., _DIM:] += p.transpose(0, 2, 1) @ dmixed
-    dq *= _SCALE
-    whole = lambda x: (np.arange(len(x)), x)
-    return {"kv1": _sums(g1, dkv), "kv2": _sums(g2, dkv), "qr": _sums(g1[1:], np.concatenate([dq, d], -1)), "o": whole(o), "b": whole(bias)}, loss
+    dqr[..., :_DIM], dqr[..., _DIM:] = dq * _SCALE, d
+    return loss
 
 
 def _adagrad(w: dict, squares: dict, g: dict, rate: float = 0.05) -> None:

@@ -351,3 +351,27 @@ def test_held_out_texts_score_above_the_base(spark, folder):
     docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
     got = attention_lm.score_texts(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.sum("n_tokens").alias("n")).first()
     assert (got["s"] - got["b"]) / got["n"] > 0.1
+
+
+def test_parts_of_a_step_add_up_to_its_gradient():
+    rng, half, n = np.random.default_rng(4), attention_lm._HALF, 12
+    dim, classes = attention_lm._DIM, attention_lm._CLASSES
+    w = {"kv1": rng.normal(size=(n, 2 * dim)), "kv2": rng.normal(size=(n, 2 * dim)), "qr": rng.normal(size=(n, dim + classes)), "o": rng.normal(size=(dim, classes)), "b": rng.normal(size=2 * half)}
+    w = {k: x.astype("f4") for k, x in w.items()}
+    g1, g2 = rng.integers(0, n, (8, half)), rng.integers(0, n, (8, half))
+    lead, target = np.array([0, 1, 1, 0, 1, 1, 1], "f4"), rng.integers(-1, classes, (7, half))
+    whole, loss = attention_lm.gradient(w, g1, g2, lead, target, part=7)
+    parts, same = attention_lm.gradient(w, g1, g2, lead, target, part=3)
+    assert abs(loss - same) < 1e-6
+    for name, (rows, values) in whole.items():
+        assert (rows == parts[name][0]).all() and np.allclose(values, parts[name][1], atol=1e-6), name
+
+
+def test_units_of_words_are_those_of_each_alone():
+    path = attention_lm.default_path("byte_bpe_50k.tiktoken")
+    texts = [["a", "of", "a", "x y", " ", "\x1c", "äö"], [], ["of", "q\x85", "7"]]
+    texts = [[w.encode() for w in t] for t in texts]
+    words = attention_lm.Words(path, most=3)
+    alone = attention_lm.Words(path, most=0)
+    for _ in range(2):  # what is known by then gives the same
+        assert words.units(texts) == [[alone[w] for w in t] for t in texts]
