@@ -5,25 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, stage
+from .common import met_by, release, stage
 
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _large(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to its smallest neighbour."""
+def _large(edges: DataFrame, n: int) -> DataFrame:
+    """Every larger neighbour of a node is linked to its smallest neighbour. ``n``: how many edges."""
     both = _both(edges)
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    return both.where("b > a").join(met_by(least, n), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, n: int) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    over = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    over = down.join(met_by(least, n), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return over.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
@@ -41,7 +41,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     now, before = stage(edges.where("a <> b").distinct(), "stars"), None
     mark = _sum(now)
     for _ in range(most_rounds):
-        grown = stage(_small(_large(now)), "stars")
+        grown = stage(_small(_large(now, mark[0]), mark[0]), "stars")
         release(now)
         now, before, mark = grown, mark, _sum(grown)
         if mark == before:

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alone, give_back, release, stage
+from .common import alone, give_back, met_by, release, stage
 from .components import components
 
 
@@ -102,7 +102,7 @@ def links(distinct: DataFrame, radius: int = 4, block: int = 2048) -> DataFrame:
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.hash("fp", "tab"), F.col("blocks"))
     dealt = (
-        rows.join(full, ["tab", "key"])
+        rows.join(met_by(full), ["tab", "key"])
         .withColumn("blocks", blocks)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -160,9 +160,9 @@ def simhash_groups(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFram
     nodes = made.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     found = stage(links(nodes.select("fp"), radius), "links")
     labels = components(found)
-    named = nodes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    named = nodes.join(met_by(labels.withColumnRenamed("node", "fp")), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     named = stage(named, "classes")
     least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    whole = named.join(least, "label").select("fp", "component_id")
+    whole = named.join(met_by(least), "label").select("fp", "component_id")
     release(found)
-    return made.join(whole, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return made.join(met_by(whole), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

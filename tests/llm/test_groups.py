@@ -81,6 +81,20 @@ def test_simhash_rows(spark):
     assert simhash.simhash_groups(frame(spark, [])).count() == 0
 
 
+def test_sizes_that_spark_guesses_send_no_table_whole(spark):
+    """An explode makes 31 rows of one; only sides that were counted are broadcast."""
+    fps = spark.createDataFrame([(x,) for x in range(64)], "fp long")
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    whole = simhash.simhash_groups(frame(spark, [(1, "a b c", "s", "en", "x", "y"), (2, "a b c", "s", "en", "x", "y")]))
+    for df in (simhash.links(fps), whole, components._large(edges, 20_001), components._small(edges, 20_001)):
+        assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
+    assert "Broadcast" in plan(components._large(edges, 40))
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    for step in (components._large, components._small):
+        assert rows(step(edges, 20_001)) == rows(step(edges, 40))
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 150)] + [(200, 200)]
     got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long")).collect()))
