@@ -19,25 +19,28 @@ on the documents alone, not on the number of tasks.
 Windows overlap by half: of each only the second half is scored, with masked
 attention for many windows at once, so each word is scored once with 32 to 64
 words of context. Packs hold about a million words and longer texts are cut into
-several, so memory is bounded by words, not rows. The base score is an add-one
-unigram model over words.
+several, so memory is bounded by words, not rows: packs travel between the JVM and
+Python a few at a time, and files of packs are read in row groups of that size. The
+base score is an add-one unigram model over words.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path
+from .common import alone, held_by, new_path, small_batches
 from .encoder import default_path
 
 _HALF, _DIM, _TOP, _CLASSES, _END = 32, 16, 2048, 48, 50256
 _IDS = 1 << 16
 _PACK, _PIECE, _BLOCK, _BUCKET = 1_000_000, 500_000, 2_000_000, 1_000_000
+_GROUP = 8 << 20  # bytes of packs that are read, or sent to Python, at once
 _PACKED = "pack long, rid binary, doc binary, missing binary, held binary, size binary, ids binary, lens binary"
 _NAMES = ("kv1", "kv2", "qr", "o", "b")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -104,7 +107,7 @@ class Words(dict):
         return made
 
 
-_LOADED: dict[str, Words] = {}
+_LOADED: dict[str, Words] = held_by("words", {})
 
 
 def held_out(doc: int) -> bool:
@@ -118,6 +121,7 @@ def packs(docs: DataFrame, path: str) -> DataFrame:
         import pandas as pd
         from pyspark import TaskContext
 
+        alone("words")
         words = _LOADED[path] if path in _LOADED else _LOADED.setdefault(path, Words(path))
         end, first = np.array([_END], "<u2").tobytes(), TaskContext.get().partitionId() << 32
         names, made, n, count = [f.split()[0] for f in _PACKED.split(", ")], [], 0, 0
@@ -125,7 +129,8 @@ def packs(docs: DataFrame, path: str) -> DataFrame:
         def pack():
             rid, doc, missing, held, size, ids, lens = zip(*made, strict=True)
             whole = [np.array(x, t).tobytes() for x, t in ((rid, "<i8"), (doc, "<i8"), (missing, "u1"), (held, "u1"), (size, "<i4"))]
-            return pd.DataFrame([(first + count, *whole, b"".join(ids), b"".join(lens))], columns=names)
+            lens = np.concatenate(lens)  # of a byte each, but where a word has many ids
+            return pd.DataFrame([(first + count, *whole, b"".join(ids), lens.astype("<u4" if lens.max() > 255 else "u1").tobytes())], columns=names)
 
         def texts(pdf):
             rows, n = [], 0
@@ -143,7 +148,7 @@ def packs(docs: DataFrame, path: str) -> DataFrame:
                 for a in range(0, len(units), _PIECE):
                     own = units[a : a + _PIECE]
                     sizes = np.fromiter(map(len, own), "<u4", len(own)) // 2
-                    made.append((rid, doc, missing, not missing and held_out(doc), len(own), b"".join(own), sizes.astype("<u4").tobytes()))
+                    made.append((rid, doc, missing, not missing and held_out(doc), len(own), b"".join(own), sizes))
                     n += len(own)
                     if n >= _PACK:
                         yield pack()
@@ -162,7 +167,7 @@ class Pack:
     def __init__(self, row):
         self.size = np.frombuffer(row.size, "<i4").astype("i8")
         self.held = np.frombuffer(row.held, "?")
-        self.ids, self.lens = np.frombuffer(row.ids, "<u2"), np.frombuffer(row.lens, "<u4").astype("i8")
+        self.ids, self.lens = np.frombuffer(row.ids, "<u2"), np.frombuffer(row.lens, f"<u{len(row.lens) // self.size.sum()}").astype("i8")
         self.starts = np.cumsum(self.lens) - self.lens
         self.first, self.last = self.ids[self.starts], self.ids[self.starts + self.lens - 1]
         self.real = self.first != _END
@@ -189,6 +194,7 @@ class Pack:
 
 
 def _rows(batches):
+    alone("packs")
     for pdf in batches:
         yield from pdf.itertuples(index=False)
 
@@ -509,9 +515,18 @@ def score_texts(docs: DataFrame, tokenizer_path: str | None = None, turns: int =
     folder = new_path(spark, "lm")
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        # a reader takes the rows of a row group at once, and these are large: the writer looks at its size row by row
+        groups = {"parquet.block.size": _GROUP, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
+        df.write.options(compression="zstd", **groups).parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
+    with small_batches(spark, _GROUP):  # also for the scores, which are a few numbers a text
+        return stage(_scores(docs, path, stage, turns, mix), "scores")
+
+
+def _scores(docs: DataFrame, path: str, stage: Callable[[DataFrame, str], DataFrame], turns: int, mix: float) -> DataFrame:
+    """What ``score_texts`` returns, with its last steps yet to run."""
+    spark = docs.sparkSession
     packed = stage(packs(docs, path), "packs")
 
     def unigrams(batches):
@@ -558,8 +573,10 @@ def score_texts(docs: DataFrame, tokenizer_path: str | None = None, turns: int =
             own = slot[pack.first].astype("i8")
             prev = np.r_[slot[_END], own[:-1]]
             prev[np.cumsum(pack.size) - pack.size] = slot[_END]
-            total += np.bincount((prev * width + own)[pack.train], minlength=width * width)
-        yield pd.DataFrame({"pair": np.flatnonzero(total), "n": total[total > 0]})
+            np.add.at(total, (prev * width + own)[pack.train], 1)
+        found = np.flatnonzero(total)
+        for a in range(0, len(found), 100_000):
+            yield pd.DataFrame({"pair": found[a : a + 100_000], "n": total[found[a : a + 100_000]]})
 
     # at most 2,049 * 2,049 pairs of the model's ids, whatever the input
     got = packed.mapInPandas(bigrams, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()

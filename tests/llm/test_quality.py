@@ -332,6 +332,30 @@ def test_every_window_is_learned_from():
         assert not np.allclose(trained(other)["qr"][35], before["qr"][35]), window
 
 
+def test_batches_of_packs_are_small(spark, monkeypatch):
+    """Rows of packs are large: neither a row group nor a batch for Python holds many, and a
+    worker's words go when it serves another step."""
+    import pyarrow.parquet as pq
+
+    name, seen, whole = "spark.sql.execution.arrow.maxBytesPerBatch", [], attention_lm.word_counts
+    before = spark.conf.get(name)
+    monkeypatch.setattr(attention_lm, "_PACK", 2_000)
+    monkeypatch.setattr(attention_lm, "_GROUP", 20_000)
+
+    def counted(packed, stage, buckets):
+        groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in packed.inputFiles()]
+        rows = packed.select("pack").mapInPandas(lambda batches: (pdf for pdf in batches), "pack long")
+        per = packed.mapInPandas(lambda batches: (pdf.head(1)[["pack"]].assign(pack=len(pdf)) for pdf in batches), "pack long").agg({"pack": "max"}).first()[0]
+        seen.append((spark.conf.get(name), max(g.row_group(k).num_rows for g in groups for k in range(g.num_row_groups)), per, rows.count()))
+        return whole(packed, stage, buckets)
+
+    monkeypatch.setattr(attention_lm, "word_counts", counted)
+    out = attention_lm.score_texts(frame(spark, [(k, f"word{k} " * 50 + "é" * (900 if k == 7 else 1)) for k in range(4_000)]).coalesce(1))
+    assert out.count() == 4_000 and out.where("n_tokens <> 52").count() == 0
+    (batch, group, together, packs), = seen
+    assert int(batch) == 20_000 and spark.conf.get(name) == before and packs > 50 and together < 10 and group < packs / 2
+
+
 def test_scores_do_not_depend_on_tasks_or_packs(spark, monkeypatch):
     rnd = random.Random(12)
     words = ["the", "red", "house", "on", "hill", "unbelievable", "thing", "zyxwv"]
