@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import _NOTICE, _STATS, _STEM, SQL, add, benchmark_questions, document_postings, normal_sql, over, terms_sql
-from .catalog_deep import BM25_SQL, BEST_SQL, _n_docs, impact_index, semantic_candidates
+from .catalog_deep import BM25_SQL, BEST_SQL, impact_index, latent_vectors, semantic_candidates
 from .catalog_more import _interpreted
 from .contract import COLUMNS, schema_gate
 from .operators import aggregates as agg
-from .operators import corpus, impact, interpret, latent, provenance, retrieval, runs
+from .operators import corpus, impact, interpret, provenance, retrieval, runs
 from .oracle import over_properties
 from .plans import consolidate as plan
 from .sources import readers
@@ -239,7 +239,7 @@ def _found(s: SparkSession, d: str) -> DataFrame:
     return kept(s, "hybrid", (d,), lambda: _hybrid(s, d, semantic=True, least=retrieval.FLOOR))
 
 
-add("l8_latent_space", lambda s, d: latent.latent_space(retrieval.tfidf(document_postings(s, d), "doc_id", _n_docs(s, d)), "doc_id")[1].select("doc_id", F.size("v").alias("k"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm")))
+add("l8_latent_space", lambda s, d: latent_vectors(s, d)[1].select("doc_id", F.size("v").alias("k"), F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm")))
 add("l14_hybrid", lambda s, d: retrieval.top(_found(s, d), "doc_id", "doc_id").select("query_id", "doc_id", "rank", "score"))
 
 

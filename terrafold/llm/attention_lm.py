@@ -34,7 +34,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alone, held_by, new_path, small_batches
+from ..sources.shared import small_batches
+from .common import alone, held_by, new_path
 from .encoder import default_path
 
 _HALF, _DIM, _TOP, _CLASSES, _END = 32, 16, 2048, 48, 50256

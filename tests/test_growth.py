@@ -1,6 +1,7 @@
 """What must not grow faster than the tables: stored columns."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from terrafold import contract
 from terrafold.operators import latent, retrieval
@@ -36,3 +37,23 @@ def test_no_task_gets_a_term_that_most_documents_have(spark):
     post = spark.createDataFrame([("common" if k % 2 else f"w{k % 90}", k, 1 + k % 3) for k in range(400)], "term string, doc long, tf long")
     plan = retrieval.tfidf(post, "doc", spark.createDataFrame([(400,)], "n_docs long"))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_no_task_holds_the_vectors_of_all_documents(spark, monkeypatch):
+    """Documents pass a block of terms chunk by chunk; chunks, blocks, kinds of keys and a missing key change nothing."""
+    rng = np.random.default_rng(2)
+    rows = [(f"t{j}", None if i == 7 else i, float(rng.random() + 0.1)) for i in range(120) for j in {0, *rng.integers(0, 60, 9), 1000 + i}]
+    found = []
+    for chunk, terms, kind in ((2048, 200_000, "long"), (16, 4, "long"), (16, 4, "string")):
+        monkeypatch.setattr(latent, "CHUNK", chunk)
+        monkeypatch.setattr(latent, "TERMS", terms)
+        weights = spark.createDataFrame(rows, "term string, doc long, w double").withColumn("doc", F.col("doc").cast(kind))
+        words, docs, sigma = latent.latent_space(weights, "doc", 5, 10, 12)
+        held = {str(r["doc"]): np.array(r["v"]) for r in docs.collect()}
+        assert len(held) == 120 and words.count() == len({r[0] for r in rows})
+        found.append((sigma, held))
+        laid = latent._laid(latent._with_df(weights), "doc", 8, 8 if chunk == 16 else 1, 8).where("block is null")
+        assert laid.agg(F.max(F.size("keys"))).first()[0] <= (30 if chunk == 16 else 119) and laid.agg(F.sum(F.size("keys"))).first()[0] == 120
+    for sigma, held in found[1:]:
+        assert np.allclose(sigma, found[0][0], rtol=1e-6)
+        assert all(np.allclose(held[k] @ held["3"], found[0][1][k] @ found[0][1]["3"], atol=1e-4) for k in held)
