@@ -304,7 +304,7 @@ def _hybrid_answer(s: SparkSession, d: str) -> DataFrame:
     """For each question about parcels: the matching parcels and, if the documents know it, the best of them."""
     asked = written(_interpreted(s, d), "asked")
     parcels = interpret.answer(asked, plan.properties(s, d))
-    docs = impact.best(*impact_index(s, d), asked.select("query_id", "question"), "doc_id", 1)
+    docs = impact.best_of_texts(*impact_index(s, d), asked, "doc_id", 1)
     return asked.select("query_id", "about_parcels", "declined").join(parcels, "query_id", "left").join(docs.select("query_id", "doc_id", "score"), "query_id", "left")
 
 

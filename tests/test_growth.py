@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from terrafold import contract
-from terrafold.operators import latent, retrieval
+from terrafold.operators import impact, latent, retrieval
 from terrafold.plans import consolidate as plan
 from terrafold.sources import publish
 
@@ -57,3 +57,15 @@ def test_no_task_holds_the_vectors_of_all_documents(spark, monkeypatch):
     for sigma, held in found[1:]:
         assert np.allclose(sigma, found[0][0], rtol=1e-6)
         assert all(np.allclose(held[k] @ held["3"], found[0][1][k] @ found[0][1]["3"], atol=1e-4) for k in held)
+
+
+def test_equal_questions_are_ranked_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"roof {'tile ' * (k % 4)} house w{k % 5}") for k in range(40)], "doc_id long, text string")
+    asked = spark.createDataFrame([(q, [f"tile w{q % 3}", "house roof", None, "unheard"][q % 4]) for q in range(24)], "query_id long, question string")
+    post = retrieval.postings(docs, "doc_id", "text")
+    rows = impact.laid_out(impact.blocks(impact.weighted(post, spark.createDataFrame([(40,)], "n_docs long"), "doc_id"), "doc_id", 4), "doc_id")
+    index, whole, seen = (rows, impact.heads_of(rows)), impact.best, []
+    want = sorted(map(tuple, whole(*index, asked, "doc_id", 2).collect()))
+    monkeypatch.setattr(impact, "best", lambda rows, heads, queries, *more: seen.append(queries.count()) or whole(rows, heads, queries, *more))
+    got = impact.best_of_texts(*index, asked, "doc_id", 2).select("query_id", "doc_id", "score", "overlap", "rank")
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 24 and seen == [5]
